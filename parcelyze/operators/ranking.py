@@ -1,39 +1,88 @@
-"""Global RANK() without a single-partition window.
+"""Order statistics without a single-partition window: global RANK() and exact
+quantiles.
 
-``rank() OVER (ORDER BY key)`` with no PARTITION BY moves every row to one
+Both need, for each distinct key value, the number of rows with a smaller key.
+``rank() OVER (ORDER BY key)`` or a sort-then-index would move every row to one
 task. Here the key is first reduced to its distinct values with counts (so a
 value shared by a third of all rows is one row), the distinct values are cut
 into value-range buckets at approximate quantiles (a one-value scalar
-subquery), and rank = rows in earlier buckets + rows with a smaller key in the
-same bucket + 1. Equal keys always share a bucket, so ties are exact; only
-the bucket sizes depend on the approximation, never the ranks.
+subquery), and
+
+    rows before v = rows in earlier buckets + rows below v in v's bucket.
+
+Equal keys always share a bucket, so results are exact; only bucket sizes
+depend on the approximation. The per-bucket totals are one row per bucket.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..session import checkpoint_dir
+
 _UNB = Window.unboundedPreceding
 
 
-def global_rank(df: DataFrame, key: str, out: str = "rank", buckets: int = 512) -> DataFrame:
-    """Add ``out`` = RANK() OVER (ORDER BY key ASC NULLS FIRST) as bigint."""
-    vals = df.groupBy(F.col(key).alias("_k")).agg(F.count(F.lit(1)).alias("_n"))
+def distinct_counts(df: DataFrame, key: Column | str) -> DataFrame:
+    """Distinct values ``_k`` with row counts ``_n``, materialized once.
+
+    The later passes (cut points, bucket offsets, lookups) all read this
+    table, which is far smaller than the input; a reliable checkpoint in the
+    shared checkpoint folder cuts the lineage so the input is scanned once."""
+    checkpoint_dir(df.sparkSession)
+    k = F.col(key) if isinstance(key, str) else key
+    return df.groupBy(k.alias("_k")).agg(F.count(F.lit(1)).alias("_n")).checkpoint(eager=True)
+
+
+def value_positions(df: DataFrame, key: Column | str, buckets: int = 512,
+                    counted: DataFrame | None = None) -> DataFrame:
+    """Distinct key values ``_k`` (NULL first) with ``_n`` = rows holding the value
+    and ``_start`` = rows with a smaller key (0-based start position).
+    ``counted``: an existing distinct_counts() result to reuse."""
+    vals = counted if counted is not None else distinct_counts(df, key)
     probs = [i / buckets for i in range(1, buckets)]
     cuts = (vals.filter(F.col("_k").isNotNull())
             .select(F.percentile_approx("_k", probs, 10000)).scalar())
-    # bucket -1 holds NULL keys, which rank first
-    # (the cut list is projected as a column first: subqueries may not sit
-    # inside a lambda)
+    # bucket -1 holds the NULL key, which sorts first. (The cut list is
+    # projected as a column first: subqueries may not sit inside a lambda.)
     b = F.when(F.col("_k").isNull(), F.lit(-1)).otherwise(
         F.size(F.filter("_cuts", lambda c: c < F.col("_k"))))
     vals = vals.withColumn("_cuts", cuts).withColumn("_b", b).drop("_cuts")
     offsets = (vals.groupBy("_b").agg(F.sum("_n").alias("_bn"))
                .select("_b", F.coalesce(F.sum("_bn").over(
                    Window.orderBy("_b").rowsBetween(_UNB, -1)), F.lit(0)).alias("_off")))
-    local = vals.select("_k", "_b", F.coalesce(F.sum("_n").over(
+    local = vals.select("_k", "_n", "_b", F.coalesce(F.sum("_n").over(
         Window.partitionBy("_b").orderBy("_k").rowsBetween(_UNB, -1)), F.lit(0)).alias("_before"))
-    ranks = local.join(offsets, "_b").select("_k", (F.col("_off") + F.col("_before") + 1)
-                                              .cast("bigint").alias(out))
-    return df.join(ranks, df[key].eqNullSafe(ranks["_k"]), "inner").drop("_k")
+    return local.join(offsets, "_b").select(
+        "_k", "_n", (F.col("_off") + F.col("_before")).cast("bigint").alias("_start"))
+
+
+def global_rank(df: DataFrame, key: str, out: str = "rank", buckets: int = 512) -> DataFrame:
+    """Add ``out`` = RANK() OVER (ORDER BY key ASC NULLS FIRST) as bigint."""
+    pos = value_positions(df, key, buckets).select("_k", (F.col("_start") + 1).alias(out))
+    return df.join(pos, df[key].eqNullSafe(pos["_k"]), "inner").drop("_k")
+
+
+def exact_quantiles(df: DataFrame, col: str, probs, buckets: int = 512,
+                    counted: DataFrame | None = None) -> DataFrame:
+    """One row: exact linear-interpolation quantiles of the non-NULL values of
+    ``col`` (same definition as percentile / numpy 'linear'), column q<i> per
+    probability; NULL when there are no values. ``counted``: distinct_counts()
+    of the non-NULL values, when the caller already has it."""
+    if counted is None:
+        x = df.select(F.col(col).cast("double").alias("_x")).filter(F.col("_x").isNotNull())
+        counted = distinct_counts(x, "_x")
+    pos = value_positions(None, "_k", buckets, counted)
+    n = counted.agg(F.sum("_n")).scalar()
+    lookups = []
+    for i, p in enumerate(probs):
+        h = (n - 1) * F.lit(float(p))
+        lo, hi = F.floor(h), F.ceil(h)
+        covers = lambda r: (F.col("_start") <= r) & (r < F.col("_start") + F.col("_n"))
+        lookups += [F.max(F.when(covers(lo), F.col("_k"))).alias(f"_lo{i}"),
+                    F.max(F.when(covers(hi), F.col("_k"))).alias(f"_hi{i}"),
+                    F.max(h - lo).alias(f"_d{i}")]
+    r = pos.agg(*lookups)
+    return r.select(*[(F.col(f"_lo{i}") + (F.col(f"_hi{i}") - F.col(f"_lo{i}")) * F.col(f"_d{i}"))
+                      .alias(f"q{i}") for i in range(len(probs))])

@@ -18,13 +18,16 @@ from .oracle import ONTIME, PCT, R, SLA, with_ctes
 
 QUERIES: dict = {}
 ORACLE: dict = {}
+ORACLE_BODY: dict = {}      # final SELECT of each twin, before the shared CTEs
 
 
-def query(name: str, oracle: str | None = None):
+def query(name: str, oracle: str | None = None, extra_ctes: dict | None = None,
+          recursive: bool = False):
     def deco(fn):
         QUERIES[name] = fn
         if oracle is not None:
-            ORACLE[name] = with_ctes(oracle)
+            ORACLE[name] = with_ctes(oracle, extra_ctes, recursive)
+            ORACLE_BODY[name] = oracle
         return fn
     return deco
 
@@ -243,3 +246,7 @@ SELECT COUNT(*) AS delivered_orders,
 FROM fact_orders WHERE order_status = 'delivered'""")
 def q_overall_performance(spark, sf_dir):
     return A.overall_performance(model(spark, sf_dir).fact_orders)
+
+
+# The other query groups register themselves on import.
+from . import queries_quality, queries_stats, queries_reports  # noqa: E402,F401

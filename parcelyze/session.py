@@ -33,6 +33,7 @@ def build_session(master: str | None = None, shuffle_partitions: int = 8,
     conf = {**REQUIRED_CONF, **SCALE_CONF,
             "spark.sql.shuffle.partitions": str(shuffle_partitions),
             "spark.ui.enabled": "false",
+            "spark.ui.showConsoleProgress": "false",
             "spark.driver.memory": "8g",
             "spark.sql.execution.arrow.pyspark.enabled": "true"}
     conf.update(extra or {})
