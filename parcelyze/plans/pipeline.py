@@ -39,7 +39,7 @@ class RunLog:
 
     def log(self, stage: str, status: str, detail: str = ""):
         row = (_now(), stage, status, detail)
-        self.rows.append(row)
+        self.rows.append(dict(zip(LOG_COLS, row)))
         (self.spark.createDataFrame([row], "ts string, stage string, status string, detail string")
          .coalesce(1).write.mode("append").json(self.path))
 
