@@ -19,7 +19,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..session import checkpoint_dir
+from ..session import materialize
 
 _UNB = Window.unboundedPreceding
 
@@ -28,11 +28,10 @@ def distinct_counts(df: DataFrame, key: Column | str) -> DataFrame:
     """Distinct values ``_k`` with row counts ``_n``, materialized once.
 
     The later passes (cut points, bucket offsets, lookups) all read this
-    table, which is far smaller than the input; a reliable checkpoint in the
-    shared checkpoint folder cuts the lineage so the input is scanned once."""
-    checkpoint_dir(df.sparkSession)
+    table, which is far smaller than the input; a table written to the shared
+    checkpoint folder cuts the lineage so the input is scanned once."""
     k = F.col(key) if isinstance(key, str) else key
-    return df.groupBy(k.alias("_k")).agg(F.count(F.lit(1)).alias("_n")).checkpoint(eager=True)
+    return materialize(df.groupBy(k.alias("_k")).agg(F.count(F.lit(1)).alias("_n")), "counts")
 
 
 def value_positions(df: DataFrame, key: Column | str, buckets: int = 512,
@@ -58,9 +57,20 @@ def value_positions(df: DataFrame, key: Column | str, buckets: int = 512,
         "_k", "_n", (F.col("_off") + F.col("_before")).cast("bigint").alias("_start"))
 
 
-def global_rank(df: DataFrame, key: str, out: str = "rank", buckets: int = 512) -> DataFrame:
-    """Add ``out`` = RANK() OVER (ORDER BY key ASC NULLS FIRST) as bigint."""
-    pos = value_positions(df, key, buckets).select("_k", (F.col("_start") + 1).alias(out))
+def global_rank(df: DataFrame, key: str, out: str = "rank", buckets: int = 512,
+                write_input: bool = True) -> DataFrame:
+    """Add ``out`` = RANK() OVER (ORDER BY key ASC NULLS FIRST) as bigint.
+
+    ``write_input``: write ``df`` once first, so that counting, bucketing and
+    the join back all read it once instead of recomputing its lineage (use for
+    aggregated inputs such as one row per seller)."""
+    if write_input:
+        df = materialize(df, "ranked")
+        counted = df.groupBy(F.col(key).alias("_k")).agg(F.count(F.lit(1)).alias("_n"))
+        pos = value_positions(None, key, buckets, counted)
+    else:
+        pos = value_positions(df, key, buckets)
+    pos = pos.select("_k", (F.col("_start") + 1).alias(out))
     return df.join(pos, df[key].eqNullSafe(pos["_k"]), "inner").drop("_k")
 
 

@@ -243,3 +243,12 @@ def q_run_pipeline(spark, sf_dir):
     from .pipeline import run_pipeline
     _, log = run_pipeline(spark, _raw(spark, sf_dir))
     return log.frame().select("stage", "status", "detail")
+
+
+@query("pipeline_run_log")
+def q_pipeline_run_log(spark, sf_dir):
+    """SNK4: the JSON-lines run log as written by a pipeline run (ts, stage,
+    status, detail), read back from the shared storage root."""
+    from .pipeline import run_pipeline
+    _, log = run_pipeline(spark, _raw(spark, sf_dir))
+    return log.frame()

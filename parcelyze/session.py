@@ -73,3 +73,14 @@ def table_exists(path: str) -> bool:
     """SRC6: does a written table (a folder) exist? Local-path form for tests;
     catalog tables use ``spark.catalog.tableExists``."""
     return os.path.exists(path)
+
+
+def materialize(df, label: str = "t"):
+    """Write ``df`` once as parquet under the shared checkpoint folder and read
+    it back: one job, lineage cut, survives executor loss (unlike a local
+    checkpoint or a cache). Used for small intermediate results that several
+    later passes read."""
+    import uuid
+    path = scratch_path(df.sparkSession, "materialized", f"{label}-{uuid.uuid4().hex}")
+    df.write.mode("overwrite").parquet(path)
+    return df.sparkSession.read.parquet(path)

@@ -1,0 +1,9 @@
+"""Streaming: intentionally empty.
+
+The reference is a batch system: it has no streams, watermarks, windows over
+event time or stateful operators, and it states so. Its only recurring
+behaviour is "re-run the batch job on a schedule", which is a scheduler, not a
+data operator, so nothing is re-expressed here. Every operator in this
+library is a plain DataFrame function, so a caller that does need incremental
+refresh can apply them per micro-batch with ``foreachBatch``.
+"""
