@@ -59,21 +59,30 @@ class StarModel:
                  "dim_product", "fact_order_items", "fact_orders"]}
 
 
-class TableModel(StarModel):
-    """A star schema already written to storage (pipeline output)."""
+class TableModel:
+    """A star schema already written to storage (pipeline output); same
+    attributes as StarModel. ``raw``: the written raw layer, if any.
+    fact_orders keeps only its contract columns; ``fact_orders_by_month``
+    also exposes the ``year_month`` partition column for pruning."""
 
-    def __init__(self, spark: SparkSession, root: str):
-        super().__init__(raw=None)
-        self._spark, self._root = spark, root.rstrip("/")
+    def __init__(self, spark: SparkSession, root: str, raw=None):
+        self._spark, self._root, self.raw = spark, root.rstrip("/"), raw
 
     def _read(self, name):
         return self._spark.read.parquet(f"{self._root}/{name}")
 
-    def __getattribute__(self, name):
-        if name in ("dim_date", "dim_geography", "dim_customer", "dim_seller",
-                    "dim_product", "fact_order_items", "fact_orders"):
-            return object.__getattribute__(self, "_read")(name)
-        return object.__getattribute__(self, name)
+    dim_date = property(lambda self: self._read("dim_date"))
+    dim_geography = property(lambda self: self._read("dim_geography"))
+    dim_customer = property(lambda self: self._read("dim_customer"))
+    dim_seller = property(lambda self: self._read("dim_seller"))
+    dim_product = property(lambda self: self._read("dim_product"))
+    fact_order_items = property(lambda self: self._read("fact_order_items"))
+    fact_orders_by_month = property(lambda self: self._read("fact_orders"))
+
+    @property
+    def fact_orders(self) -> DataFrame:
+        from ..schemas import FACT_ORDERS_COLS
+        return self._read("fact_orders").select(*FACT_ORDERS_COLS)
 
 
 def with_year_month(fact: DataFrame, dim_date: DataFrame) -> DataFrame:

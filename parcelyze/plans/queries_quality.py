@@ -107,9 +107,8 @@ def _raw_dq(spark, sf_dir):
 
 
 def _mod_dq(spark, sf_dir):
-    raw = _raw(spark, sf_dir)
-    from ..operators.model import StarModel
-    return Q.modeled_checks(StarModel(raw), raw["raw_orders"], REPORT_TS)
+    m = model(spark, sf_dir)
+    return Q.modeled_checks(m, m.raw["raw_orders"], REPORT_TS)
 
 
 @query("dq_raw_checks", RAW_DQ_SQL)

@@ -7,13 +7,19 @@ expressible) rebuilds the same result from the same tables in DuckDB.
 
 from __future__ import annotations
 
+import hashlib
+import os
+import threading
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators import analytics as A
 from ..operators import star
-from ..operators.model import StarModel
+from ..operators.model import StarModel, TableModel
+from ..session import scratch_path
 from ..sources.adapter import raw_model
+from ..sources.ingest import read_raw_layer, write_raw
 from .oracle import ONTIME, PCT, R, SLA, with_ctes
 
 QUERIES: dict = {}
@@ -32,12 +38,33 @@ def query(name: str, oracle: str | None = None, extra_ctes: dict | None = None,
     return deco
 
 
-def model(spark: SparkSession, sf_dir: str) -> StarModel:
-    return StarModel(raw_model(spark, sf_dir))
+_MODELS: dict = {}
+_LOCK = threading.Lock()
+
+
+def model(spark: SparkSession, sf_dir: str):
+    """The raw and modeled layers for ``sf_dir``, built once per application
+    (adapter -> raw layer -> star schema, each written as parquet under the
+    shared checkpoint folder, as the pipeline does) and then read by every
+    query. Set PARCELYZE_LAZY_MODEL=1 to plan every query from the raw
+    driver tables instead (used by plan inspection)."""
+    if os.environ.get("PARCELYZE_LAZY_MODEL") == "1":
+        return StarModel(raw_model(spark, sf_dir))
+    key = (spark.sparkContext.applicationId, os.path.abspath(sf_dir))
+    with _LOCK:
+        if key not in _MODELS:
+            root = scratch_path(spark, "models", key[0],
+                                hashlib.sha1(key[1].encode()).hexdigest()[:12])
+            write_raw(raw_model(spark, sf_dir), f"{root}/raw")
+            raw = read_raw_layer(spark, f"{root}/raw")
+            from .pipeline import write_model
+            write_model(StarModel(raw), f"{root}/model")
+            _MODELS[key] = TableModel(spark, f"{root}/model", raw)
+        return _MODELS[key]
 
 
 def _raw(spark, sf_dir):
-    return raw_model(spark, sf_dir)
+    return model(spark, sf_dir).raw
 
 
 # =============================================================== raw layer

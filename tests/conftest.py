@@ -19,5 +19,7 @@ def spark():
 
 @pytest.fixture(scope="session")
 def small_model(spark):
-    from parcelyze.plans.registry import model
-    return model(spark, SF001)
+    """Lazily planned star schema over the sf0.001 adapter (no materialization)."""
+    from parcelyze.operators.model import StarModel
+    from parcelyze.sources.adapter import raw_model
+    return StarModel(raw_model(spark, SF001))
