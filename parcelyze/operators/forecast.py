@@ -32,6 +32,9 @@ def series_arrays(series: DataFrame, keys=(), period: str = "year_month",
 
 
 def _holt_pass(pts: Column, a: Column, bt: Column) -> Column:
+    """One fold over the series for fixed (alpha, beta); the finish step solves
+    the 2x2 normal equation, so the result is a struct (l0, b0, sse, level,
+    trend) computed once per row."""
     z = F.lit(0.0)
     init = F.struct(*[x.alias(n) for n, x in zip(_STATE, [z, z, F.lit(1.0), z, z, F.lit(1.0),
                                                            z, z, z, z, z, z])])
@@ -52,23 +55,27 @@ def _holt_pass(pts: Column, a: Column, bt: Column) -> Column:
             (s["svv"] + v * v).alias("svv"), (s["sur"] + u * r).alias("sur"),
             (s["svr"] + v * r).alias("svr"), (s["srr"] + r * r).alias("srr"))
 
-    return F.aggregate(pts, init, step)
+    def finish(s):
+        det = s["suu"] * s["svv"] - s["suv"] * s["suv"]
+        l0 = F.try_divide(s["svv"] * s["sur"] - s["suv"] * s["svr"], det)
+        b0 = F.try_divide(s["suu"] * s["svr"] - s["suv"] * s["sur"], det)
+        sse = (s["srr"] - 2 * (l0 * s["sur"] + b0 * s["svr"])
+               + l0 * l0 * s["suu"] + 2 * l0 * b0 * s["suv"] + b0 * b0 * s["svv"])
+        return F.struct(l0.alias("l0"), b0.alias("b0"), sse.alias("sse"),
+                        (s["l"] + l0 * s["lu"] + b0 * s["lv"]).alias("level"),
+                        (s["b"] + l0 * s["bu"] + b0 * s["bv"]).alias("trend"))
+
+    return F.aggregate(pts, init, step, finish)
 
 
 def _fit_rows(arrays: DataFrame, keys, alpha: Column, beta: Column) -> DataFrame:
-    """Evaluate one (alpha, beta) per row: best (l0, b0), SSE, final level/trend."""
-    s = arrays.select(*keys, "last_period", alpha.alias("alpha"), beta.alias("beta"),
-                      _holt_pass(F.col("pts"), alpha, beta).alias("s"))
-    g = lambda n: F.col(f"s.{n}")
-    det = g("suu") * g("svv") - g("suv") * g("suv")
-    l0 = F.try_divide(g("svv") * g("sur") - g("suv") * g("svr"), det)
-    b0 = F.try_divide(g("suu") * g("svr") - g("suv") * g("sur"), det)
-    sse = (g("srr") - 2 * (l0 * g("sur") + b0 * g("svr"))
-           + l0 * l0 * g("suu") + 2 * l0 * b0 * g("suv") + b0 * b0 * g("svv"))
-    return s.select(*keys, "last_period", "alpha", "beta", l0.alias("l0"), b0.alias("b0"),
-                    sse.alias("sse"),
-                    (g("l") + l0 * g("lu") + b0 * g("lv")).alias("level"),
-                    (g("b") + l0 * g("bu") + b0 * g("bv")).alias("trend"))
+    """Evaluate one (alpha, beta) per row: best (l0, b0), SSE, final level/trend.
+
+    The fold result is expanded with inline() (a generator): later projections
+    read its output columns instead of re-inlining the fold per field."""
+    fit = _holt_pass(F.col("pts"), F.col("alpha"), F.col("beta"))
+    return (arrays.select(*keys, "last_period", "pts", alpha.alias("alpha"), beta.alias("beta"))
+            .select(*keys, "last_period", "alpha", "beta", F.inline(F.array(fit))))
 
 
 def _best(rows: DataFrame, keys) -> DataFrame:
