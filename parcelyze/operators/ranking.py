@@ -96,3 +96,40 @@ def exact_quantiles(df: DataFrame, col: str, probs, buckets: int = 512,
     r = pos.agg(*lookups)
     return r.select(*[(F.col(f"_lo{i}") + (F.col(f"_hi{i}") - F.col(f"_lo{i}")) * F.col(f"_d{i}"))
                       .alias(f"q{i}") for i in range(len(probs))])
+
+
+def grouped_exact_quantiles(df: DataFrame, groups, col: str, probs, buckets: int = 64) -> DataFrame:
+    """Per group: exact linear-interpolation quantiles of the non-NULL values of
+    ``col`` (columns q<i>), without holding a whole group in one task.
+
+    Distinct (group, value) counts are materialized once; each group's values
+    are cut into ``buckets`` value ranges at that group's approximate quantiles
+    (a bounded sketch per group); start positions come from per-group bucket
+    totals (<= buckets rows per group) plus running sums inside one
+    (group, bucket) -- so a group holding a third of all rows is spread over
+    its buckets. Equal values share a bucket, so results are exact."""
+    groups = list(groups)
+    x = df.select(*groups, F.col(col).cast("double").alias("_x")).filter(F.col("_x").isNotNull())
+    vc = materialize(x.groupBy(*groups, "_x").agg(F.count(F.lit(1)).alias("_n")), "gcounts")
+    cut_p = [i / buckets for i in range(1, buckets)]
+    cuts = vc.groupBy(*groups).agg(F.percentile_approx("_x", cut_p, 10000).alias("_cuts"),
+                                   F.sum("_n").alias("_tot"))
+    vb = (vc.join(cuts, groups, "inner")
+          .withColumn("_b", F.size(F.filter("_cuts", lambda c: c < F.col("_x")))).drop("_cuts"))
+    offs = (vb.groupBy(*groups, "_b").agg(F.sum("_n").alias("_bn"))
+            .select(*groups, "_b", F.coalesce(F.sum("_bn").over(
+                Window.partitionBy(*groups).orderBy("_b").rowsBetween(_UNB, -1)), F.lit(0)).alias("_off")))
+    local = vb.withColumn("_before", F.coalesce(F.sum("_n").over(
+        Window.partitionBy(*groups, "_b").orderBy("_x").rowsBetween(_UNB, -1)), F.lit(0)))
+    pos = local.join(offs, [*groups, "_b"], "inner").withColumn("_start", F.col("_off") + F.col("_before"))
+    aggs = []
+    for i, p in enumerate(probs):
+        h = (F.col("_tot") - 1) * F.lit(float(p))
+        lo, hi = F.floor(h), F.ceil(h)
+        covers = lambda r: (F.col("_start") <= r) & (r < F.col("_start") + F.col("_n"))
+        aggs += [F.max(F.when(covers(lo), F.col("_x"))).alias(f"_lo{i}"),
+                 F.max(F.when(covers(hi), F.col("_x"))).alias(f"_hi{i}"),
+                 F.max(h - lo).alias(f"_d{i}")]
+    r = pos.groupBy(*groups).agg(*aggs)
+    return r.select(*groups, *[(F.col(f"_lo{i}") + (F.col(f"_hi{i}") - F.col(f"_lo{i}")) * F.col(f"_d{i}"))
+                               .alias(f"q{i}") for i in range(len(probs))])

@@ -46,16 +46,28 @@ def dim_date(raw_orders: DataFrame) -> DataFrame:
 def dim_geography(raw_geolocation: DataFrame, approx: bool = False) -> DataFrame:
     """One row per zip prefix: median lat/lng, modal city/state (smallest on ties).
 
-    Exact median keeps a value->count map per zip, merged from partial maps;
-    ``approx=True`` switches to a fixed-size quantile sketch per group."""
-    g = raw_geolocation.filter(F.col("geolocation_zip_code_prefix").isNotNull())
-    med = ((lambda c: F.percentile_approx(c, 0.5, 10000)) if approx else F.median)
-    return g.groupBy(F.col("geolocation_zip_code_prefix").alias("zip_prefix")).agg(
-        med("geolocation_lat").cast("double").alias("lat"),
-        med("geolocation_lng").cast("double").alias("lng"),
+    Exact medians use grouped_exact_quantiles: a zip holding a third of all
+    geocodes is spread over value buckets instead of one in-memory value map
+    in one task. Modes keep a map of distinct city/state names per zip (few).
+    ``approx=True`` uses a fixed-size quantile sketch per zip instead."""
+    from .ranking import grouped_exact_quantiles
+    g = raw_geolocation.filter(F.col("geolocation_zip_code_prefix").isNotNull()) \
+        .withColumnRenamed("geolocation_zip_code_prefix", "zip_prefix")
+    modes = g.groupBy("zip_prefix").agg(
         F.mode("geolocation_city", deterministic=True).alias("city"),
-        F.mode("geolocation_state", deterministic=True).alias("state"),
-    )
+        F.mode("geolocation_state", deterministic=True).alias("state"))
+    if approx:
+        med = g.groupBy("zip_prefix").agg(
+            F.percentile_approx("geolocation_lat", 0.5, 10000).cast("double").alias("lat"),
+            F.percentile_approx("geolocation_lng", 0.5, 10000).cast("double").alias("lng"))
+    else:
+        lat = grouped_exact_quantiles(g, ["zip_prefix"], "geolocation_lat", [0.5]) \
+            .withColumnRenamed("q0", "lat")
+        lng = grouped_exact_quantiles(g, ["zip_prefix"], "geolocation_lng", [0.5]) \
+            .withColumnRenamed("q0", "lng")
+        med = lat.join(lng, "zip_prefix", "full_outer")
+    # every zip has a mode row; a zip whose coordinates are all NULL gets NULL medians
+    return modes.join(med, "zip_prefix", "left").select("zip_prefix", "lat", "lng", "city", "state")
 
 
 def dim_customer(raw_customers: DataFrame) -> DataFrame:

@@ -148,3 +148,22 @@ def test_fixed_holt_recursion(spark):
         nl = 0.5 * v + 0.5 * (lv + tr)
         tr, lv = 0.5 * (nl - lv) + 0.5 * tr, nl
     assert math.isclose(f["level"], lv) and math.isclose(f["trend"], tr)
+
+
+def test_grouped_exact_quantiles_hot_group(spark):
+    from parcelyze.operators.ranking import grouped_exact_quantiles
+    rnd = np.random.default_rng(11)
+    rows = [("hot", float(v)) for v in rnd.normal(0, 1, 3000)]            # one group: a third+ of rows
+    rows += [(f"g{i % 40}", float(v)) for i, v in enumerate(rnd.integers(0, 9, 2000))]
+    rows += [("one", 5.0), ("nulls", None), ("nulls", 2.0)]
+    df = spark.createDataFrame(rows, "g string, x double")
+    got = {r["g"]: (r["q0"], r["q1"]) for r in
+           grouped_exact_quantiles(df, ["g"], "x", [0.5, 0.9], buckets=8).collect()}
+    by = {}
+    for g, x in rows:
+        if x is not None:
+            by.setdefault(g, []).append(x)
+    assert set(got) == set(by)
+    for g, xs in by.items():
+        want = np.quantile(np.array(xs), [0.5, 0.9])
+        assert math.isclose(got[g][0], want[0], abs_tol=1e-12) and math.isclose(got[g][1], want[1], abs_tol=1e-12), g
