@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from ..operators import analytics as A
 from ..operators import star
 from ..operators.model import StarModel, TableModel
-from ..session import scratch_path
+from ..session import app_id, scratch_path
 from ..sources.adapter import raw_model
 from ..sources.ingest import read_raw_layer, write_raw
 from .oracle import ONTIME, PCT, R, SLA, with_ctes
@@ -50,7 +50,7 @@ def model(spark: SparkSession, sf_dir: str):
     driver tables instead (used by plan inspection)."""
     if os.environ.get("PARCELYZE_LAZY_MODEL") == "1":
         return StarModel(raw_model(spark, sf_dir))
-    key = (spark.sparkContext.applicationId, os.path.abspath(sf_dir))
+    key = (app_id(spark), os.path.abspath(sf_dir))
     with _LOCK:
         if key not in _MODELS:
             root = scratch_path(spark, "models", key[0],

@@ -52,16 +52,32 @@ def configure(spark: SparkSession) -> SparkSession:
     return spark
 
 
+_LOCAL_DIRS: dict = {}
+
+
+def app_id(spark: SparkSession) -> str:
+    return spark.conf.get("spark.app.id", None) or f"session-{id(spark)}"
+
+
 def checkpoint_dir(spark: SparkSession) -> str:
     """Shared folder for written intermediate tables and checkpoints.
 
     Uses the cluster's ``spark.checkpoint.dir`` when set; only when it is unset
     (local tests) a fresh scratch folder is created and registered."""
-    sc = spark.sparkContext
-    d = sc.getCheckpointDir() or sc.getConf().get("spark.checkpoint.dir", None)
+    if id(spark) in _LOCAL_DIRS:
+        return _LOCAL_DIRS[id(spark)]
+    d = spark.conf.get("spark.checkpoint.dir", None)
+    sc = None
+    try:                                   # classic sessions; Spark Connect has no SparkContext
+        sc = spark.sparkContext
+        d = d or sc.getCheckpointDir() or sc.getConf().get("spark.checkpoint.dir", None)
+    except Exception:  # noqa: BLE001
+        pass
     if not d:
         d = tempfile.mkdtemp(prefix="parcelyze-ckpt-")
-        sc.setCheckpointDir(d)
+        if sc is not None:
+            sc.setCheckpointDir(d)
+        _LOCAL_DIRS[id(spark)] = d
     return d.rstrip("/")
 
 
