@@ -143,19 +143,45 @@ def _simple(one_row: DataFrame, layer: str, spec) -> DataFrame:
 
 # ------------------------------------------------------------- raw layer
 def raw_checks(raw, run_ts: str) -> DataFrame:
-    """The 12 raw-layer checks (DQ1-DQ12) as result rows."""
+    """The 12 raw-layer checks (DQ1-DQ12) as result rows.
+
+    Scans: raw_orders is grouped once by order_id (null key, duplicates and the
+    row rules come out of that one pre-aggregation); raw_order_items once, as
+    (order_id, item) -> order_id partial aggregates joined to the order groups
+    (co-partitioned on order_id) for duplicates, negative amounts and orphans;
+    plus one group-by each for customer orphans and the status domain, and one
+    aggregate over reviews."""
     o, it, rv = raw["raw_orders"], raw["raw_order_items"], raw["raw_order_reviews"]
     spec = {s[0]: s for s in RAW_CHECKS}
     deliv, carr = F.col("order_delivered_customer_date"), F.col("order_delivered_carrier_date")
     appr = F.col("order_approved_at")
-    fused = o.agg(
-        F.count_if(F.col("order_id").isNull()).alias("c1"),
-        F.count_if(deliv.isNotNull() & carr.isNotNull() & (deliv < carr)).alias("c8"),
-        F.count_if(carr.isNotNull() & appr.isNotNull() & (carr < appr)).alias("c9"),
-        F.count_if((F.col("order_status") == "delivered") & deliv.isNull()).alias("c11"))
-    orders_rows = _rows(fused, "raw", [
+    by_order = o.groupBy("order_id").agg(
+        F.count(F.lit(1)).alias("_c"),
+        F.count_if(deliv.isNotNull() & carr.isNotNull() & (deliv < carr)).alias("_c8"),
+        F.count_if(carr.isNotNull() & appr.isNotNull() & (carr < appr)).alias("_c9"),
+        F.count_if((F.col("order_status") == "delivered") & deliv.isNull()).alias("_c11"))
+    orders_one = by_order.agg(
+        F.coalesce(F.sum(F.when(F.col("order_id").isNull(), F.col("_c"))), F.lit(0)).alias("c1"),
+        F.count_if(F.col("_c") > 1).alias("c2"),
+        F.coalesce(F.sum("_c8"), F.lit(0)).alias("c8"),
+        F.coalesce(F.sum("_c9"), F.lit(0)).alias("c9"),
+        F.coalesce(F.sum("_c11"), F.lit(0)).alias("c11"))
+    orders_rows = _rows(orders_one, "raw", [
         _result("raw", spec[i], F.col(f"c{i}"), _fmt(spec[i][3], n=F.col(f"c{i}")))
-        for i in (1, 8, 9, 11)])
+        for i in (1, 2, 8, 9, 11)])
+
+    neg = (F.col("price") < 0) | (F.col("freight_value") < 0)
+    per_line = it.groupBy("order_id", "order_item_id").agg(F.count(F.lit(1)).alias("_c"),
+                                                           F.count_if(neg).alias("_neg"))
+    per_order = per_line.groupBy("order_id").agg(F.sum("_c").alias("_c"), F.sum("_neg").alias("_neg"),
+                                                 F.count_if(F.col("_c") > 1).alias("_dup"))
+    known = by_order.filter(F.col("order_id").isNotNull()).select("order_id", F.lit(True).alias("_known"))
+    items_one = per_order.join(known, "order_id", "left").agg(
+        F.coalesce(F.sum("_dup"), F.lit(0)).alias("c3"),
+        F.coalesce(F.sum("_neg"), F.lit(0)).alias("c4"),
+        F.coalesce(F.sum(F.when(F.col("_known").isNull(), F.col("_c"))), F.lit(0)).alias("c6"))
+    items_rows = _rows(items_one, "raw", [
+        _result("raw", spec[i], F.col(f"c{i}"), _fmt(spec[i][3], n=F.col(f"c{i}"))) for i in (3, 4, 6)])
 
     unexpected = unexpected_values(o, "order_status", ALLOWED_ORDER_STATUS)
     listed = (unexpected.select(F.col("order_status").alias("s"))
@@ -168,17 +194,12 @@ def raw_checks(raw, run_ts: str) -> DataFrame:
         F.when(F.col("n") == 0, F.lit(ALL_CLEAR_STATUS)).otherwise(
             F.concat(F.lit("unexpected status values: "), _py_set_text(vals, F.col("n"))))))
 
-    fresh = fused.select(*_result("raw", spec[12], F.lit(0),
-                                  F.lit(spec[12][3].format(run_ts=run_ts)), F.lit(True)))
+    fresh = status_row.select(*_result("raw", spec[12], F.lit(0),
+                                       F.lit(spec[12][3].format(run_ts=run_ts)), F.lit(True)))
     parts = [
-        orders_rows,
-        _simple(duplicate_key_count(o, ["order_id"]), "raw", spec[2]),
-        _simple(duplicate_key_count(it, ["order_id", "order_item_id"]), "raw", spec[3]),
-        _simple(it.agg(F.count_if((F.col("price") < 0) | (F.col("freight_value") < 0)).alias("v")),
-                "raw", spec[4]),
+        orders_rows, items_rows,
         _simple(rv.agg(F.count_if((F.col("review_score") < 1) | (F.col("review_score") > 5))
                        .alias("v")), "raw", spec[5]),
-        _simple(orphan_count(it, "order_id", o, "order_id"), "raw", spec[6]),
         _simple(orphan_count(o, "customer_id", raw["raw_customers"], "customer_id"), "raw", spec[7]),
         status_row, fresh,
     ]
@@ -187,19 +208,27 @@ def raw_checks(raw, run_ts: str) -> DataFrame:
 
 # --------------------------------------------------------- modeled layer
 def modeled_checks(model, raw_orders: DataFrame, run_ts: str) -> DataFrame:
-    """The 7 modeled-layer checks (DM1-DM7) as result rows."""
+    """The 7 modeled-layer checks (DM1-DM7) as result rows. fact_orders is
+    grouped once by order_id: duplicates, range and flag rules and the
+    coverage counts all come out of that pre-aggregation."""
     f = model.fact_orders
     spec = {s[0]: s for s in MODELED_CHECKS}
     d, flag = F.col("delivery_delay_days"), F.col("on_time_flag")
-    fused = f.agg(
-        F.count_if(d.isNotNull() & (F.abs(d) > DELAY_BOUND_DAYS)).alias("c4"),
-        F.count_if(d.isNotNull() & (((flag == 1) & (d > 0)) | ((flag == 0) & (d <= 0)))).alias("c5"),
-        F.count(F.lit(1)).alias("total"), F.count(d).alias("valid"))
+    by_order = f.groupBy("order_id").agg(
+        F.count(F.lit(1)).alias("_c"), F.count(d).alias("_valid"),
+        F.count_if(d.isNotNull() & (F.abs(d) > DELAY_BOUND_DAYS)).alias("_c4"),
+        F.count_if(d.isNotNull() & (((flag == 1) & (d > 0)) | ((flag == 0) & (d <= 0)))).alias("_c5"))
+    fused = by_order.agg(
+        F.count_if(F.col("_c") > 1).alias("c1"),
+        F.coalesce(F.sum("_c4"), F.lit(0)).alias("c4"), F.coalesce(F.sum("_c5"), F.lit(0)).alias("c5"),
+        F.coalesce(F.sum("_c"), F.lit(0)).alias("total"),
+        F.coalesce(F.sum("_valid"), F.lit(0)).alias("valid"))
     # one-value results are combined as scalar subqueries, never joined
     both = fused.withColumn("raw_n", raw_orders.agg(F.count(F.lit(1))).scalar())
     pct = F.format_string("%.1f", F.round(F.try_divide(F.lit(100.0) * F.col("valid"),
                                                        F.col("total")), 1))
     fact_rows = _rows(both, "modeled", [
+        _result("modeled", spec[1], F.col("c1"), _fmt(spec[1][3], n=F.col("c1"))),
         _result("modeled", spec[4], F.col("c4"), _fmt(spec[4][3], n=F.col("c4"))),
         _result("modeled", spec[5], F.col("c5"), _fmt(spec[5][3], n=F.col("c5"))),
         _result("modeled", spec[6], F.abs(F.col("raw_n") - F.col("total")),
@@ -210,11 +239,10 @@ def modeled_checks(model, raw_orders: DataFrame, run_ts: str) -> DataFrame:
                      total=_thousands(F.col("total"))), F.lit(True)),
     ])
     parts = [
-        _simple(duplicate_key_count(f, ["order_id"]), "modeled", spec[1]),
+        fact_rows,
         _simple(orphan_count(f, "customer_id", model.dim_customer, "customer_id"), "modeled", spec[2]),
         _simple(orphan_count(model.fact_order_items, "product_id", model.dim_product, "product_id"),
                 "modeled", spec[3]),
-        fact_rows,
     ]
     return _finish(parts, run_ts)
 
