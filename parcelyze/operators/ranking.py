@@ -57,6 +57,12 @@ def value_positions(df: DataFrame, key: Column | str, buckets: int = 512,
         "_k", "_n", (F.col("_off") + F.col("_before")).cast("bigint").alias("_start"))
 
 
+def _lerp(i: int) -> Column:
+    """lo * (1 - d) + hi * d: the interpolation form percentile() uses."""
+    d = F.col(f"_d{i}")
+    return F.col(f"_lo{i}") * (1 - d) + F.col(f"_hi{i}") * d
+
+
 def global_rank(df: DataFrame, key: str, out: str = "rank", buckets: int = 512,
                 write_input: bool = True) -> DataFrame:
     """Add ``out`` = RANK() OVER (ORDER BY key ASC NULLS FIRST) as bigint.
@@ -94,8 +100,7 @@ def exact_quantiles(df: DataFrame, col: str, probs, buckets: int = 512,
                     F.max(F.when(covers(hi), F.col("_k"))).alias(f"_hi{i}"),
                     F.max(h - lo).alias(f"_d{i}")]
     r = pos.agg(*lookups)
-    return r.select(*[(F.col(f"_lo{i}") + (F.col(f"_hi{i}") - F.col(f"_lo{i}")) * F.col(f"_d{i}"))
-                      .alias(f"q{i}") for i in range(len(probs))])
+    return r.select(*[_lerp(i).alias(f"q{i}") for i in range(len(probs))])
 
 
 def grouped_exact_quantiles(df: DataFrame, groups, col: str, probs, buckets: int = 64) -> DataFrame:
@@ -131,5 +136,4 @@ def grouped_exact_quantiles(df: DataFrame, groups, col: str, probs, buckets: int
                  F.max(F.when(covers(hi), F.col("_x"))).alias(f"_hi{i}"),
                  F.max(h - lo).alias(f"_d{i}")]
     r = pos.groupBy(*groups).agg(*aggs)
-    return r.select(*groups, *[(F.col(f"_lo{i}") + (F.col(f"_hi{i}") - F.col(f"_lo{i}")) * F.col(f"_d{i}"))
-                               .alias(f"q{i}") for i in range(len(probs))])
+    return r.select(*groups, *[_lerp(i).alias(f"q{i}") for i in range(len(probs))])
