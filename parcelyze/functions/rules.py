@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 __all__ = [
     "days_between", "guarded_pct", "r2", "installment_bucket", "clip",
-    "fmt_fixed", "count_true", "on_time_counts", "is_valid_delivery",
+    "fmt_fixed", "count_true", "NOISE_DECIMALS", "on_time_counts", "is_valid_delivery",
 ]
 
 SECONDS_PER_DAY = 86400
@@ -22,12 +22,20 @@ def days_between(later: Column | str, earlier: Column | str) -> Column:
 def guarded_pct(num: Column, den: Column, decimals: int | None = 2) -> Column:
     """round(100 * num / NULLIF(den, 0), decimals); NULL on a zero denominator."""
     v = F.try_divide(F.lit(100.0) * num, den)
-    return F.round(v, decimals) if decimals is not None else v
+    return r2(v, decimals) if decimals is not None else v
+
+
+NOISE_DECIMALS = 12
 
 
 def r2(c: Column | str, decimals: int = 2) -> Column:
-    """HALF_UP rounding of a double (Spark rounds the shortest decimal form)."""
-    return F.round(_c(c), decimals)
+    """HALF_UP rounding of a double to ``decimals`` places.
+
+    The value is first snapped to 12 decimals, so binary floating-point noise
+    (a mean that is exactly -3.825 computed as -3.8249999999999997, depending on
+    summation order) never decides a tie: the result is the HALF_UP rounding of
+    the decimal value, the same on every engine and every partitioning."""
+    return F.round(F.round(_c(c), NOISE_DECIMALS), decimals)
 
 
 def count_true(cond: Column) -> Column:
@@ -62,7 +70,7 @@ def fmt_fixed(c: Column | str, decimals: int) -> Column:
 
     Rounding first makes the formatter's own rounding irrelevant, so the same
     text is produced wherever the number is formatted (narrative and validator)."""
-    return F.format_string(f"%.{decimals}f", F.round(_c(c), decimals))
+    return F.format_string(f"%.{decimals}f", r2(c, decimals))
 
 
 def _c(c):

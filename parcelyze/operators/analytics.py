@@ -79,7 +79,7 @@ def seller_scorecard(fact: DataFrame, dim_seller: DataFrame, min_orders: int = 5
     s = global_rank(s, "_ratio", "worst_on_time_rank")
     return (s.select("seller_id", "seller_state",
                      F.col("_rows").alias("order_count"),
-                     F.round("_ratio", 2).alias("on_time_pct"),
+                     r2("_ratio").alias("on_time_pct"),
                      r2(_avg("delivery_delay_days")).alias("avg_delay_days"),
                      r2(_avg("review_score")).alias("avg_review_score"),
                      "worst_on_time_rank")

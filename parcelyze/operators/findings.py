@@ -13,7 +13,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.rules import fmt_fixed
+from ..functions.rules import fmt_fixed, r2
 from . import analytics as A
 from . import stats as S
 
@@ -98,8 +98,8 @@ def draft_findings(ctx: DataFrame) -> DataFrame:
                        rec.alias("recommendation"))
             .select(
                 "seller_id", F.col("order_count").cast("int").alias("order_count"),
-                F.round("avg_delay_days", 2).alias("avg_delay_days"),
-                F.round(F.coalesce(z, F.lit(0.0)), 2).alias("z_score"),
+                r2("avg_delay_days").alias("avg_delay_days"),
+                r2(F.coalesce(z, F.lit(0.0))).alias("z_score"),
                 "dominant_stage",
                 F.create_map(F.lit(STAGE_PROCESSING), proc, F.lit(STAGE_PICKUP), pick,
                              F.lit(STAGE_SHIPPING), ship).alias("stage_breakdown"),

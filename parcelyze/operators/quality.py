@@ -19,6 +19,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.rules import fmt_fixed, r2
 from ..schemas import ALLOWED_ORDER_STATUS
 
 # Check names, categories and detail texts of the reference's
@@ -225,8 +226,7 @@ def modeled_checks(model, raw_orders: DataFrame, run_ts: str) -> DataFrame:
         F.coalesce(F.sum("_valid"), F.lit(0)).alias("valid"))
     # one-value results are combined as scalar subqueries, never joined
     both = fused.withColumn("raw_n", raw_orders.agg(F.count(F.lit(1))).scalar())
-    pct = F.format_string("%.1f", F.round(F.try_divide(F.lit(100.0) * F.col("valid"),
-                                                       F.col("total")), 1))
+    pct = fmt_fixed(F.try_divide(F.lit(100.0) * F.col("valid"), F.col("total")), 1)
     fact_rows = _rows(both, "modeled", [
         _result("modeled", spec[1], F.col("c1"), _fmt(spec[1][3], n=F.col("c1"))),
         _result("modeled", spec[4], F.col("c4"), _fmt(spec[4][3], n=F.col("c4"))),
@@ -280,7 +280,7 @@ def dq_report(results: DataFrame) -> DataFrame:
 
 def dq_health(results: DataFrame) -> DataFrame:
     """AGG19: pass rate (%, 1 decimal) and pass / fail counts."""
-    return results.agg(F.round(F.lit(100.0) * F.avg("passed"), 1).alias("pass_rate"),
+    return results.agg(r2(F.lit(100.0) * F.avg("passed"), 1).alias("pass_rate"),
                        F.count_if(F.col("passed") == 1).alias("n_passed"),
                        F.count_if(F.col("passed") == 0).alias("n_flagged"),
                        F.count(F.lit(1)).alias("n_checks"))

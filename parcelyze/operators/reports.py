@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.rules import r2
+
 TREND_MIN_ORDERS = 100      # a month below this is a partial / truncated month
 TOP_N = 15
 
@@ -25,9 +27,9 @@ def headline_kpis(monthly: DataFrame, dq_results: DataFrame,
     row = F.struct("year_month", "on_time_pct", "avg_delay_days", "total_orders", "avg_review_score")
     h = last2.agg(F.max_by(row, "year_month").alias("latest"),
                   F.min_by(row, "year_month").alias("prior"))
-    dq = dq_results.select(F.struct(F.round(F.lit(100.0) * F.avg("passed"), 1).alias("rate"),
+    dq = dq_results.select(F.struct(r2(F.lit(100.0) * F.avg("passed"), 1).alias("rate"),
                                     F.count_if(F.col("passed") == 0).alias("flagged"))).scalar()
-    delta = F.round(F.coalesce("latest.on_time_pct", F.lit(0.0))
+    delta = r2(F.coalesce("latest.on_time_pct", F.lit(0.0))
                     - F.coalesce("prior.on_time_pct", F.lit(0.0)), 1)
     return h.filter(F.col("latest").isNotNull()).select(
         F.col("latest.year_month").alias("latest_month"),

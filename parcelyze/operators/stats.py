@@ -12,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.rules import clip
+from ..functions.rules import clip, r2
 from .ranking import distinct_counts, exact_quantiles
 
 DELAY = "delivery_delay_days"
@@ -69,7 +69,7 @@ def iqr_stats(df: DataFrame, col: str = DELAY, k: float = 1.5, approx: bool = Fa
                      .alias("n_outliers"), F.coalesce(F.sum("_n"), F.lit(0)).alias("_n"))
     o = out.select(F.struct("n_outliers", "_n")).scalar()
     return b.select("*", o.getField("n_outliers").cast("bigint").alias("n_outliers"),
-                    F.round(F.try_divide(F.lit(100.0) * o.getField("n_outliers"), o.getField("_n")), 2)
+                    r2(F.try_divide(F.lit(100.0) * o.getField("n_outliers"), o.getField("_n")), 2)
                     .alias("pct_outliers"))
 
 
@@ -129,7 +129,7 @@ def delay_correlations(fact: DataFrame, decimals: int = 3) -> DataFrame:
     """ST4/AGG17 over complete cases of the four columns, one aggregate pass."""
     cols = [DELAY, "payment_installments", "total_freight", "review_score"]
     d = fact.dropna(subset=cols)
-    return d.agg(*[F.round(pearson(x, y), decimals).alias(name) for name, x, y in CORR_PAIRS])
+    return d.agg(*[r2(pearson(x, y), decimals).alias(name) for name, x, y in CORR_PAIRS])
 
 
 # ------------------------------------------------------------ histogram

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from ..functions.rules import r2
 from ..operators import stats as S
 from .oracle import R
 from .registry import model, query
@@ -54,7 +55,7 @@ def _zsel(prefix=""):
 
 def _zround(df):
     return df.select("seller_id", "order_count",
-                     *[F.round(c, Z_DECIMALS).alias(c) for c in ["avg_delay", "avg_review", "z_score"]],
+                     *[r2(c, Z_DECIMALS).alias(c) for c in ["avg_delay", "avg_review", "z_score"]],
                      "is_anomalous")
 
 

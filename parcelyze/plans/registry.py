@@ -14,6 +14,7 @@ import threading
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..functions.rules import r2
 from ..operators import analytics as A
 from ..operators import star
 from ..operators.model import StarModel, TableModel
@@ -210,7 +211,7 @@ FROM ({_SELLER_MONTH_SQL})""")
 def q_seller_month_delay(spark, sf_dir):
     m = model(spark, sf_dir)
     return A.seller_month_delay(m.fact_orders, m.dim_date).withColumn(
-        "avg_delay_days", F.round("avg_delay_days", 2))
+        "avg_delay_days", r2("avg_delay_days"))
 
 
 @query("seller_month_anomalies", f"""
