@@ -284,3 +284,40 @@ def dq_health(results: DataFrame) -> DataFrame:
                        F.count_if(F.col("passed") == 1).alias("n_passed"),
                        F.count_if(F.col("passed") == 0).alias("n_flagged"),
                        F.count(F.lit(1)).alias("n_checks"))
+
+
+# ----------------------------------------------------------- drill-down
+def violating_rows(layer: str, check_id: int, raw=None, model=None) -> DataFrame:
+    """The rows behind a row-level or referential check (what the counts
+    count), as a lazy DataFrame; uniqueness checks return the duplicated keys."""
+    if layer == "raw":
+        o, it = raw["raw_orders"], raw["raw_order_items"]
+        deliv, carr = F.col("order_delivered_customer_date"), F.col("order_delivered_carrier_date")
+        appr = F.col("order_approved_at")
+        rules = {
+            1: lambda: o.filter(F.col("order_id").isNull()),
+            2: lambda: o.groupBy("order_id").count().filter("count > 1"),
+            3: lambda: it.groupBy("order_id", "order_item_id").count().filter("count > 1"),
+            4: lambda: it.filter((F.col("price") < 0) | (F.col("freight_value") < 0)),
+            5: lambda: raw["raw_order_reviews"].filter((F.col("review_score") < 1)
+                                                       | (F.col("review_score") > 5)),
+            6: lambda: orphan_rows(it, "order_id", o, "order_id"),
+            7: lambda: orphan_rows(o, "customer_id", raw["raw_customers"], "customer_id"),
+            8: lambda: o.filter(deliv.isNotNull() & carr.isNotNull() & (deliv < carr)),
+            9: lambda: o.filter(carr.isNotNull() & appr.isNotNull() & (carr < appr)),
+            10: lambda: unexpected_values(o, "order_status", ALLOWED_ORDER_STATUS),
+            11: lambda: o.filter((F.col("order_status") == "delivered") & deliv.isNull()),
+        }
+    else:
+        f = model.fact_orders
+        d, flag = F.col("delivery_delay_days"), F.col("on_time_flag")
+        rules = {
+            1: lambda: f.groupBy("order_id").count().filter("count > 1"),
+            2: lambda: orphan_rows(f, "customer_id", model.dim_customer, "customer_id"),
+            3: lambda: orphan_rows(model.fact_order_items, "product_id", model.dim_product, "product_id"),
+            4: lambda: f.filter(d.isNotNull() & (F.abs(d) > DELAY_BOUND_DAYS)),
+            5: lambda: f.filter(d.isNotNull() & (((flag == 1) & (d > 0)) | ((flag == 0) & (d <= 0)))),
+        }
+    if check_id not in rules:
+        raise ValueError(f"check {layer}/{check_id} has no row-level drill-down")
+    return rules[check_id]()

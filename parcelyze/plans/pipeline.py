@@ -110,3 +110,9 @@ def run_pipeline(spark: SparkSession, raw_source, root: str | None = None,
     except Exception as e:
         log.log("pipeline", "FAILED", str(e)[:2000])
         raise
+
+
+def csv_source(spark: SparkSession, raw_dir: str):
+    """A ``raw_source`` for run_pipeline that ingests the 9 CSV exports."""
+    from ..sources.ingest import ingest_csv
+    return lambda root: ingest_csv(spark, raw_dir, root)

@@ -157,3 +157,16 @@ def test_unexpected_values_counts_nulls(spark, layer):
     got = {r["order_status"]: r["row_count"] for r in
            Q.unexpected_values(df, "order_status", ["delivered"]).collect()}
     assert got == {None: 1, "odd": 2}
+
+
+def test_violating_rows_match_counts(small_model):
+    raw = small_model.raw
+    res = {r["check_id"]: r["violations"] for r in Q.raw_checks(raw, "t").collect()}
+    for cid in (1, 2, 3, 4, 5, 6, 7, 8, 9, 11):
+        assert Q.violating_rows("raw", cid, raw=raw).count() == res[cid], cid
+    mres = {r["check_id"]: r["violations"] for r in
+            Q.modeled_checks(small_model, raw["raw_orders"], "t").collect()}
+    for cid in (1, 2, 3, 4, 5):
+        assert Q.violating_rows("modeled", cid, model=small_model).count() == mres[cid], cid
+    with pytest.raises(ValueError):
+        Q.violating_rows("raw", 12, raw=raw)

@@ -90,3 +90,14 @@ def test_pipeline_logs_failure(spark):
     with pytest.raises(RuntimeError):
         run_pipeline(spark, bad_ingest, root)
     assert spark.read.json(f"{root}/pipeline_runs").first()["status"] == "FAILED"
+
+
+def test_pipeline_from_csv(spark):
+    from parcelyze.plans.pipeline import csv_source
+    src, root = tempfile.mkdtemp(prefix="pz-csv-"), tempfile.mkdtemp(prefix="pz-run-")
+    _write_csvs(src, "o1,c1,delivered,2018-01-02 10:00:00,2018-01-02 11:00:00,2018-01-03 09:00:00,"
+                     "2018-01-09 12:00:00,2018-01-20 00:00:00\n")
+    _, log = run_pipeline(spark, csv_source(spark, src), root, run_ts="t")
+    assert [r["status"] for r in log.rows][-1] == "SUCCESS"
+    f = spark.read.parquet(f"{root}/model/fact_orders").first()
+    assert f["order_id"] == "o1" and f["on_time_flag"] == 1 and f["review_score"] == 5.0

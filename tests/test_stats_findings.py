@@ -167,3 +167,13 @@ def test_grouped_exact_quantiles_hot_group(spark):
     for g, xs in by.items():
         want = np.quantile(np.array(xs), [0.5, 0.9])
         assert math.isclose(got[g][0], want[0], abs_tol=1e-12) and math.isclose(got[g][1], want[1], abs_tol=1e-12), g
+
+
+def test_holt_fits_each_key(spark):
+    rows = [("a", f"2017-{m:02d}", 10 * m) for m in range(1, 13)] + \
+           [("b", f"2017-{m:02d}", 100 - 3 * m) for m in range(1, 13)]
+    df = spark.createDataFrame(rows, "k string, year_month string, order_count long")
+    fc = {(r["k"], r["year_month"]): r["forecasted_order_count"]
+          for r in H.holt_forecast(df, 2, keys=["k"]).collect()}
+    assert fc == {("a", "2018-01"): 130, ("a", "2018-02"): 140,
+                  ("b", "2018-01"): 61, ("b", "2018-02"): 58}
