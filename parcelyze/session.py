@@ -74,6 +74,10 @@ def checkpoint_dir(spark: SparkSession) -> str:
     except Exception:  # noqa: BLE001
         pass
     if not d:
+        master = spark.conf.get("spark.master", "local") or "local"
+        if not master.startswith("local"):
+            raise RuntimeError("spark.checkpoint.dir is not set: on a cluster, intermediate tables "
+                               "must go to shared storage (set spark.checkpoint.dir)")
         d = tempfile.mkdtemp(prefix="parcelyze-ckpt-")
         if sc is not None:
             sc.setCheckpointDir(d)
@@ -85,10 +89,24 @@ def scratch_path(spark: SparkSession, *parts: str) -> str:
     return "/".join([checkpoint_dir(spark), *parts])
 
 
-def table_exists(path: str) -> bool:
-    """SRC6: does a written table (a folder) exist? Local-path form for tests;
-    catalog tables use ``spark.catalog.tableExists``."""
-    return os.path.exists(path)
+def path_exists(spark: SparkSession, path: str) -> bool:
+    """Does a file or folder exist on any Hadoop-compatible store? Spark resolves
+    the path when the reader is created, before any job runs."""
+    from pyspark.errors import AnalysisException
+    if "://" not in path and not path.startswith("file:"):
+        return os.path.exists(path)
+    try:
+        spark.read.format("binaryFile").load(path).schema
+        return True
+    except AnalysisException:
+        return False
+
+
+def table_exists(spark: SparkSession, name_or_path: str) -> bool:
+    """SRC6: a catalog table name or a written table folder."""
+    if "/" in name_or_path:
+        return path_exists(spark, name_or_path)
+    return spark.catalog.tableExists(name_or_path)
 
 
 def materialize(df, label: str = "t"):

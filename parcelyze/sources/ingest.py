@@ -70,8 +70,9 @@ def ingest_csv(spark: SparkSession, raw_dir: str, out_root: str) -> dict:
     """SRC1/SRC2: check every source file exists (before writing anything), then
     write each raw table as parquet; row counts come from an Observation on
     the write itself (no second scan). Returns {table: rows}."""
-    paths = {n: os.path.join(raw_dir, f) for n, f in CSV_FILES.items()}
-    missing = [p for p in paths.values() if not os.path.exists(p)]
+    from ..session import path_exists
+    paths = {n: f"{raw_dir.rstrip('/')}/{f}" for n, f in CSV_FILES.items()}
+    missing = [p for p in paths.values() if not path_exists(spark, p)]
     if missing:
         raise FileNotFoundError(f"Missing raw source file: {missing[0]}")
     counts = {}

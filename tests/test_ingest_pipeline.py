@@ -101,3 +101,12 @@ def test_pipeline_from_csv(spark):
     assert [r["status"] for r in log.rows][-1] == "SUCCESS"
     f = spark.read.parquet(f"{root}/model/fact_orders").first()
     assert f["order_id"] == "o1" and f["on_time_flag"] == 1 and f["review_score"] == 5.0
+
+
+def test_table_exists(spark):
+    from parcelyze.session import path_exists, table_exists
+    d = tempfile.mkdtemp(prefix="pz-te-")
+    spark.range(3).write.parquet(f"{d}/t")
+    assert table_exists(spark, f"{d}/t") and not table_exists(spark, f"{d}/nope")
+    assert path_exists(spark, f"file://{d}/t") and not path_exists(spark, f"file://{d}/nope")
+    assert not table_exists(spark, "no_such_table_xyz")
