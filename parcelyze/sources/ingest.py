@@ -41,14 +41,19 @@ NA_TOKENS = ["", "#N/A", "#N/A N/A", "#NA", "-1.#IND", "-1.#QNAN", "-NaN", "-nan
              "1.#IND", "1.#QNAN", "<NA>", "N/A", "NA", "NULL", "NaN", "None", "n/a",
              "nan", "null"]
 TS_FORMAT = "yyyy-MM-dd HH:mm:ss"
+MULTILINE_TABLES = {"raw_order_reviews"}     # exports with quoted free text (line breaks)
 
 
 def read_raw_csv(spark: SparkSession, path: str, name: str) -> DataFrame:
-    """SRC1 read side: header, quoted multi-line fields, BOM-safe. Columns are
-    read as text (no inference), matched by header name (extra columns are
-    ignored, missing ones are NULL), NA tokens become NULL, then each column is
-    typed to the contract so a bad value is NULL in that cell only."""
-    df = (spark.read.option("header", True).option("multiLine", True)
+    """SRC1 read side: header, quoted fields, BOM-safe. Columns are read as
+    text (no inference), matched by header name (extra columns are ignored,
+    missing ones are NULL), NA tokens become NULL, then each column is typed to
+    the contract so a bad value is NULL in that cell only.
+
+    Only tables with free text (reviews) are read in multi-line mode: a
+    multi-line CSV file cannot be split, so every other export stays splittable
+    across tasks."""
+    df = (spark.read.option("header", True).option("multiLine", name in MULTILINE_TABLES)
           .option("escape", '"').option("quote", '"').option("inferSchema", False)
           .csv(path))
     have = set(df.columns)
