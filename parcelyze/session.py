@@ -118,3 +118,18 @@ def materialize(df, label: str = "t"):
     path = scratch_path(df.sparkSession, "materialized", f"{label}-{uuid.uuid4().hex}")
     df.write.mode("overwrite").parquet(path)
     return df.sparkSession.read.parquet(path)
+
+
+def write_tables(jobs, max_concurrent: int = 4) -> dict:
+    """Run independent table writes concurrently: ``jobs`` maps a name to a
+    no-argument function that runs one write and returns a value. Each write is
+    its own Spark job; submitting a few at once keeps the cluster busy while
+    small tables finish, and the scheduler still shares resources between them.
+    Returns {name: value}; the first failure is re-raised."""
+    from concurrent.futures import ThreadPoolExecutor
+    jobs = dict(jobs)
+    if max_concurrent <= 1 or len(jobs) <= 1:
+        return {n: fn() for n, fn in jobs.items()}
+    with ThreadPoolExecutor(max_workers=min(max_concurrent, len(jobs))) as pool:
+        futures = {n: pool.submit(fn) for n, fn in jobs.items()}
+        return {n: f.result() for n, f in futures.items()}

@@ -92,13 +92,16 @@ def ingest_csv(spark: SparkSession, raw_dir: str, out_root: str) -> dict:
 def write_raw(raw, out_root: str) -> dict:
     """Write a raw model (e.g. the test-data adapter) as the raw layer; counts
     via Observation on each write."""
-    counts = {}
-    for name, df in raw.items():
-        obs = Observation(name)
-        df.observe(obs, F.count(F.lit(1)).alias("rows")).write.mode("overwrite") \
-          .parquet(f"{out_root.rstrip('/')}/{name}")
-        counts[name] = obs.get["rows"]
-    return counts
+    from ..session import write_tables
+
+    def job(name, df):
+        def run():
+            obs = Observation(name)
+            df.observe(obs, F.count(F.lit(1)).alias("rows")).write.mode("overwrite") \
+              .parquet(f"{out_root.rstrip('/')}/{name}")
+            return obs.get["rows"]
+        return run
+    return write_tables({name: job(name, df) for name, df in raw.items()})
 
 
 def read_raw_layer(spark: SparkSession, root: str) -> dict:
