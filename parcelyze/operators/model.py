@@ -62,8 +62,8 @@ class StarModel:
 class TableModel:
     """A star schema already written to storage (pipeline output); same
     attributes as StarModel. ``raw``: the written raw layer, if any.
-    fact_orders keeps only its contract columns; ``fact_orders_by_month``
-    also exposes the ``year_month`` partition column for pruning."""
+    fact_orders also exposes its ``year_month`` partition column, so month
+    filters prune files."""
 
     def __init__(self, spark: SparkSession, root: str, raw=None):
         self._spark, self._root, self.raw = spark, root.rstrip("/"), raw
@@ -77,18 +77,19 @@ class TableModel:
     dim_seller = property(lambda self: self._read("dim_seller"))
     dim_product = property(lambda self: self._read("dim_product"))
     fact_order_items = property(lambda self: self._read("fact_order_items"))
-    fact_orders_by_month = property(lambda self: self._read("fact_orders"))
-
-    @property
-    def fact_orders(self) -> DataFrame:
-        from ..schemas import FACT_ORDERS_COLS
-        return self._read("fact_orders").select(*FACT_ORDERS_COLS)
+    # the written fact: the 24 contract columns plus its year_month partition column
+    fact_orders = property(lambda self: self._read("fact_orders"))
 
 
 def with_year_month(fact: DataFrame, dim_date: DataFrame) -> DataFrame:
-    """fact JOIN dim_date ON date_key (JN3); rows without a date_key drop out.
+    """fact JOIN dim_date ON date_key (JN3); rows without a calendar day drop out.
 
     dim_date has one row per calendar day between the first and last purchase,
     so its size is bounded by the calendar span, not by data volume: it is the
-    one side this library broadcasts explicitly."""
+    one side this library broadcasts explicitly. When the fact table carries
+    its own ``year_month`` (the written, month-partitioned fact), the calendar
+    is only a semi-join filter and the month comes from the fact, so a month
+    filter downstream prunes fact partitions at the scan."""
+    if "year_month" in fact.columns:
+        return fact.join(F.broadcast(dim_date.select("date_key")), "date_key", "left_semi")
     return fact.join(F.broadcast(dim_date.select("date_key", "year_month")), "date_key", "inner")

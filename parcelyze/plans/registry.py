@@ -119,7 +119,8 @@ def q_fact_order_items(spark, sf_dir):
 
 @query("fact_orders", "SELECT * FROM fact_orders")
 def q_fact_orders(spark, sf_dir):
-    return model(spark, sf_dir).fact_orders
+    from ..schemas import FACT_ORDERS_COLS
+    return model(spark, sf_dir).fact_orders.select(*FACT_ORDERS_COLS)
 
 
 @query("order_item_rollup", "SELECT * FROM order_item_rollup")

@@ -63,3 +63,12 @@ def test_scorecard_rank_has_no_global_window(spark, small_model):
     # "Window [fns], [partition], [order]" vs "Window [fns], [order]" (unpartitioned)
     unpartitioned = [w for w in windows if w.count("], [") == 1]
     assert len(unpartitioned) == 1 and "_bn" in unpartitioned[0]
+
+
+def test_month_filter_prunes_written_fact(spark):
+    from parcelyze.plans.registry import model
+    m = model(spark, SF001)
+    df = A.monthly_volume_trimmed(m.fact_orders, m.dim_date, "2018-01", "2018-03")
+    plan = _plan(df)
+    assert re.search(r"PartitionFilters: \[[^\]]*year_month[^\]]*2018-01", plan)
+    assert sorted(r["year_month"] for r in df.collect()) == ["2018-01", "2018-02", "2018-03"]
