@@ -17,7 +17,6 @@ def row_counts(raw) -> DataFrame:
 
 
 # ------------------------------------------------------------- CSV ingest
-import os  # noqa: E402
 
 from pyspark.sql import SparkSession, Observation  # noqa: E402
 from pyspark.sql import types as T  # noqa: E402
