@@ -111,6 +111,23 @@ def _mod_dq(spark, sf_dir):
     return Q.modeled_checks(m, m.raw["raw_orders"], REPORT_TS)
 
 
+_DQ_TABLES: dict = {}
+
+
+def dq_results(spark, sf_dir):
+    """The stored data_quality_results table (raw + modeled rows), computed once
+    per application and input folder and written next to the model, as the
+    pipeline stores it; report queries read it like the dashboard does."""
+    import os
+
+    from ..session import app_id, materialize
+    key = (app_id(spark), os.path.abspath(sf_dir))
+    if key not in _DQ_TABLES:
+        _DQ_TABLES[key] = materialize(_raw_dq(spark, sf_dir).unionByName(_mod_dq(spark, sf_dir)),
+                                      "data_quality_results")
+    return _DQ_TABLES[key]
+
+
 @query("dq_raw_checks", RAW_DQ_SQL)
 def q_dq_raw_checks(spark, sf_dir):
     return _raw_dq(spark, sf_dir)
@@ -128,7 +145,7 @@ _ALL_DQ = f"(SELECT * FROM ({RAW_DQ_SQL}) UNION ALL SELECT * FROM ({MODELED_DQ_S
 SELECT check_name, category, CASE WHEN passed = 1 THEN 'Yes' ELSE 'Flagged' END AS passed, detail
 FROM {_ALL_DQ}""")
 def q_dq_report(spark, sf_dir):
-    return Q.dq_report(_raw_dq(spark, sf_dir).unionByName(_mod_dq(spark, sf_dir)))
+    return Q.dq_report(dq_results(spark, sf_dir))
 
 
 @query("dq_health", f"""
@@ -137,7 +154,7 @@ SELECT {R('CAST(100.0 AS DOUBLE) * AVG(passed)', 1)} AS pass_rate,
        COUNT(*) AS n_checks
 FROM {_ALL_DQ}""")
 def q_dq_health(spark, sf_dir):
-    return Q.dq_health(_raw_dq(spark, sf_dir).unionByName(_mod_dq(spark, sf_dir)))
+    return Q.dq_health(dq_results(spark, sf_dir))
 
 
 @query("dq_sql_counts", """

@@ -13,7 +13,7 @@ from ..operators import forecast as H
 from ..operators import reports as P
 from ..operators import stats as S
 from .oracle import FMT, R
-from .queries_quality import _ALL_DQ, _mod_dq, _raw_dq, _sq
+from .queries_quality import _ALL_DQ, _sq, dq_results
 from .queries_stats import _Z
 from .registry import _MONTHLY_SQL, _ROOT_CAUSE_SQL, model, query, _raw
 
@@ -195,8 +195,7 @@ FROM (SELECT * FROM _l2 ORDER BY year_month DESC LIMIT 1) l,
     "_l2": "SELECT * FROM _mk WHERE total_orders >= 100 ORDER BY year_month DESC LIMIT 2",
 })
 def q_headline_kpis(spark, sf_dir):
-    dq = _raw_dq(spark, sf_dir).unionByName(_mod_dq(spark, sf_dir))
-    return P.headline_kpis(_monthly(spark, sf_dir), dq)
+    return P.headline_kpis(_monthly(spark, sf_dir), dq_results(spark, sf_dir))
 
 
 @query("worst_sellers", """
