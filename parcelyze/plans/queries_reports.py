@@ -28,7 +28,69 @@ def _trimmed(spark, sf_dir):
     return A.monthly_volume_trimmed(m.fact_orders, m.dim_date, TRIM_START, TRIM_END)
 
 
-@query("holt_forecast")
+def _fold_sql(grid: str) -> str:
+    """Recursive twin of forecast._holt_pass: the same state, the same
+    operation order, one row per (grid point, step)."""
+    lb, u, v = "(f.l + f.b)", "(f.lu + f.bu)", "(f.lv + f.bv)"
+    l2, lu2, lv2 = (f"(f.alpha * s.y + (1 - f.alpha) * {lb})", f"((1 - f.alpha) * {u})",
+                    f"((1 - f.alpha) * {v})")
+    r = f"(s.y - {lb})"
+    return f"""
+SELECT gi, gj, alpha, beta, 0 AS t, CAST(0 AS DOUBLE) AS l, CAST(0 AS DOUBLE) AS b,
+       CAST(1 AS DOUBLE) AS lu, CAST(0 AS DOUBLE) AS bu, CAST(0 AS DOUBLE) AS lv, CAST(1 AS DOUBLE) AS bv,
+       CAST(0 AS DOUBLE) AS suu, CAST(0 AS DOUBLE) AS suv, CAST(0 AS DOUBLE) AS svv,
+       CAST(0 AS DOUBLE) AS sur, CAST(0 AS DOUBLE) AS svr, CAST(0 AS DOUBLE) AS srr
+FROM {grid}
+UNION ALL
+SELECT f.gi, f.gj, f.alpha, f.beta, f.t + 1,
+       {l2}, f.beta * ({l2} - f.l) + (1 - f.beta) * f.b,
+       {lu2}, f.beta * ({lu2} - f.lu) + (1 - f.beta) * f.bu,
+       {lv2}, f.beta * ({lv2} - f.lv) + (1 - f.beta) * f.bv,
+       f.suu + {u} * {u}, f.suv + {u} * {v}, f.svv + {v} * {v},
+       f.sur + {u} * {r}, f.svr + {v} * {r}, f.srr + {r} * {r}
+FROM FOLD f JOIN _hs_series s ON s.i = f.t"""
+
+
+def _finish_sql(fold: str) -> str:
+    det = "(suu * svv - suv * suv)"
+    l0 = f"((svv * sur - suv * svr) / NULLIF({det}, 0))"
+    b0 = f"((suu * svr - suv * sur) / NULLIF({det}, 0))"
+    sse = (f"(srr - 2 * ({l0} * sur + {b0} * svr) + {l0} * {l0} * suu + 2 * {l0} * {b0} * suv "
+           f"+ {b0} * {b0} * svv)")
+    return f"""
+SELECT gi, gj, alpha, beta, {sse} AS sse, l + {l0} * lu + {b0} * lv AS level,
+       b + {l0} * bu + {b0} * bv AS trend
+FROM {fold} WHERE t = (SELECT count(*) FROM _hs_series)"""
+
+
+_HOLT_FIT_CTES = {
+    "_hs_series": f"""SELECT year_month, CAST(COUNT(*) AS DOUBLE) AS y,
+                             row_number() OVER (ORDER BY year_month) - 1 AS i
+                      FROM _fym WHERE year_month BETWEEN '{TRIM_START}' AND '{TRIM_END}'
+                      GROUP BY year_month""",
+    "_g1": """SELECT a.i AS gi, b.j AS gj, CAST(a.i AS DOUBLE) / CAST(100 AS DOUBLE) AS alpha,
+                     CAST(b.j AS DOUBLE) / CAST(100 AS DOUBLE) AS beta
+              FROM range(1, 101) a(i), range(0, 101) b(j) WHERE b.j <= a.i""",
+    "_f1": _fold_sql("_g1").replace("FOLD", "_f1"),
+    "_best1": f"""SELECT * FROM ({_finish_sql('_f1')}) WHERE sse IS NOT NULL
+                  ORDER BY sse, alpha, beta LIMIT 1""",
+    "_g2": """SELECT ai AS gi, bi AS gj, CAST(ai AS DOUBLE) / CAST(1000 AS DOUBLE) AS alpha,
+                     CAST(bi AS DOUBLE) / CAST(1000 AS DOUBLE) AS beta
+              FROM (SELECT CAST(round(b.alpha * 1000) AS INTEGER) + i.i AS ai,
+                           CAST(round(b.beta * 1000) AS INTEGER) + j.j AS bi
+                    FROM _best1 b, range(-10, 11) i(i), range(-10, 11) j(j))
+              WHERE ai >= 1 AND ai <= 1000 AND bi >= 0 AND bi <= ai""",
+    "_f2": _fold_sql("_g2").replace("FOLD", "_f2"),
+    "_best2": f"""SELECT * FROM ({_finish_sql('_f2')}) WHERE sse IS NOT NULL
+                  ORDER BY sse, alpha, beta LIMIT 1""",
+}
+
+
+@query("holt_forecast", f"""
+SELECT strftime(CAST((SELECT max(year_month) FROM _hs_series) || '-01' AS DATE)
+                + to_months(CAST(k.h AS INTEGER)), '%Y-%m') AS year_month,
+       CAST(round_even(f.level + k.h * f.trend, 0) AS BIGINT) AS forecasted_order_count
+FROM _best2 f, (SELECT unnest(range(1, {HORIZON + 1})) AS h) k""", _HOLT_FIT_CTES, recursive=True)
 def q_holt_forecast(spark, sf_dir):
     """FC2: least-squares Holt fit (grid + refinement) on the trimmed series."""
     return H.holt_forecast(_trimmed(spark, sf_dir), HORIZON)
@@ -74,7 +136,13 @@ def q_recent_volume(spark, sf_dir):
     return H.recent_periods(_trimmed(spark, sf_dir), 6)
 
 
-@query("volume_with_forecast")
+@query("volume_with_forecast", f"""
+SELECT year_month, CAST(y AS BIGINT) AS order_count, 'actual' AS kind FROM _hs_series
+UNION ALL
+SELECT strftime(CAST((SELECT max(year_month) FROM _hs_series) || '-01' AS DATE)
+                + to_months(CAST(k.h AS INTEGER)), '%Y-%m'),
+       CAST(round_even(f.level + k.h * f.trend, 0) AS BIGINT), 'forecast'
+FROM _best2 f, (SELECT unnest(range(1, {HORIZON + 1})) AS h) k""", _HOLT_FIT_CTES, recursive=True)
 def q_volume_with_forecast(spark, sf_dir):
     t = _trimmed(spark, sf_dir)
     return H.volume_with_forecast(t, H.holt_forecast(t, HORIZON))
