@@ -65,7 +65,8 @@ def _lerp(i: int) -> Column:
 
 def global_rank(df: DataFrame, key: str, out: str = "rank", buckets: int = 512,
                 write_input: bool = True) -> DataFrame:
-    """Add ``out`` = RANK() OVER (ORDER BY key ASC NULLS FIRST) as bigint.
+    """Add ``out`` = RANK() OVER (ORDER BY key ASC NULLS FIRST) as bigint, for a
+    numeric or date key (the bucket cuts come from percentile_approx).
 
     ``write_input``: write ``df`` once first, so that counting, bucketing and
     the join back all read it once instead of recomputing its lineage (use for
