@@ -105,13 +105,21 @@ def dim_product(raw_products: DataFrame, raw_translation: DataFrame) -> DataFram
 
 # --------------------------------------------------------------------- facts
 ITEM_ORDER = ["shipping_limit_date", "product_id", "seller_id", "price", "freight_value"]
+SEQ = "_seq"        # ingest sequence (file order), present when the raw layer came from files
+
+
+def _first_order(df: DataFrame, fallback) -> list:
+    """Columns that define "first": file order when an ingest sequence exists,
+    else a deterministic total order of the given columns."""
+    return [SEQ, *fallback] if SEQ in df.columns else list(fallback)
 
 
 def fact_order_items(raw_items: DataFrame) -> DataFrame:
-    """One row per (order_id, item_number): the first row under a total order
-    of the remaining columns (DED1), via a partial-aggregatable min(struct)."""
+    """One row per (order_id, item_number): the first row (file order when the
+    ingest sequence is known, else a total order of the remaining columns)
+    (DED1), via a partial-aggregatable min(struct)."""
     first = raw_items.groupBy("order_id", F.col("order_item_id").alias("item_number")).agg(
-        F.min(F.struct(*ITEM_ORDER)).alias("r"))
+        F.min(F.struct(*_first_order(raw_items, ITEM_ORDER))).alias("r"))
     return first.select(
         F.concat("order_id", F.lit("-"), F.col("item_number").cast("string")).alias("order_item_id"),
         "order_id", "item_number",
@@ -128,12 +136,14 @@ def _modal(value: str, count: str, first_pos: str):
 
 def order_item_rollup(raw_items: DataFrame) -> DataFrame:
     """AGG1 over RAW items (duplicates included): item_count, totals (0 when all
-    NULL), distinct sellers and the primary (modal) seller."""
+    NULL), distinct sellers and the primary (modal) seller; ties go to the
+    seller seen first (file order when known, else the lowest line number)."""
+    pos = SEQ if SEQ in raw_items.columns else "order_item_id"
     l1 = (raw_items.filter(F.col("order_id").isNotNull())
           .groupBy("order_id", "seller_id")
           .agg(F.count("order_item_id").alias("n_items"),
                F.count(F.lit(1)).alias("n_rows"),
-               F.min("order_item_id").alias("first_pos"),
+               F.min(pos).alias("first_pos"),
                F.sum("price").alias("s_price"),
                F.sum("freight_value").alias("s_freight")))
     return l1.groupBy("order_id").agg(
@@ -146,10 +156,11 @@ def order_item_rollup(raw_items: DataFrame) -> DataFrame:
 
 def order_payment_rollup(raw_payments: DataFrame) -> DataFrame:
     """AGG3: total paid (0 when all NULL), max installments, modal payment type."""
+    pos = SEQ if SEQ in raw_payments.columns else "payment_sequential"
     l1 = (raw_payments.filter(F.col("order_id").isNotNull())
           .groupBy("order_id", "payment_type")
           .agg(F.count(F.lit(1)).alias("n_rows"),
-               F.min("payment_sequential").alias("first_pos"),
+               F.min(pos).alias("first_pos"),
                F.sum("payment_value").alias("s_value"),
                F.max("payment_installments").alias("m_inst")))
     return l1.groupBy("order_id").agg(

@@ -41,6 +41,8 @@ NA_TOKENS = ["", "#N/A", "#N/A N/A", "#NA", "-1.#IND", "-1.#QNAN", "-NaN", "-nan
              "nan", "null"]
 TS_FORMAT = "yyyy-MM-dd HH:mm:ss"
 MULTILINE_TABLES = {"raw_order_reviews"}     # exports with quoted free text (line breaks)
+SEQ_COL = "_seq"                              # ingest sequence (file order), when known
+SEQUENCED_TABLES = {"raw_order_items", "raw_order_payments"}
 
 
 def read_raw_csv(spark: SparkSession, path: str, name: str) -> DataFrame:
@@ -67,6 +69,11 @@ def read_raw_csv(spark: SparkSession, path: str, name: str) -> DataFrame:
         elif not isinstance(f.dataType, T.StringType):
             c = c.try_cast(f.dataType)
         out.append(c.alias(f.name))
+    if name in SEQUENCED_TABLES:
+        # file position, for "first occurrence" tie-breaks: ids grow with the
+        # row offset inside a file (splits of one file are read in offset order),
+        # and the raw layer is written right away, so the sequence is fixed
+        out.append(F.monotonically_increasing_id().alias(SEQ_COL))
     return df.select(*out)
 
 

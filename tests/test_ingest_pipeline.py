@@ -110,3 +110,42 @@ def test_table_exists(spark):
     assert table_exists(spark, f"{d}/t") and not table_exists(spark, f"{d}/nope")
     assert path_exists(spark, f"file://{d}/t") and not path_exists(spark, f"file://{d}/nope")
     assert not table_exists(spark, "no_such_table_xyz")
+
+
+def test_csv_first_occurrence_follows_file_order(spark):
+    """With an ingest sequence, "first" means first in the file (as pandas'
+    value_counts tie-break and drop_duplicates keep='first'), even when line
+    numbers or column values order the rows differently."""
+    from parcelyze.operators.model import StarModel
+    src, out = tempfile.mkdtemp(prefix="pz-csv-"), tempfile.mkdtemp(prefix="pz-raw-")
+    _write_csvs(src, "o1,c1,delivered,2018-01-02 10:00:00,,,,\n")
+    items = ("order_id,order_item_id,product_id,seller_id,shipping_limit_date,price,freight_value\n"
+             "o1,2,pC,s2,2018-01-09 00:00:00,5.00,1.00\n"
+             "o1,1,pB,s1,2018-01-05 00:00:00,10.00,1.00\n"
+             "o1,1,pA,s1,2018-01-01 00:00:00,20.00,1.00\n")
+    pays = ("order_id,payment_sequential,payment_type,payment_installments,payment_value\n"
+            "o1,2,voucher,1,5.00\no1,1,boleto,2,30.00\n")
+    with open(os.path.join(src, CSV_FILES["raw_order_items"]), "w") as fh:
+        fh.write(items)
+    with open(os.path.join(src, CSV_FILES["raw_order_payments"]), "w") as fh:
+        fh.write(pays)
+    ingest_csv(spark, src, out)
+    m = StarModel(read_raw_layer(spark, out))
+    f = m.fact_orders.first()
+    assert f["seller_id"] == "s1"             # s1 has 2 rows (duplicates count, T4)
+    assert f["payment_type"] == "voucher"     # 1-1 tie: voucher comes first in the file
+    first = {r["item_number"]: r["product_id"] for r in m.fact_order_items.collect()}
+    assert first == {1: "pB", 2: "pC"}        # keep the first row of (o1, 1) in file order
+    assert "_seq" not in m.fact_order_items.columns
+
+
+def test_csv_seller_tie_goes_to_first_seen(spark):
+    from parcelyze.operators.model import StarModel
+    src, out = tempfile.mkdtemp(prefix="pz-csv-"), tempfile.mkdtemp(prefix="pz-raw-")
+    _write_csvs(src, "o1,c1,delivered,2018-01-02 10:00:00,,,,\n")
+    with open(os.path.join(src, CSV_FILES["raw_order_items"]), "w") as fh:
+        fh.write("order_id,order_item_id,product_id,seller_id,shipping_limit_date,price,freight_value\n"
+                 "o1,2,pC,s2,2018-01-09 00:00:00,5.00,1.00\n"
+                 "o1,1,pB,s1,2018-01-05 00:00:00,10.00,1.00\n")
+    ingest_csv(spark, src, out)
+    assert StarModel(read_raw_layer(spark, out)).fact_orders.first()["seller_id"] == "s2"
