@@ -84,6 +84,11 @@ def _best(rows: DataFrame, keys) -> DataFrame:
     return best.select(*keys, "m.*")
 
 
+def _with_best(arr: DataFrame, ab: Column) -> DataFrame:
+    return arr.withColumn("_ab", ab).withColumn("_a0", F.col("_ab.a")) \
+              .withColumn("_b0", F.col("_ab.b")).drop("_ab")
+
+
 def holt_fit(series: DataFrame, keys=(), period: str = "year_month", value: str = "order_count",
              step: float = 0.01, refine: bool = True) -> DataFrame:
     """One row per key: alpha, beta, l0, b0, sse, final level and trend."""
@@ -98,8 +103,9 @@ def holt_fit(series: DataFrame, keys=(), period: str = "year_month", value: str
     fine_n = 10 * n
     around = (arr.join(best.select(*keys, F.col("alpha").alias("_a0"), F.col("beta").alias("_b0")),
                        keys, "inner") if keys else
-              arr.withColumn("_a0", best.select("alpha").scalar())
-                 .withColumn("_b0", best.select("beta").scalar()))
+              # one struct-valued scalar subquery (reused), not one per field
+              _with_best(arr, best.select(F.struct(F.col("alpha").alias("a"),
+                                                   F.col("beta").alias("b"))).scalar()))
     fine = (around
             .withColumn("_i", F.explode(F.sequence(F.lit(-10), F.lit(10))))
             .withColumn("_j", F.explode(F.sequence(F.lit(-10), F.lit(10))))

@@ -177,3 +177,14 @@ def test_holt_fits_each_key(spark):
           for r in H.holt_forecast(df, 2, keys=["k"]).collect()}
     assert fc == {("a", "2018-01"): 130, ("a", "2018-02"): 140,
                   ("b", "2018-01"): 61, ("b", "2018-02"): 58}
+
+
+def test_approx_paths_close_to_exact(small_model):
+    from parcelyze.operators import star
+    exact = {r["zip_prefix"]: r for r in small_model.dim_geography.collect()}
+    approx = {r["zip_prefix"]: r for r in star.dim_geography(small_model.raw["raw_geolocation"],
+                                                              approx=True).collect()}
+    assert set(exact) == set(approx)
+    # a sketch returns an observed value near the middle of each zip's values
+    assert sum(abs(exact[z]["lat"] - approx[z]["lat"]) < 5 for z in exact) == len(exact)
+    assert all(exact[z]["city"] == approx[z]["city"] for z in exact)
