@@ -48,13 +48,17 @@ def value_positions(df: DataFrame, key: Column | str, buckets: int = 512,
     b = F.when(F.col("_k").isNull(), F.lit(-1)).otherwise(
         F.size(F.filter("_cuts", lambda c: c < F.col("_k"))))
     vals = vals.withColumn("_cuts", cuts).withColumn("_b", b).drop("_cuts")
+    # per-bucket totals: <= buckets + 1 rows, so the running offsets and the
+    # grand total are windows over a handful of rows
     offsets = (vals.groupBy("_b").agg(F.sum("_n").alias("_bn"))
                .select("_b", F.coalesce(F.sum("_bn").over(
-                   Window.orderBy("_b").rowsBetween(_UNB, -1)), F.lit(0)).alias("_off")))
+                   Window.orderBy("_b").rowsBetween(_UNB, -1)), F.lit(0)).alias("_off"),
+                       F.sum("_bn").over(Window.partitionBy()).alias("_tot")))
     local = vals.select("_k", "_n", "_b", F.coalesce(F.sum("_n").over(
         Window.partitionBy("_b").orderBy("_k").rowsBetween(_UNB, -1)), F.lit(0)).alias("_before"))
     return local.join(offsets, "_b").select(
-        "_k", "_n", (F.col("_off") + F.col("_before")).cast("bigint").alias("_start"))
+        "_k", "_n", (F.col("_off") + F.col("_before")).cast("bigint").alias("_start"),
+        F.col("_tot").cast("bigint").alias("_tot"))
 
 
 def _lerp(i: int) -> Column:
@@ -77,7 +81,7 @@ def global_rank(df: DataFrame, key: str, out: str = "rank", buckets: int = 512,
         pos = value_positions(None, key, buckets, counted)
     else:
         pos = value_positions(df, key, buckets)
-    pos = pos.select("_k", (F.col("_start") + 1).alias(out))
+    pos = pos.select("_k", (F.col("_start") + 1).alias(out))  # rank = rows before + 1
     return df.join(pos, df[key].eqNullSafe(pos["_k"]), "inner").drop("_k")
 
 
@@ -91,10 +95,9 @@ def exact_quantiles(df: DataFrame, col: str, probs, buckets: int = 512,
         x = df.select(F.col(col).cast("double").alias("_x")).filter(F.col("_x").isNotNull())
         counted = distinct_counts(x, "_x")
     pos = value_positions(None, "_k", buckets, counted)
-    n = counted.agg(F.sum("_n")).scalar()
     lookups = []
     for i, p in enumerate(probs):
-        h = (n - 1) * F.lit(float(p))
+        h = (F.col("_tot") - 1) * F.lit(float(p))
         lo, hi = F.floor(h), F.ceil(h)
         covers = lambda r: (F.col("_start") <= r) & (r < F.col("_start") + F.col("_n"))
         lookups += [F.max(F.when(covers(lo), F.col("_k"))).alias(f"_lo{i}"),

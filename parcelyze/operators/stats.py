@@ -46,31 +46,33 @@ def iqr_fences(df: DataFrame, col: str = DELAY, k: float = 1.5, approx: bool = F
 def iqr_outlier_rows(df: DataFrame, col: str = DELAY, k: float = 1.5, approx: bool = False) -> DataFrame:
     """ST1: rows strictly outside the fences (one scalar subquery, then a filter)."""
     f = iqr_fences(df, col, k, approx).select(F.struct("lower_bound", "upper_bound")).scalar()
-    return df.filter((F.col(col) < f.getField("lower_bound")) | (F.col(col) > f.getField("upper_bound")))
+    return (df.withColumn("_f", f)
+            .filter((F.col(col) < F.col("_f.lower_bound")) | (F.col(col) > F.col("_f.upper_bound")))
+            .drop("_f"))
 
 
 def iqr_stats(df: DataFrame, col: str = DELAY, k: float = 1.5, approx: bool = False) -> DataFrame:
     """ST2/AGG15: fences plus outlier count and % of non-NULL values. In exact
     mode the outliers are counted from the materialized value counts, so the
     input is scanned once."""
+    # The fences are one row: they reach the counting pass as one scalar
+    # subquery held in a column, and the counts come back the same way.
     if approx:
         b = iqr_fences(df, col, k, True)
-        f = b.select(F.struct("lower_bound", "upper_bound")).scalar()
-        c = F.col(col)
-        out = df.agg(F.count_if((c < f.getField("lower_bound")) | (c > f.getField("upper_bound")))
-                     .alias("n_outliers"), F.count(c).alias("_n"))
+        rows, x, w = df.select(F.col(col).alias("_k"), F.lit(1).alias("_n")), F.col("_k"), F.col("_n")
     else:
         vc = _value_counts(df, col)
         b = iqr_fences(df, col, k, False, counted=vc)
-        f = b.select(F.struct("lower_bound", "upper_bound")).scalar()
-        x = F.col("_k")
-        out = vc.agg(F.coalesce(F.sum(F.when((x < f.getField("lower_bound"))
-                                             | (x > f.getField("upper_bound")), F.col("_n"))), F.lit(0))
-                     .alias("n_outliers"), F.coalesce(F.sum("_n"), F.lit(0)).alias("_n"))
-    o = out.select(F.struct("n_outliers", "_n")).scalar()
-    return b.select("*", o.getField("n_outliers").cast("bigint").alias("n_outliers"),
-                    r2(F.try_divide(F.lit(100.0) * o.getField("n_outliers"), o.getField("_n")), 2)
-                    .alias("pct_outliers"))
+        rows, x, w = vc, F.col("_k"), F.col("_n")
+    fences = b.select(F.struct("lower_bound", "upper_bound")).scalar()
+    out = (rows.filter(x.isNotNull()).withColumn("_f", fences)
+           .agg(F.coalesce(F.sum(F.when((x < F.col("_f.lower_bound")) | (x > F.col("_f.upper_bound")), w)),
+                           F.lit(0)).cast("bigint").alias("n_outliers"),
+                F.coalesce(F.sum(w), F.lit(0)).alias("_n")))
+    return (b.withColumn("_o", out.select(F.struct("n_outliers", "_n")).scalar())
+            .select("q1", "q3", "iqr", "lower_bound", "upper_bound", F.col("_o.n_outliers").alias("n_outliers"),
+                    r2(F.try_divide(F.lit(100.0) * F.col("_o.n_outliers"), F.col("_o._n")), 2)
+                    .alias("pct_outliers")))
 
 
 # -------------------------------------------------------------- z-score

@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 
+from pyspark.sql import functions as F
+
 from ..functions.rules import r2
 from ..operators import stats as S
 from .oracle import R
@@ -122,9 +124,10 @@ SELECT s.*, (SELECT COUNT(*) FROM _z) AS sellers_evaluated,
 FROM _istats s, _corr c""", {**_IQR, **_Z, **_CORR})
 def q_delay_summary(spark, sf_dir):
     f = _fact(spark, sf_dir)
-    z = S.zscore_counts(S.seller_zscore(f))
-    corr = S.delay_correlations(f)
+    # one struct-valued scalar subquery per source, so each is computed once
+    z = S.zscore_counts(S.seller_zscore(f)).select(F.struct("*")).scalar()
+    corr = S.delay_correlations(f).select(F.struct("*")).scalar()
     return S.iqr_stats(f).select(
-        "*", z.select("sellers_evaluated").scalar().alias("sellers_evaluated"),
-        z.select("sellers_flagged").scalar().alias("sellers_flagged"),
-        *[corr.select(n).scalar().alias(n) for n, _, _ in S.CORR_PAIRS])
+        "*", z.getField("sellers_evaluated").alias("sellers_evaluated"),
+        z.getField("sellers_flagged").alias("sellers_flagged"),
+        *[corr.getField(n).alias(n) for n, _, _ in S.CORR_PAIRS])
