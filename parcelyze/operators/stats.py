@@ -141,15 +141,18 @@ def delay_histogram(fact: DataFrame, bins: int = 60, lo: float = -40.0, hi: floa
     reported (empty ones with 0). Bin edges come from one scalar subquery."""
     x = (fact.filter((F.col("order_status") == "delivered") & F.col(DELAY).isNotNull())
          .select(clip(DELAY, lo, hi).alias("x")))
+    # the observed range is one row, attached once as a column on each side
     rng = x.select(F.struct(F.min("x").alias("a"), F.max("x").alias("b"))).scalar()
-    a, b = rng.getField("a"), rng.getField("b")
+    a, b = F.col("_r.a"), F.col("_r.b")
     width = F.when(b > a, b - a)
     idx = F.when(width.isNull(), F.lit(1)).otherwise(
         F.least(F.floor((F.col("x") - a) * bins / width), F.lit(bins - 1)) + 1)
-    counts = x.groupBy(idx.cast("int").alias("bin")).agg(F.count(F.lit(1)).alias("order_count"))
-    edges = (counts.agg(F.lit(1).alias("_one")).filter(a.isNotNull())
-             .select(F.explode(F.sequence(F.lit(1), F.lit(bins))).alias("bin")))
+    counts = (x.withColumn("_r", rng).groupBy(idx.cast("int").alias("bin"))
+              .agg(F.count(F.lit(1)).alias("order_count")))
     w = F.coalesce(width, F.lit(0.0))
+    edges = (counts.agg(F.count(F.lit(1)).alias("_one")).withColumn("_r", rng)
+             .filter(a.isNotNull())
+             .select("_r", F.explode(F.sequence(F.lit(1), F.lit(bins))).alias("bin")))
     return (edges.join(counts, "bin", "left")
             .select("bin",
                     (a + (F.col("bin") - 1) * w / bins).alias("bin_lo"),
