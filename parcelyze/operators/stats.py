@@ -92,8 +92,8 @@ def seller_zscore(fact: DataFrame, min_orders: int = 10, z_threshold: float = 1.
     kept = seller_delay_profile(fact).filter(F.col("order_count") >= min_orders)
     pop = kept.select(F.struct(F.avg("avg_delay").alias("mu"),
                                F.stddev_samp("avg_delay").alias("sigma"))).scalar()
-    z = F.try_divide(F.col("avg_delay") - pop.getField("mu"), pop.getField("sigma"))
-    return (kept.withColumn("z_score", z)
+    z = F.try_divide(F.col("avg_delay") - F.col("_pop.mu"), F.col("_pop.sigma"))
+    return (kept.withColumn("_pop", pop).withColumn("z_score", z).drop("_pop")
             .withColumn("is_anomalous", F.coalesce(F.abs("z_score") >= z_threshold, F.lit(False)))
             .orderBy(F.col("z_score").desc_nulls_last(), "seller_id"))
 
