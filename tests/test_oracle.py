@@ -32,3 +32,17 @@ def test_entry_smoke(spark):
     assert df.columns == ["seller_id", "seller_state", "order_count", "on_time_pct",
                           "avg_delay_days", "avg_review_score", "worst_on_time_rank"]
     assert df.count() == 10
+
+
+@pytest.mark.parametrize("name", ["monthly_kpis", "seller_scorecard", "seller_month_anomalies",
+                                  "seller_zscore", "iqr_bounds", "delay_correlations", "dim_geography",
+                                  "holt_forecast"])
+def test_exact_under_other_partitioning(spark, con, name):
+    """Float results do not depend on how rows are split across tasks."""
+    old = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", "3")
+    try:
+        r = compare(spark, SF001, name, E.queries()[name], E.oracle_sql().get(name), con)
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", old)
+    assert r["status"] == "OK", r
