@@ -2,13 +2,16 @@
 
 Each check yields one result row: (layer, check_id, check_name, category,
 passed 0/1, violations, detail, run_ts). Plan shape:
-* all row-level checks of one table are fused into ONE aggregate scan
-  (count_if per rule), expanded to rows with inline();
-* uniqueness checks are one group-by each (partial aggregation first);
-* referential checks count child rows per key first, then anti-join only the
-  distinct keys against the parent, and sum the counts of unmatched keys, so a
+* a table's row rules, its key uniqueness and (for child tables) its orphan
+  count come out of ONE grouped scan by its key: count_if per rule and row
+  counts per key with map-side partial aggregation, then one small global
+  aggregate, expanded to result rows with inline();
+* referential checks count child rows per key first, then (anti-)join only the
+  distinct keys against the parent and sum the counts of unmatched keys, so a
   key holding a third of all rows is one row in the join. A NULL child key
-  counts as an orphan, as in LEFT JOIN ... WHERE parent IS NULL.
+  counts as an orphan, as in LEFT JOIN ... WHERE parent IS NULL;
+* the standalone primitives (duplicate_key_count, orphan_count,
+  unexpected_values, violating_rows) serve the other queries and drill-down.
 Nothing is collected: the result is a small DataFrame the caller writes.
 """
 
