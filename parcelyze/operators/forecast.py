@@ -7,7 +7,7 @@ every key (global, state, seller, ...) is fitted in parallel as a Spark job:
   month, bounded by the calendar, not by data volume), held as a sorted array;
 * for fixed smoothing (alpha, beta) the one-step errors are affine in the
   initial state (l0, b0). One SQL aggregate() pass over the array carries the
-  zero-start state, the two unit-start responses and five sums of products, so
+  zero-start state, the two unit-start responses and six sums of products, so
   the least-squares (l0, b0) come from a 2x2 normal equation -- no optimizer;
 * (alpha, beta) is searched on a grid (beta <= alpha) generated per key with
   explode(sequence()), then refined on a finer grid around the winner; the
