@@ -66,10 +66,12 @@ MODELED_CHECKS = [
     (7, "coverage: pct of orders with a valid delivery_delay_days", "business_rule",
      "{pct}% of orders have a computable SLA delay ({valid}/{total})"),
 ]
+# The status check's all-clear text and the modeled delay bound (days).
 ALL_CLEAR_STATUS = "all statuses known"
-MAX_LISTED_VALUES = 20      # unexpected values spelled out in a detail text
 DELAY_BOUND_DAYS = 200
 
+MAX_LISTED_VALUES = 20      # unexpected values spelled out in a detail text (ours)
+
 RESULT_COLS = ["layer", "check_id", "check_name", "category", "passed", "violations",
                "detail", "run_ts"]
 

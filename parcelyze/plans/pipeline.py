@@ -26,6 +26,15 @@ from ..sources.ingest import read_raw_layer, write_raw
 
 LOG_COLS = ["ts", "stage", "status", "detail"]
 
+# Run-log detail formats per stage.
+LOG_DETAIL = {
+    "ingest": "{rows:,} raw rows in {secs:.1f}s",
+    "validate_raw": "{n} checks, {flagged} flagged, {secs:.1f}s",
+    "transform_load": "{rows:,} rows loaded, {secs:.1f}s",
+    "validate_modeled": "{n} checks, {failed} failed, {secs:.1f}s",
+    "pipeline": "total {secs:.1f}s",
+}
+
 
 def _now() -> str:
     return datetime.now(timezone.utc).isoformat()
@@ -90,7 +99,8 @@ def run_pipeline(spark: SparkSession, raw_source, root: str | None = None,
     try:
         t0 = time.time()
         counts = raw_source(f"{root}/raw") if callable(raw_source) else write_raw(raw_source, f"{root}/raw")
-        log.log("ingest", "OK", f"{sum(counts.values()):,} raw rows in {time.time() - t0:.1f}s")
+        log.log("ingest", "OK", LOG_DETAIL["ingest"].format(rows=sum(counts.values()),
+                                                             secs=time.time() - t0))
 
         raw = read_raw_layer(spark, f"{root}/raw")
         t0 = time.time()
@@ -98,11 +108,13 @@ def run_pipeline(spark: SparkSession, raw_source, root: str | None = None,
         write_dq(raw_dq, root, "raw")
         dq = spark.read.parquet(f"{root}/data_quality_results").filter("layer = 'raw'")
         s = dq.agg(F.count(F.lit(1)).alias("n"), F.count_if(F.col("passed") == 0).alias("f")).first()
-        log.log("validate_raw", "OK", f"{s['n']} checks, {s['f']} flagged, {time.time() - t0:.1f}s")
+        log.log("validate_raw", "OK", LOG_DETAIL["validate_raw"].format(
+            n=s["n"], flagged=s["f"], secs=time.time() - t0))
 
         t0 = time.time()
         rows = write_model(StarModel(raw), f"{root}/model")
-        log.log("transform_load", "OK", f"{rows:,} rows loaded, {time.time() - t0:.1f}s")
+        log.log("transform_load", "OK", LOG_DETAIL["transform_load"].format(rows=rows,
+                                                                             secs=time.time() - t0))
 
         t0 = time.time()
         model = TableModel(spark, f"{root}/model")
@@ -110,9 +122,10 @@ def run_pipeline(spark: SparkSession, raw_source, root: str | None = None,
         dq = spark.read.parquet(f"{root}/data_quality_results").filter("layer = 'modeled'")
         s = dq.agg(F.count(F.lit(1)).alias("n"), F.count_if(F.col("passed") == 0).alias("f")).first()
         status = "OK" if s["f"] == 0 else "DEGRADED"
-        log.log("validate_modeled", status, f"{s['n']} checks, {s['f']} failed, {time.time() - t0:.1f}s")
+        log.log("validate_modeled", status, LOG_DETAIL["validate_modeled"].format(
+            n=s["n"], failed=s["f"], secs=time.time() - t0))
 
-        log.log("pipeline", "SUCCESS", f"total {time.time() - start:.1f}s")
+        log.log("pipeline", "SUCCESS", LOG_DETAIL["pipeline"].format(secs=time.time() - start))
         return root, log
     except Exception as e:
         log.log("pipeline", "FAILED", str(e)[:2000])
