@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 from ..operators import quality as Q
 from ..operators.model import StarModel, TableModel
 from ..schemas import MODELED_TABLES
-from ..session import scratch_path
+from ..session import app_id, scratch_path
 from ..sources.ingest import read_raw_layer, write_raw
 
 LOG_COLS = ["ts", "stage", "status", "detail"]
@@ -92,7 +92,7 @@ def run_pipeline(spark: SparkSession, raw_source, root: str | None = None,
     """Run all four stages. ``raw_source``: a raw model (name -> DataFrame), or
     a callable(root) that ingests raw files into ``root/raw`` and returns counts.
     Returns (root, log); re-raises after logging FAILED."""
-    root = (root or scratch_path(spark, "parcelyze-runs", uuid.uuid4().hex)).rstrip("/")
+    root = (root or scratch_path(spark, "parcelyze-runs", app_id(spark), uuid.uuid4().hex)).rstrip("/")
     log = RunLog(spark, f"{root}/pipeline_runs")
     run_ts = run_ts or _now()
     start = time.time()

@@ -115,9 +115,10 @@ def materialize(df, label: str = "t"):
     checkpoint or a cache). Used for small intermediate results that several
     later passes read."""
     import uuid
-    path = scratch_path(df.sparkSession, "materialized", f"{label}-{uuid.uuid4().hex}")
+    spark = df.sparkSession
+    path = scratch_path(spark, "materialized", app_id(spark), f"{label}-{uuid.uuid4().hex}")
     df.write.mode("overwrite").parquet(path)
-    return df.sparkSession.read.parquet(path)
+    return spark.read.parquet(path)
 
 
 def write_tables(jobs, max_concurrent: int = 4) -> dict:
