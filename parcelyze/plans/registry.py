@@ -55,10 +55,14 @@ def model(spark: SparkSession, sf_dir: str):
         if key not in _MODELS:
             root = scratch_path(spark, "models", key[0],
                                 hashlib.sha1(key[1].encode()).hexdigest()[:12])
-            write_raw(raw_model(spark, sf_dir), f"{root}/raw")
-            raw = read_raw_layer(spark, f"{root}/raw")
+            # the raw layer and the star schema are both planned from the
+            # adapter's lazy tables, so their writes run side by side
+            from ..session import write_tables
             from .pipeline import write_model
-            write_model(StarModel(raw), f"{root}/model")
+            lazy = raw_model(spark, sf_dir)
+            write_tables({"raw": lambda: write_raw(lazy, f"{root}/raw"),
+                          "model": lambda: write_model(StarModel(lazy), f"{root}/model")}, 2)
+            raw = read_raw_layer(spark, f"{root}/raw")
             _MODELS[key] = TableModel(spark, f"{root}/model", raw)
         return _MODELS[key]
 
