@@ -10,7 +10,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from . import language_id, mixing
+from . import files, language_id, mixing, packing, token_file
 from .common import table
 
 QUERIES: dict = {}
@@ -63,3 +63,16 @@ def op9(spark, sf_dir):
     p = mixing.plan(table(spark, sf_dir, "documents"))
     return p.select(F.col("id").alias("doc_id"), "size", "source_size", "target",
                     (F.col("size") * F.col("copies")).cast("long").alias("taken"))
+
+
+@query("op5_token_binary")
+def op5(spark, sf_dir):
+    folder = files.new_folder(spark, "token-files")
+    token_file.write(table(spark, sf_dir, "documents"), folder)
+    return token_file.read(spark, folder).select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
+
+
+@query("op6_packing")
+def op6(spark, sf_dir):
+    return packing.pack(table(spark, sf_dir, "documents")).select(
+        "doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset")
