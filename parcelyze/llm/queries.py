@@ -10,7 +10,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from . import files, language_id, mixing, packing, token_file
+from . import files, language_id, minhash, mixing, packing, token_file
 from .common import table
 
 QUERIES: dict = {}
@@ -76,3 +76,29 @@ def op5(spark, sf_dir):
 def op6(spark, sf_dir):
     return packing.pack(table(spark, sf_dir, "documents")).select(
         "doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset")
+
+
+@query("op1_minhash_near_dedup", r"""
+WITH RECURSIVE w AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+                                              'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS t
+  FROM documents),
+s AS (
+  SELECT DISTINCT doc_id, CASE WHEN len(t) = 1 THEN t[1] ELSE t[i] || ' ' || t[i + 1] END AS g
+  FROM (SELECT doc_id, t, unnest(range(1, greatest(len(t), 2))) AS i FROM w WHERE len(t) > 0)),
+n AS (SELECT doc_id, count(*) AS c FROM s GROUP BY doc_id),
+p AS (
+  SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS c FROM s a JOIN s b ON a.g = b.g AND a.doc_id <> b.doc_id
+  GROUP BY ALL),
+e AS (
+  SELECT x, y FROM p JOIN n nx ON nx.doc_id = x JOIN n ny ON ny.doc_id = y
+  WHERE 100 * p.c >= 80 * (nx.c + ny.c - p.c)),
+r AS (SELECT doc_id, doc_id AS seen FROM w UNION SELECT r.doc_id, e.y FROM r JOIN e ON e.x = r.seen),
+k AS (SELECT doc_id, min(seen) AS component_id FROM r GROUP BY doc_id)
+SELECT k.doc_id, CAST(coalesce(n.c, 0) AS BIGINT) AS n_shingles, component_id,
+       k.doc_id = component_id AS kept
+FROM k LEFT JOIN n ON n.doc_id = k.doc_id""")
+def op1(spark, sf_dir):
+    out = minhash.near_duplicates(table(spark, sf_dir, "documents"), words=2)
+    return out.select(F.col("id").alias("doc_id"), "n_shingles", "component_id",
+                      (F.col("id") == F.col("component_id")).alias("kept"))
