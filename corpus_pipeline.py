@@ -14,7 +14,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from parcelyze.llm import language_id, mixing
+from parcelyze.llm import language_id, minhash, mixing, packing, toxicity
 from parcelyze.llm.common import materialize, table
 
 ORACLE_SQL = None
@@ -27,12 +27,35 @@ def language_stage(spark, docs, sf_dir):
     return kept.select(*[F.col(f"`{c}`") for c in docs.columns])
 
 
+def toxicity_stage(spark, docs, sf_dir):
+    """Drop documents that the classifier calls toxic."""
+    model = toxicity.fit(docs, table(spark, sf_dir, "labels"), train=toxicity.train_fold())
+    kept = toxicity.predict(docs, model).filter(F.col("predicted") == 0)
+    return kept.select(*[F.col(f"`{c}`") for c in docs.columns])
+
+
+def near_dedup_stage(spark, docs, sf_dir):
+    """Keep one document (the smallest id) of every group of near copies: five-word
+    shingles, similarity 0.8 or more. Rows that share an id are one document;
+    rows without an id are compared with nothing and stay."""
+    groups = minhash.near_duplicates(docs, words=5)
+    dropped = groups.filter("component_id <> id").select(F.col("id").alias("doc_id")).distinct()
+    kept = docs.filter("doc_id IS NOT NULL").join(dropped, "doc_id", "left_anti").dropDuplicates(["doc_id"])
+    return kept.select(*docs.columns).unionByName(docs.filter("doc_id IS NULL"))
+
+
 def mixing_stage(spark, docs, sf_dir):
     """Repeat or thin the sources to their target weights."""
     return mixing.emit(docs)
 
 
-STAGES = [("language ID", language_stage), ("mixing", mixing_stage)]
+def packing_stage(spark, docs, sf_dir):
+    """Pieces of packed sequences; a document's copies are packed one by one."""
+    return packing.pack(docs)
+
+
+STAGES = [("language ID", language_stage), ("toxicity", toxicity_stage), ("near dedup", near_dedup_stage),
+          ("mixing", mixing_stage), ("packing", packing_stage)]
 
 
 def run(spark, sf_dir):

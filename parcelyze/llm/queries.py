@@ -10,7 +10,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from . import files, language_id, minhash, mixing, packing, token_file
+from . import files, language_id, minhash, mixing, packing, token_file, toxicity
 from .common import table
 
 QUERIES: dict = {}
@@ -102,3 +102,10 @@ def op1(spark, sf_dir):
     out = minhash.near_duplicates(table(spark, sf_dir, "documents"), words=2)
     return out.select(F.col("id").alias("doc_id"), "n_shingles", "component_id",
                       (F.col("id") == F.col("component_id")).alias("kept"))
+
+
+@query("op2_toxicity")
+def op2(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    model = toxicity.fit(docs, table(spark, sf_dir, "labels"), train=toxicity.train_fold())
+    return toxicity.predict(docs, model).select("doc_id", toxicity.held_out().alias("held_out"), "score", "predicted")
