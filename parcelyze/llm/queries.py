@@ -10,7 +10,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from . import files, language_id, minhash, mixing, packing, token_file, toxicity
+from . import files, language_id, minhash, mixing, packing, token_counts, token_file, topk, toxicity
 from .common import table
 
 QUERIES: dict = {}
@@ -109,3 +109,25 @@ def op2(spark, sf_dir):
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     model = toxicity.fit(docs, table(spark, sf_dir, "labels"), train=toxicity.train_fold())
     return toxicity.predict(docs, model).select("doc_id", toxicity.held_out().alias("held_out"), "score", "predicted")
+
+
+@query("op3_exact_topk", r"""
+WITH v AS (
+  SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(1024 * CAST(x AS DOUBLE)) AS BIGINT)) AS v
+  FROM embeddings
+  WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NOT NULL AND isfinite(x))) = len(embedding)),
+s AS (
+  SELECT q.vec_id AS query_id, d.vec_id, CAST(list_sum(list_transform(
+           list_zip(q.v, d.v), lambda z: coalesce(z[1], 0) * coalesce(z[2], 0))) AS BIGINT) AS score
+  FROM v q JOIN v d ON q.vec_id % 100 = 0 AND q.vec_id <> d.vec_id),
+r AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS n FROM s)
+SELECT query_id, CAST(n AS INTEGER) AS rank, vec_id, score FROM r WHERE n <= 10""")
+def op3(spark, sf_dir):
+    return topk.top_k(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0)
+
+
+@query("op4_token_counts")
+def op4(spark, sf_dir):
+    out = token_counts.count_tokens(table(spark, sf_dir, "documents"))
+    return out.select(F.col("id").alias("doc_id"), "n_pretokens", "n_tokens")
