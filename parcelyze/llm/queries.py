@@ -10,7 +10,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from . import files, language_id, minhash, mixing, packing, token_counts, token_file, topk, toxicity
+from . import files, language_id, minhash, mixing, packing, token_counts, token_file, topk, toxicity, warc
 from .common import table
 
 QUERIES: dict = {}
@@ -131,3 +131,16 @@ def op3(spark, sf_dir):
 def op4(spark, sf_dir):
     out = token_counts.count_tokens(table(spark, sf_dir, "documents"))
     return out.select(F.col("id").alias("doc_id"), "n_pretokens", "n_tokens")
+
+
+@query("op10_warc", r"""
+WITH p AS (SELECT page_id, coalesce(html, '') AS h FROM pages),
+d AS (SELECT page_id, CAST(strlen(h) AS BIGINT) AS payload_bytes, sha1(h) AS payload_digest FROM p),
+g AS (SELECT payload_digest, max(page_id) AS m FROM d WHERE payload_bytes >= 1000 GROUP BY 1)
+SELECT d.*, CASE WHEN page_id < m THEN 'revisit' ELSE 'response' END AS record_type,
+       CASE WHEN page_id < m THEN m END AS refers_to
+FROM d LEFT JOIN g ON d.payload_digest = g.payload_digest AND d.payload_bytes >= 1000""")
+def op10(spark, sf_dir):
+    folder = files.new_folder(spark, "warc")
+    warc.write(table(spark, sf_dir, "pages"), folder)
+    return warc.read(spark, folder).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
