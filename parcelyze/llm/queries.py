@@ -10,7 +10,8 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from . import files, language_id, minhash, mixing, packing, token_counts, token_file, topk, toxicity, warc
+from . import (files, fingerprints, language_id, minhash, mixing, packing, token_counts, token_file, topk, toxicity,
+               warc)
 from .common import table
 
 QUERIES: dict = {}
@@ -144,3 +145,10 @@ def op10(spark, sf_dir):
     folder = files.new_folder(spark, "warc")
     warc.write(table(spark, sf_dir, "pages"), folder)
     return warc.read(spark, folder).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
+@query("op7_fingerprints")
+def op7(spark, sf_dir):
+    out = fingerprints.compare(table(spark, sf_dir, "documents"))
+    return out.select(F.col("id").alias("doc_id"), "n_chars", "edited_sha256", "fingerprint", "edited_fingerprint",
+                      "near_edited", "near_next")
