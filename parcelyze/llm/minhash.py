@@ -5,18 +5,20 @@
    represented by its smallest id; only classes are compared from here on.
 2. A signature is cut into bands of ``rows`` values; classes that agree on a band
    share a bucket and are candidates.
-3. Within a bucket candidates are compared with pivots, not all with all, and
-   only across different components:
-   * first each class meets the smallest pivot of its buckets, which settles the
-     large groups of copies;
-   * then, as long as a bucket holds several components, its pivots (1, 2, 4, ...
-     per round) meet all other members of the bucket and leave it. A pivot that
-     leaves has met everyone it could link to, so no link is lost, and a bucket
-     whose rest is one component has nothing left to find.
-4. A pair's signatures are compared in batches. After n values with m agreeing the
+3. First every class is compared with one pivot, the most popular class of its
+   buckets (popular: the sizes of its buckets summed; the text that a family of
+   copies was made from meets all of them). Links found merge classes into
+   components, which settles most buckets.
+4. In the buckets that still hold several components the pairs across components
+   are compared, each in the first band its classes share. Nothing is emitted but
+   links: a bucket is cut into blocks of about ``BLOCK`` classes, a task takes two
+   blocks, and a bucket of one component is not looked at.
+5. A pair's signatures are compared in batches. After n values with m agreeing the
    posterior probability (uniform prior) that the similarity reaches the threshold
-   is P(Binomial(n + 1, t) <= m); a pair is pruned once it falls below
-   ``miss``. What survives all batches is verified on the full sets.
+   is P(Binomial(n + 1, t) <= m); a pair is pruned once it falls below ``miss``.
+   Survivors are verified on the full sets. In step 4 a bound on their
+   intersection, from sets of shortened hashes, comes in between; it never drops
+   a link.
 
 With 28 bands of 4 rows a pair at similarity 0.8 shares no bucket with
 probability 4e-7; ``miss`` bounds what the pruning adds per batch.
@@ -40,6 +42,10 @@ from .components import connected_components
 from .shingles import mix, shingle_sets
 
 _CHUNK = 1 << 16
+#: Classes of a block of a large bucket.
+BLOCK = 512
+#: Shingles of a set whose shortened hashes have 32 bits.
+LARGE = 2048
 
 
 class Hashes:
@@ -96,19 +102,25 @@ def sketch(docs: DataFrame, id_col: str, text_col: str, words: int, hashes: int)
     return d.mapInArrow(run, "id long, n_shingles long, digest binary, signature binary")
 
 
+def band_keys(sig: np.ndarray, rows: int) -> np.ndarray:
+    """A 64-bit key per signature and band."""
+    bands = sig.reshape(len(sig), -1, rows)
+    key = np.arange(bands.shape[1], dtype=np.uint64)[None, :] + np.zeros((len(sig), 1), np.uint64)
+    for i in range(rows):
+        key = mix(key + bands[:, :, i])
+    return key
+
+
 def buckets(classes: DataFrame, rows: int) -> DataFrame:
     """(key, rep): the buckets of every class that it shares with another one."""
     def run(batches):
         for b in batches:
             if not len(b):
                 continue
-            sig = np.frombuffer(b"".join(b.column(1).to_pylist()), np.uint32).reshape(len(b), -1, rows)
-            key = np.arange(sig.shape[1], dtype=np.uint64)[None, :] + np.zeros((len(b), 1), np.uint64)
-            for i in range(rows):
-                key = mix(key + sig[:, :, i])
+            key = band_keys(np.frombuffer(b"".join(b.column(1).to_pylist()), np.uint32).reshape(len(b), -1), rows)
             yield pa.RecordBatch.from_arrays(
                 [pa.array(key.reshape(-1).view(np.int64)),
-                 pa.array(np.repeat(b.column(0).to_numpy(zero_copy_only=False), sig.shape[1]))], names=["key", "rep"])
+                 pa.array(np.repeat(b.column(0).to_numpy(zero_copy_only=False), key.shape[1]))], names=["key", "rep"])
     every = classes.select("rep", "signature").mapInArrow(run, "key long, rep long")
     shared = every.groupBy("key").agg(F.min("rep").alias("x"), F.max("rep").alias("y")).filter("x <> y").select("key")
     return every.join(shared, "key")
@@ -152,6 +164,131 @@ def verified(pairs: DataFrame, texts: DataFrame, words: int, percent: int) -> Da
     return pairs.join(s, "a").join(t, "b").select("a", "b", "ta", "tb").mapInArrow(run, "a long, b long")
 
 
+def shortened(texts: DataFrame, words: int) -> DataFrame:
+    """(rep, n, compact): the set size and its distinct hashes cut to 16 bits, or to
+    32 bits for a large set."""
+    def run(batches):
+        for whole in batches:
+            for b in row_slices(whole, "text", 4 << 20):
+                sets = shingle_sets(b.column("text"), words)
+                yield pa.RecordBatch.from_arrays(
+                    [b.column("rep"), pa.array([len(x) for x in sets], pa.int64()),
+                     pa.array([_cut(x).tobytes() for x in sets], pa.binary())], names=["rep", "n", "compact"])
+    return texts.select("rep", "text").mapInArrow(run, "rep long, n long, compact binary")
+
+
+def _cut(hashes: np.ndarray) -> np.ndarray:
+    """Sorted distinct leading bits, 32 of them for a large set."""
+    if len(hashes) <= LARGE:
+        return np.unique((hashes >> np.uint64(48)).astype("<u2"))
+    return np.unique((hashes >> np.uint64(32)).astype("<u4"))
+
+
+def _compact_sets(raw: list, sizes: np.ndarray) -> list:
+    """The sets of a group in one width."""
+    large = [n > LARGE for n in sizes]
+    out = [np.frombuffer(r, "<u4" if big else "<u2") for r, big in zip(raw, large)]
+    if any(large) and not all(large):
+        out = [np.unique(x >> 16).astype("<u2") if big else x for x, big in zip(out, large)]
+    return out
+
+
+def shared_bound(sets: list, sizes: np.ndarray, i: np.ndarray, j: np.ndarray, columns: int = 4096) -> np.ndarray:
+    """At least the size of the intersection of pairs (i, j) of the full sets: the
+    shared shortened hashes, and what shortening has merged within a set."""
+    every = np.concatenate(sets)
+    values, code, count = np.unique(every, return_inverse=True, return_counts=True)
+    useful = np.cumsum(count > 1) - 1                       # a hash of one set is shared with none
+    row = np.repeat(np.arange(len(sets)), [len(x) for x in sets])
+    keep = count[code] > 1
+    row, col = row[keep], useful[code[keep]]
+    order = np.argsort(col, kind="stable")
+    row, col = row[order], col[order]
+    total = np.zeros(len(i))
+    n = int(col[-1]) + 1 if len(col) else 0
+    for c in range(0, n, columns):
+        x, y = np.searchsorted(col, [c, c + columns])
+        has = np.zeros((len(sets), min(columns, n - c)), np.float32)
+        has[row[x:y], col[x:y] - c] = 1
+        total += (has @ has.T)[i, j]
+    merged = sizes - np.array([len(x) for x in sets])
+    return total + np.minimum(merged[i], merged[j])
+
+
+def compare_block(key, left, right, rep, label, sig, raw, sizes, rows: int, steps: list, batch: int, percent: int):
+    """The pairs of one bucket between its blocks left and right that may be links:
+    of different components, first met in this bucket, not pruned."""
+    m = len(rep)
+    i, j = np.triu_indices(m, 1) if left is None else (x.ravel() for x in np.meshgrid(left, right, indexing="ij"))
+    ok = label[i] != label[j]
+    i, j = i[ok], j[ok]
+    if not len(i):
+        return i, j
+    keys = band_keys(sig, rows)
+    band = int(np.flatnonzero(keys[0] == key)[0])
+    for b in range(band):
+        ok = keys[i, b] != keys[j, b]
+        i, j = i[ok], j[ok]
+    agree = np.zeros(len(i), np.int16)
+    for n, least in steps:
+        for k in range(n - batch, n):
+            agree += sig[i, k] == sig[j, k]
+        ok = agree >= least
+        i, j, agree = i[ok], j[ok], agree[ok]
+    if len(i):
+        both = shared_bound(_compact_sets(raw, sizes), sizes, i, j)
+        ok = 100 * both >= percent * (sizes[i] + sizes[j] - both)
+        i, j = i[ok], j[ok]
+    return i, j
+
+
+def crossing(state: DataFrame, classes: DataFrame, texts: DataFrame, words, rows, threshold, percent, batch, miss,
+             hashes) -> DataFrame:
+    """(a, b): the pairs across components of the open buckets (key, rep, label)
+    that may be links."""
+    steps = [(n, least_matches(n, threshold, miss)) for n in range(batch, hashes + 1, batch)]
+    blocks = state.groupBy("key").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("n"))
+    s = state.join(blocks, "key").withColumn("block", F.pmod(F.xxhash64("rep"), F.col("n")).cast("int"))
+    s = s.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("n") - 1)))
+    s = s.select("key", "rep", "label", "block", F.least("block", "other").alias("x"), F.greatest("block", "other").alias("y"))
+    members = state.select("rep").distinct()
+    sets = shortened(texts.join(members, "rep", "left_semi"), words)
+    wide = s.join(classes.select("rep", "signature"), "rep").join(sets, "rep")
+    dealt = wide.repartition("key", "x", "y").sortWithinPartitions("key", "x", "y", "rep")
+
+    def groups(batches):
+        now, held = None, []
+        for whole in batches:
+            for b in row_slices(whole, "compact", 4 << 20):
+                for r in zip(*(b.column(c).to_pylist() for c in
+                               ("key", "x", "y", "rep", "label", "block", "signature", "n", "compact"))):
+                    if r[:3] != now:
+                        if held:
+                            yield now, held
+                        now, held = r[:3], []
+                    held.append(r[3:])
+        if held:
+            yield now, held
+
+    def run(batches):
+        for (key, x, y), got in groups(batches):
+            rep, label, block, sig, n, raw = zip(*got)
+            if min(label) == max(label):
+                continue
+            block = np.array(block)
+            left, right = (None, None) if x == y else (np.flatnonzero(block == x), np.flatnonzero(block == y))
+            rep = np.array(rep, np.int64)
+            i, j = compare_block(np.int64(key).astype(np.uint64), left, right, rep, np.array(label, np.int64),
+                                 np.frombuffer(b"".join(sig), np.uint32).reshape(len(rep), -1), list(raw),
+                                 np.array(n, np.int64), rows, steps, batch, percent)
+            if len(i):
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(np.minimum(rep[i], rep[j])), pa.array(np.maximum(rep[i], rep[j]))], names=["a", "b"])
+
+    cols = ["key", "x", "y", "rep", "label", "block", "signature", "n", "compact"]
+    return dealt.select(*cols).mapInArrow(run, "a long, b long")
+
+
 def near_duplicates(docs: DataFrame, id_col="doc_id", text_col="text", words: int = 5, percent: int = 80,
                     hashes: int = 112, rows: int = 4, batch: int = 16, miss: float = 1e-9) -> DataFrame:
     """One row per row of ``docs``: id, n_shingles, class_id (smallest id with the
@@ -163,42 +300,25 @@ def near_duplicates(docs: DataFrame, id_col="doc_id", text_col="text", words: in
     classes = materialize(linked.groupBy("digest").agg(
         F.min("id").alias("rep"), F.first("signature").alias("signature")), "minhash-classes")
     state = materialize(buckets(classes, rows), "minhash-buckets")
-
-    active = state.select("rep").distinct()
     source = docs.select(F.col(id_col).cast("long").alias("rep"), F.col(text_col).cast("string").alias("text"))
-    texts = materialize(source.join(active, "rep", "left_semi"), "minhash-texts")
-
-    def links(pairs, label):
-        pairs = pairs.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct()
-        left = surviving(pairs, classes, threshold, miss, batch, hashes)
-        return materialize(verified(left, texts, words, percent), label)
+    texts = materialize(source.join(state.select("rep").distinct(), "rep", "left_semi"), "minhash-texts")
 
-    # every class with the smallest pivot of its buckets
-    pivot = state.groupBy("key").agg(F.min("rep").alias("pivot"))
-    first = state.join(pivot, "key").groupBy("rep").agg(F.min("pivot").alias("pivot")).filter("rep <> pivot")
-    edges = links(first.select(F.col("rep").alias("x"), F.col("pivot").alias("y")), "minhash-links")
-    labels = connected_components(edges, "a", "b")
+    size = state.groupBy("key").agg(F.count("*").alias("size"))
+    fame = state.join(size, "key").groupBy("rep").agg(F.sum("size").alias("fame"))
+    pivot = state.join(fame, "rep").groupBy("key").agg(F.max_by("rep", "fame").alias("pivot"), F.max("fame").alias("fame"))
+    first = state.join(pivot, "key").groupBy("rep").agg(F.max_by("pivot", "fame").alias("pivot")).filter("rep <> pivot")
+    pairs = first.select(F.least("rep", "pivot").alias("a"), F.greatest("rep", "pivot").alias("b")).distinct()
+    left = surviving(pairs, classes, threshold, miss, batch, hashes)
+    labels = connected_components(materialize(verified(left, texts, words, percent), "minhash-links"), "a", "b")
 
     state = state.join(labels.withColumnRenamed("node", "rep"), "rep", "left").select(
         "key", "rep", F.coalesce("label", "rep").alias("label"))
-    pivots = 1
-    while True:
-        mixed = state.groupBy("key").agg(F.min("label").alias("x"), F.max("label").alias("y")).filter("x <> y")
-        state = materialize(state.join(mixed.select("key"), "key"), "minhash-open")
-        if state.limit(1).count() == 0:
-            break
-        order = F.xxhash64("rep", F.lit(pivots))
-        chosen = (state.groupBy("key", F.pmod(order, F.lit(pivots)).alias("slot"))
-                  .agg(F.min_by("rep", order).alias("pivot"), F.min_by("label", order).alias("pivot_label"))
-                  .drop("slot"))
-        pairs = state.join(chosen, "key").filter("label <> pivot_label")
-        found = links(pairs.select(F.col("rep").alias("x"), F.col("pivot").alias("y")), "minhash-links")
-        rest = state.join(chosen.select("key", F.col("pivot").alias("rep")), ["key", "rep"], "left_anti")
-        merged = _merge(labels, found)
-        labels, moved = merged
-        state = rest.join(moved, "label", "left").select(
-            "key", "rep", F.coalesce("next", "label").alias("label"))
-        pivots *= 2
+    mixed = state.groupBy("key").agg(F.min("label").alias("x"), F.max("label").alias("y")).filter("x <> y")
+    state = materialize(state.join(mixed.select("key"), "key"), "minhash-open")
+    pairs = crossing(state, classes, texts, words, rows, threshold, percent, batch, miss, hashes)
+    pairs = materialize(pairs.distinct(), "minhash-crossing")
+    found = materialize(verified(pairs, texts, words, percent), "minhash-links")
+    labels = _merge(labels, found)
 
     out = rows_.select("id", "n_shingles", "digest").join(
         classes.select("digest", F.col("rep").alias("class_id")), "digest", "left")
@@ -208,9 +328,8 @@ def near_duplicates(docs: DataFrame, id_col="doc_id", text_col="text", words: in
                       F.when(known, F.coalesce("label", "class_id", "id")).alias("component_id"))
 
 
-def _merge(labels: DataFrame, found: DataFrame):
-    """Labels after new links between nodes: (node, label), and (label, next) for
-    the labels that changed. Nodes not labelled yet are their own label."""
+def _merge(labels: DataFrame, found: DataFrame) -> DataFrame:
+    """(node, label) after new links; nodes not labelled yet are their own label."""
     own = found.select(F.col("a").alias("node")).union(found.select("b")).distinct().join(
         labels.select("node"), "node", "left_anti").select("node", F.col("node").alias("label"))
     every = labels.unionByName(own)
@@ -218,5 +337,5 @@ def _merge(labels: DataFrame, found: DataFrame):
     y = every.select(F.col("node").alias("b"), F.col("label").alias("lb"))
     groups = connected_components(found.join(x, "a").join(y, "b").select("la", "lb"), "la", "lb")
     moved = groups.select(F.col("node").alias("label"), F.col("label").alias("next"))
-    after = every.join(moved, "label", "left").select("node", F.coalesce("next", "label").alias("label"))
-    return materialize(after, "minhash-labels"), moved
+    return materialize(every.join(moved, "label", "left").select(
+        "node", F.coalesce("next", "label").alias("label")), "minhash-labels")
