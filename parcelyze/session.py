@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-import os
+import re
 import tempfile
 
 from pyspark.sql import SparkSession
@@ -74,10 +74,10 @@ def checkpoint_dir(spark: SparkSession) -> str:
     except Exception:  # noqa: BLE001
         pass
     if not d:
-        master = spark.conf.get("spark.master", "local") or "local"
-        if not master.startswith("local"):
-            raise RuntimeError("spark.checkpoint.dir is not set: on a cluster, intermediate tables "
-                               "must go to shared storage (set spark.checkpoint.dir)")
+        master = spark.conf.get("spark.master", None)
+        if master is None or not re.match(r"local($|\[)", master):    # unknown counts as a cluster
+            raise RuntimeError("spark.checkpoint.dir is not set: unless the master is known to be local, "
+                               "intermediate tables must go to shared storage (set spark.checkpoint.dir)")
         d = tempfile.mkdtemp(prefix="parcelyze-ckpt-")
         if sc is not None:
             sc.setCheckpointDir(d)
@@ -90,16 +90,17 @@ def scratch_path(spark: SparkSession, *parts: str) -> str:
 
 
 def path_exists(spark: SparkSession, path: str) -> bool:
-    """Does a file or folder exist on any Hadoop-compatible store? Spark resolves
-    the path when the reader is created, before any job runs."""
+    """Does a file or folder exist? Asked of the store that Spark's readers
+    would open, with or without a scheme (a bare path is on the default file
+    system, which need not be the driver's disk). No job runs."""
     from pyspark.errors import AnalysisException
-    if "://" not in path and not path.startswith("file:"):
-        return os.path.exists(path)
     try:
         spark.read.format("binaryFile").load(path).schema
         return True
-    except AnalysisException:
-        return False
+    except AnalysisException as e:
+        if e.getCondition() == "PATH_NOT_FOUND":
+            return False
+        raise
 
 
 def table_exists(spark: SparkSession, name_or_path: str) -> bool:
@@ -113,7 +114,8 @@ def materialize(df, label: str = "t"):
     """Write ``df`` once as parquet under the shared checkpoint folder and read
     it back: one job, lineage cut, survives executor loss (unlike a local
     checkpoint or a cache). Used for small intermediate results that several
-    later passes read."""
+    later passes read. It runs a job; functions that call it say so.
+    :func:`drop_materialized` removes the tables once their readers are done."""
     import uuid
     spark = df.sparkSession
     path = scratch_path(spark, "materialized", app_id(spark), f"{label}-{uuid.uuid4().hex}")
@@ -121,6 +123,15 @@ def materialize(df, label: str = "t"):
     return spark.read.parquet(path)
 
 
+def drop_materialized(spark: SparkSession) -> None:
+    """Delete what this application has materialized so far. For callers that
+    have consumed (written or collected) every result built from it."""
+    path = scratch_path(spark, "materialized", app_id(spark))
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
+
+
 def write_tables(jobs, max_concurrent: int = 4) -> dict:
     """Run independent table writes concurrently: ``jobs`` maps a name to a
     no-argument function that runs one write and returns a value. Each write is

@@ -161,3 +161,49 @@ def raw_model(spark: SparkSession, sf_dir: str) -> RawModel:
         "raw_category_translation": raw_translation,
     }
     return RawModel({n: _cast_to_contract(n, df) for n, df in tables.items()})
+
+
+# ------------------------------------------------------- seeded violations
+def _twice(df: DataFrame, when: Column) -> DataFrame:
+    return df.withColumn("_twice", F.explode(F.sequence(F.lit(1), F.when(when, 2).otherwise(1)))).drop("_twice")
+
+
+def dirty_raw(raw) -> RawModel:
+    """The raw tables with every kind of violation that the raw checks look for,
+    seeded by key arithmetic: NULL and repeated keys, orphans, unknown and NULL
+    statuses (more kinds than a person would list), reversed and missing dates,
+    extreme delays, negative amounts and scores out of range."""
+    day = F.expr("INTERVAL 1 DAY")
+    k = F.col("order_id").cast("long")
+    o = _twice(raw["raw_orders"].withColumn("_k", k), F.col("_k") % 401 == 0)
+    key = F.col("_k")
+    orders = o.select(
+        F.when(key % 997 != 0, F.col("order_id")).alias("order_id"),
+        F.when(key % 499 == 0, F.concat(F.lit("X"), "customer_id")).otherwise(F.col("customer_id")).alias("customer_id"),
+        F.when(key % 331 == 0, F.concat(F.lit("lost "), (key % 40).cast("string")))
+        .when(key % 337 != 0, F.col("order_status")).alias("order_status"),
+        "order_purchase_timestamp", "order_approved_at",
+        F.when(key % 211 == 1, F.col("order_approved_at") - day * 2)
+        .otherwise(F.col("order_delivered_carrier_date")).alias("order_delivered_carrier_date"),
+        F.when(key % 503 == 0, F.col("order_delivered_customer_date") + day * 300)
+        .when(key % 223 != 1, F.col("order_delivered_customer_date")).alias("order_delivered_customer_date"),
+        "order_estimated_delivery_date")
+    i = _twice(raw["raw_order_items"].withColumn("_k", k), F.col("_k") % 311 == 0)
+    items = i.select(
+        F.when(key % 409 == 0, F.concat(F.lit("Y"), "order_id")).when(key % 419 != 0, F.col("order_id")).alias("order_id"),
+        "order_item_id",
+        F.when(key % 307 == 0, F.concat(F.lit("P"), "product_id")).otherwise(F.col("product_id")).alias("product_id"),
+        "seller_id", "shipping_limit_date",
+        F.when(key % 101 == 0, -F.col("price")).otherwise(F.col("price")).alias("price"),
+        F.when(key % 103 == 0, -1 - F.col("freight_value")).otherwise(F.col("freight_value")).alias("freight_value"))
+    reviews = raw["raw_order_reviews"].withColumn(
+        "review_score", F.when(k % 113 == 0, 0).when(k % 113 == 1, 6).otherwise(F.col("review_score")))
+    changed = {"raw_orders": orders, "raw_order_items": items, "raw_order_reviews": reviews}
+    return RawModel({n: _cast_to_contract(n, changed[n]) if n in changed else df for n, df in raw.items()})
+
+
+def dirty_facts(fact: DataFrame) -> DataFrame:
+    """fact_orders with lost rows and flipped flags, which the modeled checks look for."""
+    k = F.col("order_id").cast("long")
+    return fact.filter(F.col("order_id").isNull() | (k % 109 != 0)).withColumn(
+        "on_time_flag", F.when(k % 127 == 0, 1 - F.col("on_time_flag")).otherwise(F.col("on_time_flag")))

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
@@ -21,7 +21,7 @@ def row_counts(raw) -> DataFrame:
 from pyspark.sql import SparkSession, Observation  # noqa: E402
 from pyspark.sql import types as T  # noqa: E402
 
-from ..schemas import RAW, TS_COLS  # noqa: E402
+from ..schemas import RAW  # noqa: E402
 
 # Source file of each raw table.
 CSV_FILES = {
@@ -45,56 +45,115 @@ SEQ_COL = "_seq"                              # ingest sequence (file order), wh
 SEQUENCED_TABLES = {"raw_order_items", "raw_order_payments"}
 
 
-def read_raw_csv(spark: SparkSession, path: str, name: str) -> DataFrame:
-    """SRC1 read side: header, quoted fields, BOM-safe. Columns are read as
-    text (no inference), matched by header name (extra columns are ignored,
-    missing ones are NULL), NA tokens become NULL, then each column is typed to
-    the contract so a bad value is NULL in that cell only.
+BAD_CELLS = "_unparsed_cells"                 # written next to the raw tables
+
+
+def read_csv_text(spark: SparkSession, path: str, name: str) -> DataFrame:
+    """SRC1 read side: every column of the file as text, unchanged (header, quoted
+    fields, BOM-safe; no trimming, no NA tokens, no inference). A contract column
+    that the header lacks is an error.
 
     Only tables with free text (reviews) are read in multi-line mode: a
     multi-line CSV file cannot be split, so every other export stays splittable
-    across tasks."""
+    across tasks. Item and payment rows carry their file position, for "first
+    occurrence" tie-breaks."""
     df = (spark.read.option("header", True).option("multiLine", name in MULTILINE_TABLES)
           .option("escape", '"').option("quote", '"').option("inferSchema", False)
-          .csv(path))
-    have = set(df.columns)
-    out = []
-    for f in RAW[name].fields:
-        raw_c = F.col(f.name) if f.name in have else F.lit(None).cast("string")
-        c = F.when(F.trim(raw_c).isin(NA_TOKENS), F.lit(None)).otherwise(raw_c)
-        if f.name in TS_COLS or isinstance(f.dataType, T.TimestampNTZType):
-            c = F.try_to_timestamp(c, F.lit(TS_FORMAT)).cast("timestamp_ntz")
-        elif isinstance(f.dataType, (T.IntegerType, T.LongType)):
-            c = c.try_cast("double").try_cast(f.dataType)
-        elif not isinstance(f.dataType, T.StringType):
-            c = c.try_cast(f.dataType)
-        out.append(c.alias(f.name))
+          .option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False)
+          .option("nullValue", None).option("emptyValue", "").csv(path))
+    missing = [f.name for f in RAW[name].fields if f.name not in df.columns]
+    if missing:
+        raise ValueError(f"{path}: columns {missing} of {name} are not in its header {df.columns}")
     if name in SEQUENCED_TABLES:
-        # file position, for "first occurrence" tie-breaks: ids grow with the
-        # row offset inside a file (splits of one file are read in offset order),
-        # and the raw layer is written right away, so the sequence is fixed
-        out.append(F.monotonically_increasing_id().alias(SEQ_COL))
-    return df.select(*out)
+        # ids grow with the row offset inside a file (splits of one file are read in
+        # offset order); the text layer is written right away, so they are fixed
+        df = df.withColumn(SEQ_COL, F.monotonically_increasing_id())
+    return df
+
+
+def _value(c: Column) -> Column:
+    """The cell, or NULL where its text is exactly one of the NA tokens."""
+    return F.when(c.isNull() | c.isin(NA_TOKENS), F.lit(None)).otherwise(c)
+
+
+def _typed(c: Column, f) -> Column:
+    """The cell in the contract's type, NULL where its text is not of that type. A
+    whole number may be written 01037 or 3.0, as a float column is; 4.7 is none."""
+    if isinstance(f.dataType, T.TimestampNTZType):
+        return F.try_to_timestamp(c, F.lit(TS_FORMAT)).cast("timestamp_ntz")
+    if isinstance(f.dataType, (T.IntegerType, T.LongType)):
+        n = F.trim(c).try_cast("decimal(38,9)")
+        return F.when(n == F.floor(n), n).try_cast(f.dataType)
+    if isinstance(f.dataType, T.StringType):
+        return c
+    return F.trim(c).try_cast(f.dataType)
+
+
+def type_raw(text: DataFrame, name: str) -> DataFrame:
+    """The text layer typed to the contract; columns beyond it pass through as text."""
+    contract = {f.name: f for f in RAW[name].fields}
+    typed = [_typed(_value(F.col(f"`{n}`")), f).alias(n) for n, f in contract.items()]
+    return text.select(*typed, *[F.col(f"`{c}`") for c in text.columns if c not in contract])
+
+
+def unparsed_cells(text: DataFrame, name: str) -> DataFrame:
+    """Cells that hold a value which is not of the contract's type: (table_name,
+    column_name, cell, row_count), one row per distinct text."""
+    checked = [f for f in RAW[name].fields if not isinstance(f.dataType, T.StringType)]
+    if not checked:
+        return text.limit(0).select(F.lit(name).alias("table_name"), F.lit("").alias("column_name"),
+                                    F.lit("").alias("cell"), F.lit(0).cast("bigint").alias("row_count"))
+    cells = F.array(*[F.struct(F.lit(f.name).alias("column_name"), _value(F.col(f.name)).alias("cell"),
+                               _typed(_value(F.col(f.name)), f).isNull().alias("bad")) for f in checked])
+    return (text.select(F.inline(cells)).filter("bad AND cell IS NOT NULL").groupBy("column_name", "cell")
+            .agg(F.count(F.lit(1)).alias("row_count"))
+            .select(F.lit(name).alias("table_name"), "column_name", "cell", "row_count"))
+
+
+def read_raw_csv(spark: SparkSession, path: str, name: str) -> DataFrame:
+    """Text and typing in one plan, for a look at a file without landing it."""
+    return type_raw(read_csv_text(spark, path, name), name)
 
 
 def ingest_csv(spark: SparkSession, raw_dir: str, out_root: str) -> dict:
-    """SRC1/SRC2: check every source file exists (before writing anything), then
-    write each raw table as parquet; row counts come from an Observation on
-    the write itself (no second scan). Returns {table: rows}."""
+    """SRC1/SRC2: check that every source file exists and has its columns (before
+    writing anything), land each file as text under ``<out_root>/_text``, then type
+    the text into the raw tables and list the cells that could not be typed. Row
+    counts come from an Observation on the write itself (no second scan).
+    Returns {table: rows}."""
     from ..session import path_exists
+    root = out_root.rstrip("/")
     paths = {n: f"{raw_dir.rstrip('/')}/{f}" for n, f in CSV_FILES.items()}
     missing = [p for p in paths.values() if not path_exists(spark, p)]
     if missing:
         raise FileNotFoundError(f"Missing raw source file: {missing[0]}")
-    counts = {}
-    for name, path in paths.items():
+    read = {name: read_csv_text(spark, path, name) for name, path in paths.items()}
+    counts, bad = {}, []
+    for name, df in read.items():
+        df.write.mode("overwrite").parquet(f"{root}/_text/{name}")
+        text = spark.read.parquet(f"{root}/_text/{name}")
         obs = Observation(name)
-        (read_raw_csv(spark, path, name).observe(obs, F.count(F.lit(1)).alias("rows"))
-         .write.mode("overwrite").parquet(f"{out_root.rstrip('/')}/{name}"))
+        (type_raw(text, name).observe(obs, F.count(F.lit(1)).alias("rows"))
+         .write.mode("overwrite").parquet(f"{root}/{name}"))
         counts[name] = obs.get["rows"]
+        bad.append(unparsed_cells(text, name))
+    reduce(DataFrame.unionByName, bad).write.mode("overwrite").parquet(f"{root}/{BAD_CELLS}")
     return counts
 
 
+def read_unparsed_cells(spark: SparkSession, root: str) -> DataFrame:
+    return spark.read.parquet(f"{root.rstrip('/')}/{BAD_CELLS}")
+
+
+def write_csv(raw, folder: str) -> None:
+    """Export a raw model as the nine CSV sources (one folder of part files each)."""
+    for name, df in raw.items():
+        cols = [F.date_format(c, TS_FORMAT).alias(c) if t.startswith("timestamp") else F.col(c) for c, t in df.dtypes
+                if c != SEQ_COL]
+        (df.select(*cols).write.mode("overwrite").option("header", True).option("escape", '"')
+         .option("emptyValue", "").csv(f"{folder.rstrip('/')}/{CSV_FILES[name]}"))
+
+
 def write_raw(raw, out_root: str) -> dict:
     """Write a raw model (e.g. the test-data adapter) as the raw layer; counts
     via Observation on each write."""
