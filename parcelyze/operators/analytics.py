@@ -66,24 +66,27 @@ def monthly_kpis(fact: DataFrame, dim_date: DataFrame) -> DataFrame:
 
 
 # ------------------------------------------------------- 02 seller scorecard
-def seller_scorecard(fact: DataFrame, dim_seller: DataFrame, min_orders: int = 5) -> DataFrame:
-    """AGG8 + WIN1: single-seller orders per seller, HAVING >= min_orders, ranked
-    by the unrounded on-time ratio ascending (NULL first = worst)."""
+def seller_measures(fact: DataFrame, dim_seller: DataFrame, min_orders: int = 5) -> DataFrame:
+    """AGG8: single-seller orders per seller, HAVING >= min_orders, with the
+    unrounded on-time ratio as ``_ratio``. Lazy."""
     per_seller = (fact.filter(F.col("n_sellers") == 1)
                   .groupBy("seller_id").agg(*_partials()))
     s = (per_seller.join(dim_seller.select("seller_id", F.col("state").alias("seller_state")),
                          "seller_id", "inner")
          .groupBy("seller_id", "seller_state").agg(*_resum())
          .filter(F.col("_rows") >= min_orders))
-    s = s.withColumn("_ratio", _pct(None))
-    s = global_rank(s, "_ratio", "worst_on_time_rank")
-    return (s.select("seller_id", "seller_state",
-                     F.col("_rows").alias("order_count"),
-                     r2("_ratio").alias("on_time_pct"),
-                     r2(_avg("delivery_delay_days")).alias("avg_delay_days"),
-                     r2(_avg("review_score")).alias("avg_review_score"),
-                     "worst_on_time_rank")
-            .orderBy(F.col("on_time_pct").asc_nulls_first(), "seller_id"))
+    ratio = _pct(None)
+    return s.select("seller_id", "seller_state", F.col("_rows").alias("order_count"),
+                    r2(ratio).alias("on_time_pct"),
+                    r2(_avg("delivery_delay_days")).alias("avg_delay_days"),
+                    r2(_avg("review_score")).alias("avg_review_score"), ratio.alias("_ratio"))
+
+
+def seller_scorecard(fact: DataFrame, dim_seller: DataFrame, min_orders: int = 5) -> DataFrame:
+    """AGG8 + WIN1: the measures ranked by the unrounded on-time ratio ascending
+    (NULL first = worst). The rank runs a job that writes the per-seller rows."""
+    s = global_rank(seller_measures(fact, dim_seller, min_orders), "_ratio", "worst_on_time_rank")
+    return s.drop("_ratio").orderBy(F.col("on_time_pct").asc_nulls_first(), "seller_id")
 
 
 # ------------------------------------------------------ 03 state performance
@@ -139,19 +142,22 @@ def root_cause_breakdown(fact: DataFrame, seller_ids=None) -> DataFrame:
     """AGG11 / FLT3: stage averages per seller over single-seller orders.
 
     ``seller_ids``: None = every seller; a string = one seller (the bound
-    parameter form); a DataFrame with a seller_id column = a semi-join on that
-    set (one job for all flagged sellers instead of one query per seller)."""
+    parameter form); a DataFrame with a seller_id column = those sellers, joined
+    to the aggregated rows (one per seller) and keeping the columns it brings
+    (one job for all flagged sellers instead of one query per seller)."""
     f = fact.filter((F.col("n_sellers") == 1) & F.col("seller_id").isNotNull())
     if isinstance(seller_ids, str):
         f = f.filter(F.col("seller_id") == F.lit(seller_ids))
-    elif seller_ids is not None:
-        f = f.join(seller_ids.select("seller_id"), "seller_id", "left_semi")
-    return f.groupBy("seller_id").agg(
+    per = f.groupBy("seller_id").agg(
         F.count(F.lit(1)).alias("order_count"),
         r2(F.avg("processing_days")).alias("avg_processing_days"),
         r2(F.avg("carrier_pickup_days")).alias("avg_carrier_pickup_days"),
         r2(F.avg("shipping_days")).alias("avg_shipping_days"),
         r2(F.avg("delivery_delay_days")).alias("avg_delay_days"))
+    if seller_ids is None or isinstance(seller_ids, str):
+        return per
+    brought = [c for c in seller_ids.columns if c not in per.columns]
+    return per.join(seller_ids.select("seller_id", *brought), "seller_id")
 
 
 # ------------------------------------------------------- 06 payment vs outcome

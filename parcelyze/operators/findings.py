@@ -1,7 +1,7 @@
 """Grounded root-cause findings for flagged sellers (retrieve -> classify ->
 draft -> validate), as column expressions over ALL flagged sellers at once.
 
-One plan: z-scores -> top-N flagged -> semi-join into the stage breakdown ->
+One plan: z-scores -> top-N flagged -> joined to the stage breakdown ->
 dominant stage -> narrative + recommendation -> groundedness check. There is
 no per-seller loop or query; every step is a projection over the joined rows.
 Numbers are formatted HALF_UP by one shared formatter, so the narrative and
@@ -109,10 +109,10 @@ def draft_findings(ctx: DataFrame) -> DataFrame:
 
 def investigate(fact: DataFrame, sellers: DataFrame) -> DataFrame:
     """AG1 + AG6: findings for a set of (seller_id, z_score) rows; sellers with
-    no single-seller orders produce nothing (inner join)."""
-    ctx = A.root_cause_breakdown(fact, sellers).join(sellers.select("seller_id", "z_score"),
-                                                     "seller_id", "inner")
-    return draft_findings(ctx)
+    no single-seller orders produce nothing (inner join). ``sellers`` is read by
+    one join only: a limited set that is not stable between two evaluations
+    cannot lose a seller."""
+    return draft_findings(A.root_cause_breakdown(fact, sellers.select("seller_id", "z_score")))
 
 
 def seller_findings(fact: DataFrame, top_n: int | None = 5, min_orders: int = 10,

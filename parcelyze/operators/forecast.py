@@ -31,6 +31,21 @@ def series_arrays(series: DataFrame, keys=(), period: str = "year_month",
                  .alias("pts"), F.max(period).alias("last_period")))
 
 
+def fill_gaps(series: DataFrame, keys=(), period: str = "year_month", value: str = "order_count") -> DataFrame:
+    """The series with a 0 for every month without a row between a key's first
+    and last month. The default series skips such months."""
+    keys = list(keys)
+    month = F.to_date(F.concat(F.col(period), F.lit("-01")))
+    span = series.groupBy(*keys).agg(F.min(month).alias("lo"), F.max(month).alias("hi"))
+    every = span.filter("lo IS NOT NULL").select(
+        *[F.col(k).alias(f"_k_{k}") for k in keys],
+        F.explode(F.sequence("lo", "hi", F.expr("INTERVAL 1 MONTH"))).alias("_period")).withColumn(
+        "_period", F.date_format("_period", "yyyy-MM"))
+    j = every.join(series, _same_keys(series, every, keys) & (F.col(period) == F.col("_period")), "left")
+    return j.select(*[F.col(f"_k_{k}").alias(k) for k in keys], F.col("_period").alias(period),
+                    F.coalesce(F.col(value), F.lit(0)).cast("bigint").alias(value))
+
+
 def _holt_pass(pts: Column, a: Column, bt: Column) -> Column:
     """One fold over the series for fixed (alpha, beta); the finish step solves
     the 2x2 normal equation, so the result is a struct (l0, b0, sse, level,
@@ -84,6 +99,14 @@ def _best(rows: DataFrame, keys) -> DataFrame:
     return best.select(*keys, "m.*")
 
 
+def _same_keys(left: DataFrame, right: DataFrame, keys) -> Column:
+    """Null-safe equality of the key columns; ``right`` has them as _k_<name>."""
+    cond = F.lit(True)
+    for k in keys:
+        cond = cond & left[k].eqNullSafe(right[f"_k_{k}"])
+    return cond
+
+
 def _with_best(arr: DataFrame, ab: Column) -> DataFrame:
     return arr.withColumn("_ab", ab).withColumn("_a0", F.col("_ab.a")) \
               .withColumn("_b0", F.col("_ab.b")).drop("_ab")
@@ -91,7 +114,9 @@ def _with_best(arr: DataFrame, ab: Column) -> DataFrame:
 
 def holt_fit(series: DataFrame, keys=(), period: str = "year_month", value: str = "order_count",
              step: float = 0.01, refine: bool = True) -> DataFrame:
-    """One row per key: alpha, beta, l0, b0, sse, final level and trend."""
+    """One row per key (a NULL key included): alpha, beta, l0, b0, sse, final level
+    and trend; all NULL but ``last_period`` for a key whose series is too short to
+    fit (fewer than two periods)."""
     keys = list(keys)
     arr = series_arrays(series, keys, period, value)
     n = int(round(1 / step))
@@ -99,10 +124,11 @@ def holt_fit(series: DataFrame, keys=(), period: str = "year_month", value: str
               .withColumn("_j", F.explode(F.sequence(F.lit(0), F.col("_i")))))
     best = _best(_fit_rows(coarse, keys, F.col("_i") / n, F.col("_j") / n), keys)
     if not refine:
-        return best
+        return _every_key(arr, best, keys)
     fine_n = 10 * n
-    around = (arr.join(best.select(*keys, F.col("alpha").alias("_a0"), F.col("beta").alias("_b0")),
-                       keys, "inner") if keys else
+    won = best.select(*[F.col(k).alias(f"_k_{k}") for k in keys],
+                      F.col("alpha").alias("_a0"), F.col("beta").alias("_b0"))
+    around = (arr.join(won, _same_keys(arr, won, keys), "inner") if keys else
               # one struct-valued scalar subquery (reused), not one per field
               _with_best(arr, best.select(F.struct(F.col("alpha").alias("a"),
                                                    F.col("beta").alias("b"))).scalar()))
@@ -113,12 +139,21 @@ def holt_fit(series: DataFrame, keys=(), period: str = "year_month", value: str
             .withColumn("_bi", F.round(F.col("_b0") * fine_n).cast("int") + F.col("_j"))
             .filter((F.col("_ai") >= 1) & (F.col("_ai") <= fine_n)
                     & (F.col("_bi") >= 0) & (F.col("_bi") <= F.col("_ai"))))
-    return _best(_fit_rows(fine, keys, F.col("_ai") / fine_n, F.col("_bi") / fine_n), keys)
+    return _every_key(arr, _best(_fit_rows(fine, keys, F.col("_ai") / fine_n, F.col("_bi") / fine_n), keys), keys)
+
+
+def _every_key(arr: DataFrame, fit: DataFrame, keys) -> DataFrame:
+    """``fit`` with a row of NULLs for every key that has none."""
+    if not keys:
+        return fit
+    have = fit.select(*[F.col(k).alias(f"_k_{k}") for k in keys], *[c for c in fit.columns if c not in [*keys, "last_period"]])
+    every = arr.select(*keys, "last_period")
+    return every.join(have, _same_keys(every, have, keys), "left").select(*fit.columns)
 
 
 def forecast_rows(fit: DataFrame, keys=(), horizon: int = 3) -> DataFrame:
     """FC4: level + h * trend for h = 1..horizon, half-even rounded to an int,
-    labelled with the following months (yyyy-MM)."""
+    labelled with the following months (yyyy-MM); NULL where nothing was fitted."""
     keys = list(keys)
     h = F.explode(F.sequence(F.lit(1), F.lit(horizon))).alias("h")
     f = fit.select(*keys, "last_period", "level", "trend", h)
@@ -138,9 +173,11 @@ def holt_fixed_fit(series: DataFrame, alpha: float, beta: float, keys=(),
                    period: str = "year_month", value: str = "order_count") -> DataFrame:
     """FC3: the same recursion with fixed smoothing and l0 = y0, b0 = y1 - y0."""
     keys = list(keys)
-    arr = series_arrays(series, keys, period, value).filter(F.size("pts") >= 2)
+    arr = series_arrays(series, keys, period, value)
+    if not keys:
+        arr = arr.filter(F.size("pts") >= 2)
     a, bt = F.lit(float(alpha)), F.lit(float(beta))
-    y0, y1 = F.col("pts")[0]["y"], F.col("pts")[1]["y"]
+    y0, y1 = F.col("pts")[0]["y"], F.get("pts", F.lit(1))["y"]      # one period: NULL trend and forecast
     init = F.struct(y0.alias("l"), (y1 - y0).alias("b"))
 
     def step(s, p):
@@ -148,7 +185,9 @@ def holt_fixed_fit(series: DataFrame, alpha: float, beta: float, keys=(),
         return F.struct(l2.alias("l"), (bt * (l2 - s["l"]) + (1 - bt) * s["b"]).alias("b"))
 
     s = F.aggregate("pts", init, step)
-    return arr.select(*keys, "last_period", s["l"].alias("level"), s["b"].alias("trend"))
+    long_enough = F.size("pts") >= 2
+    return arr.select(*keys, "last_period", F.when(long_enough, s["l"]).alias("level"),
+                      F.when(long_enough, s["b"]).alias("trend"))
 
 
 def volume_with_forecast(history: DataFrame, forecast: DataFrame, keys=()) -> DataFrame:

@@ -5,15 +5,15 @@ from __future__ import annotations
 from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
-
 from . import star
 
 
 class StarModel:
     """Dimensions and facts built from a raw model (any mapping name -> DataFrame).
 
-    Properties are cached *plans*, not data; nothing runs until an action."""
+    Properties are cached *plans*, not data; nothing runs until an action, with one
+    exception: the exact medians of ``dim_geography`` write their distinct value
+    counts (two small jobs) when the property is first read."""
 
     def __init__(self, raw, dedupe_items: bool = False):
         self.raw = raw
@@ -84,12 +84,12 @@ class TableModel:
 def with_year_month(fact: DataFrame, dim_date: DataFrame) -> DataFrame:
     """fact JOIN dim_date ON date_key (JN3); rows without a calendar day drop out.
 
-    dim_date has one row per calendar day between the first and last purchase,
-    so its size is bounded by the calendar span, not by data volume: it is the
-    one side this library broadcasts explicitly. When the fact table carries
+    dim_date has one row per calendar day between the first and last purchase.
+    One wrong date can stretch that span to millions of days, so no broadcast is
+    forced: the planner decides by the measured size. When the fact table carries
     its own ``year_month`` (the written, month-partitioned fact), the calendar
     is only a semi-join filter and the month comes from the fact, so a month
     filter downstream prunes fact partitions at the scan."""
     if "year_month" in fact.columns:
-        return fact.join(F.broadcast(dim_date.select("date_key")), "date_key", "left_semi")
-    return fact.join(F.broadcast(dim_date.select("date_key", "year_month")), "date_key", "inner")
+        return fact.join(dim_date.select("date_key"), "date_key", "left_semi")
+    return fact.join(dim_date.select("date_key", "year_month"), "date_key", "inner")

@@ -22,6 +22,8 @@ from pyspark.sql import functions as F
 from ..session import materialize
 
 _UNB = Window.unboundedPreceding
+#: Parts that a group's distinct values are dealt into when they meet its cuts.
+SALTS = 16
 
 
 def distinct_counts(df: DataFrame, key: Column | str) -> DataFrame:
@@ -111,20 +113,28 @@ def grouped_exact_quantiles(df: DataFrame, groups, col: str, probs, buckets: int
     """Per group: exact linear-interpolation quantiles of the non-NULL values of
     ``col`` (columns q<i>), without holding a whole group in one task.
 
-    Distinct (group, value) counts are materialized once; each group's values
-    are cut into ``buckets`` value ranges at that group's approximate quantiles
-    (a bounded sketch per group); start positions come from per-group bucket
-    totals (<= buckets rows per group) plus running sums inside one
-    (group, bucket) -- so a group holding a third of all rows is spread over
-    its buckets. Equal values share a bucket, so results are exact."""
+    Distinct (group, value) counts are materialized once (this runs a job); each
+    group's values are cut into ``buckets`` value ranges at that group's
+    approximate quantiles (a bounded sketch per group); start positions come from
+    per-group bucket totals (<= buckets rows per group) plus running sums inside
+    one (group, bucket). Equal values share a bucket, so results are exact.
+
+    A group holding a third of all rows must not meet its cut points in one
+    task: values are salted by a hash, the cut points are repeated once per
+    salt, and the join key is (group, salt). The bucketed values are then dealt
+    by (group, bucket); without that explicit exchange the planner would keep
+    the join's partitioning by group for the windows."""
     groups = list(groups)
     x = df.select(*groups, F.col(col).cast("double").alias("_x")).filter(F.col("_x").isNotNull())
     vc = materialize(x.groupBy(*groups, "_x").agg(F.count(F.lit(1)).alias("_n")), "gcounts")
     cut_p = [i / buckets for i in range(1, buckets)]
     cuts = vc.groupBy(*groups).agg(F.percentile_approx("_x", cut_p, 10000).alias("_cuts"),
                                    F.sum("_n").alias("_tot"))
-    vb = (vc.join(cuts, groups, "inner")
-          .withColumn("_b", F.size(F.filter("_cuts", lambda c: c < F.col("_x")))).drop("_cuts"))
+    cuts = cuts.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    salted = vc.withColumn("_salt", F.pmod(F.xxhash64("_x"), F.lit(SALTS)).cast("int"))
+    vb = (salted.join(cuts, [*groups, "_salt"], "inner")
+          .withColumn("_b", F.size(F.filter("_cuts", lambda c: c < F.col("_x")))).drop("_cuts", "_salt")
+          .repartition(*groups, "_b"))
     offs = (vb.groupBy(*groups, "_b").agg(F.sum("_n").alias("_bn"))
             .select(*groups, "_b", F.coalesce(F.sum("_bn").over(
                 Window.partitionBy(*groups).orderBy("_b").rowsBetween(_UNB, -1)), F.lit(0)).alias("_off")))

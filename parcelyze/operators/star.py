@@ -46,16 +46,19 @@ def dim_date(raw_orders: DataFrame) -> DataFrame:
 def dim_geography(raw_geolocation: DataFrame, approx: bool = False) -> DataFrame:
     """One row per zip prefix: median lat/lng, modal city/state (smallest on ties).
 
-    Exact medians use grouped_exact_quantiles: a zip holding a third of all
-    geocodes is spread over value buckets instead of one in-memory value map
-    in one task. Modes keep a map of distinct city/state names per zip (few).
-    ``approx=True`` uses a fixed-size quantile sketch per zip instead."""
+    Exact medians use grouped_exact_quantiles (two small jobs run when this is
+    called): a zip holding a third of all geocodes is spread over value buckets
+    instead of one in-memory value map in one task. Modes are two-level counts
+    with min(struct), like the other modal values. ``approx=True`` uses a fixed-size quantile sketch per zip instead."""
     from .ranking import grouped_exact_quantiles
     g = raw_geolocation.filter(F.col("geolocation_zip_code_prefix").isNotNull()) \
         .withColumnRenamed("geolocation_zip_code_prefix", "zip_prefix")
-    modes = g.groupBy("zip_prefix").agg(
-        F.mode("geolocation_city", deterministic=True).alias("city"),
-        F.mode("geolocation_state", deterministic=True).alias("state"))
+    modes = g.select("zip_prefix").distinct()
+    for col, name in (("geolocation_city", "city"), ("geolocation_state", "state")):
+        counted = g.filter(F.col(col).isNotNull()).groupBy("zip_prefix", F.col(col).alias("_v")).agg(
+            F.count(F.lit(1)).alias("_n"))
+        best = counted.groupBy("zip_prefix").agg(F.min(F.struct((-F.col("_n")).alias("n"), "_v")).alias("_m"))
+        modes = modes.join(best.select("zip_prefix", F.col("_m._v").alias(name)), "zip_prefix", "left")
     if approx:
         med = g.groupBy("zip_prefix").agg(
             F.percentile_approx("geolocation_lat", 0.5, 10000).cast("double").alias("lat"),

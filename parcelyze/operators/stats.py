@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.rules import clip, r2
+from ..session import materialize
 from .ranking import distinct_counts, exact_quantiles
 
 DELAY = "delivery_delay_days"
@@ -88,8 +89,11 @@ def seller_delay_profile(fact: DataFrame) -> DataFrame:
 def seller_zscore(fact: DataFrame, min_orders: int = 10, z_threshold: float = 1.5) -> DataFrame:
     """ST3: z of each seller's mean delay against the population of sellers with
     >= min_orders (mean and sample std over those sellers only); flag |z| >=
-    threshold (two-sided). Zero or undefined spread gives z NULL, flag false."""
-    kept = seller_delay_profile(fact).filter(F.col("order_count") >= min_orders)
+    threshold (two-sided). Zero or undefined spread gives z NULL, flag false.
+
+    The per-seller rows are written once (this runs a job): the population's mean
+    and spread and the scores read that small table, and the facts are read once."""
+    kept = materialize(seller_delay_profile(fact).filter(F.col("order_count") >= min_orders), "sellers")
     pop = kept.select(F.struct(F.avg("avg_delay").alias("mu"),
                                F.stddev_samp("avg_delay").alias("sigma"))).scalar()
     z = F.try_divide(F.col("avg_delay") - F.col("_pop.mu"), F.col("_pop.sigma"))
@@ -116,6 +120,7 @@ def zscore_counts(zscores: DataFrame) -> DataFrame:
 
 
 # ---------------------------------------------------------- correlation
+# The names of the reported correlations.
 CORR_PAIRS = [("installments_vs_delay_corr", "payment_installments", DELAY),
               ("freight_vs_delay_corr", "total_freight", DELAY),
               ("delay_vs_review_corr", DELAY, "review_score")]
