@@ -128,7 +128,7 @@ def run_pipeline(spark: SparkSession, raw_source, root: str | None = None,
         log.log("pipeline", "SUCCESS", LOG_DETAIL["pipeline"].format(secs=time.time() - start))
         return root, log
     except Exception as e:
-        log.log("pipeline", "FAILED", str(e)[:2000])
+        log.log("pipeline", "FAILED", str(e))
         raise
 
 

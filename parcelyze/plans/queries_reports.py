@@ -2,20 +2,28 @@
 
 from __future__ import annotations
 
+import threading
+import uuid
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..operators import analytics as A
 from ..operators import findings as G
 from ..operators import forecast as H
 from ..operators import reports as P
+from ..operators import quality as Q
 from ..operators import stats as S
+from ..operators.model import TableModel
+from ..session import app_id, scratch_path
+from ..sources.ingest import ingest_csv, read_raw_layer, row_counts, write_csv
 from .oracle import FMT, R
-from .queries_quality import _ALL_DQ, _sq, dq_results
+from .pipeline import run_pipeline, write_dq
+from .queries_quality import _ALL_DQ, REPORT_TS, _sq, dq_results
 from .queries_stats import _Z
 from .registry import _MONTHLY_SQL, _ROOT_CAUSE_SQL, model, query, _raw
+from .sql_runner import run_query
 
 # ------------------------------------------------------------------ forecast
 TRIM_START, TRIM_END = "2017-01", "2018-08"
@@ -272,7 +280,7 @@ FROM _sc ORDER BY on_time_pct ASC NULLS LAST, seller_id LIMIT 15""", {
     "_sc": _body("seller_scorecard")})
 def q_worst_sellers(spark, sf_dir):
     m = model(spark, sf_dir)
-    return P.worst_sellers(A.seller_scorecard(m.fact_orders, m.dim_seller))
+    return P.worst_sellers(A.seller_measures(m.fact_orders, m.dim_seller))
 
 
 @query("worst_states", """
@@ -303,19 +311,176 @@ def q_run_all_analytics(spark, sf_dir):
     return reduce(DataFrame.unionByName, parts)
 
 
-@query("run_pipeline")
-def q_run_pipeline(spark, sf_dir):
-    """PL1: run the four-stage job on the adapted raw model into the shared
-    checkpoint folder; returns the run log (stage, status, detail)."""
-    from .pipeline import run_pipeline
-    _, log = run_pipeline(spark, _raw(spark, sf_dir))
-    return log.frame().select("stage", "status", "detail")
+@query("sql_root_cause_one_seller", f"""
+SELECT * FROM ({_ROOT_CAUSE_SQL})
+WHERE seller_id = (SELECT min(seller_id) FROM fact_orders WHERE n_sellers = 1)""")
+def q_sql_root_cause_one_seller(spark, sf_dir):
+    """FLT3: the seller query with its bound parameter, for the first seller by id."""
+    m = model(spark, sf_dir)
+    first = m.fact_orders.filter("n_sellers = 1").agg(F.min("seller_id")).first()[0]
+    return run_query(spark, m, "root_cause_breakdown", {"seller_id": first})
+
+
+def _register_sql(name):
+    @query(f"sql_{name}", _body(name))
+    def run(spark, sf_dir):
+        return run_query(spark, model(spark, sf_dir), name)
+    run.__doc__ = f"SRC5: the SQL file {name}.sql."
+
+
+for _, _name in _ANALYTICS:
+    _register_sql(_name)
+
+
+_RUNS: dict = {}
+_RUN_LOCK = threading.Lock()
+
 
+def pipeline_run(spark, sf_dir):
+    """(root, log) of one four-stage job on the adapted raw model, run once per
+    application and input folder; its stored tables serve several queries."""
+    key = (app_id(spark), sf_dir.rstrip("/"))
+    with _RUN_LOCK:
+        if key not in _RUNS:
+            _RUNS[key] = run_pipeline(spark, _raw(spark, sf_dir), run_ts=REPORT_TS)
+        return _RUNS[key]
 
-@query("pipeline_run_log")
+
+_RAW_NAMES = ["raw_orders", "raw_order_items", "raw_order_payments", "raw_order_reviews", "raw_customers",
+              "raw_sellers", "raw_products", "raw_geolocation", "raw_category_translation"]
+_MODEL_NAMES = ["dim_date", "dim_geography", "dim_customer", "dim_seller", "dim_product", "fact_order_items", "fact_orders"]
+
+
+def _total(names):
+    return "(SELECT sum(n) FROM (" + " UNION ALL ".join(f"SELECT count(*) AS n FROM {n}" for n in names) + "))::BIGINT"
+
+
+@query("run_pipeline", f"""
+SELECT 'ingest' AS stage, 'OK' AS status, {_total(_RAW_NAMES)} AS counted, NULL::BIGINT AS flagged
+UNION ALL SELECT 'validate_raw', 'OK', count(*), count(*) FILTER (passed = 0) FROM {_ALL_DQ} WHERE layer = 'raw'
+UNION ALL SELECT 'transform_load', 'OK', {_total(_MODEL_NAMES)}, NULL
+UNION ALL SELECT 'validate_modeled', CASE WHEN min(passed) = 0 THEN 'DEGRADED' ELSE 'OK' END, count(*),
+                 count(*) FILTER (passed = 0) FROM {_ALL_DQ} WHERE layer = 'modeled'
+UNION ALL SELECT 'pipeline', 'SUCCESS', NULL, NULL""")
+def q_run_pipeline(spark, sf_dir):
+    """PL1: the stages of a run as its log has them: status, rows or checks counted,
+    checks flagged."""
+    _, log = pipeline_run(spark, sf_dir)
+    digits = F.regexp_extract("detail", r"^([\d,]+) ", 1)
+    flagged = F.regexp_extract("detail", r", (\d+) (?:flagged|failed)", 1)
+    return log.frame().select("stage", "status", F.translate(digits, ",", "").try_cast("bigint").alias("counted"),
+                              flagged.try_cast("bigint").alias("flagged"))
+
+
+@query("pipeline_run_log", """
+SELECT stage, 1::BIGINT AS entries, 1::BIGINT AS dated, row_number() OVER () AS place
+FROM (VALUES ('ingest'), ('validate_raw'), ('transform_load'), ('validate_modeled'), ('pipeline')) AS stages(stage)""")
 def q_pipeline_run_log(spark, sf_dir):
-    """SNK4: the JSON-lines run log as written by a pipeline run (ts, stage,
-    status, detail), read back from the shared storage root."""
-    from .pipeline import run_pipeline
-    _, log = run_pipeline(spark, _raw(spark, sf_dir))
-    return log.frame()
+    """SNK4: the JSON-lines run log as written: one dated entry per stage, in order."""
+    _, log = pipeline_run(spark, sf_dir)
+    per = log.frame().groupBy("stage").agg(F.count(F.lit(1)).alias("entries"), F.count("ts").alias("dated"), F.min("ts").alias("t"))
+    return per.select("stage", "entries", "dated", F.row_number().over(Window.orderBy("t")).cast("bigint").alias("place"))
+
+
+@query("pipeline_dq_results", f"SELECT * FROM {_ALL_DQ}")
+def q_pipeline_dq_results(spark, sf_dir):
+    """SNK2/SNK3: the stored results table of a pipeline run, after its modeled
+    validation was run a second time (a partition is replaced, not appended to)."""
+    root, _ = pipeline_run(spark, sf_dir)
+    m = TableModel(spark, f"{root}/model")
+    write_dq(Q.modeled_checks(m, spark.read.parquet(f"{root}/raw/raw_orders"), REPORT_TS), root, "modeled")
+    return spark.read.parquet(f"{root}/data_quality_results").select(*Q.RESULT_COLS)
+
+
+# ------------------------------------------------------------------ CSV ingest
+_INGESTS: dict = {}
+
+
+def csv_round_trip(spark, sf_dir):
+    """The raw layer that ingest makes of the adapter tables exported to CSV, built
+    once per application and input folder."""
+    key = (app_id(spark), sf_dir.rstrip("/"))
+    with _RUN_LOCK:
+        if key not in _INGESTS:
+            root = scratch_path(spark, "csv", app_id(spark), uuid.uuid4().hex)
+            write_csv(model(spark, sf_dir).raw, f"{root}/source")
+            ingest_csv(spark, f"{root}/source", f"{root}/raw")
+            _INGESTS[key] = f"{root}/raw"
+        return read_raw_layer(spark, _INGESTS[key])
+
+
+@query("csv_ingest_orders", "SELECT * FROM raw_orders")
+def q_csv_ingest_orders(spark, sf_dir):
+    """SRC1/PRJ3: orders exported to CSV, landed as text and typed again."""
+    return csv_round_trip(spark, sf_dir)["raw_orders"]
+
+
+@query("csv_ingest_items", "SELECT * FROM raw_order_items")
+def q_csv_ingest_items(spark, sf_dir):
+    return csv_round_trip(spark, sf_dir)["raw_order_items"].drop("_seq")
+
+
+@query("csv_ingest_counts", " UNION ALL ".join(
+    f"SELECT {_sq(n)} AS table_name, count(*) AS row_count FROM {n}" for n in _RAW_NAMES))
+def q_csv_ingest_counts(spark, sf_dir):
+    return row_counts(csv_round_trip(spark, sf_dir))
+
+
+# ----------------------------------------------------------- forecast per key
+_STATE_SERIES = f"""
+SELECT CASE WHEN state NOT LIKE 'A%' THEN state END AS state, year_month, count(*) AS order_count
+FROM _fym JOIN dim_customer USING (customer_id)
+WHERE year_month BETWEEN '{TRIM_START}' AND '{TRIM_END}' GROUP BY ALL
+UNION ALL SELECT 'one month only', '{TRIM_START}', 7"""
+
+
+def _state_series(spark, sf_dir):
+    """Monthly orders per customer state; states that begin with A go to a NULL
+    key, and one key has a single month."""
+    m = model(spark, sf_dir)
+    state = F.when(~F.col("state").startswith("A"), F.col("state"))
+    f = m.fact_orders.join(m.dim_customer.select("customer_id", state.alias("state")), "customer_id")
+    s = A.monthly_volume_trimmed(f, m.dim_date, TRIM_START, TRIM_END, keys=["state"])
+    short = spark.range(1).select(F.lit("one month only").alias("state"), F.lit(TRIM_START).alias("year_month"),
+                                  F.lit(7).cast("bigint").alias("order_count"))
+    return s.unionByName(short)
+
+
+@query("holt_forecast_by_state", f"""
+SELECT state, strftime(CAST(last_period || '-01' AS DATE) + to_months(CAST(k.h AS INTEGER)), '%Y-%m') AS year_month,
+       CASE WHEN n >= 2 THEN CAST(round_even(l + k.h * b, 0) AS BIGINT) END AS forecasted_order_count
+FROM (SELECT h.key, h.l, h.b, s.state, s.last_period, s.n
+      FROM _kh h JOIN (SELECT key, any_value(state) AS state, max(year_month) AS last_period, count(*) AS n
+                       FROM _ks GROUP BY key) s ON h.key = s.key AND h.i = s.n) f,
+     (SELECT unnest(range(1, {HORIZON + 1})) AS h) k""", {
+    "_ks": f"""SELECT state, coalesce(state, '-') AS key, year_month, CAST(order_count AS DOUBLE) AS y,
+                      row_number() OVER (PARTITION BY state ORDER BY year_month) - 1 AS i FROM ({_STATE_SERIES})""",
+    "_kh": f"""SELECT key, 0 AS i, max(CASE WHEN i = 0 THEN y END) AS l,
+                      coalesce(max(CASE WHEN i = 1 THEN y END), 0) - max(CASE WHEN i = 0 THEN y END) AS b
+               FROM _ks GROUP BY key
+               UNION ALL
+               SELECT h.key, h.i + 1, {_L2}, {_B} * ({_L2} - h.l) + ({_dbl(1)} - {_B}) * h.b
+               FROM _kh h JOIN _ks s ON s.key = h.key AND s.i = h.i""",
+}, recursive=True)
+def q_holt_forecast_by_state(spark, sf_dir):
+    """FC3 per key, a NULL key and a key of one month included."""
+    fit = H.holt_fixed_fit(_state_series(spark, sf_dir), FIXED_ALPHA, FIXED_BETA, ["state"])
+    return H.forecast_rows(fit, ["state"], HORIZON)
+
+
+@query("forecast_fit_keys", f"""
+SELECT state, max(year_month) AS last_period, count(*) >= 2 AS fitted FROM ({_STATE_SERIES}) GROUP BY state""")
+def q_forecast_fit_keys(spark, sf_dir):
+    """FC2 per key: every key has a row after the refined fit, fitted or not."""
+    fit = H.holt_fit(_state_series(spark, sf_dir), ["state"], step=0.1)
+    return fit.select("state", "last_period", F.col("level").isNotNull().alias("fitted"))
+
+
+@query("volume_without_gaps", f"""
+SELECT k.state, strftime(k.m, '%Y-%m') AS year_month, coalesce(s.order_count, 0) AS order_count
+FROM (SELECT state, unnest(generate_series(min((year_month || '-01')::DATE)::TIMESTAMP,
+                                           max((year_month || '-01')::DATE)::TIMESTAMP, INTERVAL 1 MONTH)) AS m
+      FROM ({_STATE_SERIES}) GROUP BY state) k
+LEFT JOIN ({_STATE_SERIES}) s ON s.state IS NOT DISTINCT FROM k.state AND s.year_month = strftime(k.m, '%Y-%m')""")
+def q_volume_without_gaps(spark, sf_dir):
+    return H.fill_gaps(_state_series(spark, sf_dir), ["state"])

@@ -1,8 +1,7 @@
 -- Seller-months whose mean delay exceeds the mean of the seller's previous three
 -- qualifying months (rows, so gaps are skipped) by more than :threshold days.
 WITH seller_month AS (
-  SELECT /*+ BROADCAST(d) */ f.seller_id, d.year_month, count(*) AS order_count,
-         avg(f.delivery_delay_days) AS month_delay
+  SELECT f.seller_id, d.year_month, count(*) AS order_count, avg(f.delivery_delay_days) AS month_delay
   FROM fact_orders AS f
   INNER JOIN dim_date AS d USING (date_key)
   WHERE f.n_sellers = 1 AND f.delivery_delay_days IS NOT NULL
@@ -14,9 +13,9 @@ WITH seller_month AS (
   FROM seller_month
 )
 SELECT seller_id, year_month, order_count,
-       round(month_delay, 2)            AS avg_delay_days,
-       round(baseline, 2)               AS rolling_baseline_delay,
-       round(month_delay - baseline, 2) AS delay_deviation
+       round(round(month_delay, 12), 2)            AS avg_delay_days,
+       round(round(baseline, 12), 2)               AS rolling_baseline_delay,
+       round(round(month_delay - baseline, 12), 2) AS delay_deviation
 FROM scored
 WHERE baseline IS NOT NULL AND month_delay - baseline > :threshold
 ORDER BY delay_deviation DESC, seller_id, year_month

@@ -1,15 +1,17 @@
 """SRC5: the six operational questions as Spark SQL files, run by name with
 bound parameters (``spark.sql(text, args=...)``) over temp views of a model.
 
-The DataFrame functions in operators/analytics.py are the primary API (they
-pre-aggregate before dimension joins); these SQL texts are the same questions
-for users who work in SQL, and tests check that both give the same rows. The
+The DataFrame functions in operators/analytics.py are the primary API; these SQL
+texts are the same questions for users who work in SQL, shaped the same way
+(pre-aggregated before dimension joins, snapped before rounding), and both are
+registered against DuckDB twins. The
 one step plain SQL would run in a single task -- RANK() over all sellers -- is
 applied after the SQL with the distributed rank operator.
 """
 
 from __future__ import annotations
 
+import re
 from importlib import resources
 
 from pyspark.sql import DataFrame, SparkSession
@@ -20,7 +22,7 @@ DEFAULTS = {
     "seller_scorecard": {"min_orders": 5},
     "state_performance": {"min_orders": 20},
     "seller_month_anomalies": {"min_orders": 3, "threshold": 2.0},
-    "root_cause_breakdown": {"seller_id": None},
+    "root_cause_breakdown": {},
     "payment_vs_outcome": {},
 }
 PARAMETERIZED = {"root_cause_breakdown"}     # needs a caller-supplied seller_id
@@ -30,20 +32,31 @@ def sql_text(name: str) -> str:
     return resources.files(__package__).joinpath("sql", f"{name}.sql").read_text()
 
 
-def register_views(model) -> None:
-    """Expose the model's tables as temp views named like the tables."""
+def parameters(text: str) -> set:
+    """Names of the :markers of a query text, outside comments and quoted text."""
+    bare = re.sub(r"--[^\n]*|/\*.*?\*/|'(?:[^']|'')*'", " ", text, flags=re.S)
+    return set(re.findall(r"(?<!:):([A-Za-z_]\w*)", bare))
+
+
+def register_views(model, text: str) -> None:
+    """Expose the model tables that a query text names as temp views."""
     for name in ["dim_date", "dim_geography", "dim_customer", "dim_seller", "dim_product",
                  "fact_order_items", "fact_orders"]:
-        getattr(model, name).createOrReplaceTempView(name)
+        if re.search(rf"\b{name}\b", text):
+            getattr(model, name).createOrReplaceTempView(name)
 
 
 def run_query(spark: SparkSession, model, name: str, params: dict | None = None) -> DataFrame:
-    """Run one named query file with its bound parameters (named markers)."""
-    register_views(model)
-    args = {**DEFAULTS[name], **(params or {})}
+    """Run one named query file with its bound parameters (named markers). A
+    marker without a value, or a value without a marker, is an error."""
     text = sql_text(name)
-    used = {k: v for k, v in args.items() if f":{k}" in text}
-    df = spark.sql(text, args=used) if used else spark.sql(text)
+    wanted, args = parameters(text), {**DEFAULTS[name], **(params or {})}
+    missing = sorted(k for k in wanted if args.get(k) is None)
+    unknown = sorted(args.keys() - wanted)
+    if missing or unknown:
+        raise ValueError(f"query {name}: missing parameters {missing}, unknown parameters {unknown}")
+    register_views(model, text)
+    df = spark.sql(text, args=args) if args else spark.sql(text)
     return POST.get(name, lambda d: d)(df)
 
 
