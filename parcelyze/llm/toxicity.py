@@ -196,6 +196,9 @@ def fit(docs: DataFrame, labels: DataFrame, id_col="doc_id", text_col="text", la
     if not seen.get(1) or not seen.get(0):
         return Model(6.0 if seen.get(1) else -6.0)
     features = _select(rows, seen[1], seen[0], max_features, least)
+    if not features:                                   # nothing is typical of the toxic rows: the base rate
+        toxic, clean = seen[1] * scale[1], seen[0] * scale[0]
+        return Model(float(np.log(toxic / clean)))
     y, has, swaps = _encode(rows, features, terms)
     weight = np.where(y > 0, scale[1], scale[0])
     w, b = logistic(y, weight, has, swaps, len(features), swap_penalty=swap_penalty)

@@ -1,0 +1,101 @@
+"""The pipeline against plain versions of its stages, and its driver contract."""
+
+from collections import Counter
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+import __spark_entry__ as E
+import corpus_pipeline as cp
+from parcelyze.llm import language_id, toxicity
+
+from . import cases
+from .test_minhash import brute as brute_groups
+from .test_mixing import brute as brute_mix
+from .test_packing import brute as brute_tokens
+
+SF = "/root/testdata/sf0.01"
+
+
+@pytest.fixture(scope="module")
+def stages(spark):
+    """Rows after every stage, as Parquet would hand them on."""
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    out = [docs]
+    for _, f in cp.STAGES:
+        out.append(cp.materialize(f(spark, out[-1], SF), "test-pipeline"))
+    return out
+
+
+def rows(df):
+    return [tuple(r) for r in df.select("doc_id", "text", "lang", "source", "n_chars").collect()]
+
+
+def test_stage_names_and_columns(stages):
+    assert [n for n, _ in cp.STAGES] == ["language ID", "toxicity", "near dedup", "mixing", "packing"]
+    assert all(df.columns == stages[0].columns for df in stages[:5]) and cp.ORACLE_SQL is None
+
+
+def test_language_stage(spark, stages):
+    m = language_id.Encoder(language_id.fit(stages[0], train=language_id.train_fold()))
+    want = [r for r in rows(stages[0]) if not m.predict(r[1])[2]]
+    assert Counter(rows(stages[1])) == Counter(want)
+    assert len(want) >= 0.98 * stages[0].count()
+
+
+def test_toxicity_stage(spark, stages):
+    model = toxicity.fit(stages[1], spark.read.parquet(f"{SF}/labels.parquet"), train=toxicity.train_fold())
+    s = toxicity.Scorer(model)
+    assert Counter(rows(stages[2])) == Counter(r for r in rows(stages[1]) if s.score(r[1]) < 0.5)
+    gone = {r[0] for r in rows(stages[1])} - {r[0] for r in rows(stages[2])}
+    labels = {r.doc_id: r.toxic for r in spark.read.parquet(f"{SF}/labels.parquet").collect()}
+    assert sum(labels.get(i) == 0 for i in gone) <= 0.02 * len(labels)
+
+
+def test_near_dedup_stage(stages):
+    before = rows(stages[2])
+    keep = {i for i, _, c in brute_groups(before, 5) if i == c}
+    assert Counter(rows(stages[3])) == Counter(r for r in before if r[0] in keep)
+
+
+def test_mixing_stage(stages):
+    want = Counter()
+    for i, t, n in brute_mix(rows(stages[3])):
+        want[i, t] += n
+    assert Counter((r[0], r[1]) for r in rows(stages[4])) == +want
+
+
+def test_packing_stage(stages):
+    got = sorted(stages[5].collect(), key=lambda r: (r.sequence_id, r.offset))
+    docs, current = [], []
+    for r in got:
+        current += np.frombuffer(r.ids, "<u4").tolist()
+        if len(current) == r.doc_tokens:
+            docs.append((r.doc_id, tuple(current)))
+            current = []
+    assert Counter(docs) == Counter((i, tuple(t)) for i, t in brute_tokens(rows(stages[4])))
+
+
+def test_run_returns_the_last_stage(spark, stages):
+    got = E.queries()["pipeline"](spark, SF)
+    assert got.columns == stages[5].columns
+    key = ["doc_id", "start", "length", "sequence_id", "offset", "ids"]
+    assert got.select(*key).exceptAll(stages[5].select(*key)).count() == 0 and got.count() == stages[5].count()
+
+
+@pytest.mark.parametrize("name,stage", cp.STAGES)
+def test_awkward_documents_pass_every_stage(spark, name, stage):
+    df = cases.with_extra(cases.docs(spark))
+    got = stage(spark, df, SF)
+    if name == "packing":
+        whole = got.groupBy("doc_id").agg(F.sum("length").alias("n")).count()
+        assert whole == df.select("doc_id").distinct().count() and stage(spark, cases.empty(spark), SF).count() == 0
+        return
+    assert got.columns == df.columns and 0 < got.count() <= 2 * df.count()
+    assert stage(spark, cases.empty(spark), SF).count() == 0
+
+
+def test_near_dedup_keeps_one_row_of_a_repeated_id_and_rows_without_id(spark):
+    got = Counter(r["doc_id"] for r in cp.near_dedup_stage(spark, cases.docs(spark), SF).collect())
+    assert got[1] == 1 and got[None] == 2 and got[100] == 0 and got[101] == 0
