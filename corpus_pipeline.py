@@ -41,7 +41,7 @@ def near_dedup_stage(spark, docs, sf_dir):
     groups = minhash.near_duplicates(docs, words=5)
     dropped = groups.filter("component_id <> id").select(F.col("id").alias("doc_id")).distinct()
     kept = docs.filter("doc_id IS NOT NULL").join(dropped, "doc_id", "left_anti").dropDuplicates(["doc_id"])
-    return kept.select(*docs.columns).unionByName(docs.filter("doc_id IS NULL"))
+    return kept.select(*[F.col(f"`{c}`") for c in docs.columns]).unionByName(docs.filter("doc_id IS NULL"))
 
 
 def mixing_stage(spark, docs, sf_dir):

@@ -101,8 +101,8 @@ SELECT k.doc_id, CAST(coalesce(n.c, 0) AS BIGINT) AS n_shingles, component_id,
 FROM k LEFT JOIN n ON n.doc_id = k.doc_id""")
 def op1(spark, sf_dir):
     out = minhash.near_duplicates(table(spark, sf_dir, "documents"), words=2)
-    return out.select(F.col("id").alias("doc_id"), "n_shingles", "component_id",
-                      (F.col("id") == F.col("component_id")).alias("kept"))
+    kept = F.coalesce(F.col("id") == F.col("component_id"), F.lit(True))       # a NULL id is linked with nothing
+    return out.select(F.col("id").alias("doc_id"), "n_shingles", "component_id", kept.alias("kept"))
 
 
 @query("op2_toxicity")
