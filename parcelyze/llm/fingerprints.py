@@ -111,7 +111,8 @@ def versions(docs: DataFrame, id_col="doc_id", text_col="text") -> DataFrame:
     d = d.withColumn("kid", F.coalesce("id", F.lit(0))).withColumn("tie", F.xxhash64("text", F.col("id").isNull()))
     nxt = next_in_order(d.select("id", "kid", "tie", F.length("text").alias("n")))
     once = Window.partitionBy("kid", "tie").orderBy(F.lit(1))
-    texts = d.select("kid", "tie", "text").withColumn("copy", F.row_number().over(once))
+    # an exchange of its own below the window, so that both readers share it
+    texts = d.select("kid", "tie", "text").repartition("kid", "tie").withColumn("copy", F.row_number().over(once))
     half = F.floor(F.col("n") / 2).cast("int")
     to = nxt.select("id", "n", F.col("kid").alias("for_kid"), F.col("tie").alias("for_tie"),
                     F.col("next_kid").alias("kid"), F.col("next_tie").alias("tie"))
