@@ -88,7 +88,7 @@ def sketch(docs: DataFrame, id_col: str, text_col: str, words: int, hashes: int)
     def run(batches):
         family = Hashes(hashes)
         for whole in batches:
-            for b in row_slices(whole, "text", 4 << 20):
+            for b in row_slices(whole, "text", 1 << 20):
                 sets = shingle_sets(b.column("text"), words)
                 full = [i for i, s in enumerate(sets) if len(s)]
                 sig = dict(zip(full, family.signatures([sets[i] for i in full])))
@@ -150,8 +150,8 @@ def verified(pairs: DataFrame, texts: DataFrame, words: int, percent: int) -> Da
     """The pairs whose full sets have 100 * intersection >= percent * union."""
     def run(batches):
         for whole in batches:
-            for half in row_slices(whole, "ta", 2 << 20):
-                for b in row_slices(half, "tb", 2 << 20):
+            for half in row_slices(whole, "ta", 1 << 20):
+                for b in row_slices(half, "tb", 1 << 20):
                     x, y = shingle_sets(b.column("ta"), words), shingle_sets(b.column("tb"), words)
                     ok = []
                     for i, (s, t) in enumerate(zip(x, y)):
@@ -169,7 +169,7 @@ def shortened(texts: DataFrame, words: int) -> DataFrame:
     32 bits for a large set."""
     def run(batches):
         for whole in batches:
-            for b in row_slices(whole, "text", 4 << 20):
+            for b in row_slices(whole, "text", 1 << 20):
                 sets = shingle_sets(b.column("text"), words)
                 yield pa.RecordBatch.from_arrays(
                     [b.column("rep"), pa.array([len(x) for x in sets], pa.int64()),

@@ -97,9 +97,9 @@ class Counter:
             out[new] = [trie.insert(MARK + w) for w in spell(new)]
             if len(self.keys) + len(new) > self.max_words:
                 self.keys, self.counts = np.empty(0, np.uint64), np.empty(0, np.int64)
-            keys = np.concatenate([self.keys, hashes[new]])
-            order = np.argsort(keys, kind="stable")
-            self.keys, self.counts = keys[order], np.concatenate([self.counts, out[new]])[order]
+            order = new[np.argsort(hashes[new], kind="stable")]
+            place = np.searchsorted(self.keys, hashes[order])
+            self.keys, self.counts = np.insert(self.keys, place, hashes[order]), np.insert(self.counts, place, out[order])
         return out
 
     def count(self, texts: pa.Array):
@@ -147,7 +147,7 @@ def count_tokens(docs: DataFrame, id_col="doc_id", text_col="text", model: str |
             _COUNTERS[path, unknown] = Counter(zipf_vocabulary(path), unknown)
         counter = _COUNTERS[path, unknown]
         for whole in batches:
-            for b in row_slices(whole, "text", 4 << 20):
+            for b in row_slices(whole, "text", 1 << 20):
                 words, tokens = counter.count(b.column("text"))
                 yield pa.RecordBatch.from_arrays([b.column("id"), pa.array(words), pa.array(tokens)],
                                                  names=["id", "n_pretokens", "n_tokens"])

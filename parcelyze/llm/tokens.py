@@ -35,7 +35,7 @@ _ODD_SPACE = "[\\x{85}\\x{A0}\\x{1680}\\x{2000}-\\x{200A}\\x{2028}\\x{2029}\\x{2
 #: An odd base and its inverse modulo 2**64.
 _BASE = 0x9E3779B97F4A7C15
 _BACK = pow(_BASE, -1, 1 << 64)
-_WINDOW = 4 << 20
+_WINDOW = 1 << 20
 
 
 class _Powers:
@@ -104,10 +104,10 @@ class Encoder:
         size = np.fromiter(map(len, ids), np.int32, len(ids))
         at = len(self._flat) + np.cumsum(size, dtype=np.int64) - size
         flat = np.fromiter((x for y in ids for x in y), np.uint32, int(size.sum()))
-        keys = np.concatenate([self._keys, hashes])
-        order = np.argsort(keys, kind="stable")
-        self._keys, self._at = keys[order], np.concatenate([self._at, at])[order]
-        self._size, self._flat = np.concatenate([self._size, size])[order], np.concatenate([self._flat, flat])
+        order = np.argsort(hashes, kind="stable")
+        place = np.searchsorted(self._keys, hashes[order])
+        self._keys, self._at = np.insert(self._keys, place, hashes[order]), np.insert(self._at, place, at[order])
+        self._size, self._flat = np.insert(self._size, place, size[order]), np.concatenate([self._flat, flat])
 
     def _find(self, hashes: np.ndarray):
         """Positions of known hashes, and which of them are known."""
