@@ -15,6 +15,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from .common import materialize
+
 WORD = r"[^\x20\x09-\x0D]+"
 
 
@@ -86,12 +88,12 @@ def _with_copies(sized: DataFrame, t: DataFrame, seed: int) -> DataFrame:
 def emit(docs: DataFrame, id_col="doc_id", text_col="text", source_col="source", weights=(3.0, 1.0, 2.0),
          share: float = 1.5, max_repeat: float = 2.0, seed: int = 0) -> DataFrame:
     """The mixed corpus: every row of ``docs`` as often as the plan says, with
-    the columns of ``docs``. The text itself is not shuffled when the per-source
-    table is small enough to broadcast by its measured size."""
+    the columns of ``docs``. The per-source table is written first (one job), so
+    the planner knows its size: if it is small it is broadcast and no text moves."""
     size, src = "__size", "__source"
     d = docs.withColumn(size, word_count(F.col(text_col))).withColumn(src, F.col(source_col).cast("string"))
     t = targets(d.select(F.col(src).alias("source"), F.col(size).alias("size")), weights, share, max_repeat)
-    t = t.select(F.col("source").alias("__t"), F.col("source_size").alias("__ss"), F.col("target").alias("__tg"))
+    t = materialize(t, "mixing-targets").select(F.col("source").alias("__t"), F.col("source_size").alias("__ss"), F.col("target").alias("__tg"))
     rate = F.when(F.col("__ss") > 0, F.col("__tg") / F.col("__ss")).otherwise(F.lit(0.0))
     j = d.join(t, F.col(src).eqNullSafe(F.col("__t")), "left").withColumn("__rate", rate)
     whole = F.floor("__rate")
