@@ -3,7 +3,12 @@
 For each language a raw-content zstandard dictionary is filled with slices of
 labelled texts. A text is encoded once per dictionary; the smallest encoding
 names the language, and a text whose two best encodings are about equally
-large is rejected.
+large is rejected, whatever its size; equal ones always are.
+
+Below 1 / ``min_margin`` bytes the margin asked for is less than a byte, and a
+block that hardly shrinks is stored as it is, so that all dictionaries tie. A
+text tied there is encoded once more, at ``fine_level`` and behind a run of
+blanks that shrinks in any case; it is rejected if these sizes are equal too.
 
 Bounds (documented parameters): the dictionaries are fitted on at most
 ``docs_per_lang`` labelled rows per language (those with the smallest hashes of
@@ -28,6 +33,9 @@ UNDETERMINED = "und"
 #: ASCII letters in lower case, every other ASCII byte as a blank, the rest as it is.
 _FOLD = bytes(b | 32 if 65 <= b <= 90 else b if 97 <= b <= 122 or b >= 128 else 32 for b in range(256))
 
+#: In front of a short text that is encoded once more.
+_LEAD = b" " * 64
+
 
 def normal_form(text: str) -> bytes:
     """Lower-cased letters with single blanks between runs of them."""
@@ -42,6 +50,7 @@ class Model:
     level: int = 5
     block_bytes: int = 4096
     min_margin: float = 0.002
+    fine_level: int = 12
 
 
 def fit(docs: DataFrame, id_col="doc_id", text_col="text", lang_col="lang", train=None,
@@ -81,30 +90,45 @@ class Encoder:
     """The model's compressors, built once per task."""
 
     def __init__(self, model: Model):
+        self.model, self.block, self.min_margin = model, model.block_bytes, model.min_margin
+        self.langs = [k for k, _ in model.dictionaries]
+        self.packers, self._fine = self._packers(model.level), None
+
+    def _packers(self, level: int) -> list:
         import zstandard as z
-        self.block, self.min_margin = model.block_bytes, model.min_margin
-        self.langs, self.packers = [k for k, _ in model.dictionaries], []
-        for _, content in model.dictionaries:
+        out = []
+        for _, content in self.model.dictionaries:
             d = z.ZstdCompressionDict(content, dict_type=z.DICT_TYPE_RAWCONTENT)
-            d.precompute_compress(level=model.level)
-            self.packers.append(z.ZstdCompressor(level=model.level, dict_data=d, write_checksum=False,
-                                                 write_content_size=False, write_dict_id=False))
+            d.precompute_compress(level=level)
+            out.append(z.ZstdCompressor(level=level, dict_data=d, write_checksum=False,
+                                        write_content_size=False, write_dict_id=False))
+        return out
 
     def sizes(self, text: str) -> list:
         b = normal_form(text)
         blocks = [b[i:i + self.block] for i in range(0, len(b), self.block)]
         return [sum(len(p.compress(x)) for x in blocks) for p in self.packers]
 
+    def fine_sizes(self, text: str) -> list:
+        """The sizes at ``fine_level`` with ``_LEAD`` before every block."""
+        if self._fine is None:
+            self._fine = self._packers(self.model.fine_level)
+        b = normal_form(text)
+        blocks = [_LEAD + b[i:i + self.block] for i in range(0, len(b), self.block)]
+        return [sum(len(p.compress(x)) for x in blocks) for p in self._fine]
+
     def predict(self, text: str | None):
         """(language, score, rejected). The score is the weight of the best
         language when the sizes are read as code lengths (0.1 bits a byte)."""
         if not text or not self.packers or not any(map(str.isalpha, text)):
             return UNDETERMINED, 0.0, True
         s = self.sizes(text)
+        if s.count(min(s)) > 1 and self.min_margin * min(s) < 1:
+            s = self.fine_sizes(text)
         best = min(range(len(s)), key=lambda i: (s[i], i))
         score = 1.0 / sum(2.0 ** (-0.1 * min(x - s[best], 1000)) for x in s)
         margin = min((x for i, x in enumerate(s) if i != best), default=s[best] * 2) - s[best]
-        return self.langs[best], score, margin < int(self.min_margin * s[best])
+        return self.langs[best], score, margin <= self.min_margin * s[best]
 
 
 def predict(docs: DataFrame, model: Model, text_col="text") -> DataFrame:

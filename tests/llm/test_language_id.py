@@ -71,3 +71,20 @@ def test_undecided_long_text_is_rejected(model):
     d = dict(model.dictionaries)
     same = language_id.Model([("a", d["en"]), ("b", d["en"])])
     assert language_id.Encoder(same).predict(d["en"][:5000].decode("utf-8", "ignore") * 3 + "zqzq " * 900)[2] is True
+
+
+def test_short_texts_that_all_dictionaries_pack_alike_are_rejected(model):
+    enc = language_id.Encoder(model)
+    for t in ("q", "x", "xkcd qwrt zzpl", "Привет как дела", "日本語のテキスト", "http://a.b/c?d=1"):
+        assert enc.predict(t)[1:] == (0.25, True)
+
+
+def test_clean_short_texts_stay(spark, model):
+    enc = language_id.Encoder(model)
+    assert enc.predict("the cat sat on the mat")[::2] == ("en", False)
+    assert enc.predict("Le chat est sur la table")[::2] == ("fr", False)
+    rows = spark.read.parquet(f"{SF}/documents.parquet").filter(language_id.held_out()).select("text", "lang").collect()
+    for size in (25, 40, 100, 300):
+        cut = [(enc.predict(r["text"][:size]), r["lang"]) for r in rows if len(r["text"] or "") >= size]
+        assert sum(g[2] for g, _ in cut) <= 0.03 * len(cut)
+        assert sum(g[0] == k for g, k in cut) >= 0.97 * len(cut)
