@@ -9,7 +9,8 @@ pieces. The cuts are
   * between an ASCII letter and an ASCII character that is neither a letter
     nor white space.
 No pre-token of the pattern spans such a place. Texts with other Unicode white
-space, whose runs could join across a cut, are passed to the library whole.
+space, whose runs could join across a cut, and texts that hold the string of an
+added token (as <|endoftext|>) are passed to the library whole.
 
 Pieces are known by a 64-bit hash of their bytes (polynomial, random base), so
 that a known one costs no Python object; two of n pieces share one with
@@ -75,7 +76,7 @@ class Encoder:
     def __init__(self, path: str, max_pieces: int = 2_000_000):
         from tokenizers import Tokenizer
         self.library = Tokenizer.from_file(path)
-        self.library.encode_special_tokens = True          # their strings are ordinary text
+        self._added = [t.content for t in self.library.get_added_tokens_decoder().values() if t.content]
         self.model, self.max_pieces = self.library.model, max_pieces
         self._table = str.maketrans({chr(b): c for b, c in byte_chars().items()})
         self._space = byte_chars()[32]
@@ -89,7 +90,8 @@ class Encoder:
 
     def _ids(self, piece: str) -> list:
         word = piece[1:] if piece[0] == " " else piece
-        if word.isalpha():                                 # one pre-token: letters with at most a blank before
+        # one pre-token: letters with at most a blank before
+        if word.isalpha() and not any(t in piece for t in self._added):
             if word.isascii():
                 return [t.id for t in self.model.tokenize(piece if word is piece else self._space + word)]
             if max(word) < "ɐ":
@@ -131,8 +133,10 @@ class Encoder:
         cut[0] = cut[-1] = True
         np.logical_and(c[1:] == _WS, c[:-1] != _WS, out=cut[1:-1])
         cut[1:-1] |= (c[:-1] == _LETTER) & (c[1:] == _OTHER)
-        odd = pc.match_substring_regex(texts, _ODD_SPACE).to_numpy(zero_copy_only=False)
-        for i in np.flatnonzero(odd):
+        odd = pc.match_substring_regex(texts, _ODD_SPACE)
+        for t in self._added:
+            odd = pc.or_(odd, pc.match_substring(texts, t))
+        for i in np.flatnonzero(odd.to_numpy(zero_copy_only=False)):
             cut[off[i]:off[i + 1]] = False
         cut[off[:-1]] = True
         at = np.flatnonzero(cut)

@@ -2,6 +2,7 @@ import random
 
 import pyarrow as pa
 import pytest
+from tokenizers import Tokenizer
 
 from parcelyze.llm import tokens
 
@@ -49,3 +50,22 @@ def test_empty_column(enc):
     assert len(ids) == 0 and len(ends) == 0
     ids, ends = enc.encode(pa.array([None, ""], pa.string()))
     assert len(ids) == 0 and ends.tolist() == [0, 0]
+
+
+def test_added_tokens_as_in_an_untouched_tokenizer(enc):
+    plain = Tokenizer.from_file(tokens.default_tokenizer())
+    assert plain.encode("a<|endoftext|>b", add_special_tokens=False).ids == [64, 50256, 65]
+    texts = ["a<|endoftext|>b", "one two", "<|endoftext|>", "<|endoftext|><|endoftext|>", "<|endoftext|", None,
+             "it's <|endoftext|>\n\n  don't<|endoftext|> 12 <|end of text|>", "x<|endoftext|> a\u3000 b", "one <|endoftext| >two", *ODD]
+    want = [plain.encode(t or "", add_special_tokens=False).ids for t in texts]
+    for _ in range(2):                                      # met and not met before
+        assert split(*enc.encode(pa.array(texts, pa.string()))) == want
+
+
+def test_added_token_of_letters(tmp_path):
+    plain = Tokenizer.from_file(tokens.default_tokenizer())
+    plain.add_special_tokens(["stopword"])
+    plain.save(str(tmp_path / "t.json"))
+    texts = ["stopword", "a stopword b", "stopwords here", "stop word"]
+    want = [plain.encode(t, add_special_tokens=False).ids for t in texts]
+    assert split(*tokens.Encoder(str(tmp_path / "t.json")).encode(pa.array(texts))) == want
