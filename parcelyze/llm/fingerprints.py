@@ -73,7 +73,8 @@ def cells(a: Column, b: Column | None, slots: int) -> Column:
 
 
 def fingerprint(d: Column) -> Column:
-    """The sketch of a whole text folded to 12 cells, as text."""
+    """The sketch of a whole text folded to 12 cells, as text. A mark of the set of
+    paragraphs, not the sketch that ``differences`` subtracts."""
     return F.concat_ws("-", F.transform(cells(d, None, 4), lambda c: F.concat(
         F.hex(c["count"].cast("long")), F.lit("."), F.hex(c["key"].bitwiseXOR(c["check"])))))
 
