@@ -8,13 +8,27 @@ from pyspark.sql import functions as F
 
 from ..session import materialize
 
-__all__ = ["table", "materialize", "fold", "text_of", "large_strings", "row_slices"]
+__all__ = ["table", "materialize", "fold", "text_of", "large_strings", "row_slices", "free_name", "columns"]
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+def free_name(taken, base: str) -> str:
+    """``base`` with as many underscores before it as keep it apart from ``taken``
+    (names differ by more than case)."""
+    low = {c.lower() for c in taken}
+    while base.lower() in low:
+        base = "_" + base
+    return base
+
+
+def columns(names) -> list:
+    """The columns of these names, whatever characters they hold."""
+    return [F.col("`" + c.replace("`", "``") + "`") for c in names]
+
+
 def fold(doc_id: Column, mod: int) -> Column:
     """crc32 of the id written as text, modulo ``mod`` (NULL for a NULL id)."""
     return F.crc32(doc_id.cast("string").cast("binary")) % F.lit(mod)

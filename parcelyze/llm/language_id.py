@@ -5,10 +5,11 @@ labelled texts. A text is encoded once per dictionary; the smallest encoding
 names the language, and a text whose two best encodings are about equally
 large is rejected, whatever its size; equal ones always are.
 
-Below 1 / ``min_margin`` bytes the margin asked for is less than a byte, and a
-block that hardly shrinks is stored as it is, so that all dictionaries tie. A
-text tied there is encoded once more, at ``fine_level`` and behind a run of
-blanks that shrinks in any case; it is rejected if these sizes are equal too.
+A block that hardly shrinks is stored as it is, so that all dictionaries tie. A
+text whose best encodings tie, whatever its size, is encoded once more, at
+``fine_level`` and behind a run of blanks that shrinks in any case; it is rejected
+if these sizes are equal too. The margin is a real number at every size: a text is
+rejected if the second best exceeds the best by no more than ``min_margin`` of it.
 
 Bounds (documented parameters): the dictionaries are fitted on at most
 ``docs_per_lang`` labelled rows per language (those with the smallest hashes of
@@ -26,8 +27,9 @@ from dataclasses import dataclass
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from .common import fold, row_slices
+from .common import columns, fold, row_slices
 
 UNDETERMINED = "und"
 #: ASCII letters in lower case, every other ASCII byte as a blank, the rest as it is.
@@ -58,7 +60,11 @@ def fit(docs: DataFrame, id_col="doc_id", text_col="text", lang_col="lang", trai
         total_bytes: int = 8 << 20, level: int = 5, block_bytes: int = 4096,
         min_margin: float = 0.002) -> Model:
     """Fill one dictionary per language from the rows where ``train`` (a Column,
-    default: all) holds and neither id, text nor language is NULL."""
+    default: all) holds and neither id, text nor language is NULL. The sample is
+    ``docs_per_lang`` rows a language (smallest hashes of their ids) and
+    ``slice_chars`` characters of each, cut to ``dict_bytes`` a language and
+    ``total_bytes`` in all. A language without a letter in its sample has nothing
+    to be known by and is not predicted."""
     d = docs.select(F.col(id_col).alias("id"), F.col(lang_col).cast("string").alias("lang"),
                     F.col(text_col).cast("string").alias("text"),
                     (F.lit(True) if train is None else train).alias("train"))
@@ -82,7 +88,9 @@ def fit(docs: DataFrame, id_col="doc_id", text_col="text", lang_col="lang", trai
     for r in sorted(rows, key=lambda r: (r["lang"], r["id"], r["s"])):
         by.setdefault(r["lang"], []).append(normal_form(r["s"]))
     content = {k: b" ".join(v)[:each] for k, v in by.items()}
-    order = sorted((k for k, v in content.items() if len(v) >= 8), key=lambda k: (-sizes[k], k))
+    # a dictionary has at least eight bytes: a shorter sample is repeated
+    content = {k: (v if len(v) >= 8 else (v + b" ") * 8) for k, v in content.items() if v.strip()}
+    order = sorted(content, key=lambda k: (-sizes[k], k))
     return Model([(k, content[k]) for k in order], level, block_bytes, min_margin)
 
 
@@ -123,7 +131,7 @@ class Encoder:
         if not text or not self.packers or not any(map(str.isalpha, text)):
             return UNDETERMINED, 0.0, True
         s = self.sizes(text)
-        if s.count(min(s)) > 1 and self.min_margin * min(s) < 1:
+        if s.count(min(s)) > 1:
             s = self.fine_sizes(text)
         best = min(range(len(s)), key=lambda i: (s[i], i))
         score = 1.0 / sum(2.0 ** (-0.1 * min(x - s[best], 1000)) for x in s)
@@ -131,13 +139,15 @@ class Encoder:
         return self.langs[best], score, margin <= self.min_margin * s[best]
 
 
-def predict(docs: DataFrame, model: Model, text_col="text") -> DataFrame:
-    """Add lang_pred, score and rejected to every row. A text that is NULL or
-    has no letter is ``und`` with score 0, rejected. Other columns pass through,
-    whatever their names; clashing ones are replaced."""
-    keep = [c for c in docs.columns if c not in ("lang_pred", "score", "rejected")]
-    out = docs.select(*keep).schema
-    fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in out)
+def predict(docs: DataFrame, model: Model, text_col="text",
+            names=("lang_pred", "score", "rejected")) -> DataFrame:
+    """Add the language, its score and whether it is rejected to every row, under
+    ``names``. A text that is NULL or has no letter is ``und`` with score 0,
+    rejected. Other columns pass through; those called like one of ``names`` are
+    replaced, so pass other names to keep them."""
+    keep = [c for c in docs.columns if c not in names]
+    schema = T.StructType([*docs.select(*columns(keep)).schema.fields, T.StructField(names[0], T.StringType()),
+                           T.StructField(names[1], T.DoubleType()), T.StructField(names[2], T.BooleanType())])
     at = keep.index(text_col)
 
     def run(batches):
@@ -148,9 +158,9 @@ def predict(docs: DataFrame, model: Model, text_col="text") -> DataFrame:
                 cols = [*b.columns, pa.array([g[0] for g in got], pa.string()),
                         pa.array([g[1] for g in got], pa.float64()),
                         pa.array([g[2] for g in got], pa.bool_())]
-                yield pa.RecordBatch.from_arrays(cols, names=[*keep, "lang_pred", "score", "rejected"])
+                yield pa.RecordBatch.from_arrays(cols, names=[*keep, *names])
 
-    return docs.select(*keep).mapInArrow(run, f"{fields}, lang_pred string, score double, rejected boolean")
+    return docs.select(*columns(keep)).mapInArrow(run, schema)
 
 
 def train_fold(id_col="doc_id"):

@@ -1,8 +1,9 @@
 """Near-duplicate groups by MinHash with sequential Bayesian verification.
 
 1. Every text becomes the set of its word shingles, a signature of ``hashes``
-   MinHash values and a digest of the set. Rows with equal digests are one class,
-   represented by its smallest id; only classes are compared from here on.
+   MinHash values and a 128-bit digest of its words. Rows with equal digests are
+   one class, represented by its smallest id; only classes are compared from here
+   on.
 2. A signature is cut into bands of ``rows`` values; classes that agree on a band
    share a bucket and are candidates.
 3. First every class is compared with one pivot, the most popular class of its
@@ -16,12 +17,13 @@
 5. A pair's signatures are compared in batches. After n values with m agreeing the
    posterior probability (uniform prior) that the similarity reaches the threshold
    is P(Binomial(n + 1, t) <= m); a pair is pruned once it falls below ``miss``.
-   Survivors are verified on the full sets. In step 4 a bound on their
+   Survivors are verified on the full sets of the words themselves. In step 4 a bound on their
    intersection, from sets of shortened hashes, comes in between; it never drops
    a link.
 
 With 28 bands of 4 rows a pair at similarity 0.8 shares no bucket with
-probability 4e-7; ``miss`` bounds what the pruning adds per batch.
+probability 4e-7; ``miss`` bounds what the pruning adds per batch. Words are hashed
+with a key drawn per run (``key``) for signatures and bounds only.
 
 Rows without a word, or with a NULL id, are linked with nothing. Rows that share
 an id are one document.
@@ -30,6 +32,7 @@ an id are one document.
 from __future__ import annotations
 
 import hashlib
+import secrets
 from math import comb
 
 import numpy as np
@@ -39,7 +42,7 @@ from pyspark.sql import functions as F
 
 from .common import materialize, row_slices
 from .components import connected_components
-from .shingles import mix, shingle_sets
+from .shingles import mix, shingle_sets, text_words, word_shingles
 
 _CHUNK = 1 << 16
 #: Classes of a block of a large bucket.
@@ -83,19 +86,19 @@ def least_matches(n: int, threshold: float, miss: float) -> int:
     return n
 
 
-def sketch(docs: DataFrame, id_col: str, text_col: str, words: int, hashes: int) -> DataFrame:
+def sketch(docs: DataFrame, id_col: str, text_col: str, words: int, hashes: int, key: int = 0) -> DataFrame:
     """(id, n_shingles, digest, signature); both NULL for a text without words."""
     def run(batches):
         family = Hashes(hashes)
         for whole in batches:
             for b in row_slices(whole, "text", 1 << 20):
-                sets = shingle_sets(b.column("text"), words)
+                sets = shingle_sets(b.column("text"), words, key)
                 full = [i for i, s in enumerate(sets) if len(s)]
                 sig = dict(zip(full, family.signatures([sets[i] for i in full])))
                 yield pa.RecordBatch.from_arrays(
                     [b.column("id"), pa.array([len(s) for s in sets], pa.int64()),
-                     pa.array([hashlib.blake2b(s.tobytes(), digest_size=16).digest() if len(s) else None
-                               for s in sets], pa.binary()),
+                     pa.array([hashlib.blake2b(b" ".join(text_words(t)), digest_size=16).digest() if len(s) else None
+                               for t, s in zip(b.column("text").to_pylist(), sets)], pa.binary()),
                      pa.array([sig[i].tobytes() if i in sig else None for i in range(len(sets))], pa.binary())],
                     names=["id", "n_shingles", "digest", "signature"])
     d = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"))
@@ -152,10 +155,10 @@ def verified(pairs: DataFrame, texts: DataFrame, words: int, percent: int) -> Da
         for whole in batches:
             for half in row_slices(whole, "ta", 1 << 20):
                 for b in row_slices(half, "tb", 1 << 20):
-                    x, y = shingle_sets(b.column("ta"), words), shingle_sets(b.column("tb"), words)
                     ok = []
-                    for i, (s, t) in enumerate(zip(x, y)):
-                        both = len(s) + len(t) - len(np.union1d(s, t))
+                    for i, (s, t) in enumerate(zip(b.column("ta").to_pylist(), b.column("tb").to_pylist())):
+                        s, t = (word_shingles(text_words(v), words) for v in (s, t))
+                        both = len(s & t)
                         if 100 * both >= percent * (len(s) + len(t) - both) > 0:
                             ok.append(i)
                     yield b.take(pa.array(ok, pa.int64())).select(["a", "b"])
@@ -164,13 +167,13 @@ def verified(pairs: DataFrame, texts: DataFrame, words: int, percent: int) -> Da
     return pairs.join(s, "a").join(t, "b").select("a", "b", "ta", "tb").mapInArrow(run, "a long, b long")
 
 
-def shortened(texts: DataFrame, words: int) -> DataFrame:
+def shortened(texts: DataFrame, words: int, key: int = 0) -> DataFrame:
     """(rep, n, compact): the set size and its distinct hashes cut to 16 bits, or to
     32 bits for a large set."""
     def run(batches):
         for whole in batches:
             for b in row_slices(whole, "text", 1 << 20):
-                sets = shingle_sets(b.column("text"), words)
+                sets = shingle_sets(b.column("text"), words, key)
                 yield pa.RecordBatch.from_arrays(
                     [b.column("rep"), pa.array([len(x) for x in sets], pa.int64()),
                      pa.array([_cut(x).tobytes() for x in sets], pa.binary())], names=["rep", "n", "compact"])
@@ -243,7 +246,7 @@ def compare_block(key, left, right, rep, label, sig, raw, sizes, rows: int, step
 
 
 def crossing(state: DataFrame, classes: DataFrame, texts: DataFrame, words, rows, threshold, percent, batch, miss,
-             hashes) -> DataFrame:
+             hashes, word_key=0) -> DataFrame:
     """(a, b): the pairs across components of the open buckets (key, rep, label)
     that may be links."""
     steps = [(n, least_matches(n, threshold, miss)) for n in range(batch, hashes + 1, batch)]
@@ -252,7 +255,7 @@ def crossing(state: DataFrame, classes: DataFrame, texts: DataFrame, words, rows
     s = s.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("n") - 1)))
     s = s.select("key", "rep", "label", "block", F.least("block", "other").alias("x"), F.greatest("block", "other").alias("y"))
     members = state.select("rep").distinct()
-    sets = shortened(texts.join(members, "rep", "left_semi"), words)
+    sets = shortened(texts.join(members, "rep", "left_semi"), words, word_key)
     wide = s.join(classes.select("rep", "signature"), "rep").join(sets, "rep")
     dealt = wide.repartition("key", "x", "y").sortWithinPartitions("key", "x", "y", "rep")
 
@@ -290,12 +293,14 @@ def crossing(state: DataFrame, classes: DataFrame, texts: DataFrame, words, rows
 
 
 def near_duplicates(docs: DataFrame, id_col="doc_id", text_col="text", words: int = 5, percent: int = 80,
-                    hashes: int = 112, rows: int = 4, batch: int = 16, miss: float = 1e-9) -> DataFrame:
+                    hashes: int = 112, rows: int = 4, batch: int = 16, miss: float = 1e-9,
+                    key: int | None = None) -> DataFrame:
     """One row per row of ``docs``: id, n_shingles, class_id (smallest id with the
-    same set), component_id (smallest id reachable over links, itself included).
+    same words), component_id (smallest id reachable over links, itself included).
     Runs several jobs; intermediate tables go to the shared checkpoint folder."""
     threshold = percent / 100
-    rows_ = materialize(sketch(docs, id_col, text_col, words, hashes), "minhash-sketch")
+    key = secrets.randbits(63) if key is None else key
+    rows_ = materialize(sketch(docs, id_col, text_col, words, hashes, key), "minhash-sketch")
     linked = rows_.filter("digest IS NOT NULL AND id IS NOT NULL")
     classes = materialize(linked.groupBy("digest").agg(
         F.min("id").alias("rep"), F.first("signature").alias("signature")), "minhash-classes")
@@ -315,7 +320,7 @@ def near_duplicates(docs: DataFrame, id_col="doc_id", text_col="text", words: in
         "key", "rep", F.coalesce("label", "rep").alias("label"))
     mixed = state.groupBy("key").agg(F.min("label").alias("x"), F.max("label").alias("y")).filter("x <> y")
     state = materialize(state.join(mixed.select("key"), "key"), "minhash-open")
-    pairs = crossing(state, classes, texts, words, rows, threshold, percent, batch, miss, hashes)
+    pairs = crossing(state, classes, texts, words, rows, threshold, percent, batch, miss, hashes, key)
     pairs = materialize(pairs.distinct(), "minhash-crossing")
     found = materialize(verified(pairs, texts, words, percent), "minhash-links")
     labels = _merge(labels, found)

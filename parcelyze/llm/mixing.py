@@ -15,7 +15,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import materialize
+from .common import columns, free_name, materialize
 
 WORD = r"[^\x20\x09-\x0D]+"
 
@@ -88,16 +88,18 @@ def _with_copies(sized: DataFrame, t: DataFrame, seed: int) -> DataFrame:
 def emit(docs: DataFrame, id_col="doc_id", text_col="text", source_col="source", weights=(3.0, 1.0, 2.0),
          share: float = 1.5, max_repeat: float = 2.0, seed: int = 0) -> DataFrame:
     """The mixed corpus: every row of ``docs`` as often as the plan says, with
-    the columns of ``docs``. The per-source table is written first (one job), so
+    the columns of ``docs``, whatever their names. The per-source table is written first (one job), so
     the planner knows its size: if it is small it is broadcast and no text moves."""
-    size, src = "__size", "__source"
-    d = docs.withColumn(size, word_count(F.col(text_col))).withColumn(src, F.col(source_col).cast("string"))
-    t = targets(d.select(F.col(src).alias("source"), F.col(size).alias("size")), weights, share, max_repeat)
-    t = materialize(t, "mixing-targets").select(F.col("source").alias("__t"), F.col("source_size").alias("__ss"), F.col("target").alias("__tg"))
-    rate = F.when(F.col("__ss") > 0, F.col("__tg") / F.col("__ss")).otherwise(F.lit(0.0))
-    j = d.join(t, F.col(src).eqNullSafe(F.col("__t")), "left").withColumn("__rate", rate)
-    whole = F.floor("__rate")
-    extra = (draw(F.col(id_col), seed) < F.col("__rate") - whole).cast("long")
-    j = j.withColumn("__n", (whole + extra).cast("int"))
-    return (j.withColumn("__copy", F.explode(F.array_repeat(F.lit(1), F.col("__n"))))
-            .select(*[F.col(f"`{c}`") for c in docs.columns]))
+    name = {k: free_name(docs.columns, k) for k in ("size", "source", "rate", "n", "copy", "t_source", "t_size", "target")}
+    col = {k: F.col(f"`{v}`") for k, v in name.items()}
+    (text, src, ident) = columns([text_col, source_col, id_col])
+    t = targets(docs.select(src.cast("string").alias("source"), word_count(text).alias("size")), weights, share, max_repeat)
+    t = materialize(t, "mixing-targets").select(
+        F.col("source").alias(name["t_source"]), F.col("source_size").alias(name["t_size"]), F.col("target").alias(name["target"]))
+    rate = F.when(col["t_size"] > 0, col["target"] / col["t_size"]).otherwise(F.lit(0.0))
+    j = docs.join(t, src.cast("string").eqNullSafe(col["t_source"]), "left").withColumn(name["rate"], rate)
+    whole = F.floor(col["rate"])
+    extra = (draw(ident, seed) < col["rate"] - whole).cast("long")
+    j = j.withColumn(name["n"], (whole + extra).cast("int"))
+    return (j.withColumn(name["copy"], F.explode(F.array_repeat(F.lit(1), col["n"])))
+            .select(*columns(docs.columns)))

@@ -6,7 +6,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
-from .tokens import span_hashes
+from .tokens import mix, span_hashes  # noqa: F401
 
 #: ASCII white space; every other byte belongs to a word.
 _SPACE = np.zeros(256, bool)
@@ -16,17 +16,8 @@ _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
 
 
-def mix(h: np.ndarray) -> np.ndarray:
-    """A bijection of 64-bit numbers that spreads every bit (xorshift-multiply)."""
-    h = h ^ (h >> np.uint64(32))
-    h = h * np.uint64(0xD6E8FEB86659FD93)
-    h = h ^ (h >> np.uint64(32))
-    h = h * np.uint64(0xD6E8FEB86659FD93)
-    return h ^ (h >> np.uint64(32))
-
-
-def word_hashes(texts: pa.Array):
-    """(hashes, ends): a hash per word [^\\x20\\x09-\\x0D]+ with A-Z in lower case,
+def word_hashes(texts: pa.Array, key: int = 0):
+    """(hashes, ends): a keyed hash per word [^\\x20\\x09-\\x0D]+ with A-Z in lower case,
     and per text the position after its last word. NULL has no word."""
     texts = pc.fill_null(texts.cast(pa.string()), "")
     n = len(texts)
@@ -41,13 +32,13 @@ def word_hashes(texts: pa.Array):
     start = word & np.concatenate([[True], first[1:-1] | ~word[:-1]])
     stop = word & np.concatenate([first[1:-1] | ~word[1:], [True]])
     begin, end = np.flatnonzero(start), np.flatnonzero(stop) + 1
-    return mix(span_hashes(data, begin, end)), np.searchsorted(begin, off[1:])
+    return span_hashes(data, begin, end, key), np.searchsorted(begin, off[1:])
 
 
-def shingle_sets(texts: pa.Array, words: int) -> list:
+def shingle_sets(texts: pa.Array, words: int, key: int = 0) -> list:
     """Per text the sorted distinct hashes of its ``words``-word shingles; a text
     with fewer words has its whole sequence as one shingle, one without words none."""
-    h, ends = word_hashes(texts)
+    h, ends = word_hashes(texts, key)
     rolled = np.zeros(max(0, len(h) - words + 1), np.uint64)
     for i in range(words):
         rolled = mix(rolled + h[i:len(h) - words + 1 + i]) if len(rolled) else rolled
@@ -67,3 +58,14 @@ def shingle_sets(texts: pa.Array, words: int) -> list:
         out.append(s)
         begin = end
     return out
+
+
+def text_words(text: str | None) -> list:
+    """The words themselves, in order (``bytes.split`` cuts at the same six bytes)."""
+    return (text or "").encode("utf-8", "surrogatepass").translate(_LOWER.tobytes()).split()
+
+
+def word_shingles(words: list, n: int) -> set:
+    """The distinct ``n``-word shingles as tuples of words, compared exactly; fewer
+    words are one shingle."""
+    return set(zip(*(words[i:] for i in range(n)))) if len(words) >= n else {tuple(words)} if words else set()

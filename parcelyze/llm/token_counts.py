@@ -6,8 +6,9 @@ equal sums the one with fewer pieces counts. The best score of a prefix does not
 depend on what follows, so the distinct pre-tokens of a batch are inserted in a
 trie and the forward score is computed once per node, from the nodes above it.
 The node where a pre-token ends stores its token count. Counts of pre-tokens that
-this Python worker has met are kept by their 64-bit hash (at most ``max_words``),
-so the trie of a batch holds new ones only and is dropped with the batch.
+this Python worker has met are kept (at most ``max_words``; found by hash and
+confirmed byte by byte), so the trie of a batch holds new ones only and is dropped
+with the batch.
 
 A character in no piece is spelled in byte pieces: as many tokens as UTF-8 bytes,
 each at the ``unknown`` score. The vocabulary file holds merge ranks and no
@@ -20,7 +21,6 @@ from __future__ import annotations
 import math
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame
@@ -28,7 +28,7 @@ from pyspark.sql import functions as F
 
 from .common import row_slices
 from .shingles import _SPACE
-from .tokens import span_hashes
+from .tokens import Pieces
 
 MARK = "▁"
 
@@ -81,26 +81,21 @@ class Trie:
 
 
 class Counter:
-    """Counts of whole texts, with the counts of known words kept by hash."""
+    """Counts of whole texts, with the counts of known words kept."""
 
     def __init__(self, vocabulary: dict, unknown: float, max_words: int = 2_000_000):
         self.vocabulary, self.unknown, self.max_words = vocabulary, unknown, max_words
-        self.keys, self.counts = np.empty(0, np.uint64), np.empty(0, np.int64)
-
-    def _of(self, hashes: np.ndarray, spell) -> np.ndarray:
-        i = np.minimum(np.searchsorted(self.keys, hashes), max(0, len(self.keys) - 1))
-        known = self.keys[i] == hashes if len(self.keys) else np.zeros(len(hashes), bool)
-        out = self.counts[i] if len(self.keys) else np.zeros(len(hashes), np.int64)
-        new = np.flatnonzero(~known)
-        if len(new):
-            trie = Trie(self.vocabulary, self.unknown)
-            out[new] = [trie.insert(MARK + w) for w in spell(new)]
-            if len(self.keys) + len(new) > self.max_words:
-                self.keys, self.counts = np.empty(0, np.uint64), np.empty(0, np.int64)
-            order = new[np.argsort(hashes[new], kind="stable")]
-            place = np.searchsorted(self.keys, hashes[order])
-            self.keys, self.counts = np.insert(self.keys, place, hashes[order]), np.insert(self.counts, place, out[order])
-        return out
+        self.known, self.counts = Pieces(), np.empty(0, np.int64)
+
+    def _of(self, data, begin, end) -> np.ndarray:
+        """The token count of each range."""
+        if len(self.known) > self.max_words:
+            self.known, self.counts = Pieces(), np.empty(0, np.int64)
+        slot = self.known.number(data, begin, end)
+        trie = Trie(self.vocabulary, self.unknown)
+        new = [trie.insert(MARK + self.known[i].decode()) for i in range(len(self.counts), len(self.known))]
+        self.counts = np.concatenate([self.counts, np.array(new, np.int64)])
+        return self.counts[slot]
 
     def count(self, texts: pa.Array):
         """(pre-tokens, tokens) per text."""
@@ -116,13 +111,7 @@ class Counter:
         word = ~_SPACE[data]
         begin = np.flatnonzero(word & np.concatenate([[True], edge[1:-1] | ~word[:-1]]))
         end = np.flatnonzero(word & np.concatenate([edge[1:-1] | ~word[1:], [True]])) + 1
-        codes, hashes = pd.factorize(span_hashes(data, begin, end))
-        first = np.empty(len(hashes), np.int64)
-        first[codes[::-1]] = np.arange(len(codes) - 1, -1, -1)
-        raw = data.tobytes()
-        counts = self._of(hashes, lambda new: [raw[a:b].decode() for a, b in zip(begin[first[new]].tolist(),
-                                                                                end[first[new]].tolist())])
-        total = np.concatenate([[0], np.cumsum(counts[codes])])
+        total = np.concatenate([[0], np.cumsum(self._of(data, begin, end))])
         last = np.searchsorted(begin, off[1:])
         start = np.concatenate([[0], last[:-1]])
         return last - start, total[last] - total[start]

@@ -12,13 +12,16 @@ No pre-token of the pattern spans such a place. Texts with other Unicode white
 space, whose runs could join across a cut, and texts that hold the string of an
 added token (as <|endoftext|>) are passed to the library whole.
 
-Pieces are known by a 64-bit hash of their bytes (polynomial, random base), so
-that a known one costs no Python object; two of n pieces share one with
-probability n * n / 2**65. At most ``max_pieces`` are kept.
+A piece that was met is found by a keyed 64-bit hash and confirmed by comparing
+its bytes with the stored ones, so that a known one costs no Python object and
+no two pieces are ever taken for one. At most ``max_pieces`` are kept.
 """
 
 from __future__ import annotations
 
+import hashlib
+import os
+
 import numpy as np
 import pandas as pd
 import pyarrow as pa
@@ -33,35 +36,124 @@ _CLASS[128:] = _HIGH
 _ODD_SPACE = "[\\x{85}\\x{A0}\\x{1680}\\x{2000}-\\x{200A}\\x{2028}\\x{2029}\\x{202F}\\x{205F}\\x{3000}]"
 
 
-#: An odd base and its inverse modulo 2**64.
-_BASE = 0x9E3779B97F4A7C15
-_BACK = pow(_BASE, -1, 1 << 64)
 _WINDOW = 1 << 20
+#: Longer ranges are hashed and compared one by one, by the standard library.
+_LONG = 1 << 12
+_PAD = bytes(8)
+#: This process's key for hashes that never leave it.
+_KEY = int.from_bytes(os.urandom(8), "little")
+
+
+def mix(h: np.ndarray) -> np.ndarray:
+    """A bijection of 64-bit numbers that spreads every bit (xorshift-multiply)."""
+    h = h ^ (h >> np.uint64(32))
+    h = h * np.uint64(0xD6E8FEB86659FD93)
+    h = h ^ (h >> np.uint64(32))
+    h = h * np.uint64(0xD6E8FEB86659FD93)
+    return h ^ (h >> np.uint64(32))
+
+
+def _words8(data: np.ndarray) -> np.ndarray:
+    """The eight bytes from every place on as one number (zeros after the end)."""
+    padded = np.concatenate([data, np.frombuffer(_PAD, np.uint8)])
+    return np.ndarray((len(data) + 1,), "<u8", padded, strides=(1,))
+
+
+def _head(words: np.ndarray, left: np.ndarray) -> np.ndarray:
+    """``words`` with only the first ``left`` bytes where fewer than eight are left."""
+    short = np.minimum(left, 8).astype(np.uint64) * np.uint64(8)
+    return np.where(left < 8, words & ((np.uint64(1) << (short % np.uint64(64))) - np.uint64(1)), words)
+
 
+def span_hashes(data: np.ndarray, begin: np.ndarray, end: np.ndarray, key: int = _KEY) -> np.ndarray:
+    """A keyed 64-bit hash of each byte range data[begin:end]: eight bytes at a time
+    go through a bijection that starts from the key and the length, so two ranges
+    of one length up to eight never collide and longer ones show no structure."""
+    size = (end - begin).astype(np.int64)
+    h = mix(size.astype(np.uint64) + np.uint64(key))
+    words, step = _words8(data), mix(np.array([key], np.uint64))
+    todo = np.flatnonzero((size > 0) & (size <= _LONG))
+    at, left, part = begin[todo], size[todo], h[todo]
+    while len(todo):
+        part = mix((part ^ _head(words[at], left)) + step)
+        last = left <= 8
+        h[todo[last]] = part[last]
+        more = ~last
+        todo, at, left, part = todo[more], at[more] + 8, left[more] - 8, part[more]
+    secret = int(key).to_bytes(8, "little")
+    for i in np.flatnonzero(size > _LONG):
+        digest = hashlib.blake2b(data[begin[i]:end[i]].tobytes(), digest_size=8, key=secret).digest()
+        h[i] = int.from_bytes(digest, "little")
+    return h
 
-class _Powers:
-    """base ** i modulo 2**64, grown as needed."""
 
-    def __init__(self, base: int):
-        self.base, self.table = base, np.ones(1, np.uint64)
+def same_spans(data, begin, end, other, obegin, oend) -> np.ndarray:
+    """Which of the ranges data[begin:end] and other[obegin:oend] are equal."""
+    size = (end - begin).astype(np.int64)
+    same = size == oend - obegin
+    x, y = _words8(data), _words8(other)
+    todo = np.flatnonzero(same & (size > 0) & (size <= _LONG))
+    at, oat, left = begin[todo], obegin[todo], size[todo]
+    while len(todo):
+        ok = _head(x[at] ^ y[oat], left) == 0
+        same[todo[~ok]] = False
+        more = ok & (left > 8)
+        todo, at, oat, left = todo[more], at[more] + 8, oat[more] + 8, left[more] - 8
+    for i in np.flatnonzero(same & (size > _LONG)):
+        same[i] = np.array_equal(data[begin[i]:end[i]], other[obegin[i]:oend[i]])
+    return same
 
-    def upto(self, n: int) -> np.ndarray:
-        if len(self.table) < n:
-            t = np.full(max(n, 1 << 16), self.base, np.uint64)
-            t[0] = 1
-            self.table = np.multiply.accumulate(t)
-        return self.table[:n]
 
+class Pieces:
+    """Distinct byte strings, numbered as they come. They are found by hash and
+    confirmed byte by byte; those whose hash belongs to another string are kept
+    in a dictionary by themselves."""
 
-_FORTH, _BACKWARD = _Powers(_BASE), _Powers(_BACK)
+    def __init__(self):
+        self.keys, self.slot = np.empty(0, np.uint64), np.empty(0, np.int64)     # by hash, sorted
+        self.store, self.at = bytearray(), np.zeros(1, np.int64)
+        self.clash: dict = {}
 
+    def __len__(self):
+        return len(self.at) - 1
 
-def span_hashes(data: np.ndarray, begin: np.ndarray, end: np.ndarray) -> np.ndarray:
-    """A 64-bit hash of each byte range data[begin:end], by differences of one
-    running sum: sum((byte + 1) * base ** (place in the range))."""
-    sums = np.zeros(len(data) + 1, np.uint64)
-    np.cumsum((data.astype(np.uint64) + np.uint64(1)) * _FORTH.upto(len(data)), out=sums[1:])
-    return (sums[end] - sums[begin]) * _BACKWARD.upto(len(data) + 1)[begin]
+    def __getitem__(self, i: int) -> bytes:
+        return bytes(self.store[self.at[i]:self.at[i + 1]])
+
+    def _append(self, parts: list):
+        self.store.extend(b"".join(parts))
+        ends = self.at[-1] + np.cumsum(np.fromiter(map(len, parts), np.int64, len(parts)))
+        self.at = np.concatenate([self.at, ends])
+
+    def number(self, data: np.ndarray, begin: np.ndarray, end: np.ndarray) -> np.ndarray:
+        """The number of each range; ranges not met before are added."""
+        codes, hashes = pd.factorize(span_hashes(data, begin, end))
+        first = np.empty(len(hashes), np.int64)
+        first[codes[::-1]] = np.arange(len(codes) - 1, -1, -1)
+        i = np.searchsorted(self.keys, hashes)
+        known = np.zeros(len(hashes), bool)
+        inside = i < len(self.keys)
+        known[inside] = self.keys[i[inside]] == hashes[inside]
+        new = np.flatnonzero(~known)
+        slot = np.empty(len(hashes), np.int64)
+        slot[known] = self.slot[i[known]]
+        slot[new] = len(self) + np.arange(len(new))
+        if len(new):
+            self._append([data[a:b].tobytes() for a, b in zip(begin[first[new]].tolist(), end[first[new]].tolist())])
+            order = new[np.argsort(hashes[new], kind="stable")]
+            place = np.searchsorted(self.keys, hashes[order])
+            self.keys, self.slot = np.insert(self.keys, place, hashes[order]), np.insert(self.slot, place, slot[order])
+        out = slot[codes]
+        stored = np.frombuffer(self.store, np.uint8)
+        bad = np.flatnonzero(~same_spans(data, begin, end, stored, self.at[out], self.at[out + 1]))
+        del stored                                          # the store can grow again
+        for k in bad:
+            piece = data[begin[k]:end[k]].tobytes()
+            if piece not in self.clash:
+                self.clash[piece] = len(self)
+                self._append([piece])
+            out[k] = self.clash[piece]
+        return out
 
 
 def byte_chars() -> dict:
@@ -83,9 +175,8 @@ class Encoder:
         self._forget()
 
     def _forget(self):
-        self._keys = np.empty(0, np.uint64)                # hashes of known pieces, sorted
-        self._at = np.empty(0, np.int64)                   # where their ids begin in _flat
-        self._size = np.empty(0, np.int32)
+        self._known = Pieces()
+        self._at = np.zeros(1, np.int64)                   # where a piece's ids begin in _flat
         self._flat = np.empty(0, np.uint32)
 
     def _ids(self, piece: str) -> list:
@@ -98,25 +189,13 @@ class Encoder:
                 return [t.id for t in self.model.tokenize(piece.encode().decode("latin-1").translate(self._table))]
         return self.library.encode(piece, add_special_tokens=False).ids
 
-    def _learn(self, hashes: np.ndarray, pieces: list):
-        """Encode new pieces and keep their ids."""
-        if len(self._keys) + len(pieces) > self.max_pieces:
-            self._forget()
-        ids = [self._ids(p) for p in pieces]
-        size = np.fromiter(map(len, ids), np.int32, len(ids))
-        at = len(self._flat) + np.cumsum(size, dtype=np.int64) - size
+    def _learn(self):
+        """Encode the pieces added since the last call and keep their ids."""
+        ids = [self._ids(self._known[i].decode()) for i in range(len(self._at) - 1, len(self._known))]
+        size = np.fromiter(map(len, ids), np.int64, len(ids))
         flat = np.fromiter((x for y in ids for x in y), np.uint32, int(size.sum()))
-        order = np.argsort(hashes, kind="stable")
-        place = np.searchsorted(self._keys, hashes[order])
-        self._keys, self._at = np.insert(self._keys, place, hashes[order]), np.insert(self._at, place, at[order])
-        self._size, self._flat = np.insert(self._size, place, size[order]), np.concatenate([self._flat, flat])
-
-    def _find(self, hashes: np.ndarray):
-        """Positions of known hashes, and which of them are known."""
-        if not len(self._keys):
-            return np.zeros(len(hashes), np.int64), np.zeros(len(hashes), bool)
-        i = np.minimum(np.searchsorted(self._keys, hashes), len(self._keys) - 1)
-        return i, self._keys[i] == hashes
+        self._at = np.concatenate([self._at, len(self._flat) + np.cumsum(size)])
+        self._flat = np.concatenate([self._flat, flat])
 
     def encode(self, texts: pa.Array):
         """(ids, ends): all ids of the column in one array and, per text, the
@@ -154,21 +233,13 @@ class Encoder:
 
     def _pieces(self, data: np.ndarray, bounds: np.ndarray):
         """Ids of consecutive pieces, and how many there are after each."""
-        codes, hashes = pd.factorize(span_hashes(data, bounds[:-1], bounds[1:]))
-        first = np.empty(len(hashes), np.int64)
-        first[codes[::-1]] = np.arange(len(codes) - 1, -1, -1)
-        where, known = self._find(hashes)
-        if not known.all():
-            new = np.flatnonzero(~known)
-            b = data.tobytes()
-            at, to = bounds[first[new]].tolist(), bounds[first[new] + 1].tolist()
-            if len(self._keys) + len(new) > self.max_pieces:  # start over with this window's pieces
-                new, at, to = np.arange(len(hashes)), bounds[first].tolist(), bounds[first + 1].tolist()
-            self._learn(hashes[new], [b[x:y].decode() for x, y in zip(at, to)])
-            where, _ = self._find(hashes)
-        size = self._size[where].astype(np.int64)[codes]
+        if len(self._known) > self.max_pieces:
+            self._forget()
+        slot = self._known.number(data, bounds[:-1], bounds[1:])
+        self._learn()
+        size = self._at[slot + 1] - self._at[slot]
         stop = np.cumsum(size)
-        take = np.repeat(self._at[where][codes] - (stop - size), size)
+        take = np.repeat(self._at[slot] - (stop - size), size)
         take += np.arange(len(take))
         return self._flat[take], stop
 

@@ -29,8 +29,9 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from .common import fold, materialize, row_slices
+from .common import columns, fold, materialize, row_slices
 
 #: Sets of identity terms that may stand for one another, by language.
 IDENTITY_TERMS = (
@@ -53,12 +54,11 @@ IDENTITY_TERMS = (
 _WORD = re.compile(r"[^\W\d_]+")
 _SENTENCE = re.compile(r"[^.!?\n]+")
 _AFFIX = (4, 5, 6)
-_LONGEST = 32
 
 
 def features_of_word(w: str) -> list:
     """=word, ^prefix and $suffix features of a lower-case word."""
-    out = [f"={w}"] if len(w) <= _LONGEST else []
+    out = [f"={w}"]
     for n in _AFFIX:
         if len(w) >= n:
             out += [f"^{w[:n]}", f"${w[-n:]}"]
@@ -234,22 +234,25 @@ class Scorer:
         return float(1 / (1 + np.exp(-np.clip(z, -500, 500))))
 
 
-def predict(docs: DataFrame, model: Model, text_col="text") -> DataFrame:
-    """Add score (0 to 1) and predicted (1 if score >= 0.5) to every row; other
-    columns pass through, clashing ones are replaced."""
-    keep = [c for c in docs.columns if c not in ("score", "predicted")]
-    fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.select(*keep).schema)
+def predict(docs: DataFrame, model: Model, text_col="text", names=("score", "predicted")) -> DataFrame:
+    """Add the score (0 to 1) and the label (1 if the score is 0.5 or more) to every
+    row, under ``names``. Other columns pass through; those called like one of
+    ``names`` are replaced, so pass other names to keep them."""
+    keep = [c for c in docs.columns if c not in names]
+    schema = T.StructType([*docs.select(*columns(keep)).schema.fields, T.StructField(names[0], T.DoubleType()),
+                           T.StructField(names[1], T.IntegerType())])
     at = keep.index(text_col)
 
     def run(batches):
         scorer = Scorer(model)
-        for b in batches:
-            s = [scorer.score(t) for t in b.column(at).to_pylist()]
-            yield pa.RecordBatch.from_arrays(
-                [*b.columns, pa.array(s, pa.float64()), pa.array([int(x >= 0.5) for x in s], pa.int32())],
-                names=[*keep, "score", "predicted"])
+        for whole in batches:
+            for b in row_slices(whole, text_col):
+                s = [scorer.score(t) for t in b.column(at).to_pylist()]
+                yield pa.RecordBatch.from_arrays(
+                    [*b.columns, pa.array(s, pa.float64()), pa.array([int(x >= 0.5) for x in s], pa.int32())],
+                    names=[*keep, *names])
 
-    return docs.select(*keep).mapInArrow(run, f"{fields}, score double, predicted int")
+    return docs.select(*columns(keep)).mapInArrow(run, schema)
 
 
 def train_fold():

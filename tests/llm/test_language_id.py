@@ -58,9 +58,7 @@ def test_long_texts_are_read_whole(model):
 
 def test_ties_short_texts_and_empty_tables(spark, model):
     enc = language_id.Encoder(model)
-    lang, score, rejected = enc.predict("q")
-    assert lang == model.dictionaries[0][0] or score > 0
-    assert not rejected                                     # under one byte of margin asked for: kept
+    assert enc.predict("q")[2]                              # a tie is rejected at every size
     assert language_id.predict(cases.empty(spark), model).count() == 0
     none = language_id.fit(cases.empty(spark))
     assert none.dictionaries == []
@@ -88,3 +86,44 @@ def test_clean_short_texts_stay(spark, model):
         cut = [(enc.predict(r["text"][:size]), r["lang"]) for r in rows if len(r["text"] or "") >= size]
         assert sum(g[2] for g, _ in cut) <= 0.03 * len(cut)
         assert sum(g[0] == k for g, k in cut) >= 0.97 * len(cut)
+
+
+def packed(content, text, level, block, lead=b""):
+    """The size of a text by the zstandard library, written out plainly."""
+    import zstandard as z
+    import re
+    words = re.sub(rb"[\x00-\x40\x5b-\x60\x7b-\x7f]+", b" ", text.lower().encode()).strip()
+    d = z.ZstdCompressionDict(content, dict_type=z.DICT_TYPE_RAWCONTENT)
+    c = z.ZstdCompressor(level=level, dict_data=d, write_checksum=False, write_content_size=False, write_dict_id=False)
+    return sum(len(c.compress(lead + words[i:i + block])) for i in range(0, len(words), block))
+
+
+def test_same_language_as_every_dictionary_tried_one_by_one(spark, model):
+    enc = language_id.Encoder(model)
+    texts = [r.text for r in spark.read.parquet(f"{SF}/documents.parquet").orderBy("doc_id").select("text").collect() if r.text]
+    texts = [t for t in texts if any(map(str.isalpha, t))]
+    for t in [*texts[::9], *[t[:30] for t in texts[::11]]]:
+        if not any(map(str.isalpha, t)):
+            continue
+        s = [packed(d, t, model.level, model.block_bytes) for _, d in model.dictionaries]
+        if sorted(s)[0] == sorted(s)[1]:
+            s = [packed(d, t, model.fine_level, model.block_bytes, b" " * 64) for _, d in model.dictionaries]
+        low, second = sorted(s)[:2]
+        lang, score, rejected = enc.predict(t)
+        assert lang == model.dictionaries[s.index(low)][0]
+        assert rejected == (second - low <= model.min_margin * low)
+        assert score == pytest.approx(1 / sum(2.0 ** (-0.1 * min(x - low, 1000)) for x in s))
+
+
+def test_a_language_with_a_short_sample_is_learned(spark):
+    rows = [(i, "the cat sat on the mat and the dog ran after it", "en", "s", 1) for i in range(5)]
+    m = language_id.fit(cases.docs(spark, [*rows, (9, "och", "sv", "s", 3), (10, "1 2 3", "xx", "s", 5)]))
+    assert sorted(k for k, _ in m.dictionaries) == ["en", "sv"]
+    assert language_id.Encoder(m).predict("och och och och och och och och")[0] == "sv"
+
+
+def test_columns_of_the_same_name_keep_their_values(spark, model):
+    df = cases.with_extra(cases.docs(spark))
+    got = language_id.predict(df, model, names=("a1", "a2", "a3"))
+    assert got.columns == [*df.columns, "a1", "a2", "a3"]
+    assert got.select("score", "rejected").distinct().collect() == [("x", "e")]

@@ -125,3 +125,20 @@ def test_components_of_chains_stars_and_cycles(spark):
     assert all(got[i] == 100 for i in range(100, 161)) and all(got[i] == 5 for i in range(200, 400))
     assert (got[5], got[7], got[8], got[9]) == (5, 7, 7, 7) and 3 not in got
     assert components.connected_components(spark.createDataFrame([], "u long, v long")).count() == 0
+
+
+def test_structured_words_are_not_taken_for_one_another(spark):
+    from .test_tokens import STRUCTURED, thue_morse
+    x, y = thue_morse(2048)
+    texts = [x, y, f"a {x} b c d e", f"a {y} b c d e", *dict.fromkeys(STRUCTURED)]
+    rows = [(i, t, None, None, 0) for i, t in enumerate(texts)]
+    for words in (1, 2, 5):
+        got = groups(cases.docs(spark, rows), words=words)
+        assert [c for _, _, c in got] == [0, 1, 2, 3, *(c for _, _, c in sorted(brute(rows, words))[4:])]
+
+
+def test_links_need_the_words_even_if_all_hashes_agree(spark, monkeypatch):
+    """Sets are confirmed on the words: a hash that knows lengths only links nothing that differs."""
+    pairs = spark.createDataFrame([(1, 2), (1, 3)], "a long, b long")
+    texts = spark.createDataFrame([(1, "ab cd ef gh ij kl"), (2, "ba dc fe hg ji lk"), (3, "AB cd ef gh ij kl")], "rep long, text string")
+    assert minhash.verified(pairs, texts, 5, 80).collect() == [(1, 3)]

@@ -93,9 +93,29 @@ def test_awkward_documents_pass_every_stage(spark, name, stage):
         assert whole == df.select("doc_id").distinct().count() and stage(spark, cases.empty(spark), SF).count() == 0
         return
     assert got.columns == df.columns and 0 < got.count() <= 2 * df.count()
+    kept = [c for c in df.columns if c not in cases.DOC.fieldNames()]           # values of clashing columns stay
+    assert got.select(kept).distinct().collect() == df.select(kept).distinct().collect()
     assert stage(spark, cases.empty(spark), SF).count() == 0
 
 
 def test_near_dedup_keeps_one_row_of_a_repeated_id_and_rows_without_id(spark):
     got = Counter(r["doc_id"] for r in cp.near_dedup_stage(spark, cases.docs(spark), SF).collect())
     assert got[1] == 1 and got[None] == 2 and got[100] == 0 and got[101] == 0
+
+
+def test_near_dedup_compares_rows_and_not_ids(spark):
+    a = "one two three four five six seven eight nine ten eleven twelve"
+    b = "many other words that nobody has ever seen in the first of them"
+    rows = [(7, a), (7, b), (7, a), (8, a + "!"), (9, b), (None, b), (None, "a text of its own without any id at all"),
+            (3, "x"), (3, "y"), (4, ""), (4, "")]
+    rows = [(i, t, "en", f"s{k}", len(t)) for k, (i, t) in enumerate(rows)]
+    for parts in (1, 4):
+        got = cp.near_dedup_stage(spark, cases.docs(spark, rows, parts), SF).collect()
+        assert Counter((r.doc_id, r.text) for r in got) == Counter(
+            [(7, a), (7, b), (8, a + "!"), (None, rows[6][1]), (3, "x"), (3, "y"), (4, ""), (4, "")])
+
+
+def test_clashing_sizes_and_sources_come_through_mixing(spark):
+    df = cases.docs(spark).selectExpr("*", "99 AS __size", "'u' AS __source", "'c' AS copy", "7L AS n")
+    got = cp.mixing_stage(spark, df, SF)
+    assert got.columns == df.columns and got.select("__size", "__source", "copy", "n").distinct().collect() == [(99, "u", "c", 7)]

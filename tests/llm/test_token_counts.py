@@ -75,3 +75,12 @@ def test_empty(spark):
     assert tc.count_tokens(cases.empty(spark)).count() == 0
     got = tc.count_tokens(cases.docs(spark, [(1, None, None, None, 0), (2, " \n", None, None, 0)])).collect()
     assert [(r["n_pretokens"], r["n_tokens"]) for r in got] == [(0, 0), (0, 0)]
+
+
+def test_structured_words_keep_their_own_counts():
+    from .test_tokens import STRUCTURED
+    toy = {"▁": -1.0, "a": -2.0, "b": -2.0, "aab": -2.5, "abba": -3.0, "ba": -3.5}
+    c = tc.Counter(toy, -20.0)
+    for t in STRUCTURED:
+        assert c.count(pa.array([t]))[1].tolist() == [plain("▁" + t, toy)]
+    assert c.count(pa.array(STRUCTURED))[1].tolist() == [plain("▁" + t, toy) for t in STRUCTURED]

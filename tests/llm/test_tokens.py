@@ -1,5 +1,6 @@
 import random
 
+import numpy as np
 import pyarrow as pa
 import pytest
 from tokenizers import Tokenizer
@@ -69,3 +70,39 @@ def test_added_token_of_letters(tmp_path):
     texts = ["stopword", "a stopword b", "stopwords here", "stop word"]
     want = [plain.encode(t, add_special_tokens=False).ids for t in texts]
     assert split(*tokens.Encoder(str(tmp_path / "t.json")).encode(pa.array(texts))) == want
+
+
+def thue_morse(n):
+    """A word of ``n`` letters and its complement: equal under a polynomial hash modulo 2**64."""
+    w = "".join("ab"[bin(i).count("1") % 2] for i in range(n))
+    return w, w.translate(str.maketrans("ab", "ba"))
+
+
+STRUCTURED = [*thue_morse(1024), *thue_morse(4096), *thue_morse(8192), "ab" * 900, "ba" * 900, "01" * 700, "10" * 700,
+              *(format(i, "b").translate(str.maketrans("01", "ab")) for i in range(300)), "a" * 5000, "a" * 5001]
+
+
+def test_structured_words_keep_their_own_ids():
+    enc, plain = tokens.Encoder(tokens.default_tokenizer()), Tokenizer.from_file(tokens.default_tokenizer())
+    want = [plain.encode(t, add_special_tokens=False).ids for t in STRUCTURED]
+    for t, ids in zip(STRUCTURED, want):                    # one by one, then all at once
+        assert split(*enc.encode(pa.array([t]))) == [ids]
+    assert split(*enc.encode(pa.array(STRUCTURED))) == want
+
+
+@pytest.mark.parametrize("weak", [lambda d, b, e: np.zeros(len(b), np.uint64), lambda d, b, e: (e - b).astype(np.uint64)])
+def test_pieces_of_one_hash_are_told_apart(monkeypatch, weak):
+    monkeypatch.setattr(tokens, "span_hashes", weak)
+    enc, plain = tokens.Encoder(tokens.default_tokenizer()), Tokenizer.from_file(tokens.default_tokenizer())
+    for texts in (["one two three", "two one", "six ten ten"], ["ten", "abc abd", ""], STRUCTURED[:6]):
+        assert split(*enc.encode(pa.array(texts))) == [plain.encode(t, add_special_tokens=False).ids for t in texts]
+
+
+def test_hash_depends_on_every_byte_and_the_length():
+    data = np.frombuffer(b"".join(t.encode() for t in STRUCTURED), np.uint8)
+    end = np.cumsum([len(t) for t in STRUCTURED])
+    begin = end - [len(t) for t in STRUCTURED]
+    h = tokens.span_hashes(data, begin, end)
+    assert len(set(h.tolist())) == len(set(STRUCTURED))
+    assert (tokens.span_hashes(data, begin, end, 5) == tokens.span_hashes(data.copy(), begin, end, 5)).all()
+    assert len(set(tokens.span_hashes(np.zeros(40, np.uint8), np.zeros(40, np.int64), np.arange(40)).tolist())) == 40
