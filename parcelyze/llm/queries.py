@@ -10,8 +10,8 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from . import (files, fingerprints, language_id, minhash, mixing, packing, token_counts, token_file, topk, toxicity,
-               warc)
+from . import (files, fingerprints, language_id, minhash, mixing, packing, substrings, token_counts, token_file, topk,
+               toxicity, warc)
 from .common import table
 
 QUERIES: dict = {}
@@ -152,3 +152,34 @@ def op7(spark, sf_dir):
     out = fingerprints.compare(table(spark, sf_dir, "documents"))
     return out.select(F.col("id").alias("doc_id"), "n_chars", "edited_sha256", "fingerprint", "edited_fingerprint",
                       "near_edited", "near_next")
+
+
+@query("op11_substring_dedup", r"""
+WITH w AS (
+  SELECT doc_id, t, unnest(range(1, len(t) + 1)) AS i
+  FROM (SELECT doc_id, regexp_extract_all(text, '[^\x20\x09-\x0D]+') AS t FROM documents)),
+x AS (
+  SELECT doc_id, i, t[i] AS word, len(t) AS n FROM w),
+s AS (
+  SELECT doc_id, i, word, n,
+         string_agg(word, ' ') OVER (PARTITION BY doc_id ORDER BY i ROWS BETWEEN CURRENT ROW AND 19 FOLLOWING) AS win
+  FROM x),
+r AS (
+  SELECT doc_id, i, word,
+         i + 19 <= n AND row_number() OVER (PARTITION BY win, i + 19 <= n ORDER BY doc_id, i) > 1 AS again
+  FROM s),
+c AS (
+  SELECT doc_id, i, word,
+         bool_or(again) OVER (PARTITION BY doc_id ORDER BY i ROWS BETWEEN 19 PRECEDING AND CURRENT ROW) AS gone
+  FROM r),
+k AS (
+  SELECT doc_id, count(*) AS n_words, count(*) FILTER (gone) AS n_removed,
+         string_agg(word, ' ' ORDER BY i) FILTER (NOT gone) AS kept
+  FROM c GROUP BY doc_id)
+SELECT d.doc_id, CAST(coalesce(n_words, 0) AS BIGINT) AS n_words, CAST(coalesce(n_removed, 0) AS BIGINT) AS n_removed,
+       sha256(coalesce(kept, '')) AS kept_sha256
+FROM documents d LEFT JOIN k ON k.doc_id = d.doc_id""")
+def op11(spark, sf_dir):
+    out = substrings.remove_repeats(table(spark, sf_dir, "documents"))
+    return out.select(F.col("id").alias("doc_id"), "n_words", "n_removed",
+                      F.sha2(F.col("kept").cast("binary"), 256).alias("kept_sha256"))
