@@ -10,8 +10,8 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from . import (files, fingerprints, language_id, minhash, mixing, packing, substrings, token_counts, token_file, topk,
-               toxicity, warc)
+from . import (alignment, collocations, files, fingerprints, language_id, minhash, mixing, packing, substrings,
+               token_counts, token_file, topk, toxicity, warc)
 from .common import table
 
 QUERIES: dict = {}
@@ -183,3 +183,50 @@ def op11(spark, sf_dir):
     out = substrings.remove_repeats(table(spark, sf_dir, "documents"))
     return out.select(F.col("id").alias("doc_id"), "n_words", "n_removed",
                       F.sha2(F.col("kept").cast("binary"), 256).alias("kept_sha256"))
+
+
+@query("op12_collocations", r"""
+WITH d AS (
+  SELECT coalesce(lang, 'und') AS lang, translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+                                                  'abcdefghijklmnopqrstuvwxyz') AS t FROM documents),
+p AS (SELECT lang, unnest(regexp_split_to_array(t, '[.,;:!?\x0A-\x0D]')) AS s FROM d),
+w AS (SELECT lang, regexp_extract_all(s, '[^\x20\x09]+') AS ws FROM p),
+g AS (
+  SELECT lang, 1 AS size, unnest(ws) AS x, '' AS y, '' AS z FROM w
+  UNION ALL SELECT lang, 2, ws[i], ws[i + 1], '' FROM (SELECT lang, ws, unnest(range(1, len(ws))) AS i FROM w)
+  UNION ALL SELECT lang, 3, ws[i], ws[i + 1], ws[i + 2] FROM (SELECT lang, ws, unnest(range(1, len(ws) - 1)) AS i FROM w)),
+f AS (SELECT lang, size, x, y, z, count(*) AS a FROM g GROUP BY ALL),
+t AS (SELECT lang, CAST(sum(a) AS BIGINT) AS n FROM f WHERE size = 1 GROUP BY lang),
+c AS (SELECT * FROM f WHERE size > 1 AND a >= 10),
+cut AS (
+  SELECT c.lang, c.size, c.x, c.y, c.z, c.a, 1 AS k, l.a AS l, r.a AS r
+  FROM c JOIN f l ON l.lang = c.lang AND l.size = 1 AND l.x = c.x
+         JOIN f r ON r.lang = c.lang AND r.size = c.size - 1 AND r.x = c.y AND r.y = c.z AND r.z = ''
+  UNION ALL
+  SELECT c.lang, c.size, c.x, c.y, c.z, c.a, 2, l.a, r.a
+  FROM c JOIN f l ON c.size = 3 AND l.lang = c.lang AND l.size = 2 AND l.x = c.x AND l.y = c.y
+         JOIN f r ON r.lang = c.lang AND r.size = 1 AND r.x = c.z),
+s AS (
+  SELECT *, CAST((1000000::HUGEINT * a * a) // (l::HUGEINT * r) AS BIGINT) AS score,
+         row_number() OVER (PARTITION BY lang, size, x, y, z
+                            ORDER BY (1000000::HUGEINT * a * a) // (l::HUGEINT * r), k) AS nth
+  FROM cut),
+longer AS (
+  SELECT lang, x, y, max(a) AS b FROM (SELECT lang, x, y, a FROM c WHERE size = 3
+                                       UNION ALL SELECT lang, y, z, a FROM c WHERE size = 3) GROUP BY lang, x, y),
+o AS (
+  SELECT s.lang, s.x || ' ' || s.y || CASE WHEN s.size = 3 THEN ' ' || s.z ELSE '' END AS phrase, s.a, s.l, s.r, s.score
+  FROM s LEFT JOIN longer ON s.size = 2 AND longer.lang = s.lang AND longer.x = s.x AND longer.y = s.y
+  WHERE nth = 1 AND NOT coalesce(100 * longer.b >= 50 * s.a, false)),
+q AS (SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, encode(phrase)) AS rank FROM o)
+SELECT q.lang, rank, phrase, a, l, r, n, score FROM q JOIN t ON t.lang = q.lang WHERE rank <= 2000""")
+def op12(spark, sf_dir):
+    return collocations.collocations(table(spark, sf_dir, "documents"))
+
+
+@query("op13_alignment")
+def op13(spark, sf_dir):
+    out = alignment.align(table(spark, sf_dir, "documents"))
+    digest = F.when(F.col("groups") == "", F.lit("")).otherwise(F.sha2(F.col("groups").cast("binary"), 256))
+    return out.select(F.col("id").alias("doc_id"), "n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum",
+                      digest.alias("groups_sha256"))
