@@ -17,8 +17,8 @@ its length. Two lanes make the 62 bits that are compared; a third one deals wind
   3. The slice, cut into the same windows again, merges repeated windows into maximal
      intervals of removed words and joins the words that are left by single blanks.
 
-Documents are ordered by id (NULL last), then by a hash of the text; rows equal in
-both are repeats of one another. NULL and empty texts have no word; a text with
+Documents are ordered by id (NULL last); those of one id by their slice and in it by
+a hash of the text, so rows equal in both are repeats of one another. NULL and empty texts have no word; a text with
 fewer than ``words`` words has no window and stays whole. Any two of n different
 windows share all hashes with a probability of about n * n / 2**63 / buckets.
 """
@@ -98,7 +98,6 @@ class Windows:
         ids = self.rows.column("id").to_numpy()
         null = self.rows.column("id").is_null().to_numpy()
         ids = np.where(null, 0, ids).astype("<i8")
-        ties = self.rows.column("tie").to_numpy().astype("<i8")
         bucket = self.bucket[self.sent]
         edges = [0, *(np.flatnonzero(np.diff(bucket)) + 1).tolist(), len(bucket)]
         for a, b in zip(edges[:-1], edges[1:]):
@@ -107,17 +106,17 @@ class Windows:
             k = self.sent[a:b]
             docs, n = np.unique(self.doc[k], return_counts=True)
             step = np.diff(self.pos[k], prepend=0).astype("<i8").astype("<u4")
-            yield (int(bucket[a]), planes(ids[docs]), planes(ties[docs]), null[docs].tobytes(),
+            yield (int(bucket[a]), planes(ids[docs]), null[docs].tobytes(),
                    planes(n.astype("<u4")), planes(step), self.hash[k].astype("<u8").tobytes())
 
 
-_PACKED = "slice int, bucket int, ids binary, ties binary, nulls binary, counts binary, steps binary, hashes binary"
+_PACKED = "slice int, bucket int, ids binary, nulls binary, counts binary, steps binary, hashes binary"
 
 
 def repeats_of(bucket: pa.Table) -> list:
     """Per packed row of a bucket the bits of the entries that stand earlier elsewhere."""
     hashes, docs, places, ends = [], [], [], []
-    ids, ties, nulls, at, total = [], [], [], 0, 0
+    ids, slices, nulls, at, total = [], [], [], 0, 0
     for r in bucket.to_pylist():
         n = from_planes(r["counts"], "<u4")
         h = np.frombuffer(r["hashes"], "<u8")
@@ -125,12 +124,12 @@ def repeats_of(bucket: pa.Table) -> list:
         docs.append(np.repeat(np.arange(at, at + len(n), dtype=np.int32), n))
         places.append(np.cumsum(from_planes(r["steps"], "<u4"), dtype=np.uint32))
         ids.append(from_planes(r["ids"], "<i8"))
-        ties.append(from_planes(r["ties"], "<i8"))
+        slices.append(np.full(len(n), r["slice"], np.int32))
         nulls.append(np.frombuffer(r["nulls"], bool))
         at, total = at + len(n), total + len(h)
         ends.append(total)
     h, doc, place = (np.concatenate(x) for x in (hashes, docs, places))
-    ids, ties, nulls = (np.concatenate(x) for x in (ids, ties, nulls))
+    ids, slices, nulls = (np.concatenate(x) for x in (ids, slices, nulls))
     order = np.argsort(h, kind="stable")
     s = h[order]
     same = s[1:] == s[:-1]
@@ -138,7 +137,8 @@ def repeats_of(bucket: pa.Table) -> list:
     some[1:] |= same
     some[:-1] |= same
     k = order[some]                                          # only hashes met twice are put in document order
-    k = k[np.lexsort((place[k], ties[doc[k]], ids[doc[k]], nulls[doc[k]], h[k]))]
+    # documents of one id and slice are numbered in their order there
+    k = k[np.lexsort((place[k], doc[k], slices[doc[k]], ids[doc[k]], nulls[doc[k]], h[k]))]
     later = np.zeros(len(h), bool)
     later[k[1:][h[k[1:]] == h[k[:-1]]]] = True
     return [np.packbits(later[a:b]).tobytes() for a, b in zip([0, *ends[:-1]], ends)]
@@ -169,7 +169,7 @@ def remove_repeats(docs: DataFrame, id_col="doc_id", text_col="text", words: int
 
     def pack(key, table):
         rows = [(key[0].as_py(), *r) for r in Windows(table, words, bases, buckets).packed()]
-        types = [pa.int32(), pa.int32(), *[pa.binary()] * 6]
+        types = [pa.int32(), pa.int32(), *[pa.binary()] * 5]
         return pa.table([pa.array([r[i] for r in rows], t) for i, t in enumerate(types)], names=names)
 
     def decide(table):
