@@ -1,253 +1,131 @@
-"""Data-quality checks on the raw and the modeled layer.
+"""Data-quality checks on the raw and the modeled layer, as declarations.
 
-Each check yields one result row: (layer, check_id, check_name, category,
-passed 0/1, violations, detail, run_ts). Plan shape:
-* a table's row rules, its key uniqueness and its children's orphan counts
-  come out of ONE grouped scan by its key: count_if per rule and row
-  counts per key with map-side partial aggregation, then one small global
-  aggregate, expanded to result rows with inline();
-* referential checks count child rows per key first, then (anti-)join only the
-  distinct keys against the parent and sum the counts of unmatched keys, so a
-  key holding a third of all rows is one row in the join. A NULL child key
-  counts as an orphan, as in LEFT JOIN ... WHERE parent IS NULL;
-* the standalone primitives (duplicate_key_count, orphan_count,
-  unexpected_values, violating_rows) serve the other queries and drill-down.
-Nothing is collected: the result is a small DataFrame the caller writes.
+``RAW`` and ``MODELED`` are check sets (see ``checks``): each check names its table
+and what it demands, and the compiler plans them together. Users add checks of their
+own with ``RAW.add(...)`` or to a ``copy()``; they are planned, stored, reported and
+drilled into like the built-in ones.
 """
 
 from __future__ import annotations
 
-from functools import reduce
-
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.rules import fmt_fixed, r2
+from ..functions.rules import r2
 from ..schemas import ALLOWED_ORDER_STATUS
+from .checks import (RESULT_COLS, CheckSet, Coverage, Domain, Recorded, Reference, RowRule, SameCount,  # noqa: F401
+                     UniqueKey, duplicate_key_count, orphan_count, orphan_rows, unexpected_values)
 
-# Check names, categories and detail texts of the reference's
-# checks, in its order ({n} = number of violations). The status check counts the
-# unexpected values; unexpected_values() has one row for each, however many.
-RAW_CHECKS = [
-    (1, "raw_orders: order_id not null", "null_check", "{n} null order_id rows"),
-    (2, "raw_orders: order_id uniqueness (PK)", "duplicate_check", "{n} duplicate order_id values"),
-    (3, "raw_order_items: duplicate (order_id, order_item_id) rows", "duplicate_check",
-     "{n} duplicate order_item rows"),
-    (4, "raw_order_items: price/freight not negative", "range_check",
-     "{n} rows with negative price/freight"),
-    (5, "raw_order_reviews: review_score within 1-5", "range_check", "{n} out-of-range review scores"),
-    (6, "referential integrity: order_items.order_id exists in orders", "referential_integrity",
-     "{n} order_items rows with no matching order"),
-    (7, "referential integrity: orders.customer_id exists in customers", "referential_integrity",
-     "{n} orders rows with no matching customer"),
-    (8, "business rule: delivered_customer_date >= delivered_carrier_date", "business_rule",
-     "{n} orders where customer delivery is before carrier handoff (bad timestamps)"),
-    (9, "business rule: delivered_carrier_date >= approved_date", "business_rule",
-     "{n} orders where carrier handoff is before approval (bad timestamps)"),
-    (10, "schema: raw_orders has expected order_status values", "schema_validation",
-     "unexpected status values: {n} (listed by unexpected_values)"),
-    (11, "null_check: delivered orders missing delivered_customer_date", "null_check",
-     "{n} orders marked 'delivered' but missing a delivered_customer_date"),
-    (12, "freshness_check(simulated): pipeline run timestamp recorded", "freshness_check",
-     "pipeline executed at {run_ts}"),
-]
-MODELED_CHECKS = [
-    (1, "fact_orders: order_id uniqueness (PK)", "duplicate_check",
-     "{n} duplicate order_id in fact_orders"),
-    (2, "referential integrity: fact_orders.customer_id -> dim_customer", "referential_integrity",
-     "{n} fact_orders rows with no matching dim_customer"),
-    (3, "referential integrity: fact_order_items.product_id -> dim_product", "referential_integrity",
-     "{n} fact_order_items rows with no matching dim_product"),
-    (4, "range_check: delivery_delay_days within +/-200 days", "range_check",
-     "{n} extreme delay outliers (possible residual data errors)"),
-    (5, "business_rule: on_time_flag consistent with delivery_delay_days sign", "business_rule",
-     "{n} rows where on_time_flag contradicts delivery_delay_days"),
-    (6, "schema_validation: fact_orders has expected row count vs raw_orders", "schema_validation",
-     "raw_orders={raw_n} vs fact_orders={fact_n}"),
-    (7, "coverage: pct of orders with a valid delivery_delay_days", "business_rule",
-     "{pct}% of orders have a computable SLA delay ({valid}/{total})"),
-]
 # The status check's all-clear text and the modeled delay bound (days).
 ALL_CLEAR_STATUS = "all statuses known"
 DELAY_BOUND_DAYS = 200
 
-RESULT_COLS = ["layer", "check_id", "check_name", "category", "passed", "violations",
-               "detail", "run_ts"]
-
-
-# ------------------------------------------------------------ primitives
-def duplicate_key_count(df: DataFrame, keys) -> DataFrame:
-    """AGG20: number of key values occurring more than once (one row, col v)."""
-    return (df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_c"))
-            .agg(F.count_if(F.col("_c") > 1).alias("v")))
-
-
-def orphan_count(child: DataFrame, child_key: str, parent: DataFrame, parent_key: str) -> DataFrame:
-    """JN6: child rows whose key has no parent row (one row, col v)."""
-    per_key = child.groupBy(F.col(child_key).alias("_k")).agg(F.count(F.lit(1)).alias("_c"))
-    parents = parent.select(F.col(parent_key).alias("_k"))
-    return (per_key.join(parents, "_k", "left_anti")
-            .agg(F.coalesce(F.sum("_c"), F.lit(0)).cast("bigint").alias("v")))
-
-
-def orphan_rows(child: DataFrame, child_key: str, parent: DataFrame, parent_key: str) -> DataFrame:
-    """The violating child rows themselves (for drill-down). The orphan keys are
-    found on one row per key; only they meet the child rows, so a heavy key that
-    is no orphan moves nothing unless there are too many orphans to broadcast."""
-    parents = parent.select(F.col(parent_key).alias("_pk"))
-    keys = child.groupBy(F.col(child_key).alias("_pk")).agg(F.count(F.lit(1)).alias("_n")) \
-        .join(parents, "_pk", "left_anti").select("_pk")
-    return child.join(keys, child[child_key].eqNullSafe(keys["_pk"]), "left_semi")
-
-
-def unexpected_values(df: DataFrame, col: str, allowed) -> DataFrame:
-    """AGG21: distinct values outside the allowed set (NULL is unexpected), with counts."""
-    c = F.col(col)
-    return (df.groupBy(c.alias(col)).agg(F.count(F.lit(1)).alias("row_count"))
-            .filter(c.isNull() | ~c.isin(list(allowed))))
-
-
-def _fmt(template: str, **cols) -> Column:
-    """Fill {name} placeholders of a fixed template with column values."""
-    parts, rest = [], template
-    while "{" in rest:
-        pre, _, tail = rest.partition("{")
-        key, _, rest = tail.partition("}")
-        parts += [F.lit(pre), cols[key].cast("string")]
-    parts.append(F.lit(rest))
-    return F.concat(*parts)
-
-
-def _thousands(c: Column) -> Column:
-    return F.format_number(c, 0)
-
 
-def _result(layer: str, spec, v: Column, detail: Column, passed: Column | None = None) -> list:
-    cid, name, cat, _ = spec
-    return [F.lit(layer).alias("layer"), F.lit(cid).alias("check_id"), F.lit(name).alias("check_name"),
-            F.lit(cat).alias("category"),
-            (passed if passed is not None else (v == 0)).cast("int").alias("passed"),
-            v.cast("bigint").alias("violations"), detail.alias("detail")]
+def _before(later: str, earlier: str):
+    """``later`` lies before ``earlier``; a NULL on either side breaks nothing."""
+    return lambda: F.coalesce(F.col(later) < F.col(earlier), F.lit(False))
 
 
-def _rows(one_row: DataFrame, layer: str, specs_cols) -> DataFrame:
-    """Expand one aggregated row into several result rows with inline()."""
-    structs = [F.struct(*cols) for cols in specs_cols]
-    return one_row.select(F.inline(F.array(*structs)))
+def _extreme_delay():
+    d = F.col("delivery_delay_days")
+    return d.isNotNull() & (F.abs(d) > DELAY_BOUND_DAYS)
 
 
-def _simple(one_row: DataFrame, layer: str, spec) -> DataFrame:
-    v = F.col("v")
-    return one_row.select(*_result(layer, spec, v, _fmt(spec[3], n=v)))
-
-
-# ------------------------------------------------------------- raw layer
-def raw_checks(raw, run_ts: str) -> DataFrame:
-    """The 12 raw-layer checks (DQ1-DQ12) as result rows.
-
-    raw_orders is scanned three times: once per key it is grouped by. The groups
-    by order_id carry the null and duplicate keys and the row rules, and are
-    full-joined (co-partitioned) with raw_order_items, which is pre-aggregated
-    to one row per order: duplicate lines, negative amounts and orphans come out
-    of the same aggregate. The groups by customer and by status give the other
-    two. The run-time check is one more row of the first result: it reads
-    nothing."""
-    o, it, rv = raw["raw_orders"], raw["raw_order_items"], raw["raw_order_reviews"]
-    spec = {s[0]: s for s in RAW_CHECKS}
-    deliv, carr = F.col("order_delivered_customer_date"), F.col("order_delivered_carrier_date")
-    appr = F.col("order_approved_at")
-    by_order = o.groupBy("order_id").agg(
-        F.count(F.lit(1)).alias("_c"),
-        F.count_if(deliv.isNotNull() & carr.isNotNull() & (deliv < carr)).alias("_c8"),
-        F.count_if(carr.isNotNull() & appr.isNotNull() & (carr < appr)).alias("_c9"),
-        F.count_if((F.col("order_status") == "delivered") & deliv.isNull()).alias("_c11"))
-    neg = (F.col("price") < 0) | (F.col("freight_value") < 0)
-    per_line = it.groupBy("order_id", "order_item_id").agg(F.count(F.lit(1)).alias("_lines"),
-                                                           F.count_if(neg).alias("_neg"))
-    items = per_line.groupBy(F.col("order_id").alias("_item_order")).agg(
-        F.sum("_lines").alias("_lines"), F.sum("_neg").alias("_neg"),
-        F.count_if(F.col("_lines") > 1).alias("_dup"))
-    both = by_order.join(items, by_order["order_id"] == items["_item_order"], "full_outer")
-
-    def total(c):
-        return F.coalesce(F.sum(c), F.lit(0))
-    one = both.agg(
-        total(F.when(F.col("order_id").isNull(), F.col("_c"))).alias("c1"),
-        F.count_if(F.col("_c") > 1).alias("c2"), total("_dup").alias("c3"), total("_neg").alias("c4"),
-        total(F.when(F.col("_c").isNull(), F.col("_lines"))).alias("c6"),
-        total("_c8").alias("c8"), total("_c9").alias("c9"), total("_c11").alias("c11"))
-    order_rows = _rows(one, "raw", [
-        *[_result("raw", spec[i], F.col(f"c{i}"), _fmt(spec[i][3], n=F.col(f"c{i}")))
-          for i in (1, 2, 3, 4, 6, 8, 9, 11)],
-        _result("raw", spec[12], F.lit(0), F.lit(spec[12][3].format(run_ts=run_ts)), F.lit(True))])
-
-    status = (unexpected_values(o, "order_status", ALLOWED_ORDER_STATUS).agg(F.count(F.lit(1)).alias("n"))
-              .select(*_result("raw", spec[10], F.col("n"),
-                               F.when(F.col("n") == 0, F.lit(ALL_CLEAR_STATUS))
-                               .otherwise(_fmt(spec[10][3], n=F.col("n"))))))
-    parts = [
-        order_rows, status,
-        _simple(rv.agg(F.count_if((F.col("review_score") < 1) | (F.col("review_score") > 5))
-                       .alias("v")), "raw", spec[5]),
-        _simple(orphan_count(o, "customer_id", raw["raw_customers"], "customer_id"), "raw", spec[7]),
-    ]
-    return _finish(parts, run_ts)
-
-
-# --------------------------------------------------------- modeled layer
-def modeled_checks(model, raw_orders: DataFrame, run_ts: str) -> DataFrame:
-    """The 7 modeled-layer checks (DM1-DM7) as result rows. fact_orders is
-    grouped once by order_id: duplicates, range and flag rules and the
-    coverage counts all come out of that pre-aggregation."""
-    f = model.fact_orders
-    spec = {s[0]: s for s in MODELED_CHECKS}
+def _flag_contradicts():
     d, flag = F.col("delivery_delay_days"), F.col("on_time_flag")
-    by_order = f.groupBy("order_id").agg(
-        F.count(F.lit(1)).alias("_c"), F.count(d).alias("_valid"),
-        F.count_if(d.isNotNull() & (F.abs(d) > DELAY_BOUND_DAYS)).alias("_c4"),
-        F.count_if(d.isNotNull() & (((flag == 1) & (d > 0)) | ((flag == 0) & (d <= 0)))).alias("_c5"))
-    fused = by_order.agg(
-        F.count_if(F.col("_c") > 1).alias("c1"),
-        F.coalesce(F.sum("_c4"), F.lit(0)).alias("c4"), F.coalesce(F.sum("_c5"), F.lit(0)).alias("c5"),
-        F.coalesce(F.sum("_c"), F.lit(0)).alias("total"),
-        F.coalesce(F.sum("_valid"), F.lit(0)).alias("valid"))
-    # one-value results are combined as scalar subqueries, never joined
-    both = fused.withColumn("raw_n", raw_orders.agg(F.count(F.lit(1))).scalar())
-    pct = fmt_fixed(F.try_divide(F.lit(100.0) * F.col("valid"), F.col("total")), 1)
-    fact_rows = _rows(both, "modeled", [
-        _result("modeled", spec[1], F.col("c1"), _fmt(spec[1][3], n=F.col("c1"))),
-        _result("modeled", spec[4], F.col("c4"), _fmt(spec[4][3], n=F.col("c4"))),
-        _result("modeled", spec[5], F.col("c5"), _fmt(spec[5][3], n=F.col("c5"))),
-        _result("modeled", spec[6], F.abs(F.col("raw_n") - F.col("total")),
-                _fmt(spec[6][3], raw_n=_thousands(F.col("raw_n")), fact_n=_thousands(F.col("total"))),
-                F.col("raw_n") == F.col("total")),
-        _result("modeled", spec[7], F.col("total") - F.col("valid"),
-                _fmt(spec[7][3], pct=pct, valid=_thousands(F.col("valid")),
-                     total=_thousands(F.col("total"))), F.lit(True)),
-    ])
-    parts = [
-        fact_rows,
-        _simple(orphan_count(f, "customer_id", model.dim_customer, "customer_id"), "modeled", spec[2]),
-        _simple(orphan_count(model.fact_order_items, "product_id", model.dim_product, "product_id"),
-                "modeled", spec[3]),
-    ]
-    return _finish(parts, run_ts)
-
-
-def _finish(parts, run_ts) -> DataFrame:
-    u = reduce(DataFrame.unionByName, parts)
-    return u.withColumn("run_ts", F.lit(run_ts)).select(*RESULT_COLS)
+    return d.isNotNull() & (((flag == 1) & (d > 0)) | ((flag == 0) & (d <= 0)))
+
+
+# Fixed values below: check names, categories and detail texts of the reference's
+# checks, in its order. The status check counts the unexpected values;
+# unexpected_values() has one row for each, however many.
+RAW = CheckSet("raw", [
+    RowRule("raw_orders: order_id not null", "null_check", "{n} null order_id rows",
+            table="raw_orders", broken=lambda: F.col("order_id").isNull()),
+    UniqueKey("raw_orders: order_id uniqueness (PK)", "duplicate_check", "{n} duplicate order_id values",
+              table="raw_orders", keys=("order_id",)),
+    UniqueKey("raw_order_items: duplicate (order_id, order_item_id) rows", "duplicate_check",
+              "{n} duplicate order_item rows", table="raw_order_items", keys=("order_id", "order_item_id")),
+    RowRule("raw_order_items: price/freight not negative", "range_check", "{n} rows with negative price/freight",
+            table="raw_order_items", broken=lambda: (F.col("price") < 0) | (F.col("freight_value") < 0)),
+    RowRule("raw_order_reviews: review_score within 1-5", "range_check", "{n} out-of-range review scores",
+            table="raw_order_reviews", broken=lambda: (F.col("review_score") < 1) | (F.col("review_score") > 5)),
+    Reference("referential integrity: order_items.order_id exists in orders", "referential_integrity",
+              "{n} order_items rows with no matching order",
+              table="raw_order_items", key="order_id", parent="raw_orders", parent_key="order_id"),
+    Reference("referential integrity: orders.customer_id exists in customers", "referential_integrity",
+              "{n} orders rows with no matching customer",
+              table="raw_orders", key="customer_id", parent="raw_customers", parent_key="customer_id"),
+    RowRule("business rule: delivered_customer_date >= delivered_carrier_date", "business_rule",
+            "{n} orders where customer delivery is before carrier handoff (bad timestamps)",
+            table="raw_orders", broken=_before("order_delivered_customer_date", "order_delivered_carrier_date")),
+    RowRule("business rule: delivered_carrier_date >= approved_date", "business_rule",
+            "{n} orders where carrier handoff is before approval (bad timestamps)",
+            table="raw_orders", broken=_before("order_delivered_carrier_date", "order_approved_at")),
+    Domain("schema: raw_orders has expected order_status values", "schema_validation",
+           "unexpected status values: {n} (listed by unexpected_values)",
+           table="raw_orders", column="order_status", allowed=tuple(ALLOWED_ORDER_STATUS), clear=ALL_CLEAR_STATUS),
+    RowRule("null_check: delivered orders missing delivered_customer_date", "null_check",
+            "{n} orders marked 'delivered' but missing a delivered_customer_date", table="raw_orders",
+            broken=lambda: (F.col("order_status") == "delivered") & F.col("order_delivered_customer_date").isNull()),
+    Recorded("freshness_check(simulated): pipeline run timestamp recorded", "freshness_check",
+             "pipeline executed at {run_ts}"),
+])
+MODELED = CheckSet("modeled", [
+    UniqueKey("fact_orders: order_id uniqueness (PK)", "duplicate_check", "{n} duplicate order_id in fact_orders",
+              table="fact_orders", keys=("order_id",)),
+    Reference("referential integrity: fact_orders.customer_id -> dim_customer", "referential_integrity",
+              "{n} fact_orders rows with no matching dim_customer",
+              table="fact_orders", key="customer_id", parent="dim_customer", parent_key="customer_id"),
+    Reference("referential integrity: fact_order_items.product_id -> dim_product", "referential_integrity",
+              "{n} fact_order_items rows with no matching dim_product",
+              table="fact_order_items", key="product_id", parent="dim_product", parent_key="product_id"),
+    RowRule("range_check: delivery_delay_days within +/-200 days", "range_check",
+            "{n} extreme delay outliers (possible residual data errors)", table="fact_orders", broken=_extreme_delay),
+    RowRule("business_rule: on_time_flag consistent with delivery_delay_days sign", "business_rule",
+            "{n} rows where on_time_flag contradicts delivery_delay_days", table="fact_orders", broken=_flag_contradicts),
+    SameCount("schema_validation: fact_orders has expected row count vs raw_orders", "schema_validation",
+              "raw_orders={other_count} vs fact_orders={count}", table="fact_orders", other="raw_orders"),
+    Coverage("coverage: pct of orders with a valid delivery_delay_days", "business_rule",
+             "{pct}% of orders have a computable SLA delay ({valid}/{total})",
+             table="fact_orders", column="delivery_delay_days"),
+])
+
+
+def model_tables(model, raw_orders: DataFrame | None = None):
+    """Tables of a model and its raw layer by name."""
+    def get(name):
+        if name.startswith("raw_"):
+            return raw_orders if name == "raw_orders" and raw_orders is not None else model.raw[name]
+        return getattr(model, name)
+    return get
+
+
+def raw_checks(raw, run_ts: str, checks: CheckSet | None = None) -> DataFrame:
+    """The raw-layer checks (DQ1-DQ12, or ``checks``) as result rows. raw_orders is
+    scanned three times, once per key it is grouped by; raw_order_items once, by line
+    and from there by order."""
+    return (checks or RAW).compile(raw, run_ts)
+
+
+def modeled_checks(model, raw_orders: DataFrame, run_ts: str, checks: CheckSet | None = None) -> DataFrame:
+    """The modeled-layer checks (DM1-DM7, or ``checks``) as result rows."""
+    return (checks or MODELED).compile(model_tables(model, raw_orders), run_ts)
+
+
+def violating_rows(layer: str, check_id: int, raw=None, model=None, checks: CheckSet | None = None) -> DataFrame:
+    """The rows behind a row-level or referential check (what the counts count), as
+    a lazy DataFrame; uniqueness checks return the duplicated keys."""
+    found = checks or (RAW if layer == "raw" else MODELED)
+    return found.rows(check_id, raw if layer == "raw" else model_tables(model))
 
 
 # ------------------------------------------------------- SQL mirror / views
 def sql_check_counts(model) -> DataFrame:
     """DS1-DS5: the pure-SQL mirror counts as one row of five columns."""
     f = model.fact_orders
-    d, flag = F.col("delivery_delay_days"), F.col("on_time_flag")
-    fused = f.agg(
-        F.count_if(d.isNotNull() & (F.abs(d) > DELAY_BOUND_DAYS)).alias("extreme_delay_outliers"),
-        F.count_if(d.isNotNull() & (((flag == 1) & (d > 0)) | ((flag == 0) & (d <= 0))))
-        .alias("inconsistent_on_time_flag"))
+    fused = f.agg(F.count_if(_extreme_delay()).alias("extreme_delay_outliers"),
+                  F.count_if(_flag_contradicts()).alias("inconsistent_on_time_flag"))
     c = orphan_count(f, "customer_id", model.dim_customer, "customer_id").select("v").scalar()
     p = orphan_count(model.fact_order_items, "product_id", model.dim_product, "product_id") \
         .select("v").scalar()
@@ -271,40 +149,3 @@ def dq_health(results: DataFrame) -> DataFrame:
                        F.count_if(F.col("passed") == 1).alias("n_passed"),
                        F.count_if(F.col("passed") == 0).alias("n_flagged"),
                        F.count(F.lit(1)).alias("n_checks"))
-
-
-# ----------------------------------------------------------- drill-down
-def violating_rows(layer: str, check_id: int, raw=None, model=None) -> DataFrame:
-    """The rows behind a row-level or referential check (what the counts
-    count), as a lazy DataFrame; uniqueness checks return the duplicated keys."""
-    if layer == "raw":
-        o, it = raw["raw_orders"], raw["raw_order_items"]
-        deliv, carr = F.col("order_delivered_customer_date"), F.col("order_delivered_carrier_date")
-        appr = F.col("order_approved_at")
-        rules = {
-            1: lambda: o.filter(F.col("order_id").isNull()),
-            2: lambda: o.groupBy("order_id").count().filter("count > 1"),
-            3: lambda: it.groupBy("order_id", "order_item_id").count().filter("count > 1"),
-            4: lambda: it.filter((F.col("price") < 0) | (F.col("freight_value") < 0)),
-            5: lambda: raw["raw_order_reviews"].filter((F.col("review_score") < 1)
-                                                       | (F.col("review_score") > 5)),
-            6: lambda: orphan_rows(it, "order_id", o, "order_id"),
-            7: lambda: orphan_rows(o, "customer_id", raw["raw_customers"], "customer_id"),
-            8: lambda: o.filter(deliv.isNotNull() & carr.isNotNull() & (deliv < carr)),
-            9: lambda: o.filter(carr.isNotNull() & appr.isNotNull() & (carr < appr)),
-            10: lambda: unexpected_values(o, "order_status", ALLOWED_ORDER_STATUS),
-            11: lambda: o.filter((F.col("order_status") == "delivered") & deliv.isNull()),
-        }
-    else:
-        f = model.fact_orders
-        d, flag = F.col("delivery_delay_days"), F.col("on_time_flag")
-        rules = {
-            1: lambda: f.groupBy("order_id").count().filter("count > 1"),
-            2: lambda: orphan_rows(f, "customer_id", model.dim_customer, "customer_id"),
-            3: lambda: orphan_rows(model.fact_order_items, "product_id", model.dim_product, "product_id"),
-            4: lambda: f.filter(d.isNotNull() & (F.abs(d) > DELAY_BOUND_DAYS)),
-            5: lambda: f.filter(d.isNotNull() & (((flag == 1) & (d > 0)) | ((flag == 0) & (d <= 0)))),
-        }
-    if check_id not in rules:
-        raise ValueError(f"check {layer}/{check_id} has no row-level drill-down")
-    return rules[check_id]()

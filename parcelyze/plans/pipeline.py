@@ -63,28 +63,28 @@ def write_dq(results: DataFrame, root: str, layer: str):
      .partitionBy("layer").parquet(f"{root}/data_quality_results"))
 
 
+def write_table(df: DataFrame, path: str, name: str) -> int:
+    """Write one table; fact_orders is partitioned by month, so month filters prune
+    files. Returns its rows (from the write's observation)."""
+    if name == "fact_orders":
+        # rebalance by month: AQE sizes the write tasks per month (splitting a
+        # heavy month, merging small ones), so each month gets a few
+        # right-sized files instead of one file per (task, month)
+        df = (df.withColumn("year_month", F.date_format("order_purchase_timestamp", "yyyy-MM"))
+              .hint("rebalance", "year_month"))
+    obs = Observation(name)
+    w = df.observe(obs, F.count(F.lit(1)).alias("rows")).write.mode("overwrite")
+    if name == "fact_orders":
+        w = w.partitionBy("year_month")
+    w.parquet(path)
+    return obs.get["rows"]
+
+
 def write_model(model: StarModel, root: str) -> int:
-    """SNK1: full replace of the 7 modeled tables; facts partitioned by month so
-    month filters prune files. Returns total rows (from write observations)."""
+    """SNK1: full replace of the 7 modeled tables. Returns total rows."""
     from ..session import write_tables
-
-    def job(name):
-        def run():
-            df = getattr(model, name)
-            if name == "fact_orders":
-                # rebalance by month: AQE sizes the write tasks per month (splitting a
-                # heavy month, merging small ones), so each month gets a few
-                # right-sized files instead of one file per (task, month)
-                df = (df.withColumn("year_month", F.date_format("order_purchase_timestamp", "yyyy-MM"))
-                      .hint("rebalance", "year_month"))
-            obs = Observation(name)
-            w = df.observe(obs, F.count(F.lit(1)).alias("rows")).write.mode("overwrite")
-            if name == "fact_orders":
-                w = w.partitionBy("year_month")
-            w.parquet(f"{root}/{name}")
-            return obs.get["rows"]
-        return run
-    return sum(write_tables({name: job(name) for name in MODELED_TABLES}).values())
+    return sum(write_tables({name: lambda n=name: write_table(getattr(model, n), f"{root}/{n}", n)
+                             for name in MODELED_TABLES}).values())
 
 
 def run_pipeline(spark: SparkSession, raw_source, root: str | None = None,

@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..operators import quality as Q
+from ..operators.reconcile import reconcile
 from ..schemas import ALLOWED_ORDER_STATUS
 from ..session import app_id, materialize
 from .oracle import R, dirty_ctes
@@ -23,8 +24,8 @@ def _sq(s: str) -> str:
     return "'" + s.replace("'", "''") + "'"
 
 
-_RAW_SPEC = {s[0]: s for s in Q.RAW_CHECKS}
-_MOD_SPEC = {s[0]: s for s in Q.MODELED_CHECKS}
+_RAW_SPEC = {c.check_id: (c.check_id, c.name, c.category, c.detail) for c in Q.RAW.checks}
+_MOD_SPEC = {c.check_id: (c.check_id, c.name, c.category, c.detail) for c in Q.MODELED.checks}
 _ALLOWED = ", ".join(f"({_sq(s)})" for s in ALLOWED_ORDER_STATUS)
 
 
@@ -244,3 +245,71 @@ def q_dirty_item_orphans(spark, sf_dir):
     """The drill-down of a referential check: the violating rows themselves."""
     return Q.violating_rows("raw", 6, raw=dirty_model(spark, sf_dir).raw).select(
         "order_id", "order_item_id", "product_id")
+
+
+# ----------------------------------------------------------- checks of a user
+def user_checks() -> Q.CheckSet:
+    """The raw checks and some that a user of the library might add, of every kind."""
+    checks = Q.RAW.copy()
+    checks.add(Q.UniqueKey("sellers once", "duplicate_check", "{n} repeated sellers", table="raw_sellers", keys=("seller_id",)))
+    checks.add(Q.Reference("items.seller_id exists in sellers", "referential_integrity", "{n} items without a seller",
+                           table="raw_order_items", key="seller_id", parent="raw_sellers", parent_key="seller_id"))
+    checks.add(Q.Reference("payments.order_id exists in orders", "referential_integrity", "{n} payments without an order",
+                           table="raw_order_payments", key="order_id", parent="raw_orders", parent_key="order_id"))
+    checks.add(Q.Reference("reviews.order_id exists in orders", "referential_integrity", "{n} reviews without an order",
+                           table="raw_order_reviews", key="order_id", parent="raw_orders", parent_key="order_id"))
+    checks.add(Q.RowRule("freight above the price", "business_rule", "{n} items with more freight than price",
+                         table="raw_order_items", broken=lambda: F.col("freight_value") > F.col("price")))
+    checks.add(Q.Domain("payment types", "schema_validation", "{n} other payment types", table="raw_order_payments",
+                        column="payment_type", allowed=("credit_card", "boleto"), clear="no other payment type"))
+    checks.add(Q.SameCount("as many orders as customers", "schema_validation", "{count} orders, {other_count} customers",
+                           table="raw_orders", other="raw_customers"))
+    checks.add(Q.Coverage("orders with an approval", "business_rule", "{pct}% approved ({valid}/{total})",
+                          table="raw_orders", column="order_approved_at"))
+
+    @checks.check("orders of several sellers", "business_rule", "{n} orders of several sellers")
+    def several(tables):
+        per = tables("raw_order_items").groupBy("order_id").agg(F.min("seller_id").alias("x"), F.max("seller_id").alias("y"))
+        return per.agg(F.count_if(F.col("x") < F.col("y")).alias("v"))
+    return checks
+
+
+_USER = {c.check_id: (c.check_id, c.name, c.category, c.detail) for c in user_checks().checks if c.check_id > 12}
+USER_DQ_SQL = RAW_DQ_SQL + " UNION ALL " + _results_sql("raw", _USER, f"""
+  {_repeated('seller_id', 'raw_sellers', 'c13')},
+  {_unmatched('raw_order_items', 'raw_sellers', 'seller_id', 'c14')},
+  {_unmatched('raw_order_payments', 'raw_orders', 'order_id', 'c15')},
+  {_unmatched('raw_order_reviews', 'raw_orders', 'order_id', 'c16')},
+  (SELECT count(*) FILTER (freight_value > price) AS c17 FROM raw_order_items),
+  (SELECT count(*) AS c18 FROM (SELECT DISTINCT payment_type FROM raw_order_payments)
+   WHERE payment_type IS NULL OR payment_type NOT IN ('credit_card', 'boleto')),
+  (SELECT o_n, c_n, valid, abs(o_n - c_n) AS c19, o_n - valid AS c20
+   FROM (SELECT count(*) AS o_n, count(order_approved_at) AS valid FROM raw_orders),
+        (SELECT count(*) AS c_n FROM raw_customers)),
+  (SELECT count(*) AS c21 FROM (SELECT order_id FROM raw_order_items GROUP BY order_id HAVING count(DISTINCT seller_id) > 1))""",
+    {18: "CASE c18 WHEN 0 THEN 'no other payment type' ELSE c18::VARCHAR || ' other payment types' END",
+     19: "format('{:,} orders, {:,} customers', o_n, c_n)",
+     20: f"printf('%.1f', {R('100.0::DOUBLE * valid / NULLIF(o_n, 0)', 1)}) || format('% approved ({{:,}}/{{:,}})', valid, o_n)"},
+    {20})
+
+
+@query("dirty_user_checks", USER_DQ_SQL, dirty_ctes)
+def q_dirty_user_checks(spark, sf_dir):
+    """The raw checks and nine more that a user registered, planned together, where
+    rules are broken."""
+    return Q.raw_checks(dirty_model(spark, sf_dir).raw, REPORT_TS, user_checks())
+
+
+# ------------------------------------------------------------- reconciliation
+_SHARED = ["order_id", "customer_id", "order_status", "order_purchase_timestamp"]
+
+
+@query("dirty_reconciliation", f"""
+SELECT {', '.join(_SHARED)}, greatest(sum(s), 0)::BIGINT AS left_only, greatest(-sum(s), 0)::BIGINT AS right_only
+FROM (SELECT {', '.join(_SHARED)}, 1 AS s FROM raw_orders UNION ALL SELECT {', '.join(_SHARED)}, -1 FROM fact_orders)
+GROUP BY {', '.join(_SHARED)} HAVING sum(s) <> 0""", dirty_ctes)
+def q_dirty_reconciliation(spark, sf_dir):
+    """DM6 beyond the two counts: the orders that the raw layer and the fact table do
+    not share, found by digests per key range."""
+    m = dirty_model(spark, sf_dir)
+    return reconcile(m.raw["raw_orders"], m.fact_orders, "order_id", _SHARED)

@@ -15,11 +15,14 @@ from ..operators import forecast as H
 from ..operators import reports as P
 from ..operators import quality as Q
 from ..operators import stats as S
+from ..operators.ranking import global_rank
 from ..operators.model import TableModel
 from ..session import app_id, scratch_path
-from ..sources.ingest import ingest_csv, read_raw_layer, row_counts, write_csv
+from ..sources.ingest import (extra_columns, infer_types, ingest_csv, read_csv_text, read_raw_layer, row_counts, type_raw,
+                              write_csv)
 from .oracle import FMT, R
 from .pipeline import run_pipeline, write_dq
+from .snapshots import run_snapshot
 from .queries_quality import _ALL_DQ, REPORT_TS, _sq, dq_results
 from .queries_stats import _Z
 from .registry import _MONTHLY_SQL, _ROOT_CAUSE_SQL, model, query, _raw
@@ -392,6 +395,26 @@ def q_pipeline_dq_results(spark, sf_dir):
     return spark.read.parquet(f"{root}/data_quality_results").select(*Q.RESULT_COLS)
 
 
+_SNAPSHOT_SQL = " UNION ALL ".join(
+    f"SELECT {_sq(layer)} AS layer, {_sq(n)} AS name, count(*) AS row_count, {str(n in ('raw_sellers', 'dim_seller')).lower()} "
+    f"AS rewritten FROM {n}" for layer, names in (("raw", _RAW_NAMES), ("model", _MODEL_NAMES)) for n in names)
+
+
+@query("pipeline_snapshot", _SNAPSHOT_SQL)
+def q_pipeline_snapshot(spark, sf_dir):
+    """SNK1/PL1 on versioned snapshots: the tables of the second of two runs, between
+    which the sellers changed, and which of them it wrote."""
+    root = scratch_path(spark, "snapshots", app_id(spark), uuid.uuid4().hex)
+    raw = _raw(spark, sf_dir)
+    old, _ = run_snapshot(spark, raw, root, REPORT_TS)
+    changed = {**dict(raw.items()), "raw_sellers": raw["raw_sellers"].withColumn("seller_city", F.upper(F.concat("seller_city", F.lit("!"))))}
+    new, _ = run_snapshot(spark, changed, root, REPORT_TS)
+    parts = [spark.read.parquet(folder).agg(F.count(F.lit(1)).alias("row_count")).select(
+        F.lit(layer).alias("layer"), F.lit(n).alias("name"), "row_count", F.lit(folder != old.tables[layer, n][0]).alias("rewritten"))
+        for (layer, n), (folder, _) in new.tables.items() if layer != "dq"]
+    return reduce(DataFrame.unionByName, parts)
+
+
 # ------------------------------------------------------------------ CSV ingest
 _INGESTS: dict = {}
 
@@ -426,6 +449,59 @@ def q_csv_ingest_counts(spark, sf_dir):
     return row_counts(csv_round_trip(spark, sf_dir))
 
 
+_EXPORT_FILES = 7
+
+
+def many_file_export(spark, sf_dir):
+    """Payments exported as several CSV files, in the order of order and position,
+    with columns beyond the contract: a note over several quoted lines, a whole number,
+    one with gaps, a fraction, a date, a truth value and a mixed column. Ingested once
+    per application and input folder with splits far smaller than a file, so that
+    records lie across them."""
+    key = (app_id(spark), sf_dir.rstrip("/"), "many")
+    with _RUN_LOCK:
+        if key not in _INGESTS:
+            root = scratch_path(spark, "csv", app_id(spark), uuid.uuid4().hex)
+            k = F.col("order_id").cast("bigint")
+            p = model(spark, sf_dir).raw["raw_order_payments"].select(
+                "*", F.concat(F.lit('note "'), "order_id", F.lit('",\nof '), F.col("payment_type"), F.lit("\n")).alias("note"),
+                k.alias("whole"), F.when(k % 3 != 0, k).alias("gaps"), (k / 4).alias("fraction"),
+                F.date_add(F.lit("2020-01-01").cast("date"), (k % 1000).cast("int")).cast("string").alias("day"),
+                F.when(k % 2 == 0, "True").otherwise("False").alias("even"),
+                F.when(k % 5 == 0, "five").otherwise(k.cast("string")).alias("mixed"))
+            (p.repartitionByRange(_EXPORT_FILES, k).sortWithinPartitions(k, "payment_sequential").write.option("header", True)
+             .option("escape", '"').option("emptyValue", "").option("quoteAll", True).option("ignoreLeadingWhiteSpace", False)
+             .option("ignoreTrailingWhiteSpace", False).csv(f"{root}/payments"))
+            old = spark.conf.get("spark.sql.files.maxPartitionBytes")
+            spark.conf.set("spark.sql.files.maxPartitionBytes", "64k")
+            try:
+                text = read_csv_text(spark, f"{root}/payments", "raw_order_payments")
+            finally:
+                spark.conf.set("spark.sql.files.maxPartitionBytes", old)
+            text.write.parquet(f"{root}/text")
+            text = spark.read.parquet(f"{root}/text")
+            types = infer_types(text, extra_columns(text, "raw_order_payments"))
+            type_raw(text, "raw_order_payments", types).write.parquet(f"{root}/typed")
+            _INGESTS[key] = f"{root}/typed"
+        return spark.read.parquet(_INGESTS[key])
+
+
+@query("csv_many_files", r"""
+SELECT order_id, payment_sequential, payment_type, payment_installments, payment_value,
+       'note "' || order_id || '",' || chr(10) || 'of ' || payment_type || chr(10) AS note,
+       order_id::BIGINT AS whole, CASE WHEN order_id::BIGINT % 3 <> 0 THEN order_id::DOUBLE END AS gaps,
+       order_id::BIGINT / 4.0::DOUBLE AS fraction,
+       strftime(DATE '2020-01-01' + (order_id::BIGINT % 1000)::INTEGER, '%Y-%m-%d') AS day, order_id::BIGINT % 2 = 0 AS even,
+       CASE WHEN order_id::BIGINT % 5 = 0 THEN 'five' ELSE order_id END AS mixed,
+       row_number() OVER (ORDER BY order_id::BIGINT, payment_sequential) AS place
+FROM raw_order_payments""")
+def q_csv_many_files(spark, sf_dir):
+    """SRC1/DED1: several files with quoted line breaks, read in splits: every cell
+    with its inferred type, and every record's place in the order of the files."""
+    df = many_file_export(spark, sf_dir)
+    return global_rank(df, "_seq", "place", write_input=False).drop("_seq")
+
+
 # ----------------------------------------------------------- forecast per key
 _STATE_SERIES = f"""
 SELECT CASE WHEN state NOT LIKE 'A%' THEN state END AS state, year_month, count(*) AS order_count
@@ -468,12 +544,62 @@ def q_holt_forecast_by_state(spark, sf_dir):
     return H.forecast_rows(fit, ["state"], HORIZON)
 
 
-@query("forecast_fit_keys", f"""
-SELECT state, max(year_month) AS last_period, count(*) >= 2 AS fitted FROM ({_STATE_SERIES}) GROUP BY state""")
+def _keyed(sql: str) -> str:
+    """A fold or its finish over one grid as one over the grids of all keys."""
+    return (sql.replace("SELECT gi,", "SELECT key, gi,").replace("SELECT f.gi,", "SELECT f.key, f.gi,")
+            .replace("JOIN _hs_series s ON s.i = f.t", "JOIN _ks s ON s.key = f.key AND s.i = f.t"))
+
+
+def _best_of(fold: str) -> str:
+    finish = _keyed(_finish_sql(fold)).replace("t = (SELECT count(*) FROM _hs_series)",
+                                               f"t = (SELECT count(*) FROM _ks WHERE _ks.key = {fold}.key)")
+    return f"""SELECT * FROM ({finish}) WHERE sse IS NOT NULL
+               QUALIFY row_number() OVER (PARTITION BY key ORDER BY sse, alpha, beta) = 1"""
+
+
+_STATE_FIT_CTES = {
+    "_ks": f"""SELECT state, coalesce(state, '-') AS key, year_month, CAST(order_count AS DOUBLE) AS y,
+                      row_number() OVER (PARTITION BY state ORDER BY year_month) - 1 AS i FROM ({_STATE_SERIES})""",
+    "_kg1": """SELECT k.key, a.i AS gi, b.j AS gj, CAST(a.i AS DOUBLE) / CAST(100 AS DOUBLE) AS alpha,
+                      CAST(b.j AS DOUBLE) / CAST(100 AS DOUBLE) AS beta
+               FROM (SELECT DISTINCT key FROM _ks) k, range(1, 101) a(i), range(0, 101) b(j) WHERE b.j <= a.i""",
+    "_kf1": _keyed(_fold_sql("_kg1")).replace("FOLD", "_kf1"),
+    "_kb1": _best_of("_kf1"),
+    "_kg2": """SELECT key, ai AS gi, bi AS gj, CAST(ai AS DOUBLE) / CAST(1000 AS DOUBLE) AS alpha,
+                      CAST(bi AS DOUBLE) / CAST(1000 AS DOUBLE) AS beta
+               FROM (SELECT b.key, CAST(round(b.alpha * 1000) AS INTEGER) + i.i AS ai,
+                            CAST(round(b.beta * 1000) AS INTEGER) + j.j AS bi
+                     FROM _kb1 b, range(-10, 11) i(i), range(-10, 11) j(j))
+               WHERE ai >= 1 AND ai <= 1000 AND bi >= 0 AND bi <= ai""",
+    "_kf2": _keyed(_fold_sql("_kg2")).replace("FOLD", "_kf2"),
+    "_kb2": _best_of("_kf2"),
+}
+
+
+@query("forecast_fit_keys", """
+SELECT s.state, s.last_period, s.n >= 2 AS fitted, b.alpha, b.beta, b.level, b.trend
+FROM (SELECT state, key, max(year_month) AS last_period, count(*) AS n FROM _ks GROUP BY state, key) s
+LEFT JOIN _kb2 b ON b.key = s.key""", _STATE_FIT_CTES, recursive=True)
 def q_forecast_fit_keys(spark, sf_dir):
-    """FC2 per key: every key has a row after the refined fit, fitted or not."""
-    fit = H.holt_fit(_state_series(spark, sf_dir), ["state"], step=0.1)
-    return fit.select("state", "last_period", F.col("level").isNotNull().alias("fitted"))
+    """FC2 per key: every key has a row after the refined fit on the full grid, with
+    the parameters and the final state found for it."""
+    fit = H.holt_fit(_state_series(spark, sf_dir), ["state"])
+    return fit.select("state", "last_period", F.col("level").isNotNull().alias("fitted"), "alpha", "beta", "level", "trend")
+
+
+@query("forecast_fit_iterative", f"""
+SELECT state, max(year_month) AS last_period, count(*) >= 2 AS fitted, CASE WHEN count(*) >= 2 THEN true END AS no_worse
+FROM ({_STATE_SERIES}) GROUP BY state""")
+def q_forecast_fit_iterative(spark, sf_dir):
+    """FC2 per key by iterative least squares: is its sum of squares no larger than the
+    refined grid's (but for rounding)?"""
+    series = _state_series(spark, sf_dir)
+    grid = H.holt_fit(series, ["state"]).select(F.col("state").alias("_s"), F.col("sse").alias("grid"))
+    fit = H.holt_fit_iterative(series, ["state"])
+    j = fit.join(grid, fit["state"].eqNullSafe(grid["_s"]))
+    slack = F.lit(1e-9) * F.col("grid") + F.lit(1e-6)
+    return j.select("state", "last_period", F.col("level").isNotNull().alias("fitted"),
+                    (F.col("sse") <= F.col("grid") + slack).alias("no_worse"))
 
 
 @query("volume_without_gaps", f"""

@@ -22,6 +22,7 @@ from pyspark.sql import SparkSession, Observation  # noqa: E402
 from pyspark.sql import types as T  # noqa: E402
 
 from ..schemas import RAW  # noqa: E402
+from .csv_records import read_text_table  # noqa: E402
 
 # Source file of each raw table.
 CSV_FILES = {
@@ -40,7 +41,6 @@ NA_TOKENS = ["", "#N/A", "#N/A N/A", "#NA", "-1.#IND", "-1.#QNAN", "-NaN", "-nan
              "1.#IND", "1.#QNAN", "<NA>", "N/A", "NA", "NULL", "NaN", "None", "n/a",
              "nan", "null"]
 TS_FORMAT = "yyyy-MM-dd HH:mm:ss"
-MULTILINE_TABLES = {"raw_order_reviews"}     # exports with quoted free text (line breaks)
 SEQ_COL = "_seq"                              # ingest sequence (file order), when known
 SEQUENCED_TABLES = {"raw_order_items", "raw_order_payments"}
 
@@ -49,25 +49,17 @@ BAD_CELLS = "_unparsed_cells"                 # written next to the raw tables
 
 
 def read_csv_text(spark: SparkSession, path: str, name: str) -> DataFrame:
-    """SRC1 read side: every column of the file as text, unchanged (header, quoted
-    fields, BOM-safe; no trimming, no NA tokens, no inference). A contract column
-    that the header lacks is an error.
-
-    Only tables with free text (reviews) are read in multi-line mode: a
-    multi-line CSV file cannot be split, so every other export stays splittable
-    across tasks. Item and payment rows carry their file position, for "first
-    occurrence" tie-breaks."""
-    df = (spark.read.option("header", True).option("multiLine", name in MULTILINE_TABLES)
-          .option("escape", '"').option("quote", '"').option("inferSchema", False)
-          .option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False)
-          .option("nullValue", None).option("emptyValue", "").csv(path))
+    """SRC1 read side: every column of the file (or of all files of a folder) as text,
+    unchanged (header, quoted fields with line breaks, BOM-safe; no trimming, no NA
+    tokens, no inference). Files are read in splits, see ``csv_records``. A contract
+    column that the header lacks is an error.
+
+    Item and payment rows carry the number of their record over all files, for
+    "first occurrence" tie-breaks; it does not depend on the splits."""
+    df = read_text_table(spark, path, SEQ_COL if name in SEQUENCED_TABLES else None)
     missing = [f.name for f in RAW[name].fields if f.name not in df.columns]
     if missing:
         raise ValueError(f"{path}: columns {missing} of {name} are not in its header {df.columns}")
-    if name in SEQUENCED_TABLES:
-        # ids grow with the row offset inside a file (splits of one file are read in
-        # offset order); the text layer is written right away, so they are fixed
-        df = df.withColumn(SEQ_COL, F.monotonically_increasing_id())
     return df
 
 
@@ -89,11 +81,73 @@ def _typed(c: Column, f) -> Column:
     return F.trim(c).try_cast(f.dataType)
 
 
-def type_raw(text: DataFrame, name: str) -> DataFrame:
-    """The text layer typed to the contract; columns beyond it pass through as text."""
+# Forms of a number in a column without a contract type (white space around it is allowed).
+_INTEGER = r"^\s*[+-]?[0-9]+\s*$"
+_FLOAT = r"(?i)^\s*[+-]?([0-9]+\.?[0-9]*([eE][+-]?[0-9]+)?|\.[0-9]+([eE][+-]?[0-9]+)?|inf|infinity)\s*$"
+# The words that a pandas CSV reader takes for truth values.
+TRUTH_WORDS = {"True": True, "TRUE": True, "true": True, "False": False, "FALSE": False, "false": False}
+
+
+def infer_types(text: DataFrame, columns) -> dict:
+    """{column: Spark type} of text columns, as a pandas CSV reader would type them,
+    from one aggregate over all cells. Per column six counts are kept, which add up
+    over partitions in any order: cells, missing cells, and cells that are 64-bit integers,
+    unsigned ones, numbers, truth words. Integers make ``bigint`` (beyond 64 bits
+    ``decimal(20,0)``), with missing cells or among other numbers ``double``; truth words
+    ``boolean``, with missing cells text, as is everything else. A column without any
+    cell is ``double``, one of an empty table text."""
+    columns = list(columns)
+    if not columns:
+        return {}
+    counts = []
+    for i, name in enumerate(columns):
+        c = _value(F.col(f"`{name}`"))
+        whole = F.when(c.rlike(_INTEGER), F.trim(F.regexp_replace(c, r"[\s+]", "")).try_cast("decimal(38,0)"))
+        counts += [F.count(c).alias(f"cells{i}"), F.count_if(c.isNull()).alias(f"none{i}"),
+                   F.count_if(whole.between(F.lit(-2 ** 63), F.lit(2 ** 63 - 1))).alias(f"signed{i}"),
+                   F.count_if(whole.between(F.lit(0), F.lit(str(2 ** 64 - 1)).cast("decimal(38,0)"))).alias(f"unsigned{i}"),
+                   F.count_if(c.rlike(_FLOAT)).alias(f"number{i}"),
+                   F.count_if(c.isin(list(TRUTH_WORDS))).alias(f"truth{i}")]
+    got = text.agg(*counts).first()
+
+    def decide(i):
+        cells, none, signed, unsigned, number, truth = (got[f"{k}{i}"] for k in (
+            "cells", "none", "signed", "unsigned", "number", "truth"))
+        if cells + none == 0:
+            return "string"
+        if number == cells:
+            if none == 0 and signed == cells:
+                return "bigint"
+            return "decimal(20,0)" if none == 0 and unsigned == cells else "double"
+        return "boolean" if truth == cells and none == 0 else "string"
+    return {name: decide(i) for i, name in enumerate(columns)}
+
+
+def _as(c: Column, kind: str) -> Column:
+    if kind == "string":
+        return c
+    if kind == "boolean":
+        return F.when(c.isNotNull(), c.isin([w for w, v in TRUTH_WORDS.items() if v]))
+    plain = F.regexp_replace(c, r"\s", "")
+    return (F.regexp_replace(plain, r"^\+", "") if kind != "double" else plain).try_cast(kind)
+
+
+def extra_columns(text: DataFrame, name: str) -> list:
+    contract = {f.name for f in RAW[name].fields}
+    return [c for c in text.columns if c not in contract and c != SEQ_COL]
+
+
+def type_raw(text: DataFrame, name: str, extra_types: dict | None = None) -> DataFrame:
+    """The text layer typed to the contract. Columns beyond it get their type from
+    ``extra_types`` (NA tokens are NULL); without one they pass through as text."""
     contract = {f.name: f for f in RAW[name].fields}
     typed = [_typed(_value(F.col(f"`{n}`")), f).alias(n) for n, f in contract.items()]
-    return text.select(*typed, *[F.col(f"`{c}`") for c in text.columns if c not in contract])
+    rest = []
+    for c in text.columns:
+        if c not in contract:
+            kind = (extra_types or {}).get(c)
+            rest.append(F.col(f"`{c}`") if kind is None else _as(_value(F.col(f"`{c}`")), kind).alias(c))
+    return text.select(*typed, *rest)
 
 
 def unparsed_cells(text: DataFrame, name: str) -> DataFrame:
@@ -118,29 +172,34 @@ def read_raw_csv(spark: SparkSession, path: str, name: str) -> DataFrame:
 def ingest_csv(spark: SparkSession, raw_dir: str, out_root: str) -> dict:
     """SRC1/SRC2: check that every source file exists and has its columns (before
     writing anything), land each file as text under ``<out_root>/_text``, then type
-    the text into the raw tables and list the cells that could not be typed. Row
+    the text into the raw tables (columns beyond the contract as ``infer_types`` finds
+    them) and list the cells that could not be typed. Row
     counts come from an Observation on the write itself (no second scan).
     Returns {table: rows}."""
-    from ..session import path_exists
+    from ..session import path_exists, write_tables
     root = out_root.rstrip("/")
     paths = {n: f"{raw_dir.rstrip('/')}/{f}" for n, f in CSV_FILES.items()}
     missing = [p for p in paths.values() if not path_exists(spark, p)]
     if missing:
         raise FileNotFoundError(f"Missing raw source file: {missing[0]}")
-    read = {name: read_csv_text(spark, path, name) for name, path in paths.items()}
-    counts, bad = {}, []
-    for name, df in read.items():
-        df.write.mode("overwrite").parquet(f"{root}/_text/{name}")
-        text = spark.read.parquet(f"{root}/_text/{name}")
-        obs = Observation(name)
-        (type_raw(text, name).observe(obs, F.count(F.lit(1)).alias("rows"))
-         .write.mode("overwrite").parquet(f"{root}/{name}"))
-        counts[name] = obs.get["rows"]
-        bad.append(unparsed_cells(text, name))
+    # independent tables side by side; nothing is written to out_root before all are read
+    read = write_tables({name: lambda n=name, p=path: read_csv_text(spark, p, n) for name, path in paths.items()})
+    counts = write_tables({name: lambda n=name, d=df: _land(spark, d, n, root) for name, df in read.items()})
+    bad = [unparsed_cells(spark.read.parquet(f"{root}/_text/{name}"), name) for name in read]
     reduce(DataFrame.unionByName, bad).write.mode("overwrite").parquet(f"{root}/{BAD_CELLS}")
     return counts
 
 
+def _land(spark: SparkSession, df: DataFrame, name: str, root: str) -> int:
+    """Write one table as text, then typed. Returns its rows."""
+    df.write.mode("overwrite").parquet(f"{root}/_text/{name}")
+    text = spark.read.parquet(f"{root}/_text/{name}")
+    typed = type_raw(text, name, infer_types(text, extra_columns(text, name)))
+    obs = Observation(name)
+    typed.observe(obs, F.count(F.lit(1)).alias("rows")).write.mode("overwrite").parquet(f"{root}/{name}")
+    return obs.get["rows"]
+
+
 def read_unparsed_cells(spark: SparkSession, root: str) -> DataFrame:
     return spark.read.parquet(f"{root.rstrip('/')}/{BAD_CELLS}")
 

@@ -188,3 +188,58 @@ def test_approx_paths_close_to_exact(small_model):
     # a sketch returns an observed value near the middle of each zip's values
     assert sum(abs(exact[z]["lat"] - approx[z]["lat"]) < 5 for z in exact) == len(exact)
     assert all(exact[z]["city"] == approx[z]["city"] for z in exact)
+
+
+def _plain_sse(y, alpha, beta):
+    """Least squares over the initial state by numpy, nothing shared with the fold."""
+    import numpy as np
+    y = np.asarray(y, float)
+
+    def errors(l0, b0, data):
+        level, trend, out = l0, b0, []
+        for v in data:
+            e = v - level - trend
+            out.append(e)
+            level, trend = level + trend + alpha * e, trend + alpha * beta * e
+        return np.array(out)
+    zero = np.zeros(len(y))
+    design = -np.stack([errors(1, 0, zero), errors(0, 1, zero)], axis=1)
+    base = errors(0, 0, y)
+    state, *_ = np.linalg.lstsq(design, base, rcond=None)
+    return float(((base - design @ state) ** 2).sum())
+
+
+def test_iterative_fit_is_no_worse_than_the_grid(spark):
+    import random
+    import numpy as np
+    rng = random.Random(11)
+    rows, series = [], {}
+    for k in range(24):
+        level, trend, y = 100.0 + 40 * k, rng.uniform(-3, 5), []
+        for i in range(rng.choice([3, 4, 6, 20, 36])):
+            level += trend + rng.gauss(0, rng.choice([0.1, 5, 30]))
+            trend += rng.gauss(0, rng.choice([0, 0.5, 4]))
+            y.append(round(level + rng.gauss(0, rng.choice([0.1, 10]))))
+        series[k] = y
+        rows += [(k, f"{2000 + i // 12}-{i % 12 + 1:02d}", v) for i, v in enumerate(y)]
+    rows.append((99, "2000-01", 5))
+    df = spark.createDataFrame(rows, "k int, year_month string, order_count long")
+    grid = {r.k: r for r in H.holt_fit(df, ["k"], step=0.02).collect()}
+    got = {r.k: r for r in H.holt_fit_iterative(df, ["k"]).collect()}
+    assert set(got) == set(grid) and got[99].alpha is None and got[99].last_period == "2000-01"
+    for k, y in series.items():
+        r, g = got[k], grid[k]
+        if g.sse is None:
+            assert r.sse is None
+            continue
+        assert r.sse <= g.sse * (1 + 1e-9) + 1e-6, (k, r.sse, g.sse)
+        assert 0 < r.alpha <= 1 and 0 <= r.beta <= r.alpha
+        scale = 1e-6 * float(np.var(y) * len(y)) + 1e-6
+        assert abs(_plain_sse(y, r.alpha, r.beta) - r.sse) <= scale
+    assert H.ITERATIVE_FOLDS * 10 <= 5150 + 441 + 10 * 441 and H.ITERATIVE_FOLDS < 560
+
+
+def test_iterative_forecast_of_a_line_and_of_one_series(spark):
+    df = spark.createDataFrame([(f"2017-{i:02d}", 10 * i) for i in range(1, 11)], "year_month string, order_count long")
+    got = H.holt_forecast(df, 2, iterative=True).orderBy("year_month").collect()
+    assert [(r.year_month, r.forecasted_order_count) for r in got] == [("2017-11", 110), ("2017-12", 120)]
