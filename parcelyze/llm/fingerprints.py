@@ -5,17 +5,19 @@ after ``PIECE`` characters. A text's distinct paragraph digests go into a sketch
 digest falls into one cell of each of three tables, and a cell holds how many
 digests it got, their exclusive or, and the exclusive or of their check hashes.
 
-Two sketches of one shape subtract cell by cell, and what both texts share
-cancels. A cell left with a single digest (count 1 or -1, matching check) gives
-it away; taking it out of its other cells frees more, round by round, until the
-difference is listed (peeling). Likeness is shared / all distinct paragraphs, from
-the two numbers of digests and the recovered difference.
-
-A sketch is built in groups of about ``GROUP`` digests by leading digest bits,
-every group with cells of its own, so that a long text is as cheap a character as
-a short one. Where a group does not peel, it is tried again four times as large:
-split in four groups by the next bits. Group bits and cell bits are different bits
-of a digest, so splitting ends.
+The fingerprint of a text is its sketch of 24 cells, written out. Two fingerprints
+subtract cell by cell, and what both texts share cancels. A cell left with a single
+digest (count 1 or -1, matching check) gives it away; taking it out of its other
+cells frees more, until the difference is listed (peeling). Likeness is shared / all
+distinct paragraphs, from the two numbers of digests and the recovered difference.
+
+Where a difference is too large for 24 cells, both texts get larger sketches: as many
+groups of 24 cells (a power of four) as hold both texts' digests at 12 a group. They are
+built, subtracted and peeled as tables, one row a cell, clustered by document, so
+nothing is exchanged: a digest adds its sign and its bits to three cells, cells are
+summed, and every step takes the single digests of one of the three tables out of
+the other two. A group that still does not peel is tried again with four groups in
+its place and fresh hashes, up to ``RETRIES`` times.
 
 Only DataFrame and SQL functions are used. NULL texts are empty; a text without
 paragraphs is like another such text (1.0) and unlike any other (0.0).
@@ -29,10 +31,13 @@ from pyspark.sql import functions as F
 from .common import materialize
 
 PIECE = 96
-GROUP = 16
 SLOTS = 8                  # cells per table: 3 * 8 for a group
-ROUNDS = 8
+GROUP = 12                 # digests of both texts a group of a larger sketch is meant for
+ROUNDS = 8                 # peeling rounds over a fingerprint
+STEPS = 12                 # peeling steps over a larger sketch, one table each
+RETRIES = 12
 _PARAGRAPH = rf"[^\n]{{1,{PIECE}}}[^\s]*"
+_CELL = "struct<place:int,count:int,key:bigint,check:bigint>"
 
 
 def digests(text: Column) -> Column:
@@ -41,42 +46,169 @@ def digests(text: Column) -> Column:
         F.regexp_extract_all(text, F.lit(_PARAGRAPH), F.lit(0)), lambda p: F.xxhash64(p))))
 
 
-def _slot(d: Column, table: int, slots: int) -> Column:
-    """The cell of a digest in a table: bits 0-11 choose cells."""
-    return F.shiftrightunsigned(d, 4 * table).bitwiseAND(F.lit(slots - 1))
-
-
-def _group(d: Column, depth: Column) -> Column:
-    """Two bits of the digest per depth, from bit 12 on."""
-    return F.call_function(
-        "shiftrightunsigned", d, (F.lit(12) + F.lit(2) * depth).cast("int")).bitwiseAND(F.lit(3))
+def _once(value: Column, use) -> Column:
+    """``use`` of a value that is computed once: the one element of an array."""
+    return F.element_at(F.transform(F.array(value), use), 1)
 
 
 def _check(d: Column) -> Column:
     return F.xxhash64(d, F.lit(1))
 
 
-def cells(a: Column, b: Column | None, slots: int) -> Column:
-    """The cells of sketch(a) - sketch(b): (place, count, key, check), place = table * slots + slot."""
-    def cell(table, slot):
-        def add(sign):
-            return lambda c, d: F.when(_slot(d, table, slots) == slot, F.struct(
-                c["place"].alias("place"), (c["count"] + F.lit(sign)).alias("count"),
-                c["key"].bitwiseXOR(d).alias("key"), c["check"].bitwiseXOR(_check(d)).alias("check"))).otherwise(c)
-        start = F.struct((F.lit(table * slots) + slot).cast("int").alias("place"), F.lit(0).alias("count"),
-                         F.lit(0).cast("long").alias("key"), F.lit(0).cast("long").alias("check"))
-        one = F.aggregate(a, start, add(1))
-        return one if b is None else F.aggregate(b, one, add(-1))
-    def table_cells(table):
-        return F.transform(F.sequence(F.lit(0), F.lit(slots - 1)), lambda slot: cell(table, slot))
-    return F.flatten(F.array(*[table_cells(t) for t in range(3)]))
+def _spread(d: Column, depth: Column) -> Column:
+    """The bits that place a digest in a sketch of 4 ** depth groups."""
+    return F.xxhash64(d, F.lit(7) + depth)
+
+
+def _bits(x: Column, at: Column | int, mask: Column) -> Column:
+    return F.call_function("shiftrightunsigned", x, F.lit(at) if isinstance(at, int) else at).bitwiseAND(mask)
+
+
+def _group(h: Column, depth: Column) -> Column:
+    return _bits(h, 12, F.call_function("shiftleft", F.lit(1).cast("long"), (F.lit(2) * depth).cast("int")) - 1)
+
+
+def _place(h: Column, depth: Column, table: int) -> Column:
+    """(group * 3 + table) * SLOTS + slot."""
+    slot = _bits(h, 3 * table, F.lit(SLOTS - 1).cast("long"))
+    return (_group(h, depth) * 3 + table) * SLOTS + slot
+
+
+# ------------------------------------------------------------- fingerprints
+def sketch(d: Column) -> Column:
+    """The 24 cells (place, count, key, check) of a set of digests."""
+    depth = F.lit(0)
+    spots = F.transform(d, lambda x: _once(_spread(x, depth), lambda h: F.struct(
+        *[_place(h, depth, t).cast("int").alias(f"t{t}") for t in range(3)], x.alias("key"), _check(x).alias("check"))))
+
+    def cells(items):
+        def cell(table):
+            def at(slot):
+                place = (slot + table * SLOTS).cast("int")
+                start = F.struct(place.alias("place"), F.lit(0).alias("count"), F.lit(0).cast("long").alias("key"),
+                                 F.lit(0).cast("long").alias("check"))
+                return F.aggregate(F.filter(items, lambda i: i[f"t{table}"] == place), start, lambda c, i: F.struct(
+                    c["place"].alias("place"), (c["count"] + 1).alias("count"), c["key"].bitwiseXOR(i["key"]).alias("key"),
+                    c["check"].bitwiseXOR(i["check"]).alias("check")))
+            return F.transform(F.sequence(F.lit(0), F.lit(SLOTS - 1)), at)
+        return F.flatten(F.array(*[cell(t) for t in range(3)]))
+    return _once(spots, cells)
+
+
+def spell(cells: Column) -> Column:
+    """A sketch as text: count.key.check of every cell in hexadecimal, an empty cell as '-'."""
+    return F.concat_ws("-", F.transform(cells, lambda c: F.when(c["count"] == 0, F.lit("")).otherwise(F.concat(
+        F.hex(c["count"].cast("long")), F.lit("."), F.hex(c["key"]), F.lit("."), F.hex(c["check"])))))
+
+
+def parse(fingerprint: Column) -> Column:
+    """The sketch that :func:`spell` wrote."""
+    def number(parts, i):
+        return F.coalesce(F.conv(F.get(parts, F.lit(i)), 16, -10).cast("long"), F.lit(0).cast("long"))
+    return F.transform(F.split(fingerprint, "-"), lambda x, place: _once(F.split(x, "\\."), lambda p: F.when(
+        x == "", F.struct(place.alias("place"), F.lit(0).alias("count"), F.lit(0).cast("long").alias("key"),
+                          F.lit(0).cast("long").alias("check"))).otherwise(F.struct(
+            place.alias("place"), number(p, 0).cast("int").alias("count"), number(p, 1).alias("key"), number(p, 2).alias("check")))))
+
+
+def fingerprint(text: Column) -> Column:
+    """The fingerprint of a text."""
+    return spell(sketch(digests(F.coalesce(text, F.lit("")))))
+
+
+def subtract(a: Column, b: Column) -> Column:
+    return F.zip_with(a, b, lambda x, y: F.struct(
+        x["place"].alias("place"), (x["count"] - y["count"]).alias("count"), x["key"].bitwiseXOR(y["key"]).alias("key"),
+        x["check"].bitwiseXOR(y["check"]).alias("check")))
+
+
+def peel(cells: Column) -> Column:
+    """(left, plus, minus): how many cells did not peel, and the digests that only the
+    first and only the second sketch held, each sorted."""
+    depth = F.lit(0)
+    state = f"struct<left:array<{_CELL}>,found:array<struct<key:bigint,count:int>>>"
 
+    def used(cs):
+        return F.filter(cs, lambda x: (x["count"] != 0) | (x["key"] != 0) | (x["check"] != 0))
 
-def fingerprint(d: Column) -> Column:
-    """The sketch of a whole text folded to 12 cells, as text. A mark of the set of
-    paragraphs, not the sketch that ``differences`` subtracts."""
-    return F.concat_ws("-", F.transform(cells(d, None, 4), lambda c: F.concat(
-        F.hex(c["count"].cast("long")), F.lit("."), F.hex(c["key"].bitwiseXOR(c["check"])))))
+    def step(s, _):
+        pure = F.array_distinct(F.transform(
+            F.filter(s["left"], lambda x: (F.abs(x["count"]) == 1) & (_check(x["key"]) == x["check"])),
+            lambda x: F.struct(x["key"].alias("key"), x["count"].alias("count"))))
+
+        def without(items):
+            # every place that a found digest was in, with what it left there
+            marks = F.flatten(F.transform(items, lambda i: _once(_spread(i["key"], depth), lambda h: F.array(*[
+                F.struct(_place(h, depth, t).cast("int").alias("place"), i["count"].alias("count"), i["key"].alias("key"),
+                         _check(i["key"]).alias("check")) for t in range(3)]))))
+            return _once(marks, lambda ms: used(F.transform(s["left"], lambda x: F.aggregate(
+                F.filter(ms, lambda m: m["place"] == x["place"]), x, lambda c, m: F.struct(
+                    c["place"].alias("place"), (c["count"] - m["count"]).alias("count"),
+                    c["key"].bitwiseXOR(m["key"]).alias("key"), c["check"].bitwiseXOR(m["check"]).alias("check"))))))
+        return _once(pure, lambda items: F.when(F.size(items) == 0, s).otherwise(F.struct(
+            without(items).alias("left"), F.concat(s["found"], items).alias("found")).cast(state)))
+    start = F.struct(used(cells).alias("left"), F.array().cast("array<struct<key:bigint,count:int>>").alias("found")).cast(state)
+
+    def signed(s, sign):
+        return F.array_sort(F.transform(F.filter(s["found"], lambda x: x["count"] == sign), lambda x: x["key"]))
+    return F.aggregate(F.sequence(F.lit(1), F.lit(ROUNDS)), start, step, lambda s: F.struct(
+        F.size(s["left"]).alias("left"), signed(s, 1).alias("plus"), signed(s, -1).alias("minus")))
+
+
+# ------------------------------------------------------------ larger sketches
+def depth_for(digests_of_both: Column) -> Column:
+    """The smallest depth, 1 at least, whose 4 ** depth groups hold so many digests."""
+    need = F.greatest(F.lit(1.0), digests_of_both / F.lit(float(GROUP)))
+    return F.greatest(F.lit(1), F.least(F.lit(24), F.ceil(F.log2(need) / 2 - F.lit(1e-9)).cast("int")))
+
+
+def larger(pairs: DataFrame, keys: list) -> DataFrame:
+    """(keys, depth, grp, left, plus, minus) from rows (keys, a, b, depth): the sketches of
+    4 ** depth groups subtracted and peeled, one row a group with a difference. ``pairs``
+    is clustered by the leading columns of ``keys``; no exchange follows."""
+    def marks(c, sign):
+        return F.transform(c, lambda d: F.struct(d.alias("d"), F.lit(sign).alias("sign")))
+    one = pairs.select(*keys, "depth", F.explode(F.concat(marks(F.col("a"), 1), marks(F.col("b"), -1))).alias("m"))
+    one = one.select(*keys, "depth", F.col("m.d").alias("d"), F.col("m.sign").cast("long").alias("sign"))
+    one = one.withColumn("h", _spread(F.col("d"), F.col("depth"))).withColumn("check", _check(F.col("d")))
+    rows = one.select(*keys, "depth", "sign", "d", "check", F.explode(F.array(*[
+        _place(F.col("h"), F.col("depth"), t) for t in range(3)])).alias("place"))
+    by = [*keys, "depth", "place"]
+    rows = rows.groupBy(*by).agg(F.sum("sign").alias("n"), F.bit_xor("d").alias("key"), F.bit_xor("check").alias("check"))
+    used = (F.col("n") != 0) | (F.col("key") != 0) | (F.col("check") != 0)
+    # a found digest is a row of its own: found holds it, its place is -1 - group
+    rows = rows.filter(used).withColumn("found", F.lit(0).cast("long"))
+    for i in range(STEPS):
+        rows = _without_singles(rows, by, i % 3)
+    group = F.when(F.col("place") < 0, -1 - F.col("place")).otherwise(F.floor(F.col("place") / (3 * SLOTS)).cast("long"))
+
+    def found(sign):
+        return F.array_sort(F.collect_list(F.when((F.col("place") < 0) & (F.col("n") == sign), F.col("found"))))
+    return rows.withColumn("grp", group).groupBy(*keys, "depth", "grp").agg(
+        F.count_if(F.col("place") >= 0).alias("left"), found(1).alias("plus"), found(-1).alias("minus"))
+
+
+def _without_singles(rows: DataFrame, by: list, table: int) -> DataFrame:
+    """Take the digests that stand alone in a cell of ``table`` out of the other tables.
+    A digest is in one cell of a table, so none is taken out twice."""
+    h = _spread(F.col("key"), F.col("depth"))
+    alone = ((F.col("place") >= 0) & (F.abs(F.col("n")) == 1) & (_check(F.col("key")) == F.col("check"))
+             & (_place(h, F.col("depth"), table) == F.col("place")))
+    no = F.lit(0).cast("long")
+    names = ("place", "n", "key", "check", "found")
+
+    def row(*values):
+        return F.struct(*[v.alias(k) for k, v in zip(names, values)])
+    same = row(*[F.col(k) for k in names])
+    others = [row(_place(F.col("h"), F.col("depth"), t), -F.col("n"), F.col("key"), F.col("check"), no)
+              for t in range(3) if t != table]
+    out = row(-1 - _group(F.col("h"), F.col("depth")), F.col("n"), no, no, F.col("key"))
+    rest = [c for c in by if c != "place"]
+    rows = rows.withColumn("h", F.when(alone, h)).select(*rest, F.explode(
+        F.when(F.col("h").isNull(), F.array(same)).otherwise(F.array(out, *others))).alias("r"))
+    rows = rows.select(*rest, "r.*").groupBy(*by, "found").agg(
+        F.sum("n").alias("n"), F.bit_xor("key").alias("key"), F.bit_xor("check").alias("check"))
+    return rows.filter((F.col("place") < 0) | (F.col("n") != 0) | (F.col("key") != 0) | (F.col("check") != 0))
 
 
 def next_in_order(keys: DataFrame) -> DataFrame:
@@ -127,67 +259,32 @@ def versions(docs: DataFrame, id_col="doc_id", text_col="text") -> DataFrame:
                     digests(F.col("text")).alias("a"), digests(F.col("edited")).alias("e"), "x")
 
 
-def split(pairs: DataFrame, when: Column) -> DataFrame:
-    """Cut the groups where ``when`` holds in four by the next two digest bits."""
-    four = F.when(when, F.sequence(F.lit(0), F.lit(3))).otherwise(F.array(F.lit(-1)))
-    rest = [c for c in pairs.columns if c not in ("a", "b", "depth")]
-    cut = pairs.withColumn("part", F.explode(four))
-
-    def side(c):
-        return F.when(F.col("part") < 0, F.col(c)).otherwise(
-            F.filter(c, lambda d: _group(d, F.col("depth")) == F.col("part"))).alias(c)
-    return cut.select(*rest, side("a"), side("b"),
-                      (F.col("depth") + F.when(F.col("part") < 0, 0).otherwise(1)).cast("int").alias("depth"))
-
-
-def peel(c: Column) -> Column:
-    """(left, plus, minus): cells that did not peel, and how many digests only the
-    first and only the second sketch held."""
-    state = "struct<left:array<struct<place:int,count:int,key:bigint,check:bigint>>,plus:int,minus:int>"
-
-    def used(cs):
-        return F.filter(cs, lambda x: (x["count"] != 0) | (x["key"] != 0) | (x["check"] != 0))
-
-    def step(s, _):
-        pure = F.array_distinct(F.transform(
-            F.filter(s["left"], lambda x: (F.abs(x["count"]) == 1) & (_check(x["key"]) == x["check"])),
-            lambda x: F.struct(x["key"].alias("key"), x["count"].alias("count"))))
-
-        def without(x, items):
-            table = F.floor(x["place"] / SLOTS).cast("int")
-            slot = x["place"] % SLOTS
-            return F.aggregate(items, x, lambda c, i: F.when(
-                F.call_function("shiftrightunsigned", i["key"], F.lit(4) * table).bitwiseAND(F.lit(SLOTS - 1)) == slot,
-                F.struct(c["place"].alias("place"), (c["count"] - i["count"]).alias("count"),
-                         c["key"].bitwiseXOR(i["key"]).alias("key"),
-                         c["check"].bitwiseXOR(_check(i["key"])).alias("check"))).otherwise(c))
-        # the found digests are bound once, as the single element of an array
-        return F.element_at(F.transform(F.array(pure), lambda items: F.when(F.size(items) == 0, s).otherwise(F.struct(
-            used(F.transform(s["left"], lambda x: without(x, items))).alias("left"),
-            (s["plus"] + F.size(F.filter(items, lambda i: i["count"] == 1))).alias("plus"),
-            (s["minus"] + F.size(F.filter(items, lambda i: i["count"] == -1))).alias("minus")).cast(state))), 1)
-    start = F.struct(used(c).alias("left"), F.lit(0).alias("plus"), F.lit(0).alias("minus")).cast(state)
-    return F.aggregate(F.sequence(F.lit(1), F.lit(ROUNDS)), start, step)
-
-
 def differences(pairs: DataFrame) -> DataFrame:
-    """(kid, tie, kind, plus, minus) from rows (kid, tie, kind, a, b): sketch, subtract
-    and peel; groups that fail are tried again four times as large."""
-    todo, done = pairs.withColumn("depth", F.lit(0)), None
-    for _ in range(10):                # the first shape: 4 ** 10 groups of GROUP digests at most, retries go on from there
-        todo = split(todo, F.size("a") + F.size("b") > GROUP)
-    while True:
-        tried = todo.withColumn("r", peel(cells(F.col("a"), F.col("b"), SLOTS)))
-        ok = F.size("r.left") == 0
-        tried = materialize(tried.select(
-            "kid", "tie", "kind", "depth", ok.alias("ok"), "r.plus", "r.minus",
-            F.when(~ok, F.col("a")).alias("a"), F.when(~ok, F.col("b")).alias("b")), "sketches")
-        part = tried.filter("ok").select("kid", "tie", "kind", "plus", "minus")
-        done = part if done is None else done.unionByName(part)
-        failed = tried.filter("NOT ok").select("kid", "tie", "kind", "a", "b", "depth")
-        if failed.limit(1).count() == 0:
-            return done.groupBy("kid", "tie", "kind").agg(F.sum("plus").alias("plus"), F.sum("minus").alias("minus"))
-        todo = split(failed, F.lit(True))
+    """(kid, tie, kind, plus, minus) from rows (kid, tie, kind, a, b): the digests that
+    only a and only b hold, recovered from sketches. Fingerprints are subtracted and
+    peeled first; pairs that do not peel get larger sketches, and groups of these that do
+    not peel are tried again four times as large. One row per pair and peeled part
+    (pairs without a difference have one with empty lists). Runs several jobs."""
+    keys = ["kid", "tie", "kind"]
+    first = pairs.withColumn("r", peel(subtract(sketch(F.col("a")), sketch(F.col("b")))))
+    failed = F.col("r.left") > 0
+    first = materialize(first.select(*keys, failed.alias("failed"), F.when(~failed, F.col("r.plus")).alias("plus"),
+                                     F.when(~failed, F.col("r.minus")).alias("minus"),
+                                     F.when(failed, F.col("a")).alias("a"), F.when(failed, F.col("b")).alias("b")), "sketches")
+    done = first.filter("NOT failed").select(*keys, "plus", "minus")
+    todo = first.filter("failed").select(*keys, "a", "b", depth_for(F.size("a") + F.size("b")).alias("depth"))
+    for _ in range(RETRIES):
+        if todo.limit(1).count() == 0:
+            return done
+        dealt = todo.repartition("kid", "tie")
+        tried = materialize(larger(dealt, keys), "sketches")
+        done = done.unionByName(tried.filter("left = 0").select(*keys, "plus", "minus"))
+        bad = tried.filter("left > 0").groupBy(*keys).agg(F.collect_list("grp").alias("bad"))
+
+        def inside(c):
+            return F.filter(c, lambda d: F.array_contains("bad", _group(_spread(d, F.col("depth")), F.col("depth")))).alias(c)
+        todo = todo.join(bad, keys).select(*keys, inside("a"), inside("b"), (F.col("depth") + 1).alias("depth"))
+    raise RuntimeError(f"sketches did not peel after {RETRIES} retries")
 
 
 def likeness(na: Column, plus: Column, minus: Column) -> Column:
@@ -205,10 +302,10 @@ def compare(docs: DataFrame, id_col="doc_id", text_col="text") -> DataFrame:
     d = differences(pairs)
     names = [(k, c) for k in ("edited", "next") for c in ("plus", "minus")]
     d = d.groupBy("kid", "tie").agg(*[
-        F.max(F.when(F.col("kind") == k, F.col(c))).alias(f"{k}_{c}") for k, c in names])
+        F.sum(F.when(F.col("kind") == k, F.size(c))).alias(f"{k}_{c}") for k, c in names])
     na = F.size("a").cast("double")
     return v.join(d, ["kid", "tie"]).select(
-        "id", "n_chars", "edited_sha256", fingerprint(F.col("a")).alias("fingerprint"),
-        fingerprint(F.col("e")).alias("edited_fingerprint"),
+        "id", "n_chars", "edited_sha256", spell(sketch(F.col("a"))).alias("fingerprint"),
+        spell(sketch(F.col("e"))).alias("edited_fingerprint"),
         likeness(na, F.col("edited_plus"), F.col("edited_minus")).alias("near_edited"),
         likeness(na, F.col("next_plus"), F.col("next_minus")).alias("near_next"))

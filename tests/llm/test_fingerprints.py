@@ -79,24 +79,65 @@ def test_many_partitions_and_repeated_rows(spark):
 
 
 def sets(spark, a, b):
-    return spark.createDataFrame([(a, b)], "a array<bigint>, b array<bigint>")
+    return spark.createDataFrame([(sorted(a), sorted(b))], "a array<bigint>, b array<bigint>")
 
 
-def test_peeling_finds_the_difference_or_says_so(spark):
-    common = [fp_hash(i) for i in range(500)]
-    one, two = [fp_hash(i) for i in range(1000, 1004)], [fp_hash(i) for i in range(2000, 2003)]
-    r = sets(spark, common + one, common + two).select(fp.peel(fp.cells(F.col("a"), F.col("b"), fp.SLOTS)).alias("r")).first().r
-    assert (r.left, r.plus, r.minus) == ([], 4, 3)
-    r = sets(spark, common, []).select(fp.peel(fp.cells(F.col("a"), F.col("b"), fp.SLOTS)).alias("r")).first().r
-    assert len(r.left) > 0
+def peeled(spark, a, b):
+    return sets(spark, a, b).select(fp.peel(fp.subtract(fp.sketch(F.col("a")), fp.sketch(F.col("b")))).alias("r")).first().r
 
 
-def test_failures_are_tried_again_larger(spark, monkeypatch):
-    monkeypatch.setattr(fp, "GROUP", 10 ** 6)               # the first sketch has one group: it cannot peel
-    a, b = [fp_hash(i) for i in range(400)], [fp_hash(i) for i in range(100, 600)]
+def test_peeling_finds_the_differing_digests_or_says_so(spark):
+    common = [fp_hash(i) for i in range(500)]
+    for seed in range(12):
+        one, two = [fp_hash(f"{seed}a{i}") for i in range(seed)], [fp_hash(f"{seed}b{i}") for i in range(11 - seed)]
+        r = peeled(spark, common + one, common + two)
+        assert r.left > 0 or (r.plus, r.minus) == (sorted(one), sorted(two))
+        if seed in (3, 8):                                    # most of these peel
+            assert r.left == 0
+    assert peeled(spark, common, []).left > 0
+    assert peeled(spark, common, common)[:] == (0, [], [])
+
+
+def test_fingerprints_are_the_sketches_and_can_be_read_back(spark):
+    rows = [(1, ""), (2, "one line"), (3, "\n".join(f"line {i}" for i in range(80))), (4, "a\nb\nc"), (5, "a\nb\nd")]
+    df = spark.createDataFrame(rows, "id int, text string").withColumn("fp", fp.fingerprint(F.col("text")))
+    got = df.select("id", "fp", fp.parse(F.col("fp")).alias("back"), fp.sketch(fp.digests(F.col("text"))).alias("cells")).collect()
+    assert all(r.back == r.cells and len(r.cells) == 24 and sum(c["count"] for c in r.cells) % 3 == 0 for r in got)
+    a, b = (df.filter(F.col("id") == i).select(F.col("fp").alias(f"f{i}")) for i in (4, 5))
+    r = a.crossJoin(b).select(fp.peel(fp.subtract(fp.parse(F.col("f4")), fp.parse(F.col("f5")))).alias("r")).first().r
+    want = {x.d for x in spark.sql("SELECT xxhash64('c') AS d UNION SELECT xxhash64('d')").collect()}
+    assert r.left == 0 and len(r.plus) == len(r.minus) == 1 and {*r.plus, *r.minus} == want
+
+
+def recovered(df):
+    plus, minus = set(), set()
+    for r in fp.differences(df).collect():
+        assert not (plus & set(r["plus"])) and not (minus & set(r["minus"]))
+        plus |= set(r["plus"])
+        minus |= set(r["minus"])
+    return plus, minus
+
+
+@pytest.mark.parametrize("group", [fp.GROUP, 40, 10 ** 6])
+def test_failures_are_tried_again_larger(spark, monkeypatch, group):
+    monkeypatch.setattr(fp, "GROUP", group)                  # sketches too small at first: groups do not peel
+    a, b = {fp_hash(i) for i in range(900)}, {fp_hash(i) for i in range(100, 1600)}
     df = sets(spark, a, b).selectExpr("1L AS kid", "2L AS tie", "'k' AS kind", "a", "b")
-    r = fp.differences(df).first()
-    assert (r["plus"], r["minus"]) == (100, 200)
+    assert recovered(df) == (a - b, b - a)
+
+
+def test_retries_end(spark, monkeypatch):
+    monkeypatch.setattr(fp, "GROUP", 10 ** 6)
+    monkeypatch.setattr(fp, "RETRIES", 1)
+    df = sets(spark, {fp_hash(i) for i in range(900)}, set()).selectExpr("1L AS kid", "2L AS tie", "'k' AS kind", "a", "b")
+    with pytest.raises(RuntimeError, match="did not peel"):
+        fp.differences(df)
+
+
+def test_digests_that_differ_in_few_bits_part(spark):
+    a = {1 << 3, 1 << 7, 1 << 11, 0, 1, -1, 1 << 62, -(1 << 63)}
+    df = sets(spark, a, set()).selectExpr("1L AS kid", "2L AS tie", "'k' AS kind", "a", "b")
+    assert recovered(df) == (a, set())
 
 
 def fp_hash(i):
