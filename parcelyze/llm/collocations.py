@@ -47,6 +47,8 @@ _GAP = _BREAK.copy()
 _GAP[list(b" \t")] = True
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
+#: Parts that a language's candidates are ranked in first.
+_PARTS = 32
 _ROUNDS = tuple(np.uint64(x) for x in (0x243F6A8885A308D3, 0x13198A2E03707344, 0xA4093822299F31D0, 0x082EFA98EC4E6C89))
 
 
@@ -333,6 +335,10 @@ def collocations(docs: DataFrame, id_col="doc_id", text_col="text", lang_col="la
     spelled = spelled.groupBy("ids").agg(F.min("lang").alias("lang"), F.array_join(F.transform(
         F.array_sort(F.collect_list(F.struct("pos", "word"))), lambda x: x["word"]), " ").alias("phrase"))
     out = found.join(spelled, "ids").join(totals, "lang")
-    w = Window.partitionBy("lang").orderBy(F.desc("score"), F.desc("a"), "phrase")
+    best = [F.desc("score"), F.desc("a"), "phrase"]
+    # the first of every part first, so that a language's last step holds no more than _PARTS * top rows
+    part = Window.partitionBy("lang", F.pmod(F.xxhash64("phrase"), F.lit(_PARTS))).orderBy(*best)
+    out = out.withColumn("rank", F.row_number().over(part)).filter(F.col("rank") <= top)
+    w = Window.partitionBy("lang").orderBy(*best)
     return out.withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= top).select(
         "lang", F.col("rank").cast("long").alias("rank"), "phrase", "a", "l", "r", "n", "score")
