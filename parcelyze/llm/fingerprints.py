@@ -13,11 +13,11 @@ distinct paragraphs, from the two numbers of digests and the recovered differenc
 
 Where a difference is too large for 24 cells, both texts get larger sketches: as many
 groups of 24 cells (a power of four) as hold both texts' digests at 12 a group. They are
-built, subtracted and peeled as tables, one row a cell, clustered by document, so
-nothing is exchanged: a digest adds its sign and its bits to three cells, cells are
-summed, and every step takes the single digests of one of the three tables out of
-the other two. A group that still does not peel is tried again with four groups in
-its place and fresh hashes, up to ``RETRIES`` times.
+built and subtracted as a table, one row a cell, clustered by document, so nothing is
+exchanged: a digest adds its sign and its bits to three cells, and cells are summed. The
+cells of a group are then one row and peel like a fingerprint. A group that still does
+not peel is tried again with four groups in its place and fresh hashes, up to
+``RETRIES`` times.
 
 Only DataFrame and SQL functions are used. NULL texts are empty; a text without
 paragraphs is like another such text (1.0) and unlike any other (0.0).
@@ -25,6 +25,8 @@ paragraphs is like another such text (1.0) and unlike any other (0.0).
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -33,11 +35,11 @@ from .common import materialize
 PIECE = 96
 SLOTS = 8                  # cells per table: 3 * 8 for a group
 GROUP = 12                 # digests of both texts a group of a larger sketch is meant for
-ROUNDS = 8                 # peeling rounds over a fingerprint
-STEPS = 12                 # peeling steps over a larger sketch, one table each
+ROUNDS = 8                 # peeling rounds over the cells of a group
 RETRIES = 12
+TASK_DIGESTS = 250_000     # digests whose cells a task sums and peels
+MOST_TASKS = 100_000       # beyond, tasks hold more
 _PARAGRAPH = rf"[^\n]{{1,{PIECE}}}[^\s]*"
-_CELL = "struct<place:int,count:int,key:bigint,check:bigint>"
 
 
 def digests(text: Column) -> Column:
@@ -68,31 +70,38 @@ def _group(h: Column, depth: Column) -> Column:
     return _bits(h, 12, F.call_function("shiftleft", F.lit(1).cast("long"), (F.lit(2) * depth).cast("int")) - 1)
 
 
-def _place(h: Column, depth: Column, table: int) -> Column:
-    """(group * 3 + table) * SLOTS + slot."""
-    slot = _bits(h, 3 * table, F.lit(SLOTS - 1).cast("long"))
-    return (_group(h, depth) * 3 + table) * SLOTS + slot
+def _cells_of(h: Column) -> list:
+    """The cells of a digest in its group, one a table: cell i of the 24 is bit i."""
+    return [F.call_function("shiftleft", F.lit(1 << t * SLOTS).cast("long"), _bits(h, 3 * t, F.lit(SLOTS - 1).cast("long")).cast("int"))
+            for t in range(3)]
+
+
+def _marks(d: Column, depth: Column) -> Column:
+    """The three cells of a digest in one number."""
+    return _once(_spread(d, depth), lambda h: reduce(Column.bitwiseOR, _cells_of(h)))
 
 
 # ------------------------------------------------------------- fingerprints
+def _nothing(bit: Column) -> Column:
+    return F.struct(bit.alias("bit"), F.lit(0).alias("count"), F.lit(0).cast("long").alias("key"), F.lit(0).cast("long").alias("check"))
+
+
+def _taking(c: Column, i: Column, count: Column) -> Column:
+    return F.struct(c["bit"].alias("bit"), count.alias("count"), c["key"].bitwiseXOR(i["key"]).alias("key"),
+                    c["check"].bitwiseXOR(i["check"]).alias("check"))
+
+
+def _apart(i: Column, bit: Column) -> Column:
+    """Whether a digest is not in a cell."""
+    return i["marks"].bitwiseAND(bit) == 0
+
+
 def sketch(d: Column) -> Column:
-    """The 24 cells (place, count, key, check) of a set of digests."""
-    depth = F.lit(0)
-    spots = F.transform(d, lambda x: _once(_spread(x, depth), lambda h: F.struct(
-        *[_place(h, depth, t).cast("int").alias(f"t{t}") for t in range(3)], x.alias("key"), _check(x).alias("check"))))
-
-    def cells(items):
-        def cell(table):
-            def at(slot):
-                place = (slot + table * SLOTS).cast("int")
-                start = F.struct(place.alias("place"), F.lit(0).alias("count"), F.lit(0).cast("long").alias("key"),
-                                 F.lit(0).cast("long").alias("check"))
-                return F.aggregate(F.filter(items, lambda i: i[f"t{table}"] == place), start, lambda c, i: F.struct(
-                    c["place"].alias("place"), (c["count"] + 1).alias("count"), c["key"].bitwiseXOR(i["key"]).alias("key"),
-                    c["check"].bitwiseXOR(i["check"]).alias("check")))
-            return F.transform(F.sequence(F.lit(0), F.lit(SLOTS - 1)), at)
-        return F.flatten(F.array(*[cell(t) for t in range(3)]))
-    return _once(spots, cells)
+    """The 24 cells (bit, count, key, check) of a set of digests."""
+    items = F.transform(d, lambda x: F.struct(_marks(x, F.lit(0)).alias("marks"), x.alias("key"), _check(x).alias("check")))
+    bits = F.array(*[F.lit(1 << i).cast("long") for i in range(3 * SLOTS)])
+    return _once(items, lambda held: F.transform(bits, lambda bit: F.aggregate(
+        held, _nothing(bit), lambda c, i: F.when(_apart(i, bit), c).otherwise(_taking(c, i, c["count"] + 1)))))
 
 
 def spell(cells: Column) -> Column:
@@ -105,10 +114,12 @@ def parse(fingerprint: Column) -> Column:
     """The sketch that :func:`spell` wrote."""
     def number(parts, i):
         return F.coalesce(F.conv(F.get(parts, F.lit(i)), 16, -10).cast("long"), F.lit(0).cast("long"))
-    return F.transform(F.split(fingerprint, "-"), lambda x, place: _once(F.split(x, "\\."), lambda p: F.when(
-        x == "", F.struct(place.alias("place"), F.lit(0).alias("count"), F.lit(0).cast("long").alias("key"),
-                          F.lit(0).cast("long").alias("check"))).otherwise(F.struct(
-            place.alias("place"), number(p, 0).cast("int").alias("count"), number(p, 1).alias("key"), number(p, 2).alias("check")))))
+
+    def cell(x, i):
+        bit = F.call_function("shiftleft", F.lit(1).cast("long"), i)
+        return _once(F.split(x, "\\."), lambda p: F.when(x == "", _nothing(bit)).otherwise(F.struct(
+            bit.alias("bit"), number(p, 0).cast("int").alias("count"), number(p, 1).alias("key"), number(p, 2).alias("check"))))
+    return F.transform(F.split(fingerprint, "-"), cell)
 
 
 def fingerprint(text: Column) -> Column:
@@ -117,42 +128,37 @@ def fingerprint(text: Column) -> Column:
 
 
 def subtract(a: Column, b: Column) -> Column:
-    return F.zip_with(a, b, lambda x, y: F.struct(
-        x["place"].alias("place"), (x["count"] - y["count"]).alias("count"), x["key"].bitwiseXOR(y["key"]).alias("key"),
-        x["check"].bitwiseXOR(y["check"]).alias("check")))
+    return F.zip_with(a, b, lambda x, y: _taking(x, y, x["count"] - y["count"]))
+
 
+def _used(c: Column) -> Column:
+    return (c["count"] != 0) | (c["key"] != 0) | (c["check"] != 0)
 
-def peel(cells: Column) -> Column:
-    """(left, plus, minus): how many cells did not peel, and the digests that only the
-    first and only the second sketch held, each sorted."""
-    depth = F.lit(0)
-    state = f"struct<left:array<{_CELL}>,found:array<struct<key:bigint,count:int>>>"
 
-    def used(cs):
-        return F.filter(cs, lambda x: (x["count"] != 0) | (x["key"] != 0) | (x["check"] != 0))
+def peel(cells: Column, depth: Column | None = None) -> Column:
+    """(left, plus, minus): how many cells of a subtracted group did not peel, and the
+    digests that only the first and only the second sketch held, each sorted."""
+    depth = F.lit(0) if depth is None else depth
+    none = F.array().cast("array<struct<key:bigint,count:int,check:bigint>>")
 
     def step(s, _):
-        pure = F.array_distinct(F.transform(
-            F.filter(s["left"], lambda x: (F.abs(x["count"]) == 1) & (_check(x["key"]) == x["check"])),
-            lambda x: F.struct(x["key"].alias("key"), x["count"].alias("count"))))
-
-        def without(items):
-            # every place that a found digest was in, with what it left there
-            marks = F.flatten(F.transform(items, lambda i: _once(_spread(i["key"], depth), lambda h: F.array(*[
-                F.struct(_place(h, depth, t).cast("int").alias("place"), i["count"].alias("count"), i["key"].alias("key"),
-                         _check(i["key"]).alias("check")) for t in range(3)]))))
-            return _once(marks, lambda ms: used(F.transform(s["left"], lambda x: F.aggregate(
-                F.filter(ms, lambda m: m["place"] == x["place"]), x, lambda c, m: F.struct(
-                    c["place"].alias("place"), (c["count"] - m["count"]).alias("count"),
-                    c["key"].bitwiseXOR(m["key"]).alias("key"), c["check"].bitwiseXOR(m["check"]).alias("check"))))))
-        return _once(pure, lambda items: F.when(F.size(items) == 0, s).otherwise(F.struct(
-            without(items).alias("left"), F.concat(s["found"], items).alias("found")).cast(state)))
-    start = F.struct(used(cells).alias("left"), F.array().cast("array<struct<key:bigint,count:int>>").alias("found")).cast(state)
+        alone = F.filter(s["left"], lambda x: (F.abs(x["count"]) == 1) & (_check(x["key"]) == x["check"]))
+        # a digest may stand alone in several of its cells
+        digests_found = F.array_distinct(F.transform(alone, lambda x: F.struct(
+            x["key"].alias("key"), x["count"].alias("count"), x["check"].alias("check"))))
+
+        def without(found):
+            items = F.transform(found, lambda i: F.struct(
+                _marks(i["key"], depth).alias("marks"), i["key"].alias("key"), i["count"].alias("count"), i["check"].alias("check")))
+            return _once(items, lambda gone: F.filter(F.transform(s["left"], lambda x: F.aggregate(
+                gone, x, lambda c, i: F.when(_apart(i, c["bit"]), c).otherwise(_taking(c, i, c["count"] - i["count"])))), _used))
+        return _once(digests_found, lambda found: F.when(F.size(found) == 0, s).otherwise(F.struct(
+            without(found).alias("left"), F.concat(s["found"], found).alias("found"))))
 
     def signed(s, sign):
         return F.array_sort(F.transform(F.filter(s["found"], lambda x: x["count"] == sign), lambda x: x["key"]))
-    return F.aggregate(F.sequence(F.lit(1), F.lit(ROUNDS)), start, step, lambda s: F.struct(
-        F.size(s["left"]).alias("left"), signed(s, 1).alias("plus"), signed(s, -1).alias("minus")))
+    return F.aggregate(F.sequence(F.lit(1), F.lit(ROUNDS)), F.struct(F.filter(cells, _used).alias("left"), none.alias("found")),
+                       step, lambda s: F.struct(F.size(s["left"]).alias("left"), signed(s, 1).alias("plus"), signed(s, -1).alias("minus")))
 
 
 # ------------------------------------------------------------ larger sketches
@@ -169,46 +175,17 @@ def larger(pairs: DataFrame, keys: list) -> DataFrame:
     def marks(c, sign):
         return F.transform(c, lambda d: F.struct(d.alias("d"), F.lit(sign).alias("sign")))
     one = pairs.select(*keys, "depth", F.explode(F.concat(marks(F.col("a"), 1), marks(F.col("b"), -1))).alias("m"))
-    one = one.select(*keys, "depth", F.col("m.d").alias("d"), F.col("m.sign").cast("long").alias("sign"))
-    one = one.withColumn("h", _spread(F.col("d"), F.col("depth"))).withColumn("check", _check(F.col("d")))
-    rows = one.select(*keys, "depth", "sign", "d", "check", F.explode(F.array(*[
-        _place(F.col("h"), F.col("depth"), t) for t in range(3)])).alias("place"))
-    by = [*keys, "depth", "place"]
-    rows = rows.groupBy(*by).agg(F.sum("sign").alias("n"), F.bit_xor("d").alias("key"), F.bit_xor("check").alias("check"))
-    used = (F.col("n") != 0) | (F.col("key") != 0) | (F.col("check") != 0)
-    # a found digest is a row of its own: found holds it, its place is -1 - group
-    rows = rows.filter(used).withColumn("found", F.lit(0).cast("long"))
-    for i in range(STEPS):
-        rows = _without_singles(rows, by, i % 3)
-    group = F.when(F.col("place") < 0, -1 - F.col("place")).otherwise(F.floor(F.col("place") / (3 * SLOTS)).cast("long"))
-
-    def found(sign):
-        return F.array_sort(F.collect_list(F.when((F.col("place") < 0) & (F.col("n") == sign), F.col("found"))))
-    return rows.withColumn("grp", group).groupBy(*keys, "depth", "grp").agg(
-        F.count_if(F.col("place") >= 0).alias("left"), found(1).alias("plus"), found(-1).alias("minus"))
-
-
-def _without_singles(rows: DataFrame, by: list, table: int) -> DataFrame:
-    """Take the digests that stand alone in a cell of ``table`` out of the other tables.
-    A digest is in one cell of a table, so none is taken out twice."""
-    h = _spread(F.col("key"), F.col("depth"))
-    alone = ((F.col("place") >= 0) & (F.abs(F.col("n")) == 1) & (_check(F.col("key")) == F.col("check"))
-             & (_place(h, F.col("depth"), table) == F.col("place")))
-    no = F.lit(0).cast("long")
-    names = ("place", "n", "key", "check", "found")
-
-    def row(*values):
-        return F.struct(*[v.alias(k) for k, v in zip(names, values)])
-    same = row(*[F.col(k) for k in names])
-    others = [row(_place(F.col("h"), F.col("depth"), t), -F.col("n"), F.col("key"), F.col("check"), no)
-              for t in range(3) if t != table]
-    out = row(-1 - _group(F.col("h"), F.col("depth")), F.col("n"), no, no, F.col("key"))
-    rest = [c for c in by if c != "place"]
-    rows = rows.withColumn("h", F.when(alone, h)).select(*rest, F.explode(
-        F.when(F.col("h").isNull(), F.array(same)).otherwise(F.array(out, *others))).alias("r"))
-    rows = rows.select(*rest, "r.*").groupBy(*by, "found").agg(
-        F.sum("n").alias("n"), F.bit_xor("key").alias("key"), F.bit_xor("check").alias("check"))
-    return rows.filter((F.col("place") < 0) | (F.col("n") != 0) | (F.col("key") != 0) | (F.col("check") != 0))
+    one = one.select(*keys, "depth", F.col("m.d").alias("d"), F.col("m.sign").alias("sign"),
+                     _spread(F.col("m.d"), F.col("depth")).alias("h"), _check(F.col("m.d")).alias("check"))
+    rows = one.select(*keys, "depth", _group(F.col("h"), F.col("depth")).alias("grp"), "sign", "d", "check",
+                      F.explode(F.array(*_cells_of(F.col("h")))).alias("bit"))
+    by = [*keys, "depth", "grp"]
+    cell = F.struct("bit", "count", "key", "check")
+    cells = rows.groupBy(*by, "bit").agg(F.sum("sign").cast("int").alias("count"), F.bit_xor("d").alias("key"),
+                                         F.bit_xor("check").alias("check")).filter(_used(cell))
+    # 24 cells a group at most
+    groups = cells.groupBy(*by).agg(F.collect_list(cell).alias("cells"))
+    return groups.withColumn("r", peel(F.col("cells"), F.col("depth"))).select(*by, "r.*")
 
 
 def next_in_order(keys: DataFrame) -> DataFrame:
@@ -274,9 +251,10 @@ def differences(pairs: DataFrame) -> DataFrame:
     done = first.filter("NOT failed").select(*keys, "plus", "minus")
     todo = first.filter("failed").select(*keys, "a", "b", depth_for(F.size("a") + F.size("b")).alias("depth"))
     for _ in range(RETRIES):
-        if todo.limit(1).count() == 0:
+        held = todo.agg(F.sum((F.size("a") + F.size("b")).cast("long"))).first()[0]
+        if held is None:
             return done
-        dealt = todo.repartition("kid", "tie")
+        dealt = todo.repartition(min(held // TASK_DIGESTS + 1, MOST_TASKS), "kid", "tie")
         tried = materialize(larger(dealt, keys), "sketches")
         done = done.unionByName(tried.filter("left = 0").select(*keys, "plus", "minus"))
         bad = tried.filter("left > 0").groupBy(*keys).agg(F.collect_list("grp").alias("bad"))
