@@ -19,7 +19,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..session import materialize
+from ..session import materialize, merged
 
 _UNB = Window.unboundedPreceding
 #: Parts that a group's distinct values are dealt into when they meet its cuts.
@@ -84,7 +84,7 @@ def global_rank(df: DataFrame, key: str, out: str = "rank", buckets: int = 512,
     else:
         pos = value_positions(df, key, buckets)
     pos = pos.select("_k", (F.col("_start") + 1).alias(out))  # rank = rows before + 1
-    return df.join(pos, df[key].eqNullSafe(pos["_k"]), "inner").drop("_k")
+    return df.join(merged(pos), df[key].eqNullSafe(pos["_k"]), "inner").drop("_k")
 
 
 def exact_quantiles(df: DataFrame, col: str, probs, buckets: int = 512,
@@ -132,7 +132,7 @@ def grouped_exact_quantiles(df: DataFrame, groups, col: str, probs, buckets: int
                                    F.sum("_n").alias("_tot"))
     cuts = cuts.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
     salted = vc.withColumn("_salt", F.pmod(F.xxhash64("_x"), F.lit(SALTS)).cast("int"))
-    vb = (salted.join(cuts, [*groups, "_salt"], "inner")
+    vb = (salted.join(merged(cuts), [*groups, "_salt"], "inner")
           .withColumn("_b", F.size(F.filter("_cuts", lambda c: c < F.col("_x")))).drop("_cuts", "_salt")
           .repartition(*groups, "_b"))
     offs = (vb.groupBy(*groups, "_b").agg(F.sum("_n").alias("_bn"))
@@ -140,7 +140,7 @@ def grouped_exact_quantiles(df: DataFrame, groups, col: str, probs, buckets: int
                 Window.partitionBy(*groups).orderBy("_b").rowsBetween(_UNB, -1)), F.lit(0)).alias("_off")))
     local = vb.withColumn("_before", F.coalesce(F.sum("_n").over(
         Window.partitionBy(*groups, "_b").orderBy("_x").rowsBetween(_UNB, -1)), F.lit(0)))
-    pos = local.join(offs, [*groups, "_b"], "inner").withColumn("_start", F.col("_off") + F.col("_before"))
+    pos = local.join(merged(offs), [*groups, "_b"], "inner").withColumn("_start", F.col("_off") + F.col("_before"))
     aggs = []
     for i, p in enumerate(probs):
         h = (F.col("_tot") - 1) * F.lit(float(p))

@@ -19,6 +19,7 @@ from pyspark.sql import functions as F
 
 from ..functions.rules import days_between, is_valid_delivery
 from ..schemas import FACT_ORDERS_COLS
+from ..session import merged
 
 
 # ---------------------------------------------------------------- dimensions
@@ -58,7 +59,7 @@ def dim_geography(raw_geolocation: DataFrame, approx: bool = False) -> DataFrame
         counted = g.filter(F.col(col).isNotNull()).groupBy("zip_prefix", F.col(col).alias("_v")).agg(
             F.count(F.lit(1)).alias("_n"))
         best = counted.groupBy("zip_prefix").agg(F.min(F.struct((-F.col("_n")).alias("n"), "_v")).alias("_m"))
-        modes = modes.join(best.select("zip_prefix", F.col("_m._v").alias(name)), "zip_prefix", "left")
+        modes = modes.join(merged(best.select("zip_prefix", F.col("_m._v").alias(name))), "zip_prefix", "left")
     if approx:
         med = g.groupBy("zip_prefix").agg(
             F.percentile_approx("geolocation_lat", 0.5, 10000).cast("double").alias("lat"),
@@ -68,9 +69,9 @@ def dim_geography(raw_geolocation: DataFrame, approx: bool = False) -> DataFrame
             .withColumnRenamed("q0", "lat")
         lng = grouped_exact_quantiles(g, ["zip_prefix"], "geolocation_lng", [0.5]) \
             .withColumnRenamed("q0", "lng")
-        med = lat.join(lng, "zip_prefix", "full_outer")
+        med = lat.join(merged(lng), "zip_prefix", "full_outer")
     # every zip has a mode row; a zip whose coordinates are all NULL gets NULL medians
-    return modes.join(med, "zip_prefix", "left").select("zip_prefix", "lat", "lng", "city", "state")
+    return modes.join(merged(med), "zip_prefix", "left").select("zip_prefix", "lat", "lng", "city", "state")
 
 
 def dim_customer(raw_customers: DataFrame) -> DataFrame:
@@ -182,9 +183,9 @@ def fact_orders(raw_orders: DataFrame, raw_items: DataFrame, raw_payments: DataF
                 raw_reviews: DataFrame) -> DataFrame:
     """One row per raw order row with rollups and SLA measures (24 columns)."""
     o = raw_orders
-    f = (o.join(order_item_rollup(raw_items), "order_id", "left")
-         .join(order_payment_rollup(raw_payments), "order_id", "left")
-         .join(order_review_rollup(raw_reviews), "order_id", "left"))
+    f = (o.join(merged(order_item_rollup(raw_items)), "order_id", "left")
+         .join(merged(order_payment_rollup(raw_payments)), "order_id", "left")
+         .join(merged(order_review_rollup(raw_reviews)), "order_id", "left"))
 
     purchase, approved = F.col("order_purchase_timestamp"), F.col("order_approved_at")
     carrier = F.col("order_delivered_carrier_date")

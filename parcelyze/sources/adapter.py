@@ -16,6 +16,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..schemas import RAW
+from ..session import merged
 from .testdata import read_driver_table
 
 # Fixed values of the adapter (shared with the DuckDB oracle text).
@@ -56,7 +57,7 @@ def raw_model(spark: SparkSession, sf_dir: str) -> RawModel:
     k = F.col("o_orderkey")
     cust_nation = customer.select(F.col("c_custkey").alias("o_custkey"),
                                   F.col("c_nationkey").alias("nk"))
-    o = orders.join(cust_nation, "o_custkey", "left")
+    o = orders.join(merged(cust_nation), "o_custkey", "left")
     p = _days(F.expr(f"TIMESTAMP_NTZ '{PURCHASE_BASE}'"),
               F.expr(f"datediff(to_date(o_orderdate), DATE '{ORDER_DATE_BASE}') div 4"))
     status = (F.when(k % 50 == 7, "canceled").when(k % 50 == 8, "shipped")
