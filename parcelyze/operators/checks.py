@@ -28,6 +28,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.rules import fmt_fixed
+from ..session import merged
 
 RESULT_COLS = ["layer", "check_id", "check_name", "category", "passed", "violations", "detail", "run_ts"]
 
@@ -178,7 +179,7 @@ def orphan_count(child: DataFrame, child_key: str, parent: DataFrame, parent_key
     """JN6: child rows whose key has no parent row (one row, col v)."""
     per_key = child.groupBy(F.col(child_key).alias("_k")).agg(F.count(F.lit(1)).alias("_c"))
     parents = parent.select(F.col(parent_key).alias("_k"))
-    return (per_key.join(parents, "_k", "left_anti")
+    return (per_key.join(merged(parents), "_k", "left_anti")
             .agg(F.coalesce(F.sum("_c"), F.lit(0)).cast("bigint").alias("v")))
 
 
@@ -189,8 +190,8 @@ def orphan_rows(child: DataFrame, child_key: str, parent: DataFrame, parent_key:
     parents = parent.select(F.col(parent_key).alias("_pk"))
     keyed = child.filter(F.col(child_key).isNotNull())
     keys = keyed.groupBy(F.col(child_key).alias("_pk")).agg(F.count(F.lit(1)).alias("_n")) \
-        .join(parents, "_pk", "left_anti").select("_pk")
-    found = keyed.join(keys, keyed[child_key] == keys["_pk"], "left_semi")
+        .join(merged(parents), "_pk", "left_anti").select("_pk")
+    found = keyed.join(merged(keys), keyed[child_key] == keys["_pk"], "left_semi")
     return child.filter(F.col(child_key).isNull()).unionByName(found)
 
 
@@ -327,7 +328,7 @@ class _Plan:
         out = frames[id(family[0])]
         for g in family[1:]:
             right = frames[id(g)].withColumnRenamed("_k", "_k2")
-            out = out.join(right, F.col("_k") == F.col("_k2"), "full_outer").withColumn(
+            out = out.join(merged(right), F.col("_k") == F.col("_k2"), "full_outer").withColumn(
                 "_k", F.coalesce("_k", "_k2")).drop("_k2")
         return out
 
