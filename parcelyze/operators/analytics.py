@@ -15,6 +15,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.rules import count_true, guarded_pct, installment_bucket, r2
+from ..session import merged
 from .model import with_year_month
 from .ranking import global_rank
 
@@ -71,7 +72,7 @@ def seller_measures(fact: DataFrame, dim_seller: DataFrame, min_orders: int = 5)
     unrounded on-time ratio as ``_ratio``. Lazy."""
     per_seller = (fact.filter(F.col("n_sellers") == 1)
                   .groupBy("seller_id").agg(*_partials()))
-    s = (per_seller.join(dim_seller.select("seller_id", F.col("state").alias("seller_state")),
+    s = (per_seller.join(merged(dim_seller.select("seller_id", F.col("state").alias("seller_state"))),
                          "seller_id", "inner")
          .groupBy("seller_id", "seller_state").agg(*_resum())
          .filter(F.col("_rows") >= min_orders))
@@ -94,7 +95,7 @@ def state_performance(fact: DataFrame, dim_customer: DataFrame, min_orders: int
     """AGG9: per customer state, HAVING >= min_orders; pre-aggregated per
     customer before the (one-to-one) customer join."""
     per_cust = fact.groupBy("customer_id").agg(*_partials())
-    s = (per_cust.join(dim_customer.select("customer_id", F.col("state").alias("customer_state")),
+    s = (per_cust.join(merged(dim_customer.select("customer_id", F.col("state").alias("customer_state"))),
                        "customer_id", "inner")
          .groupBy("customer_state").agg(*_resum())
          .filter(F.col("_rows") >= min_orders))
@@ -157,7 +158,7 @@ def root_cause_breakdown(fact: DataFrame, seller_ids=None) -> DataFrame:
     if seller_ids is None or isinstance(seller_ids, str):
         return per
     brought = [c for c in seller_ids.columns if c not in per.columns]
-    return per.join(seller_ids.select("seller_id", *brought), "seller_id")
+    return per.join(merged(seller_ids.select("seller_id", *brought)), "seller_id")
 
 
 # ------------------------------------------------------- 06 payment vs outcome

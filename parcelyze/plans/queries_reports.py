@@ -17,7 +17,7 @@ from ..operators import quality as Q
 from ..operators import stats as S
 from ..operators.ranking import global_rank
 from ..operators.model import TableModel
-from ..session import app_id, scratch_path
+from ..session import app_id, merged, scratch_path
 from ..sources.ingest import (extra_columns, infer_types, ingest_csv, read_csv_text, read_raw_layer, row_counts, type_raw,
                               write_csv)
 from .oracle import FMT, R
@@ -515,7 +515,7 @@ def _state_series(spark, sf_dir):
     key, and one key has a single month."""
     m = model(spark, sf_dir)
     state = F.when(~F.col("state").startswith("A"), F.col("state"))
-    f = m.fact_orders.join(m.dim_customer.select("customer_id", state.alias("state")), "customer_id")
+    f = m.fact_orders.join(merged(m.dim_customer.select("customer_id", state.alias("state"))), "customer_id")
     s = A.monthly_volume_trimmed(f, m.dim_date, TRIM_START, TRIM_END, keys=["state"])
     short = spark.range(1).select(F.lit("one month only").alias("state"), F.lit(TRIM_START).alias("year_month"),
                                   F.lit(7).cast("bigint").alias("order_count"))

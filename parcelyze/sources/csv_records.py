@@ -23,7 +23,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from ..session import materialize
+from ..session import materialize, merged
 
 _SPLIT = ["_file", "_start"]
 _OPTIONS = {"escape": '"', "quote": '"', "emptyValue": "", "ignoreLeadingWhiteSpace": "false",
@@ -106,7 +106,7 @@ def read_records(spark: SparkSession, path) -> DataFrame:
         return lines.select(*_SPLIT, "_place", "line").join(base, _SPLIT).select(
             "_file", (F.col("base") + F.col("_place") - F.col("first")).alias("record"), _trimmed(F.col("line")).alias("line"))
     w = Window.partitionBy(*_SPLIT).orderBy("_place")
-    placed = (lines.select(*_SPLIT, "_place", "line").join(states, "_place", "left")
+    placed = (lines.select(*_SPLIT, "_place", "line").join(merged(states), "_place", "left")
               .join(splits.select(*_SPLIT, "begins"), _SPLIT)
               .withColumn("inside", F.coalesce(F.last("inside", ignorenulls=True).over(
                   w.rowsBetween(Window.unboundedPreceding, Window.currentRow)), F.col("begins")))
