@@ -13,7 +13,8 @@
 4. In the buckets that still hold several components the pairs across components
    are compared, each in the first band its classes share. Nothing is emitted but
    links: a bucket is cut into blocks of about ``BLOCK`` classes, a task takes two
-   blocks, and a bucket of one component is not looked at.
+   blocks, blocks of the bucket's largest component meet the others only, and a
+   bucket of one component is not looked at.
 5. A pair's signatures are compared in batches. After n values with m agreeing the
    posterior probability (uniform prior) that the similarity reaches the threshold
    is P(Binomial(n + 1, t) <= m); a pair is pruned once it falls below ``miss``.
@@ -245,15 +246,35 @@ def compare_block(key, left, right, rep, label, sig, raw, sizes, rows: int, step
     return i, j
 
 
+def dealt_blocks(state: DataFrame, size: int | None = None) -> DataFrame:
+    """(key, rep, label, block, x, y) of open buckets (key, rep, label): one row for every
+    task (x, y), x <= y, that compares block x with block y and takes the class.
+
+    A bucket of at most ``size`` classes is one block. Of a larger one the largest
+    component is cut into the first ``main`` blocks and the others into ``rest`` more.
+    Classes of one component are never compared, so the first blocks meet the others only:
+    a class of the largest component goes to ``rest`` tasks, not to one for each block."""
+    size = size or BLOCK
+    counts = state.groupBy("key", "label").agg(F.count("*").alias("c"))
+    cuts = counts.groupBy("key").agg(F.max(F.struct("c", "label")).alias("m"), F.sum("c").alias("all")).select(
+        "key", F.col("m.label").alias("largest"), (F.col("all") <= size).alias("one"),
+        F.ceil(F.col("m.c") / size).cast("int").alias("main"), F.ceil((F.col("all") - F.col("m.c")) / size).cast("int").alias("rest"))
+    s = state.join(cuts, "key").withColumn("inner", F.col("label") == F.col("largest"))
+    at = F.xxhash64("rep")
+    s = s.withColumn("block", F.when(F.col("one"), 0).when(F.col("inner"), F.pmod(at, F.col("main"))).otherwise(
+        F.col("main") + F.pmod(at, F.col("rest"))).cast("int"))
+    start = F.when(F.col("inner"), F.col("main")).otherwise(0)
+    s = s.withColumn("other", F.explode(F.when(F.col("one"), F.array(F.lit(0))).otherwise(
+        F.sequence(start, F.col("main") + F.col("rest") - 1))))
+    return s.select("key", "rep", "label", "block", F.least("block", "other").alias("x"), F.greatest("block", "other").alias("y"))
+
+
 def crossing(state: DataFrame, classes: DataFrame, texts: DataFrame, words, rows, threshold, percent, batch, miss,
              hashes, word_key=0) -> DataFrame:
     """(a, b): the pairs across components of the open buckets (key, rep, label)
     that may be links."""
     steps = [(n, least_matches(n, threshold, miss)) for n in range(batch, hashes + 1, batch)]
-    blocks = state.groupBy("key").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("n"))
-    s = state.join(blocks, "key").withColumn("block", F.pmod(F.xxhash64("rep"), F.col("n")).cast("int"))
-    s = s.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("n") - 1)))
-    s = s.select("key", "rep", "label", "block", F.least("block", "other").alias("x"), F.greatest("block", "other").alias("y"))
+    s = dealt_blocks(state)
     members = state.select("rep").distinct()
     sets = shortened(texts.join(members, "rep", "left_semi"), words, word_key)
     wide = s.join(classes.select("rep", "signature"), "rep").join(sets, "rep")

@@ -142,3 +142,30 @@ def test_links_need_the_words_even_if_all_hashes_agree(spark, monkeypatch):
     pairs = spark.createDataFrame([(1, 2), (1, 3)], "a long, b long")
     texts = spark.createDataFrame([(1, "ab cd ef gh ij kl"), (2, "ba dc fe hg ji lk"), (3, "AB cd ef gh ij kl")], "rep long, text string")
     assert minhash.verified(pairs, texts, 5, 80).collect() == [(1, 3)]
+
+
+def test_blocks_of_the_largest_component_meet_the_others_only(spark):
+    """Every pair across components shares a task, and a large component costs a row a class."""
+    rng = random.Random(3)
+    rows = [(7, i, 0) for i in range(400)] + [(7, 1000 + i, 1000 + i % 9) for i in range(30)]
+    rows += [(8, i, i) for i in range(90)] + [(9, i, i % 2) for i in range(20)]
+    rng.shuffle(rows)
+    got = minhash.dealt_blocks(spark.createDataFrame(rows, "key long, rep long, label long"), 40).collect()
+    tasks = {}
+    for r in got:
+        assert r.block in (r.x, r.y)
+        tasks.setdefault((r.key, r.x, r.y), []).append(r)
+    met = [(k, *sorted((s.rep, t.rep))) for (k, x, y), held in tasks.items() for i, s in enumerate(held) for t in held[i + 1:]
+           if s.label != t.label and (x == y or s.block != t.block)]
+    want = {(k, *sorted((a, b))) for k, a, x in rows for l, b, y in rows if k == l and x != y}
+    assert len(met) == len(set(met)) and set(met) == want
+    # 400 classes once and 30 with each of their ten blocks and among themselves; a row for each of eleven blocks before
+    assert sum(r.key == 7 for r in got) == 400 + 30 * 11
+
+
+def test_links_across_blocks_of_a_large_bucket(spark, monkeypatch):
+    monkeypatch.setattr(minhash, "BLOCK", 8)
+    rng = random.Random(6)
+    base = [rng.choice(cases.WORDS) + str(i) for i in range(120)]
+    rows = [(i, " ".join(edited(rng, base, 8)), "en", "s", 0) for i in range(120)]
+    assert groups(cases.docs(spark, rows), words=2) == sorted(brute(rows, 2), key=key)
