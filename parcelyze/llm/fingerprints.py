@@ -30,6 +30,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..session import merged
 from .common import materialize
 
 PIECE = 96
@@ -236,6 +237,23 @@ def versions(docs: DataFrame, id_col="doc_id", text_col="text") -> DataFrame:
                     digests(F.col("text")).alias("a"), digests(F.col("edited")).alias("e"), "x")
 
 
+def _taken(pairs: DataFrame, todo: DataFrame, tasks: int, most: bool) -> DataFrame:
+    """(kid, tie, kind, a, b, depth): the pairs of ``todo`` with the digests that lie in the
+    groups that did not peel, of every depth tried before; dealt to ``tasks`` by (kid, tie).
+    ``most``: most pairs are among them, so both sides are dealt first and the join needs
+    no exchange of its own; else only what the join leaves is dealt."""
+    def dealt(df, now):
+        return df.repartition(tasks, "kid", "tie") if now else df
+    wanted = dealt(todo, most).groupBy("kid", "tie").agg(F.collect_list(F.struct("kind", "depth", "tried")).alias("wanted"))
+    found = dealt(pairs, most).join(merged(wanted) if most else wanted, ["kid", "tie"]).withColumn(
+        "w", F.get(F.filter("wanted", lambda w: w["kind"] == F.col("kind")), F.lit(0))).filter("w IS NOT NULL")
+
+    def inside(c):
+        return F.filter(c, lambda d: F.forall(F.col("w.tried"), lambda t: F.array_contains(
+            t["bad"], _group(_spread(d, t["depth"]), t["depth"])))).alias(c)
+    return dealt(found.select("kid", "tie", "kind", inside("a"), inside("b"), F.col("w.depth").alias("depth")), not most)
+
+
 def differences(pairs: DataFrame) -> DataFrame:
     """(kid, tie, kind, plus, minus) from rows (kid, tie, kind, a, b): the digests that
     only a and only b hold, recovered from sketches. Fingerprints are subtracted and
@@ -245,23 +263,25 @@ def differences(pairs: DataFrame) -> DataFrame:
     keys = ["kid", "tie", "kind"]
     first = pairs.withColumn("r", peel(subtract(sketch(F.col("a")), sketch(F.col("b")))))
     failed = F.col("r.left") > 0
+    # digests are not written again: pairs that failed take theirs from ``pairs``
     first = materialize(first.select(*keys, failed.alias("failed"), F.when(~failed, F.col("r.plus")).alias("plus"),
                                      F.when(~failed, F.col("r.minus")).alias("minus"),
-                                     F.when(failed, F.col("a")).alias("a"), F.when(failed, F.col("b")).alias("b")), "sketches")
+                                     (F.size("a") + F.size("b")).cast("long").alias("held")), "sketches")
     done = first.filter("NOT failed").select(*keys, "plus", "minus")
-    todo = first.filter("failed").select(*keys, "a", "b", depth_for(F.size("a") + F.size("b")).alias("depth"))
-    for _ in range(RETRIES):
-        held = todo.agg(F.sum((F.size("a") + F.size("b")).cast("long"))).first()[0]
+    todo = first.filter("failed").select(*keys, "held", depth_for(F.col("held")).alias("depth"),
+                                         F.array().cast("array<struct<depth:int,bad:array<bigint>>>").alias("tried"))
+    for retry in range(RETRIES):
+        held = todo.agg(F.sum("held")).first()[0]
         if held is None:
             return done
-        dealt = todo.repartition(min(held // TASK_DIGESTS + 1, MOST_TASKS), "kid", "tie")
-        tried = materialize(larger(dealt, keys), "sketches")
+        tasks = min(held // TASK_DIGESTS + 1, MOST_TASKS)
+        tried = materialize(larger(_taken(pairs, todo, tasks, retry == 0), keys), "sketches")
         done = done.unionByName(tried.filter("left = 0").select(*keys, "plus", "minus"))
-        bad = tried.filter("left > 0").groupBy(*keys).agg(F.collect_list("grp").alias("bad"))
-
-        def inside(c):
-            return F.filter(c, lambda d: F.array_contains("bad", _group(_spread(d, F.col("depth")), F.col("depth")))).alias(c)
-        todo = todo.join(bad, keys).select(*keys, inside("a"), inside("b"), (F.col("depth") + 1).alias("depth"))
+        bad = tried.filter("left > 0").groupBy(*keys, "depth").agg(F.collect_list("grp").alias("bad"))
+        share = F.size("bad") / F.pow(F.lit(4.0), F.col("depth"))
+        todo = todo.join(bad, [*keys, "depth"]).select(
+            *keys, F.ceil(F.col("held") * share).alias("held"), (F.col("depth") + 1).alias("depth"),
+            F.concat("tried", F.array(F.struct("depth", "bad"))).alias("tried"))
     raise RuntimeError(f"sketches did not peel after {RETRIES} retries")
 
 

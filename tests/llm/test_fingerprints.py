@@ -150,3 +150,26 @@ def test_native_plans(spark):
         with redirect_stdout(io.StringIO()) as out:
             df.explain("simple")
         assert not re.search("Python|Arrow|Pandas|Cartesian|NestedLoop", out.getvalue())
+
+
+def test_digests_of_failed_pairs_are_not_written_again(spark, monkeypatch):
+    """Written between the rounds are flags, sizes and results; digests are read from the pairs."""
+    monkeypatch.setattr(fp, "GROUP", 60)
+    written, keep = [], fp.materialize
+
+    def spy(df, label="t"):
+        out = keep(df, label)
+        written.append(out)
+        return out
+    monkeypatch.setattr(fp, "materialize", spy)
+    a, b, c = ({fp_hash(f"{x}{i}") for i in range(n)} for x, n in (("a", 300), ("b", 500), ("c", 4)))
+    rows = [(1, 2, "edited", a, b), (1, 2, "next", a, a | c), (3, 2, "edited", b, a), (3, 2, "next", b, c | b)]
+    df = spark.createDataFrame([(*r[:3], sorted(r[3]), sorted(r[4])) for r in rows], "kid long, tie long, kind string, a array<bigint>, b array<bigint>")
+    got = {}
+    for r in fp.differences(df).collect():
+        plus, minus = got.setdefault((r.kid, r.kind), (set(), set()))
+        plus.update(r["plus"])
+        minus.update(r["minus"])
+    assert got == {(r[0], r[2]): (r[3] - r[4], r[4] - r[3]) for r in rows}
+    assert len(written) > 2                                     # a retry took place
+    assert not any({"a", "b"} & set(w.columns) for w in written)
