@@ -11,10 +11,13 @@
    copies was made from meets all of them). Links found merge classes into
    components, which settles most buckets.
 4. In the buckets that still hold several components the pairs across components
-   are compared, each in the first band its classes share. Nothing is emitted but
-   links: a bucket is cut into blocks of about ``BLOCK`` classes, a task takes two
-   blocks, blocks of the bucket's largest component meet the others only, and a
-   bucket of one component is not looked at.
+   are compared, each in the first band its classes share. A bucket is cut into blocks
+   of about ``BLOCK`` classes, a task takes two blocks, blocks of the bucket's largest
+   component meet the others only, and a bucket of one component is not looked at. Of
+   the likely links that a task finds it emits a spanning forest over the components,
+   fewer rows than it has classes: if all of these hold, the others join what is joined
+   already. Buckets where one fails are compared again after the merge, with 8, 64, ...
+   forests, until no link that was left out rests on a pair that failed.
 5. A pair's signatures are compared in batches. After n values with m agreeing the
    posterior probability (uniform prior) that the similarity reaches the threshold
    is P(Binomial(n + 1, t) <= m); a pair is pruned once it falls below ``miss``.
@@ -220,8 +223,8 @@ def shared_bound(sets: list, sizes: np.ndarray, i: np.ndarray, j: np.ndarray, co
 
 
 def compare_block(key, left, right, rep, label, sig, raw, sizes, rows: int, steps: list, batch: int, percent: int):
-    """The pairs of one bucket between its blocks left and right that may be links:
-    of different components, first met in this bucket, not pruned."""
+    """The pairs of one bucket between its blocks left and right that may be links, the
+    likeliest first: of different components, first met in this bucket, not pruned."""
     m = len(rep)
     i, j = np.triu_indices(m, 1) if left is None else (x.ravel() for x in np.meshgrid(left, right, indexing="ij"))
     ok = label[i] != label[j]
@@ -241,11 +244,33 @@ def compare_block(key, left, right, rep, label, sig, raw, sizes, rows: int, step
         i, j, agree = i[ok], j[ok], agree[ok]
     if len(i):
         both = shared_bound(_compact_sets(raw, sizes), sizes, i, j)
-        ok = 100 * both >= percent * (sizes[i] + sizes[j] - both)
+        union = sizes[i] + sizes[j] - both
+        ok = np.flatnonzero(100 * both >= percent * union)
+        ok = ok[np.argsort(-both[ok] / np.maximum(union[ok], 1), kind="stable")]
         i, j = i[ok], j[ok]
     return i, j
 
 
+def spanning(x: np.ndarray, y: np.ndarray, forests: int) -> np.ndarray:
+    """Which of the links x - y the given number of spanning forests take: a link that
+    closes a ring in one forest goes to the next, behind the last one it is left out."""
+    trees: list = [{} for _ in range(forests)]
+
+    def root(tree, v):
+        while (up := tree.get(v, v)) != v:
+            tree[v] = v = tree.get(up, up)
+        return v
+    kept = np.zeros(len(x), bool)
+    for n, (a, b) in enumerate(zip(x.tolist(), y.tolist())):
+        for tree in trees:
+            s, t = root(tree, a), root(tree, b)
+            if s != t:
+                tree[s] = t
+                kept[n] = True
+                break
+    return kept
+
+
 def dealt_blocks(state: DataFrame, size: int | None = None) -> DataFrame:
     """(key, rep, label, block, x, y) of open buckets (key, rep, label): one row for every
     task (x, y), x <= y, that compares block x with block y and takes the class.
@@ -270,9 +295,10 @@ def dealt_blocks(state: DataFrame, size: int | None = None) -> DataFrame:
 
 
 def crossing(state: DataFrame, classes: DataFrame, texts: DataFrame, words, rows, threshold, percent, batch, miss,
-             hashes, word_key=0) -> DataFrame:
-    """(a, b): the pairs across components of the open buckets (key, rep, label)
-    that may be links."""
+             hashes, word_key=0, forests: int = 1) -> DataFrame:
+    """(key, a, b, more): pairs across components of the open buckets (key, rep, label)
+    that may be links, of each task those of some spanning forests over its components;
+    more: the task left others out."""
     steps = [(n, least_matches(n, threshold, miss)) for n in range(batch, hashes + 1, batch)]
     s = dealt_blocks(state)
     members = state.select("rep").distinct()
@@ -306,11 +332,16 @@ def crossing(state: DataFrame, classes: DataFrame, texts: DataFrame, words, rows
                                  np.frombuffer(b"".join(sig), np.uint32).reshape(len(rep), -1), list(raw),
                                  np.array(n, np.int64), rows, steps, batch, percent)
             if len(i):
+                label = np.array(label, np.int64)
+                kept = spanning(label[i], label[j], forests)
+                i, j = i[kept], j[kept]
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.minimum(rep[i], rep[j])), pa.array(np.maximum(rep[i], rep[j]))], names=["a", "b"])
+                    [pa.array(np.full(len(i), key, np.int64)), pa.array(np.minimum(rep[i], rep[j])),
+                     pa.array(np.maximum(rep[i], rep[j])), pa.array(np.full(len(i), not kept.all()))],
+                    names=["key", "a", "b", "more"])
 
     cols = ["key", "x", "y", "rep", "label", "block", "signature", "n", "compact"]
-    return dealt.select(*cols).mapInArrow(run, "a long, b long")
+    return dealt.select(*cols).mapInArrow(run, "key long, a long, b long, more boolean")
 
 
 def near_duplicates(docs: DataFrame, id_col="doc_id", text_col="text", words: int = 5, percent: int = 80,
@@ -337,14 +368,18 @@ def near_duplicates(docs: DataFrame, id_col="doc_id", text_col="text", words: in
     left = surviving(pairs, classes, threshold, miss, batch, hashes)
     labels = connected_components(materialize(verified(left, texts, words, percent), "minhash-links"), "a", "b")
 
-    state = state.join(labels.withColumnRenamed("node", "rep"), "rep", "left").select(
-        "key", "rep", F.coalesce("label", "rep").alias("label"))
-    mixed = state.groupBy("key").agg(F.min("label").alias("x"), F.max("label").alias("y")).filter("x <> y")
-    state = materialize(state.join(mixed.select("key"), "key"), "minhash-open")
-    pairs = crossing(state, classes, texts, words, rows, threshold, percent, batch, miss, hashes, key)
-    pairs = materialize(pairs.distinct(), "minhash-crossing")
-    found = materialize(verified(pairs, texts, words, percent), "minhash-links")
-    labels = _merge(labels, found)
+    forests = 1
+    while True:
+        state = _still_open(state, labels)
+        pairs = materialize(crossing(state, classes, texts, words, rows, threshold, percent, batch, miss, hashes, key,
+                                     forests), "minhash-crossing")
+        found = materialize(verified(pairs.select("a", "b").distinct(), texts, words, percent), "minhash-links")
+        labels = _merge(labels, found)
+        # links left out may matter where one of those taken in their place has failed
+        again = materialize(pairs.filter("more").join(found, ["a", "b"], "left_anti").select("key").distinct(), "minhash-again")
+        if again.limit(1).count() == 0:
+            break
+        state, forests = state.join(again, "key"), forests * 8
 
     out = rows_.select("id", "n_shingles", "digest").join(
         classes.select("digest", F.col("rep").alias("class_id")), "digest", "left")
@@ -354,6 +389,14 @@ def near_duplicates(docs: DataFrame, id_col="doc_id", text_col="text", words: in
                       F.when(known, F.coalesce("label", "class_id", "id")).alias("component_id"))
 
 
+def _still_open(state: DataFrame, labels: DataFrame) -> DataFrame:
+    """(key, rep, label): the buckets that hold several components, with these labels."""
+    state = state.select("key", "rep").join(labels.withColumnRenamed("node", "rep"), "rep", "left").select(
+        "key", "rep", F.coalesce("label", "rep").alias("label"))
+    mixed = state.groupBy("key").agg(F.min("label").alias("x"), F.max("label").alias("y")).filter("x <> y")
+    return materialize(state.join(mixed.select("key"), "key"), "minhash-open")
+
+
 def _merge(labels: DataFrame, found: DataFrame) -> DataFrame:
     """(node, label) after new links; nodes not labelled yet are their own label."""
     own = found.select(F.col("a").alias("node")).union(found.select("b")).distinct().join(

@@ -5,6 +5,7 @@ from math import comb
 import numpy as np
 import pyarrow as pa
 import pytest
+from pyspark.sql import functions as F
 
 from parcelyze.llm import components, minhash, shingles
 
@@ -169,3 +170,47 @@ def test_links_across_blocks_of_a_large_bucket(spark, monkeypatch):
     base = [rng.choice(cases.WORDS) + str(i) for i in range(120)]
     rows = [(i, " ".join(edited(rng, base, 8)), "en", "s", 0) for i in range(120)]
     assert groups(cases.docs(spark, rows), words=2) == sorted(brute(rows, 2), key=key)
+
+
+def open_bucket(spark, texts, words=2):
+    """One bucket of classes that share a band, each a component of its own."""
+    docs = spark.createDataFrame(list(enumerate(texts)), "rep long, text string")
+    classes = minhash.sketch(docs.withColumnRenamed("rep", "id"), "id", "text", words, 112).select(
+        F.col("id").alias("rep"), "signature")
+    state = minhash.buckets(classes, 4).withColumn("label", F.col("rep"))
+    return state, classes, docs
+
+
+def test_a_large_group_of_likely_links_costs_a_forest(spark):
+    """A task that finds all pairs of a group likely emits fewer rows than it has classes."""
+    rng = random.Random(11)
+    base = [rng.choice(cases.WORDS) + str(i) for i in range(150)]
+    texts = [" ".join(edited(rng, base, 1)) for _ in range(40)]
+    state, classes, docs = open_bucket(spark, texts)
+    got = minhash.crossing(state, classes, docs, 2, 4, 0.8, 80, 16, 1e-9, 112).collect()
+    tasks = {k: [r for r in got if r.key == k] for k in {r.key for r in got}}
+    assert got and all(len(t) < 40 for t in tasks.values()) and any(r.more for r in got)     # 780 pairs before
+    every = minhash.crossing(state, classes, docs, 2, 4, 0.8, 80, 16, 1e-9, 112, forests=1000).collect()
+    assert len({(r.a, r.b) for r in every}) == 40 * 39 // 2 and not any(r.more for r in every)
+
+
+def test_forests_take_every_link_in_the_end():
+    x, y = (np.array(v) for v in zip(*[(a, b) for a in range(9) for b in range(a)]))
+    assert minhash.spanning(x, y, 1).sum() == 8
+    assert minhash.spanning(x, y, 2).sum() == 15
+    assert minhash.spanning(x, y, 64).all()
+
+
+def test_links_behind_a_pair_that_fails_are_found(spark, monkeypatch):
+    """Bounds that let every pair pass make forests of pairs that fail; no link may be lost by it."""
+    real, rounds = minhash.crossing, []
+
+    def loose(state, classes, texts, words, rows, threshold, percent, batch, miss, hashes, word_key, forests):
+        rounds.append(forests)
+        return real(state, classes, texts, words, rows, 0.01, 1, batch, miss, hashes, word_key, forests)
+    monkeypatch.setattr(minhash, "crossing", loose)
+    rng = random.Random(12)
+    base = [rng.choice(cases.WORDS) + str(i) for i in range(120)]
+    rows = [(i, " ".join(edited(rng, base, 9)), "en", "s", 0) for i in range(60)]
+    assert groups(cases.docs(spark, rows), words=2) == sorted(brute(rows, 2), key=key)
+    assert rounds[:2] == [1, 8]
