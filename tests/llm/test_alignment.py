@@ -1,6 +1,7 @@
 import random
 from collections import Counter
 
+import numpy as np
 import pyarrow as pa
 import pytest
 import sentencepiece
@@ -133,3 +134,23 @@ def test_registered_query_on_whole_table(spark, models):
     got = QUERIES["op13_alignment"](spark, sf)
     assert got.columns == ["doc_id", "n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum", "groups_sha256"]
     assert sorted(tuple(r) for r in got.collect()) == want
+
+
+def test_counts_hash_no_tokens_one_by_one(models, monkeypatch):
+    """Units and pairs of a slice are made distinct by sorting and by flags, with the same counts."""
+    texts = [None, "", *ODD, *["the cat sat, on the mat. " * n for n in range(1, 40)]]
+    table = pa.table({"id": pa.array(range(len(texts)), pa.int64()), "text": pa.array(texts, pa.string())})
+    al = alignment.Aligner(tokens.default_tokenizer(), alignment.default_pieces())
+    alignment.Slice(table, al)                               # units are known from here on
+
+    def refused(*args, **kw):
+        raise AssertionError("np.unique over the tokens of a slice")
+    monkeypatch.setattr(alignment.np, "unique", refused)
+    pairs, n = alignment.Slice(table, al).document_counts()
+    monkeypatch.undo()
+    want = Counter()
+    for text in texts:
+        want.update({a << 32 | b for g in plain(text, models) for a in g[0] for b in g[1]})
+    assert dict(zip(pairs.tolist(), n.tolist())) == want
+    values = np.array([5, -1, 5, 3, -1, 2 ** 62, 0], np.int64)
+    assert alignment.distinct(values).tolist() == [-1, 0, 3, 5, 2 ** 62] and not len(alignment.distinct(values[:0]))
