@@ -44,16 +44,20 @@ def large_strings(batch: pa.RecordBatch, name: str) -> list:
     return [x if x is not None else "" for x in batch.column(name).to_pylist()]
 
 
-def row_slices(batch: pa.RecordBatch, name: str, max_bytes: int = 8 << 20):
+def row_slices(batch: pa.RecordBatch, name: str, max_bytes: int = 1 << 20):
     """Cut an Arrow batch into row ranges whose ``name`` column holds about
     ``max_bytes`` bytes (one row may exceed it), so that the working memory of
-    a task follows the longest text and not the batch size."""
+    a task follows the longest text and not the batch size.
+
+    Workers outlive their tasks, and Arrow keeps the memory of the batches before
+    for later ones: it is given back here, once a batch."""
     import numpy as np
     col = batch.column(name)
     n = len(col)
     if n == 0:
         return
     import pyarrow.compute as pc
+    pa.default_memory_pool().release_unused()
     lens = pc.fill_null(pc.binary_length(col), 0).to_numpy(zero_copy_only=False).astype(np.int64)
     part = np.cumsum(lens) // max_bytes
     cuts = [0, *(np.flatnonzero(np.diff(part)) + 1).tolist(), n]
