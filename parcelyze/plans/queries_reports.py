@@ -17,7 +17,8 @@ from ..operators import quality as Q
 from ..operators import stats as S
 from ..operators.ranking import global_rank
 from ..operators.model import TableModel
-from ..session import app_id, merged, scratch_path
+from ..session import app_id, merged, scratch_path, shuffles_dropped
+from ..sources.adapter import raw_model
 from ..sources.ingest import (extra_columns, infer_types, ingest_csv, read_csv_text, read_raw_layer, row_counts, type_raw,
                               write_csv)
 from .oracle import FMT, R
@@ -25,7 +26,7 @@ from .pipeline import run_pipeline, write_dq
 from .snapshots import run_snapshot
 from .queries_quality import _ALL_DQ, REPORT_TS, _sq, dq_results
 from .queries_stats import _Z
-from .registry import _MONTHLY_SQL, _ROOT_CAUSE_SQL, model, query, _raw
+from .registry import _MONTHLY_SQL, _ROOT_CAUSE_SQL, model, query
 from .sql_runner import run_query
 
 # ------------------------------------------------------------------ forecast
@@ -341,11 +342,12 @@ _RUN_LOCK = threading.Lock()
 
 def pipeline_run(spark, sf_dir):
     """(root, log) of one four-stage job on the adapted raw model, run once per
-    application and input folder; its stored tables serve several queries."""
+    application and input folder; its stored tables serve several queries. The job stores
+    the raw layer itself, so it takes the adapter's tables as they are planned."""
     key = (app_id(spark), sf_dir.rstrip("/"))
     with _RUN_LOCK:
         if key not in _RUNS:
-            _RUNS[key] = run_pipeline(spark, _raw(spark, sf_dir), run_ts=REPORT_TS)
+            _RUNS[key] = run_pipeline(spark, raw_model(spark, sf_dir), run_ts=REPORT_TS)
         return _RUNS[key]
 
 
@@ -391,7 +393,8 @@ def q_pipeline_dq_results(spark, sf_dir):
     validation was run a second time (a partition is replaced, not appended to)."""
     root, _ = pipeline_run(spark, sf_dir)
     m = TableModel(spark, f"{root}/model")
-    write_dq(Q.modeled_checks(m, spark.read.parquet(f"{root}/raw/raw_orders"), REPORT_TS), root, "modeled")
+    with shuffles_dropped(spark):
+        write_dq(Q.modeled_checks(m, spark.read.parquet(f"{root}/raw/raw_orders"), REPORT_TS), root, "modeled")
     return spark.read.parquet(f"{root}/data_quality_results").select(*Q.RESULT_COLS)
 
 
@@ -405,7 +408,7 @@ def q_pipeline_snapshot(spark, sf_dir):
     """SNK1/PL1 on versioned snapshots: the tables of the second of two runs, between
     which the sellers changed, and which of them it wrote."""
     root = scratch_path(spark, "snapshots", app_id(spark), uuid.uuid4().hex)
-    raw = _raw(spark, sf_dir)
+    raw = raw_model(spark, sf_dir)
     old, _ = run_snapshot(spark, raw, root, REPORT_TS)
     changed = {**dict(raw.items()), "raw_sellers": raw["raw_sellers"].withColumn("seller_city", F.upper(F.concat("seller_city", F.lit("!"))))}
     new, _ = run_snapshot(spark, changed, root, REPORT_TS)

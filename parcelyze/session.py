@@ -4,6 +4,9 @@ from __future__ import annotations
 
 import re
 import tempfile
+import threading
+from contextlib import contextmanager
+from functools import wraps
 
 from pyspark.sql import SparkSession
 
@@ -119,26 +122,75 @@ def table_exists(spark: SparkSession, name_or_path: str) -> bool:
     return spark.catalog.tableExists(name_or_path)
 
 
-def materialize(df, label: str = "t"):
+def materialize(df, label: str = "t", written: list | None = None):
     """Write ``df`` once as parquet under the shared checkpoint folder and read
     it back: one job, lineage cut, survives executor loss (unlike a local
     checkpoint or a cache). Used for small intermediate results that several
     later passes read. It runs a job; functions that call it say so.
-    :func:`drop_materialized` removes the tables once their readers are done."""
+    :func:`drop_materialized` removes the tables once their readers are done.
+    ``written``: for larger tables, a list that gets the folder, so that the caller can
+    :func:`drop_folders` before that; these are written with zstd."""
     import uuid
     spark = df.sparkSession
     path = scratch_path(spark, "materialized", app_id(spark), f"{label}-{uuid.uuid4().hex}")
-    df.write.mode("overwrite").parquet(path)
+    w = df.write.mode("overwrite")
+    if written is not None:
+        written.append(path)
+        w = w.option("compression", "zstd")
+    w.parquet(path)
     return spark.read.parquet(path)
 
 
+def drop_folders(spark: SparkSession, paths) -> None:
+    """Delete folders in the store that Spark's writers would open."""
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    for path in paths:
+        p = jvm.org.apache.hadoop.fs.Path(path)
+        p.getFileSystem(conf).delete(p, True)
+
+
 def drop_materialized(spark: SparkSession) -> None:
     """Delete what this application has materialized so far. For callers that
     have consumed (written or collected) every result built from it."""
-    path = scratch_path(spark, "materialized", app_id(spark))
-    jvm = spark.sparkContext._jvm
-    p = jvm.org.apache.hadoop.fs.Path(path)
-    p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
+    drop_folders(spark, [scratch_path(spark, "materialized", app_id(spark))])
+
+
+_DROP_SHUFFLES = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+_DROPPING: dict = {}                       # application -> (how many are inside, the setting before)
+_DROPPING_LOCK = threading.Lock()
+
+
+@contextmanager
+def shuffles_dropped(spark: SparkSession):
+    """The shuffle files of a query that runs inside go when it has ended. Spark else keeps
+    them until the driver happens to collect its garbage, so that a chain of writes holds
+    the shuffles of all of them. Only for queries that are executed once; what is planned
+    inside and executed again has its stages run again."""
+    key = app_id(spark)
+    with _DROPPING_LOCK:
+        inside, before = _DROPPING.get(key) or (0, spark.conf.get(_DROP_SHUFFLES, None))
+        _DROPPING[key] = inside + 1, before
+        spark.conf.set(_DROP_SHUFFLES, "true")
+    try:
+        yield
+    finally:
+        with _DROPPING_LOCK:
+            inside, before = _DROPPING.pop(key)
+            if inside > 1:
+                _DROPPING[key] = inside - 1, before
+            elif before is None:
+                spark.conf.unset(_DROP_SHUFFLES)
+            else:
+                spark.conf.set(_DROP_SHUFFLES, before)
+
+
+def dropping_shuffles(fn):
+    """A function of a session and more that runs in :func:`shuffles_dropped`."""
+    @wraps(fn)
+    def run(spark, *args, **kwargs):
+        with shuffles_dropped(spark):
+            return fn(spark, *args, **kwargs)
+    return run
 
 
 def write_tables(jobs, max_concurrent: int = 4) -> dict:
