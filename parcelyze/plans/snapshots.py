@@ -25,8 +25,8 @@ from ..operators import quality as Q
 from ..operators.model import StarModel, TableModel
 from ..operators.reconcile import table_digest
 from ..schemas import MODELED_TABLES, RAW_TABLES
-from ..session import path_exists, write_tables
-from .pipeline import LOG_DETAIL, RunLog, _now, write_table
+from ..session import dropping_shuffles, path_exists, write_tables
+from .pipeline import LOG_DETAIL, RunLog, _now, write_modeled, write_table
 
 #: The raw tables that each modeled table is built from.
 DEPENDS = {
@@ -75,6 +75,7 @@ def publish(spark: SparkSession, root: str, version: int, run_ts: str, tables: d
     return Snapshot(spark, version, tables)
 
 
+@dropping_shuffles
 def run_snapshot(spark: SparkSession, raw: dict, root: str, run_ts: str | None = None) -> tuple[Snapshot, RunLog]:
     """Run the four stages on a raw model (name -> DataFrame) and publish the result.
     Returns the snapshot and the log; re-raises after logging FAILED."""
@@ -92,7 +93,7 @@ def run_snapshot(spark: SparkSession, raw: dict, root: str, run_ts: str | None =
 
         def stage(layer, names, frame):
             """Write the tables of a layer that changed; keep the folders of the others."""
-            counts = write_tables({n: lambda n=n: write_table(frame(n), f"{folder}/{layer}/{n}", n) for n in names})
+            counts = write_modeled(names, lambda n: write_table(frame(n), f"{folder}/{layer}/{n}", n))
             wrote.update({(layer, n): c for n, c in counts.items()})
             return {(layer, n): f"{folder}/{layer}/{n}" for n in names}
 
