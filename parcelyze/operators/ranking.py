@@ -36,6 +36,13 @@ def distinct_counts(df: DataFrame, key: Column | str) -> DataFrame:
     return materialize(df.groupBy(k.alias("_k")).agg(F.count(F.lit(1)).alias("_n")), "counts")
 
 
+def _below(cuts: str, value: Column, most: int) -> Column:
+    """How many of at most ``most`` ascending cuts are smaller than the value, by halving."""
+    steps = [1 << i for i in reversed(range(most.bit_length()))]
+    return F.aggregate(F.array(*[F.lit(x) for x in steps]), F.lit(0), lambda at, step: F.when(
+        at + step <= F.size(cuts), F.when(F.element_at(cuts, at + step) < value, at + step).otherwise(at)).otherwise(at))
+
+
 def value_positions(df: DataFrame, key: Column | str, buckets: int = 512,
                     counted: DataFrame | None = None) -> DataFrame:
     """Distinct key values ``_k`` (NULL first) with ``_n`` = rows holding the value
@@ -48,7 +55,7 @@ def value_positions(df: DataFrame, key: Column | str, buckets: int = 512,
     # bucket -1 holds the NULL key, which sorts first. (The cut list is
     # projected as a column first: subqueries may not sit inside a lambda.)
     b = F.when(F.col("_k").isNull(), F.lit(-1)).otherwise(
-        F.size(F.filter("_cuts", lambda c: c < F.col("_k"))))
+        _below("_cuts", F.col("_k"), buckets - 1))
     vals = vals.withColumn("_cuts", cuts).withColumn("_b", b).drop("_cuts")
     # per-bucket totals: <= buckets + 1 rows, so the running offsets and the
     # grand total are windows over a handful of rows

@@ -17,7 +17,7 @@ from ..operators import quality as Q
 from ..operators import stats as S
 from ..operators.ranking import global_rank
 from ..operators.model import TableModel
-from ..session import app_id, merged, scratch_path, shuffles_dropped
+from ..session import app_id, drop_folders, merged, scratch_path, shuffles_dropped
 from ..sources.adapter import raw_model
 from ..sources.ingest import (extra_columns, infer_types, ingest_csv, read_csv_text, read_raw_layer, row_counts, type_raw,
                               write_csv)
@@ -420,16 +420,19 @@ def q_pipeline_snapshot(spark, sf_dir):
 
 # ------------------------------------------------------------------ CSV ingest
 _INGESTS: dict = {}
+_EXPORT_ROWS = 1_000_000
 
 
 def csv_round_trip(spark, sf_dir):
     """The raw layer that ingest makes of the adapter tables exported to CSV, built
-    once per application and input folder."""
+    once per application and input folder. The export is text of four times the input's
+    bytes, so it is compressed, in files short enough for a task each."""
     key = (app_id(spark), sf_dir.rstrip("/"))
     with _RUN_LOCK:
         if key not in _INGESTS:
             root = scratch_path(spark, "csv", app_id(spark), uuid.uuid4().hex)
-            write_csv(model(spark, sf_dir).raw, f"{root}/source")
+            with shuffles_dropped(spark):
+                write_csv(raw_model(spark, sf_dir), f"{root}/source", "gzip", _EXPORT_ROWS)
             ingest_csv(spark, f"{root}/source", f"{root}/raw")
             _INGESTS[key] = f"{root}/raw"
         return read_raw_layer(spark, _INGESTS[key])
@@ -452,7 +455,7 @@ def q_csv_ingest_counts(spark, sf_dir):
     return row_counts(csv_round_trip(spark, sf_dir))
 
 
-_EXPORT_FILES = 7
+_EXPORT_FILES, _EXPORT_SPLIT = 7, "64k"
 
 
 def many_file_export(spark, sf_dir):
@@ -466,25 +469,23 @@ def many_file_export(spark, sf_dir):
         if key not in _INGESTS:
             root = scratch_path(spark, "csv", app_id(spark), uuid.uuid4().hex)
             k = F.col("order_id").cast("bigint")
-            p = model(spark, sf_dir).raw["raw_order_payments"].select(
+            p = raw_model(spark, sf_dir)["raw_order_payments"].select(
                 "*", F.concat(F.lit('note "'), "order_id", F.lit('",\nof '), F.col("payment_type"), F.lit("\n")).alias("note"),
                 k.alias("whole"), F.when(k % 3 != 0, k).alias("gaps"), (k / 4).alias("fraction"),
                 F.date_add(F.lit("2020-01-01").cast("date"), (k % 1000).cast("int")).cast("string").alias("day"),
                 F.when(k % 2 == 0, "True").otherwise("False").alias("even"),
                 F.when(k % 5 == 0, "five").otherwise(k.cast("string")).alias("mixed"))
-            (p.repartitionByRange(_EXPORT_FILES, k).sortWithinPartitions(k, "payment_sequential").write.option("header", True)
-             .option("escape", '"').option("emptyValue", "").option("quoteAll", True).option("ignoreLeadingWhiteSpace", False)
-             .option("ignoreTrailingWhiteSpace", False).csv(f"{root}/payments"))
-            old = spark.conf.get("spark.sql.files.maxPartitionBytes")
-            spark.conf.set("spark.sql.files.maxPartitionBytes", "64k")
-            try:
-                text = read_csv_text(spark, f"{root}/payments", "raw_order_payments")
-            finally:
-                spark.conf.set("spark.sql.files.maxPartitionBytes", old)
-            text.write.parquet(f"{root}/text")
-            text = spark.read.parquet(f"{root}/text")
-            types = infer_types(text, extra_columns(text, "raw_order_payments"))
-            type_raw(text, "raw_order_payments", types).write.parquet(f"{root}/typed")
+            with shuffles_dropped(spark):
+                (p.repartitionByRange(_EXPORT_FILES, k).sortWithinPartitions(k, "payment_sequential").write.option("header", True)
+                 .option("escape", '"').option("emptyValue", "").option("quoteAll", True).option("ignoreLeadingWhiteSpace", False)
+                 .option("ignoreTrailingWhiteSpace", False).csv(f"{root}/payments"))
+                written: list = []
+                text = read_csv_text(spark, f"{root}/payments", "raw_order_payments", written, _EXPORT_SPLIT)
+                text.write.option("compression", "zstd").parquet(f"{root}/text")
+                drop_folders(spark, written)
+                text = spark.read.parquet(f"{root}/text")
+                types = infer_types(text, extra_columns(text, "raw_order_payments"))
+                type_raw(text, "raw_order_payments", types).write.parquet(f"{root}/typed")
             _INGESTS[key] = f"{root}/typed"
         return spark.read.parquet(_INGESTS[key])
 

@@ -22,6 +22,7 @@ from pyspark.sql import SparkSession, Observation  # noqa: E402
 from pyspark.sql import types as T  # noqa: E402
 
 from ..schemas import RAW  # noqa: E402
+from ..session import drop_folders, dropping_shuffles, path_exists, write_tables  # noqa: E402
 from .csv_records import read_text_table  # noqa: E402
 
 # Source file of each raw table.
@@ -48,15 +49,16 @@ SEQUENCED_TABLES = {"raw_order_items", "raw_order_payments"}
 BAD_CELLS = "_unparsed_cells"                 # written next to the raw tables
 
 
-def read_csv_text(spark: SparkSession, path: str, name: str) -> DataFrame:
+def read_csv_text(spark: SparkSession, path: str, name: str, written: list | None = None, split_bytes=None) -> DataFrame:
     """SRC1 read side: every column of the file (or of all files of a folder) as text,
     unchanged (header, quoted fields with line breaks, BOM-safe; no trimming, no NA
     tokens, no inference). Files are read in splits, see ``csv_records``. A contract
     column that the header lacks is an error.
 
     Item and payment rows carry the number of their record over all files, for
-    "first occurrence" tie-breaks; it does not depend on the splits."""
-    df = read_text_table(spark, path, SEQ_COL if name in SEQUENCED_TABLES else None)
+    "first occurrence" tie-breaks; it does not depend on the splits. ``written`` and
+    ``split_bytes``: see ``read_text_table``."""
+    df = read_text_table(spark, path, SEQ_COL if name in SEQUENCED_TABLES else None, written, split_bytes)
     missing = [f.name for f in RAW[name].fields if f.name not in df.columns]
     if missing:
         raise ValueError(f"{path}: columns {missing} of {name} are not in its header {df.columns}")
@@ -169,6 +171,7 @@ def read_raw_csv(spark: SparkSession, path: str, name: str) -> DataFrame:
     return type_raw(read_csv_text(spark, path, name), name)
 
 
+@dropping_shuffles
 def ingest_csv(spark: SparkSession, raw_dir: str, out_root: str) -> dict:
     """SRC1/SRC2: check that every source file exists and has its columns (before
     writing anything), land each file as text under ``<out_root>/_text``, then type
@@ -176,23 +179,25 @@ def ingest_csv(spark: SparkSession, raw_dir: str, out_root: str) -> dict:
     them) and list the cells that could not be typed. Row
     counts come from an Observation on the write itself (no second scan).
     Returns {table: rows}."""
-    from ..session import path_exists, write_tables
     root = out_root.rstrip("/")
     paths = {n: f"{raw_dir.rstrip('/')}/{f}" for n, f in CSV_FILES.items()}
     missing = [p for p in paths.values() if not path_exists(spark, p)]
     if missing:
         raise FileNotFoundError(f"Missing raw source file: {missing[0]}")
     # independent tables side by side; nothing is written to out_root before all are read
-    read = write_tables({name: lambda n=name, p=path: read_csv_text(spark, p, n) for name, path in paths.items()})
-    counts = write_tables({name: lambda n=name, d=df: _land(spark, d, n, root) for name, df in read.items()})
+    written: dict = {n: [] for n in paths}
+    read = write_tables({name: lambda n=name, p=path: read_csv_text(spark, p, n, written[n]) for name, path in paths.items()})
+    counts = write_tables({name: lambda n=name, d=df: _land(spark, d, n, root, written[n]) for name, df in read.items()})
     bad = [unparsed_cells(spark.read.parquet(f"{root}/_text/{name}"), name) for name in read]
     reduce(DataFrame.unionByName, bad).write.mode("overwrite").parquet(f"{root}/{BAD_CELLS}")
     return counts
 
 
-def _land(spark: SparkSession, df: DataFrame, name: str, root: str) -> int:
-    """Write one table as text, then typed. Returns its rows."""
-    df.write.mode("overwrite").parquet(f"{root}/_text/{name}")
+def _land(spark: SparkSession, df: DataFrame, name: str, root: str, written: list) -> int:
+    """Write one table as text, then typed; what it was read from (``written``) goes as soon as the
+    text is there. Returns its rows."""
+    df.write.mode("overwrite").option("compression", "zstd").parquet(f"{root}/_text/{name}")
+    drop_folders(spark, written)
     text = spark.read.parquet(f"{root}/_text/{name}")
     typed = type_raw(text, name, infer_types(text, extra_columns(text, name)))
     obs = Observation(name)
@@ -204,20 +209,20 @@ def read_unparsed_cells(spark: SparkSession, root: str) -> DataFrame:
     return spark.read.parquet(f"{root.rstrip('/')}/{BAD_CELLS}")
 
 
-def write_csv(raw, folder: str) -> None:
-    """Export a raw model as the nine CSV sources (one folder of part files each)."""
+def write_csv(raw, folder: str, compression: str = "none", rows_per_file: int = 0) -> None:
+    """Export a raw model as the nine CSV sources (one folder of part files each).
+    ``compression``: a codec of Spark's CSV writer; files that readers cannot split are best
+    kept short with ``rows_per_file``."""
     for name, df in raw.items():
         cols = [F.date_format(c, TS_FORMAT).alias(c) if t.startswith("timestamp") else F.col(c) for c, t in df.dtypes
                 if c != SEQ_COL]
-        (df.select(*cols).write.mode("overwrite").option("header", True).option("escape", '"')
-         .option("emptyValue", "").csv(f"{folder.rstrip('/')}/{CSV_FILES[name]}"))
+        (df.select(*cols).write.mode("overwrite").option("header", True).option("escape", '"').option("compression", compression)
+         .option("maxRecordsPerFile", rows_per_file).option("emptyValue", "").csv(f"{folder.rstrip('/')}/{CSV_FILES[name]}"))
 
 
 def write_raw(raw, out_root: str) -> dict:
     """Write a raw model (e.g. the test-data adapter) as the raw layer; counts
     via Observation on each write."""
-    from ..session import write_tables
-
     def job(name, df):
         def run():
             obs = Observation(name)
