@@ -36,13 +36,15 @@ _OPTIONS = {"escape": '"', "quote": '"', "emptyValue": "", "ignoreLeadingWhiteSp
             "maxCharsPerColumn": "-1", "maxColumns": "100000"}
 
 
-def inside_after(line: Column, inside: bool) -> Column:
-    """Is a quoted field open at the end of a line that begins inside or outside one?
-    A quote opens a field only at its beginning; doubled quotes close nothing."""
-    def step(state, part):
+def states_after(line: Column) -> Column:
+    """Is a quoted field open at the end of a line? Bit 0: if the line begins outside one, bit 1: if
+    inside. A quote opens a field only at its beginning; doubled quotes close nothing. So a part between
+    commas with an odd number of quotes toggles the state if it begins with one, else it ends outside; all
+    others leave it."""
+    def step(states, part):
         quotes = F.length(part) - F.length(F.replace(part, F.lit('"'), F.lit("")))
-        return F.when(state | F.startswith(part, F.lit('"')), state != (quotes % 2 == 1)).otherwise(F.lit(False))
-    return F.aggregate(F.split(line, ","), F.lit(inside), step)
+        return F.when(quotes % 2 == 0, states).when(F.startswith(part, F.lit('"')), states.bitwiseXOR(3)).otherwise(F.lit(0))
+    return F.aggregate(F.split(line, ","), F.lit(2), step)
 
 
 #: About as many bytes of small splits are read by one task.
@@ -78,11 +80,10 @@ def read_lines(spark: SparkSession, path, written: list | None = None, split_byt
         lines = (spark.read.option("lineSep", "\n").text(path)
                  .select(F.col("_metadata.file_path").alias("_file"), F.col("_metadata.file_block_start").alias("_start"),
                          F.monotonically_increasing_id().alias("_place"), F.col("value").alias("line")))
-        quoted = F.contains(F.col("line"), F.lit('"'))
-        return materialize(lines.withColumn("empty", F.col("line").isin("", "\r"))
-                           .withColumn("out", F.when(quoted, inside_after(F.col("line"), False)))
-                           .withColumn("in", F.when(quoted, inside_after(F.col("line"), True))), "csv-lines",
-                           written if written is not None else [])
+        states = F.when(F.contains(F.col("line"), F.lit('"')), states_after(F.col("line")))
+        lines = lines.withColumn("empty", F.col("line").isin("", "\r")).withColumn("_states", states)
+        return materialize(lines.withColumn("out", F.col("_states").bitwiseAND(1) == 1).withColumn(
+            "in", F.col("_states").bitwiseAND(2) == 2).drop("_states"), "csv-lines", written if written is not None else [])
 
 
 def _running(df: DataFrame, parts: list, order: list, start: Column | None = None):

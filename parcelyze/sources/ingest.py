@@ -101,16 +101,17 @@ def infer_types(text: DataFrame, columns) -> dict:
     columns = list(columns)
     if not columns:
         return {}
-    counts = []
-    for i, name in enumerate(columns):
+    cells, counts = [], []
+    for i, name in enumerate(columns):                     # every form of a cell is looked at once
         c = _value(F.col(f"`{name}`"))
-        whole = F.when(c.rlike(_INTEGER), F.trim(F.regexp_replace(c, r"[\s+]", "")).try_cast("decimal(38,0)"))
+        cells += [c.alias(f"c{i}"), F.when(c.rlike(_INTEGER), c.try_cast("decimal(38,0)")).alias(f"w{i}"), c.rlike(_FLOAT).alias(f"f{i}")]
+        c, whole = F.col(f"c{i}"), F.col(f"w{i}")
         counts += [F.count(c).alias(f"cells{i}"), F.count_if(c.isNull()).alias(f"none{i}"),
                    F.count_if(whole.between(F.lit(-2 ** 63), F.lit(2 ** 63 - 1))).alias(f"signed{i}"),
                    F.count_if(whole.between(F.lit(0), F.lit(str(2 ** 64 - 1)).cast("decimal(38,0)"))).alias(f"unsigned{i}"),
-                   F.count_if(c.rlike(_FLOAT)).alias(f"number{i}"),
+                   F.count_if(F.col(f"f{i}")).alias(f"number{i}"),
                    F.count_if(c.isin(list(TRUTH_WORDS))).alias(f"truth{i}")]
-    got = text.agg(*counts).first()
+    got = text.select(*cells).agg(*counts).first()
 
     def decide(i):
         cells, none, signed, unsigned, number, truth = (got[f"{k}{i}"] for k in (
